@@ -5,9 +5,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.functions.text import ENGLISH_STOP_WORDS, tokens, without_stop_words
-from tallyhouse.plans.lookups import BROADCAST_ROWS, Lookup, derived_lookup, join_lookup
+from tallyhouse.plans.lookups import BROADCAST_ROWS, Lookup, derived_lookup, join_lookup, local_table
 from tallyhouse.plans.shared import checkpointed
 
 OLD_DATE = "2010-01-01"
@@ -30,15 +31,9 @@ def category_codes(
     found = derived_lookup(values, max_lookup_rows)
     if not found.fits:
         return Lookup(checkpointed(_number_sorted(found.table, column)), False)
-    ordered = sorted(row[0] for row in found.table.collect())
-    rows = list(enumerate(ordered))
-    return Lookup(
-        df.sparkSession.createDataFrame(
-            [(value, code) for code, value in rows],
-            f"`{column}` {dict(df.dtypes)[column]}, code bigint",
-        ),
-        True,
-    )
+    rows = [(value, code) for code, value in enumerate(sorted(row[0] for row in found.rows))]
+    schema = T.StructType([*values.schema.fields, T.StructField("code", T.LongType())])
+    return Lookup(local_table(rows, schema, df.sparkSession), True)
 
 
 def _number_sorted(values: DataFrame, column: str) -> DataFrame:

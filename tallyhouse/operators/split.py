@@ -5,12 +5,14 @@ by a hash of seed and key, and the first rows of each stratum are taken. Fitting
 key and stratum and yields one cut per stratum; applying a fit is a comparison per row.
 """
 
+import hashlib
 import json
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.functions.hashing import order_hash
 from tallyhouse.plans.lookups import (
@@ -18,10 +20,14 @@ from tallyhouse.plans.lookups import (
     Lookup,
     derived_lookup,
     join_lookup,
+    local_table,
 )
 from tallyhouse.plans.ranks import SORTABLE_ROWS, bucket_counts, cut_points
 
 HASH_DIGITS = 32
+QUOTA = T.StructType(
+    [T.StructField("stratum", T.StringType()), T.StructField("quota", T.LongType())]
+)
 TEST, VALIDATION, TRAIN, TRAINVAL = "test", "validation", "train", "trainval"
 
 
@@ -45,7 +51,7 @@ class FittedSplit:
             return df.withColumn(column, self._side(position, lambda name: F.lit(cut[name])))
         cuts = self.cuts.table.withColumnRenamed("stratum", "_stratum")
         joined = join_lookup(
-            df.withColumn("_stratum", F.col(self.stratify_by)),
+            df.withColumn("_stratum", F.col(self.stratify_by).cast("string")),
             Lookup(cuts, self.cuts.fits),
             ["_stratum"],
             "left",
@@ -69,12 +75,18 @@ def _check_fraction(name: str, value: float) -> None:
 
 def allocate(
     sizes: Lookup, take: int, seed: int, max_lookup_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+) -> Lookup:
     """Share ``take`` rows among strata in proportion to their size, exactly.
 
     ``sizes`` has ``stratum`` and ``n``. Each stratum gets the whole part of its share; the
     rows left over go to the largest remainders, equal remainders in the order of a hash.
+    Returns ``stratum`` and ``quota``.
     """
+    if sizes.rows is not None:
+        quotas = _shares({row["stratum"]: row["n"] for row in sizes.rows}, take, seed)
+        rows = list(quotas.items())
+        spark = sizes.table.sparkSession
+        return Lookup(local_table(rows, QUOTA, spark), True, tuple(Row(*QUOTA.names)(*r) for r in rows))
     total = sizes.table.agg(F.sum("n")).first()[0]
     exact = f"CAST({take} AS DECIMAL(19,0)) * CAST(n AS DECIMAL(19,0))"
     shares = sizes.table.select(
@@ -87,25 +99,36 @@ def allocate(
         ).alias("turn"),
     )
     left = take - shares.agg(F.sum("base")).first()[0]
-    if left == 0:
-        extra = F.lit(0)
-    elif sizes.fits:
-        # A bounded number of strata: one small sort.
-        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("turn"))
-        shares = shares.withColumn("_place", place)
-        extra = (F.col("_place") <= left).cast("int")
-    else:
-        spark = shares.sparkSession
+    extra = F.lit(0)
+    if left:
+        wanted = shares.sparkSession.createDataFrame(
+            [(0, "left", left)], "all int, label string, rank bigint"
+        )
         last = cut_points(
             shares.select(F.lit(0).alias("all"), "turn"),
-            spark.createDataFrame([(0, "left", left)], "all int, label string, rank bigint"),
+            wanted,
             ["all"],
             "turn",
             16 + HASH_DIGITS,
             max_lookup_rows=max_lookup_rows,
         ).first()["cut"]
         extra = (F.col("turn") <= F.lit(last)).cast("int")
-    return shares.select("stratum", (F.col("base") + extra).cast("bigint").alias("quota"))
+    quotas = shares.select("stratum", (F.col("base") + extra).cast("bigint").alias("quota"))
+    return Lookup(quotas, sizes.fits)
+
+
+def _shares(sizes: dict[str, int], take: int, seed: int) -> dict[str, int]:
+    """``allocate`` for strata that fit the driver."""
+    total = sum(sizes.values())
+
+    def turn(stratum):
+        digest = hashlib.md5(f"{seed}|{stratum}".encode()).hexdigest()
+        return -(take * sizes[stratum] % total), digest
+
+    quotas = {stratum: take * n // total for stratum, n in sizes.items()}
+    for stratum in sorted(sizes, key=turn)[: take - sum(quotas.values())]:
+        quotas[stratum] += 1
+    return quotas
 
 
 def fit_split(
@@ -137,13 +160,7 @@ def fit_split(
         sizes = derived_lookup(
             counts.groupBy("stratum").agg(F.sum("_n").alias("n")), max_lookup_rows
         )
-        facts = sizes.table.agg(
-            F.sum("n").alias("rows"),
-            F.count(F.lit(1)).alias("strata"),
-            F.min("n").alias("smallest"),
-            F.count_if(F.col("stratum").isNull()).alias("missing"),
-        ).first()
-        labels, quotas = _quotas(sizes, facts, test_size, val_size, seed, stratify_by, max_lookup_rows)
+        labels, quotas = _quotas(sizes, test_size, val_size, seed, stratify_by, max_lookup_rows)
         cuts = cut_points(
             rows,
             quotas,
@@ -154,13 +171,8 @@ def fit_split(
             max_lookup_rows=max_lookup_rows,
             sortable_rows=sortable_rows,
         )
-        wide = cuts.groupBy("stratum").agg(
-            *[F.max(F.when(F.col("label") == l, F.col("cut"))).alias(f"cut_{l}") for l in labels],
-            F.bool_or("tied").alias("tied"),
-        )
-        found = derived_lookup(wide, max_lookup_rows)
-        if found.table.agg(F.bool_or("tied")).first()[0]:
-            raise ValueError(f"Column {key} is not unique: equal keys lie on a cut")
+        found = derived_lookup(cuts, max_lookup_rows)
+        wide = _one_row_per_stratum(found, labels, key)
     finally:
         counts.unpersist()
     return FittedSplit(
@@ -169,47 +181,81 @@ def fit_split(
         stratify_by,
         labels,
         TRAINVAL if val_size is None else TRAIN,
-        Lookup(found.table.drop("tied"), found.fits),
+        wide,
     )
 
 
-def _quotas(sizes, facts, test_size, val_size, seed, stratify_by, max_lookup_rows):
-    """Cumulative ranks per stratum at which each side ends."""
-    total = facts["rows"] or 0
+def _one_row_per_stratum(found: Lookup, labels: tuple[str, ...], key: str) -> Lookup:
+    """Cuts of all sides of a stratum in one row; refuses a cut between equal keys."""
+    if found.fits:
+        tied = any(row["tied"] for row in found.rows)
+    else:
+        tied = not found.table.where("tied").isEmpty()
+    if tied:
+        raise ValueError(f"Column {key} is not unique: equal keys lie on a cut")
+    if not found.fits:
+        sides = [F.max(F.when(F.col("label") == n, F.col("cut"))).alias(f"cut_{n}") for n in labels]
+        return Lookup(found.table.groupBy("stratum").agg(*sides), False)
+    cuts: dict[str, dict[str, str]] = {}
+    for row in found.rows:
+        cuts.setdefault(row["stratum"], {})[row["label"]] = row["cut"]
+    schema = T.StructType(
+        [T.StructField(name, T.StringType()) for name in ("stratum", *[f"cut_{n}" for n in labels])]
+    )
+    rows = [(stratum, *[sides.get(n) for n in labels]) for stratum, sides in cuts.items()]
+    return Lookup(local_table(rows, schema, found.table.sparkSession), True, tuple(rows))
+
+
+def _facts(sizes: Lookup) -> tuple[int, int, int, bool]:
+    """Rows, strata, rows of the smallest stratum, and whether a stratum is null."""
+    if sizes.rows is not None:
+        ns = [row["n"] for row in sizes.rows]
+        missing = any(row["stratum"] is None for row in sizes.rows)
+        return sum(ns), len(ns), min(ns, default=0), missing
+    return tuple(
+        sizes.table.agg(
+            F.sum("n"), F.count(F.lit(1)), F.min("n"), F.bool_or(F.col("stratum").isNull())
+        ).first()
+    )
+
+
+def _quotas(sizes, test_size, val_size, seed, stratify_by, max_lookup_rows):
+    """Sides in order, and per stratum the rank at which each of them ends."""
+    total, strata, smallest, missing = _facts(sizes)
     n_test = math.ceil(test_size * total)
     sides = [(TEST, n_test, total - n_test)]
     if val_size is not None:
-        rest = total - n_test
-        n_val = math.ceil(val_size * rest)
-        sides.append((VALIDATION, n_val, rest - n_val))
+        n_val = math.ceil(val_size * (total - n_test))
+        sides.append((VALIDATION, n_val, total - n_test - n_val))
     if any(remaining < 1 for _, _, remaining in sides):
         raise ValueError(f"{total} rows are too few to split: a side would be empty")
     if stratify_by is not None:
-        if facts["missing"]:
+        if missing:
             raise ValueError(f"Column {stratify_by} has nulls; strata must be known")
-        if facts["smallest"] < 2:
-            raise ValueError(f"A stratum of {stratify_by} has a single row")
         for label, wanted, remaining in sides:
-            if min(wanted, remaining) < facts["strata"]:
+            if min(wanted, remaining) < strata:
                 raise ValueError(f"Side {label} or its rest has fewer rows than there are strata")
-    ends = sizes.table.withColumn("quota", F.lit(0).cast("bigint"))
     ranks = None
+    ends = sizes.table.select("stratum", F.lit(0).cast("bigint").alias("end"))
+    left = sizes
     for label, wanted, _ in sides:
-        remaining = ends.select("stratum", (F.col("n") - F.col("quota")).alias("n"))
-        if ranks is not None and stratify_by is not None:
-            smallest = remaining.agg(F.min("n")).first()[0]
-            if smallest < 2:
-                raise ValueError(f"A stratum of {stratify_by} has a single row left to split")
-        share = allocate(Lookup(remaining, sizes.fits), wanted, seed, max_lookup_rows)
-        share = share.withColumnRenamed("quota", "more")
-        ends = ends.join(share, "stratum").select(
-            "stratum", "n", (F.col("quota") + F.col("more")).alias("quota"), "more"
+        if stratify_by is not None and _facts(left)[2] < 2:
+            raise ValueError(f"A stratum of {stratify_by} has a single row")
+        quota = allocate(left, wanted, seed, max_lookup_rows).table
+        ends = ends.join(quota, "stratum").select(
+            "stratum", (F.col("end") + F.col("quota")).alias("end"), "quota"
         )
-        side = ends.where("more > 0").select(
-            "stratum", F.lit(label).alias("label"), F.col("quota").alias("rank")
+        side = ends.where("quota > 0").select(
+            "stratum", F.lit(label).alias("label"), F.col("end").alias("rank")
         )
         ranks = side if ranks is None else ranks.unionByName(side)
-        ends = ends.drop("more")
+        left = derived_lookup(
+            left.table.join(quota, "stratum").select(
+                "stratum", (F.col("n") - F.col("quota")).alias("n")
+            ),
+            max_lookup_rows,
+        ) if label != sides[-1][0] else left
+        ends = ends.drop("quota")
     return tuple(label for label, _, _ in sides), ranks
 
 

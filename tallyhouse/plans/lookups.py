@@ -1,37 +1,60 @@
 """Many-to-one joins that stay even under hot keys.
 
 A lookup has one row per key. It is broadcast only after its row count is known to be
-within a bound. Beyond the bound the lookup is repeated once per salt and the big side is
-spread over the salts, so that one key holding a third of all rows is shared by many tasks.
+within a bound. Beyond the bound both sides are shuffled by key, and the few keys that hold
+a large share of the big side are salted: their lookup row is repeated once per salt.
 """
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.plans.shared import checkpointed
 
 BROADCAST_ROWS = 100_000
-SALTS = 64
+SALTS = 256
+# A key is hot from this share of the rows on, so there are at most 1000 of them.
+HOT_SHARE = 0.001
+TRACKED_KEYS = 8192
+SKETCH_GROUPS = 128
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """A table with one row per key, and whether it is known to fit a broadcast."""
+    """A table with one row per key, and whether it is known to fit a broadcast.
+
+    ``rows`` are the rows of a small derived table, which passed through the driver.
+    """
 
     table: DataFrame
     fits: bool
+    rows: tuple[Row, ...] | None = None
+
+
+def local_table(rows: Sequence[Row | tuple], schema: T.StructType, spark: SparkSession) -> DataFrame:
+    """A few rows as a table held in the plan itself, whose size the optimizer knows."""
+    columns = {
+        f.name: pa.array([row[i] for row in rows]) for i, f in enumerate(schema.fields)
+    }
+    return spark.createDataFrame(pa.table(columns), schema)
 
 
 def derived_lookup(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> Lookup:
     """Compute a derived table once: held as local rows within the bound, else checkpointed."""
-    spark = table.sparkSession
-    rows = table.take(max_rows + 1)
-    if len(rows) <= max_rows:
-        return Lookup(spark.createDataFrame(rows, table.schema), True)
-    return Lookup(checkpointed(table), False)
+    table.persist()
+    try:
+        rows = table.take(max_rows + 1)
+        if len(rows) <= max_rows:
+            local = local_table(rows, table.schema, table.sparkSession)
+            return Lookup(local, True, tuple(rows))
+        return Lookup(checkpointed(table), False)
+    finally:
+        table.unpersist()
 
 
 def stored_lookup(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> Lookup:
@@ -39,6 +62,31 @@ def stored_lookup(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> Lookup:
     return Lookup(table, len(table.select(F.lit(1)).take(max_rows + 1)) <= max_rows)
 
 
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of the keys that hold at least about ``share`` of the rows.
+
+    A frequent-items sketch over the key columns: no key is shuffled. Input partitions are
+    merged into a fixed number of groups, and only the short top list of each group comes to
+    the driver. A miss would cost time, never a wrong result.
+    """
+    item = F.xxhash64(*[F.col(c) for c in on])
+    most = int(1 / share)
+    groups = (
+        df.select(item.alias("k"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
+        .groupBy("g")
+        .agg(
+            F.expr(f"approx_top_k(k, {most}, {max(most, TRACKED_KEYS)})").alias("top"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .collect()
+    )
+    counts = Counter()
+    for group in groups:
+        counts.update({row["item"]: row["count"] for row in group["top"]})
+    total = sum(group["n"] for group in groups)
+    return [key for key, n in counts.most_common(most) if n >= share * total]
+
+
 def join_lookup(
     big: DataFrame,
     lookup: Lookup,
@@ -46,6 +94,7 @@ def join_lookup(
     how: str,
     spread_by: Sequence[str],
     salts: int = SALTS,
+    share: float = HOT_SHARE,
 ) -> DataFrame:
     """Join ``big`` to a lookup with ``how`` in inner, left, left_semi, left_anti.
 
@@ -53,10 +102,22 @@ def join_lookup(
     key at best). The salt is their hash, so a rerun task gives each row the same salt.
     """
     on = list(on)
+    types = [dict(side.dtypes) for side in (big, lookup.table)]
+    if any(types[0][c] != types[1][c] for c in on):
+        raise ValueError(f"The key columns {on} must have the same types on both sides")
     if lookup.fits:
         return big.join(F.broadcast(lookup.table), on, how)
+    hot = hot_keys(big, on, share)
+    if not hot:
+        return big.join(lookup.table, on, how)
+    is_hot = F.xxhash64(*[F.col(c) for c in on]).isin(hot)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(salts)).cast("int")
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     repeated = lookup.table.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        "_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0))))
+    )
+    return (
+        big.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
+        .join(repeated, [*on, "_salt"], how)
+        .drop("_salt")
     )
-    return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -10,7 +10,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.plans.lookups import BROADCAST_ROWS, derived_lookup, join_lookup
+from tallyhouse.plans.lookups import (
+    BROADCAST_ROWS,
+    Lookup,
+    derived_lookup,
+    join_lookup,
+)
 
 DIGITS = 3
 SORTABLE_ROWS = 1_000_000
@@ -71,7 +76,10 @@ def cut_points(
             )
         )
         found = derived_lookup(hit, max_lookup_rows)
-        largest = found.table.agg(F.max("_n")).first()[0]
+        if found.fits:
+            largest = max((row["_n"] for row in found.rows), default=0)
+        else:
+            largest = found.table.agg(F.max("_n")).first()[0]
         if depth >= width:
             # All digits are used: a bucket is a single value.
             return found.table.select(
@@ -80,7 +88,7 @@ def cut_points(
                 F.col("_path").alias("cut"),
                 (F.col("rank") < F.col("_n")).alias("tied"),
             )
-        keys = type(found)(found.table.select(*node).distinct(), found.fits)
+        keys = Lookup(found.table.select(*node).distinct(), found.fits)
         scope = join_lookup(
             rows.withColumn("_path", F.substring(F.col(order), 1, depth)),
             keys,
@@ -88,7 +96,7 @@ def cut_points(
             "left_semi",
             spread_by=[order],
         )
-        if largest is None or largest <= sortable_rows:
+        if largest <= sortable_rows:
             break
         open_ranks = found.table.drop("_n")
         depth = min(depth + digits, width)
