@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.functions.binding import bind
 from tallyhouse.functions.text import ENGLISH_STOP_WORDS, tokens, without_stop_words
 from tallyhouse.plans.lookups import BROADCAST_ROWS, Lookup, derived_lookup, join_lookup, local_table
 from tallyhouse.plans.shared import checkpointed
@@ -210,22 +211,22 @@ def tfidf_array(words: Column, terms: Sequence[str], idf: Sequence[float]) -> Co
     pairs = F.array(
         *[F.struct(F.lit(t).alias("t"), F.lit(float(w)).alias("w")) for t, w in zip(terms, idf)]
     )
+
+    def weigh(kept):
+        return F.transform(
+            pairs, lambda p: F.size(F.filter(kept, lambda word: word == p["t"])) * p["w"]
+        )
+
     kept = F.filter(words, lambda word: word.isin(list(terms)))
-    raw = F.transform(pairs, lambda p: F.size(F.filter(kept, lambda w: w == p["t"])) * p["w"])
-    return _unit_length(raw)
+    return bind(bind(kept, weigh), _unit_length)
 
 
 def _unit_length(raw: Column) -> Column:
     """Divide by the Euclidean norm; an all-zero array stays zero."""
     norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda total, x: total + x * x))
-    # The norm is computed once, as the only element of an outer array.
-    return F.flatten(
-        F.transform(
-            F.array(F.struct(raw.alias("raw"), norm.alias("norm"))),
-            lambda s: F.transform(
-                s["raw"], lambda x: F.when(s["norm"] > 0, x / s["norm"]).otherwise(F.lit(0.0))
-            ),
-        )
+    return bind(
+        norm,
+        lambda n: F.transform(raw, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0))),
     )
 
 

@@ -131,34 +131,59 @@ def load_model(path: str, spec: FeatureSpec | None = None) -> PriceModel:
     return PriceModel(PipelineModel.load(path), spec or FeatureSpec())
 
 
-def fit_forest(
+def fit_forests(
     train: DataFrame,
     seed: int,
-    forest: Mapping[str, object] | None = None,
+    forests: Mapping[str, Mapping[str, object]],
     spec: FeatureSpec | None = None,
     partitions: int | None = None,
-) -> PriceModel:
-    """Fit preprocessing and forest on the training rows.
+) -> dict[str, PriceModel]:
+    """Fit one preprocessing and several named forests on the same training rows.
 
-    ``partitions`` fixes the layout the forest sees; by default it follows the session's
-    shuffle partitions. A forest seed, if given, must equal ``seed``, that of the split.
+    The rows are prepared once and the vectors cached for all fits. ``partitions`` fixes the
+    layout the forests see; by default it follows the session's shuffle partitions. A forest
+    seed, if given, must equal ``seed``, that of the split.
     """
     spec = spec or FeatureSpec()
-    settings = {**DEFAULT_FOREST, **(forest or {})}
-    if settings.setdefault("seed", seed) != seed:
-        raise ValueError("The forest seed must equal the split seed")
     if partitions is None:
         partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    regressor = RandomForestRegressor(
-        featuresCol="features", labelCol=spec.label, predictionCol="prediction", **settings
-    )
-    prepared = preprocessor(spec).fit(train)
-    vectors = assemble(train, prepared, [spec.key, spec.label])
-    grown = regressor.fit(fixed_layout(vectors, spec.key, partitions))
-    # Every setting counts, also the defaults that were not given.
-    effective = {p.name: v for p, v in regressor.extractParamMap().items()}
-    effective["max_terms"] = spec.max_terms
-    return PriceModel(PipelineModel(stages=[prepared, grown]), spec, effective)
+    regressors = {}
+    for name, forest in forests.items():
+        settings = {**DEFAULT_FOREST, **forest}
+        if settings.setdefault("seed", seed) != seed:
+            raise ValueError("The forest seed must equal the split seed")
+        regressors[name] = RandomForestRegressor(
+            featuresCol="features", labelCol=spec.label, predictionCol="prediction", **settings
+        )
+    models = {}
+    rows = train.select(spec.key, spec.label, *spec.columns).persist()
+    try:
+        prepared = preprocessor(spec).fit(rows)
+        vectors = assemble(rows, prepared, [spec.key, spec.label])
+        vectors = fixed_layout(vectors, spec.key, partitions).persist()
+        try:
+            for name, regressor in regressors.items():
+                grown = regressor.fit(vectors)
+                # Every setting counts, also the defaults that were not given.
+                effective = {p.name: v for p, v in regressor.extractParamMap().items()}
+                effective["max_terms"] = spec.max_terms
+                models[name] = PriceModel(PipelineModel(stages=[prepared, grown]), spec, effective)
+        finally:
+            vectors.unpersist()
+    finally:
+        rows.unpersist()
+    return models
+
+
+def fit_forest(
+    train: DataFrame,
+    seed: int,
+    forest: Mapping[str, object] | None = None,
+    spec: FeatureSpec | None = None,
+    partitions: int | None = None,
+) -> PriceModel:
+    """Fit preprocessing and one forest, by default the default one."""
+    return fit_forests(train, seed, {"forest": forest or {}}, spec, partitions)["forest"]
 
 
 def regression_metrics(
@@ -217,24 +242,20 @@ def fit_grid(
 ) -> tuple[dict[str, PriceModel], DataFrame]:
     """Fit several named settings on one fixed partition: models, and (run_id, mae, r2).
 
-    The partitions are cached for the fits, and the scoring of all models is one job.
+    The validation rows are prepared once and scored by all models in the same pass.
     """
     spec = spec or FeatureSpec()
-    columns = [spec.key, spec.label, *spec.columns]
-    train = train.select(*columns).persist()
-    validation = validation.select(*columns).persist()
-    try:
-        models = {
-            name: fit_forest(train, seed, forest, spec, partitions)
-            for name, forest in forests.items()
-        }
-        scored = None
-        for name, model in models.items():
-            part = model.predict(validation, [spec.label]).withColumn("run_id", F.lit(name))
-            scored = part if scored is None else scored.unionByName(part)
-        table = regression_metrics(scored, spec.label, "prediction", ["run_id"])
-        rows = table.collect()
-    finally:
-        train.unpersist()
-        validation.unpersist()
-    return models, train.sparkSession.createDataFrame(rows, "run_id string, mae double, r2 double")
+    models = fit_forests(train, seed, forests, spec, partitions)
+    prepared = next(iter(models.values())).named_steps["preprocessor"]
+    scored = assemble(validation, prepared, [spec.label])
+    for i, model in enumerate(models.values()):
+        forest = model.named_steps["random_forest"].copy()
+        scored = forest.setPredictionCol(f"_p{i}").transform(scored)
+    predictions = F.array(
+        *[
+            F.struct(F.lit(name).alias("run_id"), F.col(f"_p{i}").alias("prediction"))
+            for i, name in enumerate(models)
+        ]
+    )
+    long = scored.select(spec.label, F.inline(predictions))
+    return models, regression_metrics(long, spec.label, "prediction", ["run_id"])

@@ -28,6 +28,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table written once to the shared folder, as a Parquet table that scans can prune."""
+    spark = df.sparkSession
+    folder = new_folder(spark, name)
+    df.write.mode("errorifexists").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint."""
     shared_folder(df.sparkSession)
