@@ -22,6 +22,8 @@ SALTS = 256
 HOT_SHARE = 0.001
 TRACKED_KEYS = 8192
 SKETCH_GROUPS = 128
+# Types whose Python values Arrow reads without help.
+FLAT_TYPES = (T.StringType, T.IntegralType, T.DoubleType, T.BooleanType, T.DateType)
 
 
 @dataclass(frozen=True)
@@ -38,6 +40,8 @@ class Lookup:
 
 def local_table(rows: Sequence[Row | tuple], schema: T.StructType, spark: SparkSession) -> DataFrame:
     """A few rows as a table held in the plan itself, whose size the optimizer knows."""
+    if not all(isinstance(f.dataType, FLAT_TYPES) for f in schema.fields):
+        return spark.createDataFrame(list(rows), schema)
     columns = {
         f.name: pa.array([row[i] for row in rows]) for i, f in enumerate(schema.fields)
     }

@@ -1,6 +1,6 @@
 """All registered queries and their SQL twins."""
 
-from tallyhouse.workload import cleaning, featuring, modelling, splitting  # noqa: F401
+from tallyhouse.workload import cleaning, featuring, modelling, recording, splitting, storing  # noqa: F401
 from tallyhouse.workload.registry import QUERIES, SQL, Query
 from tallyhouse.workload.splitting import flagship
 
