@@ -244,12 +244,18 @@ def profile_columns(
     """One row per column: rows, missing, distinct values, range, mean and deviation.
 
     Columns without a numeric value have a null mean and deviation; range is text. Approximate
-    distinct counts need one pass and no shuffle of values; exact ones shuffle the distinct
-    values of each column.
+    distinct counts need one pass and no shuffle of values. Exact ones read each column once
+    more, by itself, and shuffle its distinct values.
     """
     if distinct not in {"approx", "exact"}:
         raise ValueError("distinct must be approx or exact")
-    count_distinct = F.approx_count_distinct if distinct == "approx" else F.count_distinct
+
+    def distinct_values(c):
+        if distinct == "approx":
+            return F.approx_count_distinct(c)
+        # A subquery per column: several exact counts in one aggregate would multiply the rows.
+        return df.select(c).distinct().agg(F.count(c)).scalar()
+
     numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
     types = dict(df.dtypes)
     aggs, lines = [], []
@@ -257,7 +263,7 @@ def profile_columns(
         is_number = types[c] in numeric or types[c].startswith("decimal")
         aggs += [
             F.count(c).alias(f"n{i}"),
-            count_distinct(c).alias(f"d{i}"),
+            distinct_values(c).alias(f"d{i}"),
             F.min(c).alias(f"lo{i}"),
             F.max(c).alias(f"hi{i}"),
             (F.avg(c) if is_number else F.lit(None).cast("double")).alias(f"m{i}"),

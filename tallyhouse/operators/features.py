@@ -149,53 +149,66 @@ def days_since_latest(
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Kept terms with corpus count and document count, and the number of documents."""
+    """Kept terms with corpus_count and document_count, and the number of documents."""
 
-    terms: DataFrame
+    terms: Lookup
     documents: int
 
 
-def term_counts(df: DataFrame, words: Column) -> DataFrame:
-    """Corpus count and document count per term, in one pass over the text.
+def top_terms(
+    df: DataFrame,
+    text: str,
+    max_features: int,
+    stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
+) -> DataFrame:
+    """The terms with the highest corpus count, equal counts by term: term, corpus_count.
 
-    Within a row the words are sorted, so the first of each run marks the document.
+    Stop words are dropped after the words have become rows, where the test is compiled.
     """
-    ordered = df.select(F.array_sort(words).alias("w")).select(
-        F.explode(
-            F.transform(
-                "w",
-                lambda word, i: F.struct(
-                    word.alias("term"),
-                    ((i == 0) | (F.get("w", i - 1) != word)).alias("first"),
-                ),
-            )
-        ).alias("t")
-    )
-    return ordered.groupBy(F.col("t.term").alias("term")).agg(
-        F.count(F.lit(1)).alias("corpus_count"),
-        F.count_if("t.first").cast("bigint").alias("document_count"),
-    )
-
-
-def top_terms(df: DataFrame, words: Column, max_features: int) -> DataFrame:
-    """The terms with the highest corpus count, equal counts by term."""
     if max_features < 1:
         raise ValueError("max_features must be positive")
+    words = df.select(F.explode(tokens(F.col(text))).alias("term"))
+    if stop_words:
+        words = words.where(~F.col("term").isin(list(stop_words)))
     return (
-        term_counts(df, words)
+        words.groupBy("term")
+        .agg(F.count(F.lit(1)).alias("corpus_count"))
         .orderBy(F.desc("corpus_count"), "term")
         .limit(max_features)
     )
 
 
+def document_counts(
+    df: DataFrame, text: str, terms: Lookup, inline_terms: int = INLINE_TERMS
+) -> DataFrame:
+    """Rows of ``df`` that hold each term: term, document_count. Only these terms are counted."""
+    words = tokens(F.col(text))
+    if terms.rows is not None and len(terms.rows) <= inline_terms:
+        wanted = [row["term"] for row in terms.rows]
+        hits = df.select(F.explode(F.array_intersect(words, F.lit(wanted))).alias("term"))
+    else:
+        once = df.select(
+            F.monotonically_increasing_id().alias("_row"), F.array_distinct(words).alias("_words")
+        ).select("_row", F.explode("_words").alias("term"))
+        hits = join_lookup(
+            once, Lookup(terms.table.select("term"), terms.fits), ["term"], "left_semi", ["_row"]
+        )
+    return hits.groupBy("term").agg(F.count(F.lit(1)).alias("document_count"))
+
+
 def fit_vocabulary(
     df: DataFrame,
     text: str,
     max_features: int,
     stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
+    max_lookup_rows: int = BROADCAST_ROWS,
+    inline_terms: int = INLINE_TERMS,
 ) -> Vocabulary:
-    words = without_stop_words(tokens(F.col(text)), stop_words)
-    return Vocabulary(top_terms(df, words, max_features), df.count())
+    """Choose the terms in one pass over the text, count their documents in a second one."""
+    chosen = derived_lookup(top_terms(df, text, max_features, stop_words), max_lookup_rows)
+    counted = document_counts(df, text, chosen, inline_terms)
+    terms = derived_lookup(chosen.table.join(counted, "term"), max_lookup_rows)
+    return Vocabulary(terms, df.count())
 
 
 def smoothed_idf(documents: int | Column, document_count: Column) -> Column:
@@ -245,12 +258,11 @@ def tfidf(
     so a common word is one row per document at most.
     """
     words = without_stop_words(tokens(F.col(text)), stop_words)
-    weighted = vocabulary.terms.select(
-        "term", smoothed_idf(vocabulary.documents, F.col("document_count")).alias("idf")
-    )
-    head = weighted.take(inline_terms + 1)
-    if len(head) <= inline_terms:
-        head = sorted(head, key=lambda row: row["term"])
+    idf = smoothed_idf(vocabulary.documents, F.col("document_count")).alias("idf")
+    weighted = vocabulary.terms.table.select("term", idf)
+    known = vocabulary.terms.rows
+    if known is not None and len(known) <= inline_terms:
+        head = weighted.orderBy("term").collect()
         terms = [row["term"] for row in head]
         weights = tfidf_array(words, terms, [row["idf"] for row in head])
         return (
@@ -258,7 +270,7 @@ def tfidf(
             .where("weight > 0")
             .select(key, F.element_at(F.lit(terms), F.col("slot") + 1).alias("term"), "weight")
         )
-    lookup = derived_lookup(weighted)
+    lookup = Lookup(weighted, vocabulary.terms.fits)
     counts = (
         df.select(key, F.explode(words).alias("term"))
         .groupBy(key, "term")

@@ -135,7 +135,7 @@ class TermWeights(Estimator, HasInputCol, HasOutputCol, _Saved):
             dataset, self.getInputCol(), self.getOrDefault(self.maxFeatures), stop_words
         )
         rows = (
-            vocabulary.terms.select(
+            vocabulary.terms.table.select(
                 "term",
                 features.smoothed_idf(vocabulary.documents, F.col("document_count")).alias("idf"),
             )

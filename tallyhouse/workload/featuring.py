@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.text import ENGLISH_STOP_WORDS, tokens, without_stop_words
 from tallyhouse.operators import clean, features, model
+from tallyhouse.plans.shared import written
 from tallyhouse.schemas import ZERO_FILLED
 from tallyhouse.workload.cleaning import gapped_customers
 from tallyhouse.workload.registry import query
@@ -144,8 +145,8 @@ vocabulary AS (SELECT term, count(*) AS corpus_count, count(DISTINCT doc_id) AS
 
 @query("vocabulary_topk", f"WITH {WORDS_SQL} SELECT * FROM vocabulary")
 def vocabulary_topk(spark, folder):
-    documents = table(spark, folder, "documents")
-    return features.top_terms(documents, without_stop_words(tokens(F.col("text"))), TERMS)
+    documents = table(spark, folder, "documents").select("text")
+    return features.fit_vocabulary(documents, "text", TERMS).terms.table
 
 
 @query(
@@ -202,7 +203,9 @@ SLOTS = 1 + 5 + 7 + 1 + 5
 )
 def assemble_features(spark, folder):
     """The whole preprocessing of priced listings, one column per vector slot."""
-    priced = clean.price_range(listings(spark, folder), "price", 1_000, 900_000)
+    priced = written(
+        clean.price_range(listings(spark, folder), "price", 1_000, 900_000), "priced"
+    )
     spec = model.FeatureSpec()
     fitted = model.preprocessor(spec).fit(priced)
     vectors = model.assemble(priced, fitted, ["id"])
