@@ -38,7 +38,11 @@ def fingerprint(df: DataFrame) -> str:
 
 
 def file_digests(df: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
-    """Path and SHA-256 of each file, given a table in the shape of the binaryFile source."""
+    """Path and SHA-256 of each file, given a table in the shape of the binaryFile source.
+
+    That source does not list empty files, nor names that begin with ``_`` or ``.``: add their
+    rows (an empty file has the SHA-256 of nothing) where a folder digest has to cover them.
+    """
     return df.select(F.col(path).alias("path"), F.sha2(F.col(content), 256).alias("sha256"))
 
 

@@ -60,11 +60,12 @@ def encode_ordinal(
     df: DataFrame, column: str, codes: Lookup, output: str, spread_by: Sequence[str]
 ) -> DataFrame:
     """Replace a value by its code. A value the fit did not see, or a null, is an error."""
-    joined = join_lookup(df, codes, [column], "left", spread_by)
+    table = codes.table.withColumnRenamed("code", "_code")
+    joined = join_lookup(df, Lookup(table, codes.fits), [column], "left", spread_by)
     unseen = F.raise_error(
         F.concat(F.lit(f"Unknown category in {column}: "), F.coalesce(F.col(column), F.lit("null")))
     ).cast("bigint")
-    return joined.withColumn(output, F.coalesce(F.col("code"), unseen)).drop("code")
+    return joined.withColumn(output, F.coalesce(F.col("_code"), unseen)).drop("_code")
 
 
 def most_frequent(df: DataFrame, column: str) -> Column:
