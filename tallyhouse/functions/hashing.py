@@ -24,4 +24,4 @@ def row_text(columns: Sequence[Column]) -> Column:
 
 def hex_value(digest: Column, start: int, length: int) -> Column:
     """Unsigned integer value of some hex digits (up to 15) of a digest."""
-    return F.conv(F.substring(digest, start, length), 16, 10).cast("decimal(20,0)")
+    return F.conv(F.substring(digest, start, length), 16, 10).cast("bigint")

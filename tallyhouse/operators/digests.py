@@ -9,27 +9,30 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.hashing import hex_value, row_text
 
+PART_BITS = 20
+
 
 def table_fingerprint(
     df: DataFrame, columns: Sequence[str | Column] | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """SHA-256 of row count and two sums of row-hash parts: the order of rows does not matter.
+    """SHA-256 of row count and sums of row-hash parts: the order of rows does not matter.
 
-    One pass and a tiny shuffle. The parts are added as decimals, which do not overflow.
+    One pass and a tiny shuffle. Sixty bits of each row's hash are added up in three parts of
+    twenty, so a plain long holds the sums of more than eight million million rows.
     """
     chosen = [F.col(c) if isinstance(c, str) else c for c in (columns or df.columns)]
-    digest = F.md5(row_text(chosen))
-    sums = df.select(*by, digest.alias("_d")).groupBy(*by).agg(
+    value = hex_value(F.md5(row_text(chosen)), 1, 15)
+    part = F.lit((1 << PART_BITS) - 1)
+    sums = df.select(*by, value.alias("_v")).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[
-            F.coalesce(F.sum(hex_value(F.col("_d"), start, 8)), F.lit(0))
-            .cast("decimal(38,0)")
+            F.coalesce(F.sum(F.shiftright("_v", PART_BITS * i).bitwiseAND(part)), F.lit(0))
             .cast("string")
-            .alias(name)
-            for start, name in ((1, "_high"), (9, "_low"))
+            .alias(f"_part{i}")
+            for i in range(3)
         ],
     )
-    text = F.concat_ws("|", F.col("n_rows").cast("string"), F.col("_high"), F.col("_low"))
+    text = F.concat_ws("|", F.col("n_rows").cast("string"), *[f"_part{i}" for i in range(3)])
     return sums.select(*by, "n_rows", F.sha2(text, 256).alias("fingerprint"))
 
 

@@ -74,13 +74,13 @@ def ingest_sample(
     source = spark.read.parquet(catalog[name])
     source.write.mode("errorifexists").parquet(out)
     copy = spark.read.schema(source.schema).parquet(out)
-    before = table_fingerprint(source).select(
-        F.lit(name).alias("sample"), "n_rows", F.col("fingerprint").alias("source_fingerprint")
+    identity = table_fingerprint(source).select(
+        F.lit(name).alias("sample"),
+        "n_rows",
+        F.col("fingerprint").alias("source_fingerprint"),
+        table_fingerprint(copy).select("fingerprint").scalar().alias("copy_fingerprint"),
     )
-    after = table_fingerprint(copy).select(
-        F.lit(name).alias("sample"), F.col("fingerprint").alias("copy_fingerprint")
-    )
-    return copy, before.join(after, "sample")
+    return copy, identity
 
 
 def create_baseline(df: DataFrame, source_path: str, source_run_id: str, folder: str) -> DataFrame:

@@ -112,9 +112,10 @@ def fingerprint_sql(columns: list[str], source: str, by: str = "") -> str:
     lead = f"{by}, " if by else ""
     return f"""
       SELECT {lead}count(*) AS n_rows, sha256(count(*)::VARCHAR || '|' ||
-             coalesce(sum(concat('0x', substr(d, 1, 8))::BIGINT), 0)::VARCHAR || '|' ||
-             coalesce(sum(concat('0x', substr(d, 9, 8))::BIGINT), 0)::VARCHAR) AS fingerprint
-      FROM (SELECT {lead}md5({parts}) AS d FROM ({source})) {group}
+             coalesce(sum(v & 1048575), 0)::VARCHAR || '|' ||
+             coalesce(sum((v >> 20) & 1048575), 0)::VARCHAR || '|' ||
+             coalesce(sum(v >> 40), 0)::VARCHAR) AS fingerprint
+      FROM (SELECT {lead}concat('0x', substr(md5({parts}), 1, 15))::BIGINT AS v FROM ({source})) {group}
     """
 
 
