@@ -9,9 +9,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallyhouse.plans.lookups import local_table
+from tallyhouse.plans.ranks import cut_points
 from tallyhouse.schemas import KL_LIMIT, ROW_COUNT_BOUNDS
 
+RANKS = T.StructType(
+    [
+        T.StructField("all", T.IntegerType()),
+        T.StructField("label", T.StringType()),
+        T.StructField("rank", T.LongType()),
+    ]
+)
+
 
 def violates(condition: Column) -> Column:
     """True where the condition is false or unknown."""
@@ -295,3 +306,35 @@ def histogram(df: DataFrame, column: str, low: float, width: float) -> DataFrame
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("bin_low", F.lit(float(low)) + F.col("bin") * F.lit(float(width)))
     )
+
+
+def quantiles(
+    df: DataFrame, column: str, fractions: Sequence[float], decimals: int = 2
+) -> DataFrame:
+    """Exact discrete quantiles of a column with a fixed number of decimals: fraction, value.
+
+    The value at rank ``ceil(fraction * n)`` of the sorted column, nulls left out. Found by
+    counting rows per leading digits, so the column is never sorted as a whole nor held in
+    the memory of one task.
+    """
+    if not all(0 <= f <= 1 for f in fractions):
+        raise ValueError("Fractions must lie between zero and one")
+    spark, unit = df.sparkSession, 10**decimals
+    whole = df.where(F.col(column).isNotNull()).select(
+        F.round(F.col(column).cast("double") * unit).cast("bigint").alias("v")
+    )
+    n, low, high = whole.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    ranks = [(0, repr(float(f)), max(1, math.ceil(f * n))) for f in fractions if n]
+    wanted = local_table(
+        ranks, RANKS, spark
+    )
+    width = len(f"{(high or 0) - (low or 0):x}")
+    digits = whole.select(
+        F.lit(0).alias("all"),
+        F.lpad(F.hex(F.col("v") - F.lit(low or 0)), width, "0").alias("digits"),
+    )
+    cuts = cut_points(digits, wanted, ["all"], "digits", width, digits=min(3, width))
+    value = F.conv("cut", 16, 10).cast("bigint") + F.lit(low or 0)
+    return cuts.select(
+        F.col("label").cast("double").alias("fraction"), (value / F.lit(float(unit))).alias("value")
+    )

@@ -19,6 +19,7 @@ from tallyhouse.plans.lookups import (
 
 DIGITS = 3
 SORTABLE_ROWS = 1_000_000
+FILTER_PATHS = 1_000
 
 
 def bucket_counts(
@@ -26,9 +27,9 @@ def bucket_counts(
 ) -> DataFrame:
     """Rows per group and leading digits: at most ``16 ** digits`` rows for each group."""
     return (
-        rows.withColumn("_path", F.lit(""))
-        .groupBy(*group, "_path", F.substring(F.col(order), 1, digits).alias("_bucket"))
+        rows.groupBy(*group, F.substring(F.col(order), 1, digits).alias("_bucket"))
         .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_path", F.lit(""))
     )
 
 
@@ -89,8 +90,12 @@ def cut_points(
                 (F.col("rank") < F.col("_n")).alias("tied"),
             )
         keys = Lookup(found.table.select(*node).distinct(), found.fits)
+        inside = rows.withColumn("_path", F.substring(F.col(order), 1, depth))
+        if found.fits and len(found.rows) <= FILTER_PATHS:
+            # Most rows are in no wanted bucket of any group: a plain filter drops them first.
+            inside = inside.where(F.col("_path").isin({row["_path"] for row in found.rows}))
         scope = join_lookup(
-            rows.withColumn("_path", F.substring(F.col(order), 1, depth)),
+            inside,
             keys,
             node,
             "left_semi",
@@ -103,13 +108,13 @@ def cut_points(
         counts = scope.groupBy(
             *node, F.substring(F.col(order), 1, depth).alias("_bucket")
         ).agg(F.count(F.lit(1)).alias("_n"))
-    inside = Window.partitionBy(*node).orderBy(order)
+    place = Window.partitionBy(*node).orderBy(order)
     return (
         scope.select(
             *node,
             F.col(order).alias("cut"),
-            F.row_number().over(inside).cast("bigint").alias("rank"),
-            F.lead(order).over(inside).alias("_next"),
+            F.row_number().over(place).cast("bigint").alias("rank"),
+            F.lead(order).over(place).alias("_next"),
         )
         .join(F.broadcast(found.table) if found.fits else found.table, [*node, "rank"])
         .select(

@@ -306,3 +306,18 @@ def profile_columns(spark, folder):
 )
 def price_histogram(spark, folder):
     return checks.histogram(table(spark, folder, "lineitem"), "l_extendedprice", 0.0, 5_000.0)
+
+
+@query(
+    "price_quantiles",
+    """
+    SELECT f AS fraction, o_totalprice AS value
+    FROM (SELECT o_totalprice, row_number() OVER (ORDER BY o_totalprice) AS place,
+                 count(*) OVER () AS n FROM orders)
+    JOIN (SELECT unnest([0.0, 0.25, 0.5, 0.75, 0.99, 1.0]::DOUBLE[]) AS f)
+      ON place = greatest(1, ceil(f * n))
+    """,
+)
+def price_quantiles(spark, folder):
+    orders = table(spark, folder, "orders")
+    return checks.quantiles(orders, "o_totalprice", [0.0, 0.25, 0.5, 0.75, 0.99, 1.0])

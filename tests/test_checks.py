@@ -197,3 +197,13 @@ def test_histogram_bins_start_at_low(spark):
     df = spark.createDataFrame([(0.0,), (9.99,), (10.0,), (None,), (-0.1,)], "v double")
     got = sorted(rows_of(checks.histogram(df, "v", 0.0, 10.0)))
     assert got == [(-1, 1, -10.0), (0, 2, 0.0), (1, 1, 10.0)]
+
+
+def test_quantiles_are_exact(spark):
+    values = [-5.25, 0.0, 0.0, 1.5, 2.0, 1000.01, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r["fraction"]: r["value"] for r in checks.quantiles(df, "v", [0, 0.5, 0.51, 1]).collect()}
+    assert got == {0.0: -5.25, 0.5: 0.0, 0.51: 1.5, 1.0: 1000.01}
+    same = spark.createDataFrame([(3.0,)] * 5, "v double")
+    assert rows_of(checks.quantiles(same, "v", [0.5])) == [(0.5, 3.0)]
+    assert rows_of(checks.quantiles(same.limit(0), "v", [0.5])) == []
