@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def order_hash(seed: int, key: str | Column) -> Column:
-    """Seeded pseudo-random order of a key: 32 hex digits, the same on any partitioning."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key) if isinstance(key, str) else key))
+    """Seeded pseudo-random order of a key: 32 hex digits, the same on any partitioning.
+
+    A null key has a null hash.
+    """
+    column = F.col(key) if isinstance(key, str) else key
+    return F.md5(F.concat(F.lit(f"{seed}|"), column.cast("string")))
 
 
 def row_text(columns: Sequence[Column]) -> Column:

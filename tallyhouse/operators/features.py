@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions.binding import bind
-from tallyhouse.functions.text import ENGLISH_STOP_WORDS, tokens, without_stop_words
+from tallyhouse.functions.text import ENGLISH_STOP_WORDS, tokens
 from tallyhouse.plans.lookups import BROADCAST_ROWS, Lookup, derived_lookup, join_lookup, local_table
 from tallyhouse.plans.shared import checkpointed
 
@@ -249,16 +249,16 @@ def tfidf(
     key: str,
     text: str,
     vocabulary: Vocabulary,
-    stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
     inline_terms: int = INLINE_TERMS,
 ) -> DataFrame:
     """Non-zero weights in long form: key, term, weight.
 
+    Stop words need no test here, as the vocabulary holds none.
     A small vocabulary is placed in the expression and nothing is shuffled. A larger one is
     joined to the words of each row; the counts of a row's words are made before the join,
     so a common word is one row per document at most.
     """
-    words = without_stop_words(tokens(F.col(text)), stop_words)
+    words = tokens(F.col(text))
     idf = smoothed_idf(vocabulary.documents, F.col("document_count")).alias("idf")
     weighted = vocabulary.terms.table.select("term", idf)
     known = vocabulary.terms.rows

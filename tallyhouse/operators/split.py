@@ -158,8 +158,13 @@ def fit_split(
     counts = bucket_counts(rows, ["stratum"], "position").persist()
     try:
         sizes = derived_lookup(
-            counts.groupBy("stratum").agg(F.sum("_n").alias("n")), max_lookup_rows
+            counts.groupBy("stratum").agg(
+                F.sum("_n").alias("n"), F.bool_or(F.col("_bucket").isNull()).alias("keyless")
+            ),
+            max_lookup_rows,
         )
+        if _any(sizes, "keyless"):
+            raise ValueError(f"Column {key} has nulls; every row needs a key")
         labels, quotas = _quotas(sizes, test_size, val_size, seed, stratify_by, max_lookup_rows)
         cuts = cut_points(
             rows,
@@ -185,13 +190,15 @@ def fit_split(
     )
 
 
+def _any(lookup: Lookup, flag: str) -> bool:
+    if lookup.rows is not None:
+        return any(row[flag] for row in lookup.rows)
+    return not lookup.table.where(flag).isEmpty()
+
+
 def _one_row_per_stratum(found: Lookup, labels: tuple[str, ...], key: str) -> Lookup:
     """Cuts of all sides of a stratum in one row; refuses a cut between equal keys."""
-    if found.fits:
-        tied = any(row["tied"] for row in found.rows)
-    else:
-        tied = not found.table.where("tied").isEmpty()
-    if tied:
+    if _any(found, "tied"):
         raise ValueError(f"Column {key} is not unique: equal keys lie on a cut")
     if not found.fits:
         sides = [F.max(F.when(F.col("label") == n, F.col("cut"))).alias(f"cut_{n}") for n in labels]

@@ -12,7 +12,7 @@ from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.text import ENGLISH_STOP_WORDS, tokens, without_stop_words
+from tallyhouse.functions.text import ENGLISH_STOP_WORDS, tokens
 from tallyhouse.operators import features
 
 
@@ -149,24 +149,20 @@ class TermWeights(Estimator, HasInputCol, HasOutputCol, _Saved):
             outputCol=self.getOutputCol(),
             terms=[row["term"] for row in rows],
             idf=[row["idf"] for row in rows],
-            stopWords=stop_words,
         )
 
 
 class TermWeightsModel(Model, HasInputCol, HasOutputCol, _Saved):
     terms = Param(Params._dummy(), "terms", "kept terms", TypeConverters.toListString)
     idf = Param(Params._dummy(), "idf", "weights of the terms", TypeConverters.toListFloat)
-    stopWords = Param(Params._dummy(), "stopWords", "words left out", TypeConverters.toListString)
 
     @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None, terms=None, idf=None, stopWords=None):
+    def __init__(self, *, inputCol=None, outputCol=None, terms=None, idf=None):
         super().__init__()
         self._set_given(self._input_kwargs)
 
     def _transform(self, dataset):
-        words = without_stop_words(
-            tokens(F.col(self.getInputCol())), self.getOrDefault(self.stopWords)
-        )
+        words = tokens(F.col(self.getInputCol()))
         weights = features.tfidf_array(
             words, self.getOrDefault(self.terms), self.getOrDefault(self.idf)
         )

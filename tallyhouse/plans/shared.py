@@ -10,16 +10,14 @@ SETTING = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``. Only a local session may go without it."""
-    folder = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if folder is None:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise ValueError(f"Set {SETTING} to a folder that all executors share")
-        folder = context.getCheckpointDir()
-        if folder is None:
-            folder = tempfile.mkdtemp(prefix="tallyhouse-")
-            context.setCheckpointDir(folder)
-            folder = context.getCheckpointDir()
+        folder = tempfile.mkdtemp(prefix="tallyhouse-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 

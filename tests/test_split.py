@@ -129,6 +129,13 @@ def test_bad_strata_are_refused(spark, forty):
         fit_split(forty.limit(1), "id", 0.5, 42)
 
 
+@pytest.mark.parametrize("max_lookup_rows", [100, 1])
+def test_null_keys_are_refused(forty, max_lookup_rows):
+    gaps = forty.withColumn("id", F.expr("nullif(id, 7)"))
+    with pytest.raises(ValueError, match="needs a key"):
+        fit_split(gaps, "id", 0.25, 42, "group", max_lookup_rows=max_lookup_rows)
+
+
 def test_repeated_keys_on_a_cut_are_refused(spark, forty):
     same = forty.withColumn("id", F.lit(1))
     with pytest.raises(ValueError, match="not unique"):
