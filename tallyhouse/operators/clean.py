@@ -1,5 +1,6 @@
 """Row filters and projections."""
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,10 +19,22 @@ def price_range(df: DataFrame, column: str, low: float, high: float) -> DataFram
 
 
 def parse_date(column: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that fits; a text that fits none becomes null."""
-    return F.coalesce(
-        *[F.to_date(F.try_to_timestamp(F.trim(column), F.lit(fmt))) for fmt in formats]
-    )
+    """First format that fits; a text that fits none becomes null.
+
+    Formats made of digits only are tried just on texts of their shape: a failed parse costs
+    an exception, and a column of junk would raise one per row and format.
+    """
+    text = F.trim(column)
+    return F.coalesce(*[_parse(text, fmt) for fmt in formats])
+
+
+def _parse(text: Column, fmt: str) -> Column:
+    day = F.to_date(F.try_to_timestamp(text, F.lit(fmt)))
+    letters = set(re.findall("[A-Za-z]", fmt))
+    if not letters <= set("yMdHms") or "'" in fmt or "MMM" in fmt or "[" in fmt:
+        return day
+    shape = "".join(r"\d" if c.isalpha() else re.escape(c) for c in fmt)
+    return F.when(text.rlike(f"^{shape}$"), day)
 
 
 def clean_dates(

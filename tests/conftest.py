@@ -10,7 +10,7 @@ MEDIUM = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, 8)
+    session = local_session(8, 4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -29,6 +29,14 @@ def test_dates_in_several_formats(spark):
     assert column(clean.clean_dates(df, ["d"]), "d") == [day] * 5 + [None] * 4
 
 
+def test_formats_with_names_are_tried_as_they_are(spark):
+    texts = ["8 Jul 2019", "08 Jul 2019", "2019-07-08", "July"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, d string")
+    day = datetime.date(2019, 7, 8)
+    got = clean.clean_dates(df, ["d"], ["d MMM yyyy", "yyyy-MM-dd"])
+    assert column(got, "d") == [day, day, day, None]
+
+
 def test_timestamps_lose_the_time(spark):
     df = spark.sql("select 1 as i, timestamp_ntz'2020-02-03 04:05:06' as d")
     assert column(clean.clean_dates(df, ["d"]), "d") == [datetime.date(2020, 2, 3)]
