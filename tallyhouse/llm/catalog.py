@@ -1,6 +1,15 @@
 """All registered corpus queries and their SQL twins."""
 
-from tallyhouse.llm import language_id  # noqa: F401
+from tallyhouse.llm import (  # noqa: F401
+    decontamination,
+    fingerprints,
+    language_id,
+    mixing,
+    secret_scan,
+    simhash_dedup,
+    toxicity,
+    url_filter,
+)
 from tallyhouse.llm.registry import QUERIES, SQL, Query
 
 
