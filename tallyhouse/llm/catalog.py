@@ -4,6 +4,7 @@ from tallyhouse.llm import (  # noqa: F401
     decontamination,
     fingerprints,
     language_id,
+    license_scan,
     mixing,
     secret_scan,
     simhash_dedup,
