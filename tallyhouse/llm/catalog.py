@@ -8,6 +8,7 @@ from tallyhouse.llm import (  # noqa: F401
     mixing,
     secret_scan,
     simhash_dedup,
+    substring_dedup,
     toxicity,
     url_filter,
 )
