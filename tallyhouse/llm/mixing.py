@@ -80,7 +80,11 @@ def _permuted(seed: int, *columns: str) -> Column:
 
 
 def _choose(rows: pd.DataFrame) -> pd.DataFrame:
-    """Copies of each block of one source: whole passes, then blocks that fill the rest."""
+    """Copies of each block of one source: whole passes, then blocks that fill the rest.
+
+    Blocks are taken in random order as long as they fit, then exchanged. At most ``BLOCKS``
+    rows are compared with each other.
+    """
     rows = rows.sort_values(["_order", "block"])
     size, target = rows["source_size"].iloc[0], rows["target"].iloc[0]
     passes = int(target // size)
@@ -92,11 +96,19 @@ def _choose(rows: pd.DataFrame) -> pd.DataFrame:
             if n <= left:
                 extra[i] = 1
                 left -= n
-        # One more block if that comes nearer than stopping short.
-        rest = np.where(extra == 0, words, np.iinfo(np.int64).max)
-        least = int(rest.argmin())
-        if extra[least] == 0 and rest[least] - left < left:
-            extra[least] = 1
+        # Take one more, leave one out or exchange two while that comes nearer.
+        while left != 0:
+            out, in_ = np.flatnonzero(extra == 0), np.flatnonzero(extra == 1)
+            more = np.concatenate(([0], words[out]))[:, None] - np.concatenate(([0], words[in_]))
+            plus, minus = np.unravel_index(np.abs(left - more).argmin(), more.shape)
+            change = more[plus, minus]
+            if abs(left - change) >= abs(left):
+                break
+            left -= change
+            if plus:
+                extra[out[plus - 1]] = 1
+            if minus:
+                extra[in_[minus - 1]] = 0
     return rows.assign(copies=passes + extra)[["key", "block", "copies"]]
 
 
@@ -187,14 +199,15 @@ def draw(docs: DataFrame, units: DataFrame, seed: int = SEED) -> DataFrame:
     sorted by it within each partition. Columns named like the three are replaced.
     """
     docs = docs.drop("shard", "copy", "place")
-    keyed = docs.withColumn("key", source_key(F.col("source"))).withColumn(
-        "block", block_of(F.col("doc_id"), F.col("source"), seed)
+    keyed = docs.withColumn("_mix_key", source_key(F.col("source"))).withColumn(
+        "_mix_block", block_of(F.col("doc_id"), F.col("source"), seed)
     )
-    lookup = stored_lookup(units)
+    dealt = units.withColumnsRenamed({"key": "_mix_key", "block": "_mix_block"})
+    lookup = stored_lookup(dealt)
     place = F.xxhash64(F.lit(seed), "shard", "doc_id", "copy")
     return (
-        keyed.join(F.broadcast(units) if lookup.fits else units, ["key", "block"])
-        .drop("key", "block")
+        keyed.join(F.broadcast(dealt) if lookup.fits else dealt, ["_mix_key", "_mix_block"])
+        .drop("_mix_key", "_mix_block")
         .withColumn("place", place)
         .sortWithinPartitions("shard", "place")
     )

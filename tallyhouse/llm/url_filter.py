@@ -125,13 +125,15 @@ def judge(
     added = {"host", "path", "rule", "verdict"}
     kept = [c for c in pages.columns if c not in added]
     parts = (
-        pages.withColumn("_host", host_of(F.col(url)))
-        .withColumn("_path", path_of(F.col(url)))
+        # One struct keeps the columns of the pages apart from those made here.
+        pages.select(F.struct(*kept).alias("_page"), F.col(url).alias("_url"))
+        .withColumn("_host", host_of(F.col("_url")))
+        .withColumn("_path", path_of(F.col("_url")))
         .withColumn("_tokens", tokens_of(F.col("_host"), F.col("_path")))
     )
     if not rules:
         return parts.select(
-            *kept, F.col("_host").alias("host"), F.col("_path").alias("path"),
+            "_page.*", F.col("_host").alias("host"), F.col("_path").alias("path"),
             F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"),
         )
     rarest = rarest_tokens(parts, rules)
@@ -147,7 +149,7 @@ def judge(
     # The id only has to tell rows of one run apart; it is made and used within one plan.
     tried = (
         parts.withColumn("_row", F.monotonically_increasing_id())
-        .select("_row", "_host", "_path", *kept, F.explode_outer(fetched).alias("_token"))
+        .select("_row", "_host", "_path", "_page", F.explode_outer(fetched).alias("_token"))
         .join(index, "_token", "left")
     )
     fits = F.rlike(F.concat("_host", "_path"), F.col("_pattern"))
@@ -155,9 +157,9 @@ def judge(
     best = F.min(F.when(fits, F.struct((-F.col("_rank")).alias("r"), "_name", "_verdict")))
     return (
         tried.groupBy("_row")
-        .agg(*[F.first(c).alias(c) for c in ["_host", "_path", *kept]], best.alias("_best"))
+        .agg(*[F.first(c).alias(c) for c in ("_host", "_path", "_page")], best.alias("_best"))
         .select(
-            *kept,
+            "_page.*",
             F.col("_host").alias("host"),
             F.col("_path").alias("path"),
             F.col("_best._name").alias("rule"),
