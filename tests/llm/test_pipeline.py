@@ -1,11 +1,11 @@
-import corpus_pipeline as pipeline
+import pytest
+
 import __spark_entry__ as spark_entry
+import corpus_pipeline as pipeline
 from tallyhouse.llm import catalog, language_id, mixing, secret_scan, simhash_dedup
 from tests.llm import cases
 from tests.llm.test_simhash_dedup import brute_fingerprint, brute_groups
 
-import pytest
-
 
 def by_stage(spark, docs, folder):
     out = [docs]
@@ -48,12 +48,14 @@ def test_stages_on_given_documents(spark, small):
         assert secret_scan.find(r.text)[0] == []
         assert r.n_chars == len(r.text)
     sizes = mixing.sized(safe)
+    largest = {"=" + r.source: r.n for r in sizes.groupBy("source").agg({"size": "max"}).toDF("source", "n").collect()}
     targets = {r.key: r.target for r in mixing.targets(sizes).collect()}
     taken = {}
     for r in mixed.collect():
         taken["=" + r.source] = taken.get("=" + r.source, 0) + len(r.text.encode().split())
     for key, target in targets.items():
-        assert abs(taken.get(key, 0) - target) <= 0.1 * target + 50
+        # Whole documents are taken, and some sources have but a few.
+        assert abs(taken.get(key, 0) - target) <= 0.02 * target + largest[key] / 2
     assert pipeline.run(spark, small).count() == mixed.count()
 
 
