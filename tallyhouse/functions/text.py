@@ -1,5 +1,6 @@
 """Text expressions: word tokens and stop words."""
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -34,13 +35,19 @@ def tokens(text: Column) -> Column:
     )
 
 
+def stop_tokens(stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> list[str]:
+    """The tokens of the stop words: ``isn't`` comes out of a text as ``isn``."""
+    found = (token for word in stop_words for token in re.findall(r"\w{2,}", word.lower()))
+    return list(dict.fromkeys(found))
+
+
 def without_stop_words(
     words: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS
 ) -> Column:
-    """Drop stop words; order and repeats of the other words are kept.
+    """Drop the tokens of stop words; order and repeats of the other words are kept.
 
     ``isin`` with a long list compiles to a hash-set probe, so the cost per word does not
     depend on the list.
     """
-    stop = list(stop_words)
+    stop = stop_tokens(stop_words)
     return F.filter(words, lambda word: ~word.isin(stop)) if stop else words

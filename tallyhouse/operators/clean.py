@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 
 from tallyhouse.schemas import LATITUDE_BOX, LONGITUDE_BOX
 
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "dd.MM.yyyy", "yyyy-MM-dd HH:mm:ss")
+# Single letters stand for one or two digits.
+DATE_FORMATS = (
+    "yyyy-M-d", "yyyy/M/d", "M/d/yyyy", "d.M.yyyy", "yyyyMMdd",
+    "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy",
+)
+# A time of day after the date, with or without fractions and zone.
+TIME_OF_DAY = r"[T ]\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?\s*(Z|UTC|[+-]\d{2}:?\d{2})?$"
 
 
 def price_range(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
@@ -21,20 +27,30 @@ def price_range(df: DataFrame, column: str, low: float, high: float) -> DataFram
 def parse_date(column: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """First format that fits; a text that fits none becomes null.
 
-    Formats made of digits only are tried just on texts of their shape: a failed parse costs
-    an exception, and a column of junk would raise one per row and format.
+    A time of day after the date is left out, unless a format has one. Formats are tried
+    just on texts of their shape: a failed parse costs an exception, and a column of junk
+    would raise one per row and format.
     """
     text = F.trim(column)
-    return F.coalesce(*[_parse(text, fmt) for fmt in formats])
+    day = F.regexp_replace(text, TIME_OF_DAY, "")
+    return F.coalesce(*[_parse(text if "H" in fmt else day, fmt) for fmt in formats])
 
 
 def _parse(text: Column, fmt: str) -> Column:
     day = F.to_date(F.try_to_timestamp(text, F.lit(fmt)))
-    letters = set(re.findall("[A-Za-z]", fmt))
-    if not letters <= set("yMdHms") or "'" in fmt or "MMM" in fmt or "[" in fmt:
+    if not set(re.findall("[A-Za-z]", fmt)) <= set("yMdHms") or "'" in fmt or "[" in fmt:
         return day
-    shape = "".join(r"\d" if c.isalpha() else re.escape(c) for c in fmt)
-    return F.when(text.rlike(f"^{shape}$"), day)
+
+    def shape(run: re.Match) -> str:
+        letters = run.group()
+        if not letters[0].isalpha():
+            return re.escape(letters)
+        if letters.startswith("MMM"):
+            return r"[A-Za-z]{3}" if letters == "MMM" else r"[A-Za-z]{3,9}"
+        return r"\d{1,2}" if len(letters) == 1 else rf"\d{{{len(letters)}}}"
+
+    pattern = re.sub(r"([A-Za-z])\1*|[^A-Za-z]", shape, fmt)
+    return F.when(text.rlike(f"^{pattern}$"), day)
 
 
 def clean_dates(
@@ -50,6 +66,23 @@ def clean_dates(
     )
 
 
+def lost_dates(
+    df: DataFrame, columns: Sequence[str], formats: Sequence[str] = DATE_FORMATS
+) -> DataFrame:
+    """One row per text column: how many texts it has, and how many ``clean_dates`` loses."""
+    counts = []
+    for c in columns:
+        has_text = F.coalesce(F.trim(F.col(c)) != "", F.lit(False))
+        counts.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.count_if(has_text).alias("texts"),
+                F.count_if(has_text & parse_date(F.col(c), formats).isNull()).alias("lost"),
+            )
+        )
+    return df.agg(F.array(*counts).alias("_c")).select(F.inline("_c"))
+
+
 def bounding_box(
     df: DataFrame,
     longitude: str,

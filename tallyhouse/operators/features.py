@@ -8,14 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions.binding import bind
-from tallyhouse.functions.text import ENGLISH_STOP_WORDS, tokens
+from tallyhouse.functions.text import ENGLISH_STOP_WORDS, stop_tokens, tokens
 from tallyhouse.plans.lookups import BROADCAST_ROWS, Lookup, derived_lookup, join_lookup, local_table
 from tallyhouse.plans.shared import checkpointed
 
 OLD_DATE = "2010-01-01"
-# Up to this many vocabulary terms the weights are computed inside the row.
-INLINE_TERMS = 256
-MAX_ONE_HOT = 1_000
 
 
 # --- categories -----------------------------------------------------------------------
@@ -90,6 +87,12 @@ def impute_mode(df: DataFrame, column: str, fitted_on: DataFrame | None = None)
     return df.withColumn(column, F.coalesce(F.col(column), value))
 
 
+def fit_categories(df: DataFrame, column: str) -> list[str]:
+    """The distinct values in sorted order, nulls left out, for ``encode_one_hot``."""
+    values = df.where(F.col(column).isNotNull()).select(column).distinct()
+    return sorted(row[0] for row in values.collect())
+
+
 def encode_one_hot(
     df: DataFrame, column: str, categories: Sequence[str], prefix: str
 ) -> DataFrame:
@@ -98,8 +101,6 @@ def encode_one_hot(
     For more categories than columns make sense, use the vector stages of ``stages``.
     """
     categories = list(categories)
-    if len(categories) > MAX_ONE_HOT:
-        raise ValueError(f"{len(categories)} columns are too many; use the sparse vector stage")
     value = F.col(column)
     known = F.coalesce(value.isin(categories), F.lit(False))
     unseen = F.raise_error(
@@ -156,60 +157,40 @@ class Vocabulary:
     documents: int
 
 
-def top_terms(
+def fit_vocabulary(
     df: DataFrame,
     text: str,
     max_features: int,
     stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
-) -> DataFrame:
-    """The terms with the highest corpus count, equal counts by term: term, corpus_count.
+    max_lookup_rows: int = BROADCAST_ROWS,
+) -> Vocabulary:
+    """The terms with the highest corpus count, equal counts by term.
 
-    Stop words are dropped after the words have become rows, where the test is compiled.
+    One pass over the text: every word of a row counts for the corpus, and its distinct words
+    once more for the documents. Stop words are dropped after the words have become rows,
+    where the test is compiled; counts are added up before the shuffle.
     """
     if max_features < 1:
         raise ValueError("max_features must be positive")
-    words = df.select(F.explode(tokens(F.col(text))).alias("term"))
-    if stop_words:
-        words = words.where(~F.col("term").isin(list(stop_words)))
-    return (
+
+    def marked(words, mark):
+        return F.transform(words, lambda w: F.struct(w.alias("term"), F.lit(mark).alias("once")))
+
+    both = bind(
+        tokens(F.col(text)),
+        lambda words: F.concat(marked(words, False), marked(F.array_distinct(words), True)),
+    )
+    words = df.select(F.inline(both))
+    stop = stop_tokens(stop_words)
+    if stop:
+        words = words.where(~F.col("term").isin(stop))
+    counted = (
         words.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("corpus_count"))
+        .agg(F.count_if(~F.col("once")).alias("corpus_count"), F.count_if("once").alias("document_count"))
         .orderBy(F.desc("corpus_count"), "term")
         .limit(max_features)
     )
-
-
-def document_counts(
-    df: DataFrame, text: str, terms: Lookup, inline_terms: int = INLINE_TERMS
-) -> DataFrame:
-    """Rows of ``df`` that hold each term: term, document_count. Only these terms are counted."""
-    words = tokens(F.col(text))
-    if terms.rows is not None and len(terms.rows) <= inline_terms:
-        wanted = [row["term"] for row in terms.rows]
-        hits = df.select(F.explode(F.array_intersect(words, F.lit(wanted))).alias("term"))
-    else:
-        once = df.select(
-            F.monotonically_increasing_id().alias("_row"), F.array_distinct(words).alias("_words")
-        ).select("_row", F.explode("_words").alias("term"))
-        hits = join_lookup(
-            once, Lookup(terms.table.select("term"), terms.fits), ["term"], "left_semi", ["_row"]
-        )
-    return hits.groupBy("term").agg(F.count(F.lit(1)).alias("document_count"))
-
-
-def fit_vocabulary(
-    df: DataFrame,
-    text: str,
-    max_features: int,
-    stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
-    max_lookup_rows: int = BROADCAST_ROWS,
-    inline_terms: int = INLINE_TERMS,
-) -> Vocabulary:
-    """Choose the terms in one pass over the text, count their documents in a second one."""
-    chosen = derived_lookup(top_terms(df, text, max_features, stop_words), max_lookup_rows)
-    counted = document_counts(df, text, chosen, inline_terms)
-    terms = derived_lookup(chosen.table.join(counted, "term"), max_lookup_rows)
-    return Vocabulary(terms, df.count())
+    return Vocabulary(derived_lookup(counted, max_lookup_rows), df.count())
 
 
 def smoothed_idf(documents: int | Column, document_count: Column) -> Column:
@@ -218,68 +199,23 @@ def smoothed_idf(documents: int | Column, document_count: Column) -> Column:
     return F.log((F.lit(1.0) + n) / (F.lit(1.0) + document_count)) + F.lit(1.0)
 
 
-def tfidf_array(words: Column, terms: Sequence[str], idf: Sequence[float]) -> Column:
-    """Unit-length TF-IDF weights of a few terms, in their order, inside the row."""
-    if not terms:
-        return F.array().cast("array<double>")
-    pairs = F.array(
-        *[F.struct(F.lit(t).alias("t"), F.lit(float(w)).alias("w")) for t, w in zip(terms, idf)]
-    )
-
-    def weigh(kept):
-        return F.transform(
-            pairs, lambda p: F.size(F.filter(kept, lambda word: word == p["t"])) * p["w"]
-        )
-
-    kept = F.filter(words, lambda word: word.isin(list(terms)))
-    return bind(bind(kept, weigh), _unit_length)
-
+def tfidf(df: DataFrame, key: str, text: str, vocabulary: Vocabulary) -> DataFrame:
+    """Non-zero weights in long form: key, term, weight. Every row has unit length.
 
-def _unit_length(raw: Column) -> Column:
-    """Divide by the Euclidean norm; an all-zero array stays zero."""
-    norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda total, x: total + x * x))
-    return bind(
-        norm,
-        lambda n: F.transform(raw, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0))),
-    )
-
-
-def tfidf(
-    df: DataFrame,
-    key: str,
-    text: str,
-    vocabulary: Vocabulary,
-    inline_terms: int = INLINE_TERMS,
-) -> DataFrame:
-    """Non-zero weights in long form: key, term, weight.
-
-    Stop words need no test here, as the vocabulary holds none.
-    A small vocabulary is placed in the expression and nothing is shuffled. A larger one is
-    joined to the words of each row; the counts of a row's words are made before the join,
-    so a common word is one row per document at most.
+    Rows are weighed one by one, so rows that share a key, or have none, stay apart. Stop
+    words need no test here, as the vocabulary holds none. Words are joined to the
+    vocabulary, which drops all others, and counted before anything is shuffled as long as
+    the vocabulary can be broadcast.
     """
-    words = tokens(F.col(text))
     idf = smoothed_idf(vocabulary.documents, F.col("document_count")).alias("idf")
-    weighted = vocabulary.terms.table.select("term", idf)
-    known = vocabulary.terms.rows
-    if known is not None and len(known) <= inline_terms:
-        head = weighted.orderBy("term").collect()
-        terms = [row["term"] for row in head]
-        weights = tfidf_array(words, terms, [row["idf"] for row in head])
-        return (
-            df.select(key, F.posexplode(weights).alias("slot", "weight"))
-            .where("weight > 0")
-            .select(key, F.element_at(F.lit(terms), F.col("slot") + 1).alias("term"), "weight")
-        )
-    lookup = Lookup(weighted, vocabulary.terms.fits)
-    counts = (
-        df.select(key, F.explode(words).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    raw = join_lookup(counts, lookup, ["term"], "inner", spread_by=[key]).select(
-        key, "term", (F.col("tf") * F.col("idf")).alias("raw")
+    lookup = Lookup(vocabulary.terms.table.select("term", idf), vocabulary.terms.fits)
+    # The number only tells rows of one run apart; it has to be there before words become rows.
+    numbered = df.select(F.monotonically_increasing_id().alias("_row"), key, text)
+    words = numbered.select("_row", key, F.explode(tokens(F.col(text))).alias("term"))
+    raw = (
+        join_lookup(words, lookup, ["term"], "inner", spread_by=["_row"])
+        .groupBy("_row", key, "term")
+        .agg((F.count(F.lit(1)) * F.first("idf")).alias("raw"))
     )
-    # One row per key and vocabulary term: the norm is a plain sum by key.
-    norms = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norms, key).select(key, "term", (F.col("raw") / F.col("norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("_row")))
+    return raw.withColumn("weight", F.col("raw") / norm).select(key, "term", "weight")

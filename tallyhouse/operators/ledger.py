@@ -9,7 +9,7 @@ Shapes used below, all produced by ``sources.records``:
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.plans.lookups import (
@@ -22,6 +22,7 @@ from tallyhouse.plans.shared import checkpointed
 from tallyhouse.schemas import CHECKS, TRAINING_STAGES
 
 RUNNING, COMPLETED, FAILED = "running", "completed", "failed"
+TRAINING_RECORDS = ("parameters", "split_id", "trainval_sha256")
 
 
 def _same(pairs: Mapping[str, str]) -> Column:
@@ -35,17 +36,28 @@ def _same(pairs: Mapping[str, str]) -> Column:
 # --- ranking and selection (T1-T3) ----------------------------------------------------
 
 
+def _usable(error: str) -> Column:
+    """An error that is there, finite and not negative."""
+    c = F.col(error)
+    return F.coalesce(~F.isnan(c) & (c >= 0) & (c < float("inf")), F.lit(False))
+
+
 def rank_candidates(df: DataFrame, error: str = "mae", run: str = "run_id") -> DataFrame:
     """Sorted by error, then run, with the best one marked.
 
+    Runs whose error is missing, not finite or negative come last and are never the best.
     The best is a scalar subquery over partial minima; the sort is a distributed range sort.
     """
-    best = df.agg(F.min(F.struct(error, run))).scalar()
-    return df.withColumn("is_best", F.struct(error, run) == best).orderBy(error, run)
+    usable, place = _usable(error), F.struct(error, run)
+    best = df.agg(F.min(F.when(usable, place))).scalar()
+    return df.withColumn("is_best", F.coalesce(usable & (place == best), F.lit(False))).orderBy(
+        ~usable, F.asc_nulls_last(error), run
+    )
 
 
 def select_best(df: DataFrame, error: str = "mae", run: str = "run_id") -> DataFrame:
-    return df.orderBy(error, run).limit(1)
+    """The run with the lowest usable error; none if no run has one."""
+    return df.where(_usable(error)).orderBy(error, run).limit(1)
 
 
 def comparable_runs(
@@ -59,18 +71,21 @@ def comparable_runs(
     """Per comparison: distinct runs, settings, configurations, and whether it is allowed.
 
     Needs at least ``least`` runs, none repeated, one shared setting, and ``least`` different
-    configurations. Distinct counts are reduced before they are gathered per comparison.
+    configurations. Equal rows are added up first, so that only different ones are multiplied
+    by the distinct counts.
     """
+    # JSON keeps nulls inside a setting visible; a bare distinct count skips such rows.
+    setting = F.to_json(F.struct(*settings), {"ignoreNullFields": "false"})
+    different = df.groupBy(
+        *by, F.col(run).alias("_run"), setting.alias("_setting"), F.col(configuration).alias("_configuration")
+    ).agg(F.count(F.lit(1)).alias("_n"))
     return (
-        df.groupBy(*by)
+        different.groupBy(*by)
         .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count_distinct(run).alias("n_runs"),
-            # JSON keeps nulls inside a setting visible; a bare distinct count skips such rows.
-            F.count_distinct(F.to_json(F.struct(*settings), {"ignoreNullFields": "false"})).alias(
-                "n_settings"
-            ),
-            F.count_distinct(configuration).alias("n_configurations"),
+            F.sum("_n").alias("n_rows"),
+            F.count_distinct("_run").alias("n_runs"),
+            F.count_distinct("_setting").alias("n_settings"),
+            F.count_distinct("_configuration").alias("n_configurations"),
         )
         .withColumn(
             "comparable",
@@ -89,25 +104,29 @@ def eligible_candidates(
     stage: str = "train_random_forest",
     outputs: Sequence[str] = ("model", "parameters", "metrics", "feature_importance"),
 ) -> DataFrame:
-    """Runs that are completed, whose training is completed with all outputs, and whose
-    metrics file says what the run record says.
+    """Runs that are completed, whose training is completed with all outputs, whose files say
+    what the run record says, and whose metrics are finite.
 
     ``runs`` has run_id and status; ``stages`` has run_id, stage, status, output_names and the
-    recorded mae and r2; ``metrics`` has run_id, mae and r2 as read from the files.
+    recorded mae and r2; ``metrics`` has run_id, mae and r2 as read from the files. Of
+    parameters, split_id and trainval_sha256, those that both have are compared as well.
     """
+    compared = ["mae", "r2"] + [
+        c for c in TRAINING_RECORDS if c in stages.columns and c in metrics.columns
+    ]
     trained = stages.where(
         (F.col("stage") == stage)
         & (F.col("status") == COMPLETED)
         & (F.size(F.array_except(F.array(*map(F.lit, outputs)), "output_names")) == 0)
-    ).select("run_id", "mae", "r2")
-    stored = metrics.select(
-        "run_id", F.col("mae").alias("file_mae"), F.col("r2").alias("file_r2")
-    )
+    ).select("run_id", *compared)
+    stored = metrics.select("run_id", *[F.col(c).alias(f"file_{c}") for c in compared])
+    r2 = F.col("r2")
     return (
         runs.where(F.col("status") == COMPLETED)
         .join(trained, "run_id")
         .join(stored, "run_id")
-        .where(_same({"mae": "file_mae", "r2": "file_r2"}))
+        .where(_same({c: f"file_{c}" for c in compared}))
+        .where(_usable("mae") & ~F.isnan(r2) & (F.abs(r2) < float("inf")))
         .select("run_id", "mae", "r2")
     )
 
@@ -196,23 +215,34 @@ def reconcile_comparison(comparison: DataFrame, evidence: DataFrame) -> DataFram
 
 
 def reconcile_evaluation(evaluations: DataFrame, selections: DataFrame) -> DataFrame:
-    """Every evaluation with a verdict against the selected model it names.
+    """Every completed evaluation with a verdict against the selected model it names.
 
     Verdicts: accepted, unselected (its model was not selected), mismatch (another split,
-    test set or model path), bad metrics.
+    test set or model path; also another test path or selection digest where both tables have
+    ``test_path`` or ``selection_sha256``), bad metrics. A selection that no completed
+    evaluation names is a row without ``run_id`` and ``missing``. Evaluations with a
+    ``status`` other than completed do not count.
     """
-    chosen = selections.select(
-        F.col("run_id").alias("model_run_id"),
-        F.col("split_id").alias("_split_id"),
-        F.col("test_sha256").alias("_test_sha256"),
-        F.col("model_path").alias("_model_path"),
-        F.lit(True).alias("_found"),
-    )
-    joined = join_lookup(
-        evaluations, stored_lookup(chosen), ["model_run_id"], "left", spread_by=["run_id"]
+    compared = ["split_id", "test_sha256", "model_path"] + [
+        c for c in ("test_path", "selection_sha256") if c in selections.columns and c in evaluations.columns
+    ]
+    if "status" in evaluations.columns:
+        evaluations = evaluations.where(F.col("status") == COMPLETED)
+    chosen = derived_lookup(
+        selections.select(
+            F.col("run_id").alias("model_run_id"),
+            *[F.col(c).alias(f"_{c}") for c in compared],
+            F.lit(True).alias("_found"),
+        )
     )
-    same = _same(
-        {"split_id": "_split_id", "test_sha256": "_test_sha256", "model_path": "_model_path"}
+    joined = join_lookup(evaluations, chosen, ["model_run_id"], "left", spread_by=["run_id"])
+    same = _same({c: f"_{c}" for c in compared})
+    named = evaluations.select("model_run_id").distinct()
+    unnamed = chosen.table.select("model_run_id").join(named, "model_run_id", "left_anti")
+    missing = unnamed.select(
+        F.lit(None).cast(evaluations.schema["run_id"].dataType).alias("run_id"),
+        "model_run_id",
+        F.lit("missing").alias("verdict"),
     )
     finite = F.lit(True)
     for name in ("mae", "r2"):
@@ -226,7 +256,7 @@ def reconcile_evaluation(evaluations: DataFrame, selections: DataFrame) -> DataF
         .when(~(finite & (F.col("mae") >= 0)), "bad metrics")
         .otherwise("accepted")
         .alias("verdict"),
-    )
+    ).unionByName(missing)
 
 
 def reconcile_split(
@@ -234,23 +264,31 @@ def reconcile_split(
     outputs: DataFrame,
     trainings: DataFrame,
     configured: Column,
+    identity: Column | None = None,
 ) -> DataFrame:
     """Problems of each split, none for a sound one.
 
     ``splits``: split_id, run_id (its producer), source_run_id, source_sha256, trainval_sha256,
-    test_size, random_seed, stratify_by. ``outputs``: completed outputs of all runs as run_id,
-    stage, name, sha256. ``trainings``: split_id, trainval_sha256, one row per training.
-    ``configured``: a struct of test_size, random_seed and stratify_by to compare with.
+    test_sha256, test_size, random_seed, stratify_by. ``outputs``: completed outputs of all
+    runs as run_id, stage, name, sha256. ``trainings``: split_id, trainval_sha256, one row per
+    training. ``configured``: a struct of test_size, random_seed and stratify_by to compare
+    with. ``identity``: the split id as it follows from source and parameters.
     """
-    produced = outputs.where((F.col("stage") == "data_split") & (F.col("name") == "trainval"))
+    made = F.col("stage") == "data_split"
+    produced = (
+        outputs.where(made & F.col("name").isin("trainval", "test"))
+        .groupBy("run_id")
+        .agg(
+            F.max(F.when(F.col("name") == "trainval", F.col("sha256"))).alias("_produced"),
+            F.max(F.when(F.col("name") == "test", F.col("sha256"))).alias("_tested"),
+        )
+    )
     cleaned = outputs.where((F.col("stage") == "basic_cleaning") & (F.col("name") == "clean"))
     used = trainings.groupBy("split_id").agg(
         F.min("trainval_sha256").alias("_used_low"), F.max("trainval_sha256").alias("_used_high")
     )
     joined = (
-        splits.join(
-            produced.select("run_id", F.col("sha256").alias("_produced")), "run_id", "left"
-        )
+        splits.join(produced, "run_id", "left")
         .transform(
             lambda df: join_lookup(
                 df,
@@ -272,6 +310,7 @@ def reconcile_split(
         F.array_compact(
             F.array(
                 F.when(~F.col("_produced").eqNullSafe(F.col("trainval_sha256")), "producer"),
+                F.when(~F.col("_tested").eqNullSafe(F.col("test_sha256")), "test"),
                 F.when(~F.col("_cleaned").eqNullSafe(F.col("source_sha256")), "source"),
                 F.when(
                     F.col("_used_low").isNotNull()
@@ -282,11 +321,28 @@ def reconcile_split(
                     "training",
                 ),
                 F.when(~parameters.eqNullSafe(configured), "parameters"),
+                F.lit(None).cast("string")
+                if identity is None
+                else F.when(~identity.eqNullSafe(F.col("split_id")), "identity"),
             )
         ).alias("problems"),
     )
 
 
+def mark_validated(
+    datasets: DataFrame,
+    checks: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    max_lookup_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """All datasets, with ``validated``: whether ``validated_only`` keeps them."""
+    passed = checks.where(F.col("status") == COMPLETED).select(*on).distinct()
+    lookup = derived_lookup(passed.withColumn("_passed", F.lit(True)), max_lookup_rows)
+    joined = join_lookup(datasets, lookup, on, "left", spread_by)
+    return joined.withColumn("validated", F.coalesce("_passed", F.lit(False))).drop("_passed")
+
+
 def validated_only(
     datasets: DataFrame,
     checks: DataFrame,
@@ -360,9 +416,30 @@ def invalid_transitions(
     ).where(F.col("reason").isNotNull())
 
 
+def path_parts(path: Column) -> Column:
+    """Folders and file of a path, with ``.`` and ``..`` resolved.
+
+    A ``..`` with nothing above it stays, so such a path is inside no folder. The first part
+    of an absolute path is empty.
+    """
+    nothing = F.array().cast("array<string>")
+
+    def step(done, part):
+        up = (F.size(done) > 0) & ~F.element_at(done, -1).isin("..", "")
+        return (
+            F.when(part.isin("", "."), done)
+            .when((part == "..") & F.coalesce(up, F.lit(False)), F.slice(done, 1, F.size(done) - 1))
+            .otherwise(F.concat(done, F.array(part)))
+        )
+
+    start = F.when(F.startswith(path, F.lit("/")), F.array(F.lit(""))).otherwise(nothing)
+    return F.aggregate(F.split(path, "/"), start, step)
+
+
 def foreign_outputs(outputs: DataFrame, path: str, run_dir: Column) -> DataFrame:
-    """Outputs outside their run's folder."""
-    inside = F.startswith(F.col(path), F.concat(run_dir, F.lit("/")))
+    """Outputs that lie neither in their run's folder nor are it, once paths are resolved."""
+    top = path_parts(run_dir)
+    inside = F.slice(path_parts(F.col(path)), F.lit(1), F.size(top)) == top
     return outputs.where(~F.coalesce(inside, F.lit(False)))
 
 
@@ -445,13 +522,22 @@ def version_outcomes(
     must_fail: str = "test_proper_boundaries",
     must_complete: Sequence[str] = TRAINING_STAGES,
     not_reached: str = "train_random_forest",
+    sample: str = "sample2.csv",
 ) -> DataFrame:
-    """Whether each version shows its required outcome in at least one execution.
+    """Whether each of the two versions shows its required outcome: always two rows.
 
     The first version has to fail on one named check alone and not reach training; the second
-    has to complete every training stage. ``executions``: run_id, version, exit_status.
-    ``stages``: run_id, stage, status. ``failed_checks``: run_id, name.
+    has to complete every training stage. At least one execution has to show it, and none may
+    contradict it: fail in another way, or end well without all stages. ``executions``:
+    run_id, version, exit_status; ``stages``: run_id, stage, status; ``failed_checks``:
+    run_id, name. Where executions have a ``sample``, those on other samples do not count;
+    where they have ``commit`` and ``dirty``, all of a version must be of one clean commit
+    that the other version does not have.
     """
+    spark = executions.sparkSession
+    if "sample" in executions.columns:
+        executions = executions.where(F.col("sample") == sample)
+    has_code = {"commit", "dirty"} <= set(executions.columns)
     reached = stages.groupBy("run_id").agg(
         F.bool_or(F.col("stage") == not_reached).alias("_trained"),
         F.bool_or(F.col("status") == FAILED).alias("_failed"),
@@ -481,13 +567,40 @@ def version_outcomes(
         .when(F.col("version") == second, (F.col("exit_status") == 0) & all_done)
         .otherwise(False)
     )
-    return (
+    failed = F.col("exit_status") != 0
+    relevant = F.when(F.col("version") == first, failed).otherwise(~failed)
+    commit = F.col("commit") if has_code else F.col("version")
+    clean = ~F.col("dirty") if has_code else F.lit(True)
+    per_version = (
         executions.join(reached, "run_id", "left")
         .join(broken, "run_id", "left")
         .groupBy("version")
         .agg(
             F.count(F.lit(1)).alias("executions"),
             F.count_if(shows).alias("matching"),
+            F.count_if(relevant & ~shows).alias("contradicting"),
+            F.min(commit).alias("_low"),
+            F.max(commit).alias("_high"),
+            F.bool_and(F.coalesce(clean, F.lit(False))).alias("_clean"),
+        )
+    )
+    required = spark.createDataFrame([(first,), (second,)], "version string")
+    none = F.lit(0).cast("bigint")
+    both = Window.partitionBy("_low")
+    # Two rows from here on.
+    return (
+        required.join(per_version, "version", "left")
+        .withColumn("_alone", F.count(F.lit(1)).over(both) == 1)
+        .select(
+            "version",
+            *[F.coalesce(c, none).alias(c) for c in ("executions", "matching", "contradicting")],
+            F.coalesce(
+                (F.col("matching") > 0)
+                & (F.col("contradicting") == 0)
+                & F.col("_clean")
+                & (F.col("_low") == F.col("_high"))
+                & F.col("_alone"),
+                F.lit(False),
+            ).alias("accepted"),
         )
-        .withColumn("accepted", F.col("matching") > 0)
     )

@@ -1,7 +1,8 @@
 """Assembly of features, forest, metrics, importances and grids."""
 
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -10,13 +11,14 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
 from tallyhouse.operators.stages import (
     DaysSinceLatest,
     ModeFiller,
+    PlainNumber,
     TermWeights,
     ZeroFiller,
 )
@@ -31,6 +33,11 @@ DEFAULT_FOREST = {
 }
 
 
+# A forest sees this many rows in a partition at most, and at least this many partitions.
+PARTITION_ROWS = 100_000
+LEAST_PARTITIONS = 8
+
+
 @dataclass(frozen=True)
 class FeatureSpec:
     """Which columns play which part. The defaults are those of the listing table."""
@@ -57,10 +64,11 @@ def preprocessor(spec: FeatureSpec) -> Pipeline:
         stages=[
             StringIndexer(
                 inputCol=spec.ordinal,
-                outputCol="_ordinal",
+                outputCol="_ordinal_code",
                 stringOrderType="alphabetAsc",
                 handleInvalid="error",
             ),
+            PlainNumber(inputCol="_ordinal_code", outputCol="_ordinal"),
             ModeFiller(inputCol=spec.category, outputCol="_category"),
             StringIndexer(
                 inputCol="_category",
@@ -84,7 +92,7 @@ def preprocessor(spec: FeatureSpec) -> Pipeline:
 
 def slots(fitted: PipelineModel, spec: FeatureSpec) -> list[tuple[str, str]]:
     """Feature and name of every vector slot, in order."""
-    _, _, categories, _, _, _, terms, _ = fitted.stages
+    _, _, _, categories, _, _, _, terms, _ = fitted.stages
     named = [(spec.ordinal, spec.ordinal)]
     named += [(spec.category, f"{spec.category}={label}") for label in categories.labels]
     named += [(column, column) for column in spec.zero_filled]
@@ -98,11 +106,14 @@ def assemble(df: DataFrame, fitted: PipelineModel, keep: Sequence[str] = ()) ->
     return fitted.transform(df).select(*keep, "features")
 
 
-def fixed_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
+def fixed_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """The same rows in the same partitions and order, however the input was laid out.
 
-    Bagging draws by partition and position, so a seed alone does not fix a forest.
+    Bagging draws by partition and position, so a seed alone does not fix a forest. The
+    number of partitions follows the number of rows alone, unless it is given.
     """
+    if partitions is None:
+        partitions = max(LEAST_PARTITIONS, -(-df.count() // PARTITION_ROWS))
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
@@ -123,12 +134,18 @@ class PriceModel:
         return self.pipeline.transform(df).select(*keep, "prediction")
 
     def save(self, path: str) -> None:
-        """Write once; an existing path is refused."""
-        self.pipeline.write().save(path)
+        """Write the pipeline, the spec and the parameters once; an existing path is refused."""
+        spark = SparkSession.active()
+        self.pipeline.write().save(f"{path}/pipeline")
+        record = json.dumps({"spec": asdict(self.spec), "parameters": dict(self.parameters)})
+        spark.createDataFrame([(record,)], "record string").coalesce(1).write.text(f"{path}/record")
 
 
-def load_model(path: str, spec: FeatureSpec | None = None) -> PriceModel:
-    return PriceModel(PipelineModel.load(path), spec or FeatureSpec())
+def load_model(path: str) -> PriceModel:
+    """The model as it was saved, with its own spec and parameters."""
+    record = json.loads(SparkSession.active().read.text(f"{path}/record").first()[0])
+    spec = FeatureSpec(**record["spec"])
+    return PriceModel(PipelineModel.load(f"{path}/pipeline"), spec, record["parameters"])
 
 
 def fit_forests(
@@ -141,12 +158,11 @@ def fit_forests(
     """Fit one preprocessing and several named forests on the same training rows.
 
     The rows are prepared once and the vectors cached for all fits. ``partitions`` fixes the
-    layout the forests see; by default it follows the session's shuffle partitions. A forest
-    seed, if given, must equal ``seed``, that of the split.
+    layout the forests see; by default it follows the number of rows, so settings of a
+    cluster do not change a forest. A forest seed, if given, must equal ``seed``, that of the
+    split.
     """
     spec = spec or FeatureSpec()
-    if partitions is None:
-        partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     regressors = {}
     for name, forest in forests.items():
         settings = {**DEFAULT_FOREST, **forest}

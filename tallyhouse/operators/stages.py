@@ -6,7 +6,8 @@ loaded by Spark ML's own writer.
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -162,8 +163,28 @@ class TermWeightsModel(Model, HasInputCol, HasOutputCol, _Saved):
         self._set_given(self._input_kwargs)
 
     def _transform(self, dataset):
-        words = tokens(F.col(self.getInputCol()))
-        weights = features.tfidf_array(
-            words, self.getOrDefault(self.terms), self.getOrDefault(self.idf)
+        # Counts, weights and norm as sparse vectors: the work follows the words of a row.
+        counter = CountVectorizerModel.from_vocabulary(
+            self.getOrDefault(self.terms), inputCol="_words", outputCol="_counts"
         )
-        return dataset.withColumn(self.getOutputCol(), array_to_vector(weights))
+        weigher = ElementwiseProduct(
+            scalingVec=Vectors.dense(self.getOrDefault(self.idf)), inputCol="_counts", outputCol="_raw"
+        )
+        scaler = Normalizer(p=2.0, inputCol="_raw", outputCol=self.getOutputCol())
+        counted = dataset.withColumn("_words", tokens(F.col(self.getInputCol())))
+        for step in (counter, weigher, scaler):
+            counted = step.transform(counted)
+        return counted.drop("_words", "_counts", "_raw")
+
+
+class PlainNumber(Transformer, HasInputCol, HasOutputCol, _Saved):
+    """A code as a number: trees may then split it by order, and no limit on categories holds."""
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None):
+        super().__init__()
+        self._set_given(self._input_kwargs)
+
+    def _transform(self, dataset):
+        # A sum is a new column, without the note that its values are names of categories.
+        return dataset.withColumn(self.getOutputCol(), F.col(self.getInputCol()) + F.lit(0.0))

@@ -1,6 +1,5 @@
 """The folder all executors see, for checkpoints and tables between steps."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,13 +8,11 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``. Only a local session may go without it."""
+    """The folder named by ``spark.checkpoint.dir``; without it, one below the warehouse."""
     context = spark.sparkContext
     folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"Set {SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tallyhouse-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tallyhouse"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse import schemas
 
+MANIFEST_VERSION = 1
+
 
 def read_manifests(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All manifests under a glob: one document per line, or one per file with ``multi_line``."""
@@ -16,6 +18,23 @@ def write_manifests(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").json(path)
 
 
+def manifest_problems(
+    manifests: DataFrame, folder: str = "folder", version: int = MANIFEST_VERSION
+) -> DataFrame:
+    """Manifests that cannot be used: run_id, the folder, and what is wrong with them.
+
+    Problems: ``version`` (another schema version, or none) and ``run`` (the run id is not the
+    name of the folder that holds the manifest). ``folder`` names the column with that name.
+    """
+    wrong = F.array_compact(
+        F.array(
+            F.when(~F.col("schema_version").eqNullSafe(F.lit(version)), "version"),
+            F.when(~F.col("run_id").eqNullSafe(F.col(folder)), "run"),
+        )
+    )
+    return manifests.select("run_id", folder, wrong.alias("problems")).where(F.size("problems") > 0)
+
+
 def stages_of(manifests: DataFrame) -> DataFrame:
     """One row per run and stage: run_id, stage, status, inputs, outputs, details."""
     return manifests.select("run_id", F.explode("stages").alias("stage", "entry")).select(
@@ -37,7 +56,13 @@ def write_comparison(df: DataFrame, path: str) -> None:
     """CSV with the parameters as JSON text; an existing path is refused."""
     if dict(df.dtypes)["parameters"] != "string":
         df = df.withColumn("parameters", F.to_json("parameters"))
-    df.write.mode("errorifexists").csv(path, header=True, escape='"')
+    df.write.mode("errorifexists").csv(
+        path,
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def read_comparison(

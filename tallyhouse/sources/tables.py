@@ -61,8 +61,16 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Headed CSV without an index; an existing path is refused."""
-    df.write.mode("errorifexists").csv(path, header=True, escape='"', emptyValue="", nullValue="")
+    """Headed CSV without an index; texts keep their blanks, an existing path is refused."""
+    df.write.mode("errorifexists").csv(
+        path,
+        header=True,
+        escape='"',
+        emptyValue="",
+        nullValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def ingest_sample(
@@ -83,13 +91,25 @@ def ingest_sample(
     return copy, identity
 
 
-def create_baseline(df: DataFrame, source_path: str, source_run_id: str, folder: str) -> DataFrame:
+def create_baseline(
+    df: DataFrame, source_path: str, source_run_id: str, folder: str, outputs: DataFrame | None = None
+) -> DataFrame:
     """Freeze a cleaned table as the baseline, once. Returns the metadata row.
 
     The copy must have the fingerprint of the source, read again after the copy, so a source
-    that changed meanwhile is noticed.
+    that changed meanwhile is noticed. ``outputs`` (as from ``records.artifacts_of``) must
+    then hold ``source_path`` as the output of the run's completed cleaning.
     """
     spark = df.sparkSession
+    if outputs is not None:
+        cleaned = outputs.where(
+            (F.col("run_id") == source_run_id)
+            & (F.col("stage") == "basic_cleaning")
+            & (F.col("stage_status") == "completed")
+            & (F.col("path") == source_path)
+        )
+        if cleaned.isEmpty():
+            raise ValueError(f"{source_path} is no output of a completed cleaning of {source_run_id}")
     snapshot = f"{folder}/reference"
     df.write.mode("errorifexists").parquet(snapshot)
     copy = table_fingerprint(spark.read.schema(df.schema).parquet(snapshot)).first()

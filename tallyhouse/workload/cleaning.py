@@ -31,13 +31,15 @@ def clean_price_range(spark, folder):
     """,
 )
 def clean_dates(spark, folder):
-    """Dates written in three ways, one of them not a date at all."""
+    """Dates written in nine ways; those of pending orders are none at all."""
     d = F.col("o_orderdate")
-    written = (
-        F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("pending "), "o_orderpriority"))
-        .when(F.col("o_orderstatus") == "F", F.date_format(d, "MM/dd/yyyy"))
-        .otherwise(F.date_format(d, "yyyy-MM-dd"))
-    )
+    written = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("pending "), "o_orderpriority"))
+    forms = (
+        "MM/dd/yyyy", "M/d/yyyy", "yyyy-M-d", "yyyyMMdd", "d MMM yyyy", "MMMM d, yyyy", "dd.MM.yyyy",
+        "yyyy-MM-dd'T'HH:mm:ss.SSS", "yyyy-MM-dd",
+    )
+    for i, form in enumerate(forms):
+        written = written.when(F.col("o_orderkey") % len(forms) == i, F.date_format(d, form))
     orders = table(spark, folder, "orders").select("o_orderkey", written.alias("day"))
     return clean.clean_dates(orders, ["day"]).withColumn("day", F.col("day").cast("string"))
 
@@ -83,12 +85,14 @@ def clean_listings(spark, folder):
 @query(
     "label_split",
     """
-    SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice AS label FROM orders
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate::DATE AS o_orderdate, o_orderpriority,
+           o_totalprice AS label
+    FROM orders
     """,
 )
 def label_split(spark, folder):
     """Features and label, told apart and shown side by side."""
-    orders = table(spark, folder, "orders").drop("o_orderdate")
+    orders = table(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
     features, label = clean.split_label(orders, "o_totalprice")
     (name,) = label.columns
     return orders.select(*features.columns, F.col(name).alias("label"))
@@ -311,13 +315,14 @@ def price_histogram(spark, folder):
 @query(
     "price_quantiles",
     """
-    SELECT f AS fraction, o_totalprice AS value
-    FROM (SELECT o_totalprice, row_number() OVER (ORDER BY o_totalprice) AS place,
-                 count(*) OVER () AS n FROM orders)
+    SELECT f AS fraction, price AS value
+    FROM (SELECT price, row_number() OVER (ORDER BY price) AS place, count(*) OVER () AS n
+          FROM (SELECT o_totalprice / 64 AS price FROM orders))
     JOIN (SELECT unnest([0.0, 0.25, 0.5, 0.75, 0.99, 1.0]::DOUBLE[]) AS f)
       ON place = greatest(1, ceil(f * n))
     """,
 )
 def price_quantiles(spark, folder):
-    orders = table(spark, folder, "orders")
-    return checks.quantiles(orders, "o_totalprice", [0.0, 0.25, 0.5, 0.75, 0.99, 1.0])
+    """Prices in a coarser unit, which have up to eight decimals."""
+    orders = table(spark, folder, "orders").select((F.col("o_totalprice") / 64).alias("price"))
+    return checks.quantiles(orders, "price", [0.0, 0.25, 0.5, 0.75, 0.99, 1.0])

@@ -3,7 +3,7 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.text import ENGLISH_STOP_WORDS, tokens, without_stop_words
+from tallyhouse.functions.text import stop_tokens, tokens, without_stop_words
 from tallyhouse.operators import clean, features, model
 from tallyhouse.plans.shared import written
 from tallyhouse.schemas import ZERO_FILLED
@@ -12,7 +12,7 @@ from tallyhouse.workload.registry import query
 from tallyhouse.workload.tables import LISTING_SQL, SEGMENTS, listings, table
 
 TOKENS_SQL = r"regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}_]{{2,}}')"
-STOP_SQL = ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLISH_STOP_WORDS)
+STOP_SQL = ", ".join(f"'{word}'" for word in stop_tokens())
 TERMS = 20
 
 
@@ -156,13 +156,17 @@ def vocabulary_topk(spark, folder):
     raw AS (SELECT doc_id, term, count(*) * (ln((1.0 + (SELECT count(*) FROM documents))
               / (1.0 + any_value(document_count))) + 1.0) AS w
             FROM kept JOIN vocabulary USING (term) GROUP BY doc_id, term)
-    SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw
+    SELECT CASE WHEN doc_id % 10 < 9 THEN doc_id // 3 END AS key, term,
+           round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight
+    FROM raw
     """,
 )
 def tfidf(spark, folder):
-    documents = table(spark, folder, "documents")
+    """Three documents share a key, and every tenth has none."""
+    shared = F.when(F.col("doc_id") % 10 < 9, F.floor(F.col("doc_id") / 3))
+    documents = table(spark, folder, "documents").select(shared.alias("key"), "text")
     vocabulary = features.fit_vocabulary(documents, "text", TERMS)
-    weights = features.tfidf(documents, "doc_id", "text", vocabulary)
+    weights = features.tfidf(documents, "key", "text", vocabulary)
     return weights.withColumn("weight", F.round("weight", 6))
 
 

@@ -207,3 +207,24 @@ def test_quantiles_are_exact(spark):
     same = spark.createDataFrame([(3.0,)] * 5, "v double")
     assert rows_of(checks.quantiles(same, "v", [0.5])) == [(0.5, 3.0)]
     assert rows_of(checks.quantiles(same.limit(0), "v", [0.5])) == []
+
+
+def test_quantiles_are_not_rounded_and_do_not_overflow(spark, monkeypatch):
+    small = spark.createDataFrame([(0.001,), (0.002,), (0.004,), (math.nan,)], "v double")
+    assert rows_of(checks.quantiles(small, "v", [0.5, 1])) == [(0.5, 0.002), (1.0, 0.004)]
+    wide = spark.createDataFrame([(-1e300,), (1e18,), (5e-324,)], "v double")
+    assert rows_of(checks.quantiles(wide, "v", [0, 0.5, 1])) == [(0.0, -1e300), (0.5, 5e-324), (1.0, 1e18)]
+    monkeypatch.setattr(checks, "SMALL_RANGE", 10)
+    monkeypatch.setattr(checks, "ACCURACY", 50)
+    many = spark.range(20_000).selectExpr("if(id % 3 = 0, 7.5, pow(id * 7919 % 20000, 1.5)) as v").cache()
+    values = sorted(r[0] for r in many.collect())
+    places = [0.0, 0.1, 0.33, 0.5, 0.777, 0.9999, 1.0]
+    expected = [(f, values[max(1, math.ceil(f * len(values))) - 1]) for f in places]
+    assert rows_of(checks.quantiles(many, "v", places)) == expected
+
+
+def test_two_reads_of_one_table_are_no_baseline(spark, small):
+    path = f"{small}/customer.parquet"
+    limits = checks.SuiteLimits([], "c_mktsegment", [], {}, "c_acctbal", (0.0, 1.0))
+    with pytest.raises(ValueError, match="differ"):
+        checks.check_suite(spark.read.parquet(path), spark.read.parquet(path), limits)

@@ -23,10 +23,13 @@ def test_price_bounds_are_inclusive_and_nulls_go(spark):
 
 def test_dates_in_several_formats(spark):
     texts = ["2019-07-08", "07/08/2019", "08.07.2019", " 2019/07/08 ", "2019-07-08 12:30:00",
-             "2019-13-45", "soon", "", None]
+             "2019-07-08T01:02:03", "2019-07-08T01:02:03.456Z", "2019-07-08 1:02 +01:00", "7/8/2019", "2019-7-8",
+             "20190708", "8 Jul 2019", "8 July 2019", "Jul 8, 2019", "July 8 2019", "7/8/2019 12:30",
+             "2019-13-45", "soon", "8 Foo 2019", "", None]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, d string")
     day = datetime.date(2019, 7, 8)
-    assert column(clean.clean_dates(df, ["d"]), "d") == [day] * 5 + [None] * 4
+    assert column(clean.clean_dates(df, ["d"]), "d") == [day] * 16 + [None] * 5
+    assert [tuple(r) for r in clean.lost_dates(df, ["d"]).collect()] == [("d", 19, 3)]
 
 
 def test_formats_with_names_are_tried_as_they_are(spark):

@@ -97,7 +97,7 @@ def titles(spark):
     return spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string")
 
 
-@pytest.mark.parametrize("bounds", [{}, {"inline_terms": 1}, {"inline_terms": 1, "max_lookup_rows": 1}])
+@pytest.mark.parametrize("bounds", [{}, {"max_lookup_rows": 1}])
 def test_vocabulary_by_corpus_count_then_term(titles, bounds):
     fitted = features.fit_vocabulary(titles, "text", 3, **bounds)
     rows = {tuple(r) for r in fitted.terms.table.collect()}
@@ -106,15 +106,41 @@ def test_vocabulary_by_corpus_count_then_term(titles, bounds):
 
 
 def test_weights_equal_the_definition_on_both_paths(titles):
-    fitted = features.fit_vocabulary(titles, "text", 3)
     idf = math.log(7 / 3) + 1
     expected = {}
     for i, text in enumerate(TEXTS):
         words = Counter(w for w in (text or "").lower().split() if w in {"cozy", "city", "loft"})
         norm = math.sqrt(sum((n * idf) ** 2 for n in words.values()))
         expected.update({(i, w): n * idf / norm for w, n in words.items()})
-    for inline_terms in (256, 1):
-        got = features.tfidf(titles, "id", "text", fitted, inline_terms=inline_terms)
+    for bound in (100_000, 1):
+        fitted = features.fit_vocabulary(titles, "text", 3, max_lookup_rows=bound)
+        got = features.tfidf(titles, "id", "text", fitted)
         got = {(r["id"], r["term"]): r["weight"] for r in got.collect()}
         assert got.keys() == expected.keys()
         assert all(math.isclose(got[k], v, rel_tol=1e-12) for k, v in expected.items())
+
+
+@pytest.mark.parametrize("bound", [100_000, 1])
+def test_rows_that_share_a_key_or_have_none_are_weighed_apart(spark, bound):
+    rows = [(1, "cozy loft"), (1, "cozy cozy"), (None, "city loft"), (None, "cozy"), (2, "none of it"), (3, None)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    fitted = features.fit_vocabulary(df, "text", 2, max_lookup_rows=bound)
+    got = [tuple(r) for r in features.tfidf(df, "id", "text", fitted).collect()]
+    assert len(got) == 5
+    lone = [w for i, _, w in got if i is None]
+    assert sorted(lone) == [1.0, 1.0]
+    assert sorted(w for i, t, w in got if i == 1 and t == "cozy")[1] == 1.0
+
+
+def test_stop_words_go_through_the_tokenizer(spark):
+    text = "don't think we've isn't you'll cozy"
+    words = without_stop_words(tokens(F.lit(text)))
+    assert spark.range(1).select(words.alias("t")).first()["t"] == ["think", "cozy"]
+
+
+def test_more_categories_than_a_thousand(spark):
+    df = spark.range(1001).select(F.concat(F.lit("c"), "id").alias("g"))
+    names = features.fit_categories(df.union(df), "g")
+    assert len(names) == 1001 and names == sorted(names)
+    row = features.encode_one_hot(df.limit(1), "g", names, "").first()
+    assert sum(v for v in row[1:]) == 1.0

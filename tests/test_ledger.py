@@ -2,6 +2,8 @@
 
 import hashlib
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +23,17 @@ def test_lowest_error_wins_and_ties_go_by_run(spark):
     assert ranked == [("r2", 1.0, True), ("r3", 1.0, False), ("r1", 3.0, False)]
 
 
+def test_a_run_without_a_usable_error_never_wins(spark):
+    bad = [("a", None), ("b", math.nan), ("c", -1.0), ("d", math.inf)]
+    df = spark.createDataFrame([*bad, ("r", 2.0)], "run_id string, mae double")
+    assert ledger.select_best(df).first()["run_id"] == "r"
+    ranked = [(r["run_id"], r["is_best"]) for r in ledger.rank_candidates(df).collect()]
+    assert ranked[0] == ("r", True) and not any(best for _, best in ranked[1:])
+    none = spark.createDataFrame(bad, "run_id string, mae double")
+    assert ledger.select_best(none).count() == 0
+    assert not any(r["is_best"] for r in ledger.rank_candidates(none).collect())
+
+
 @pytest.mark.parametrize(
     "runs, comparable",
     [
@@ -56,6 +69,21 @@ def test_only_complete_training_is_eligible(spark):
     assert rows_of(got) == [("ok", 1.0, 0.5)]
 
 
+def test_training_records_must_agree_and_metrics_be_finite(spark):
+    names = ["model", "parameters", "metrics", "feature_importance"]
+    rows = [("ok", "{}", "{}", 0.5), ("other", "{}", "{1}", 0.5), ("endless", "{}", "{}", -math.inf)]
+    runs = spark.createDataFrame([(r[0], "completed") for r in rows], "run_id string, status string")
+    stages = spark.createDataFrame(
+        [(r, "train_random_forest", "completed", names, 1.0, r2, p) for r, p, _, r2 in rows],
+        "run_id string, stage string, status string, output_names array<string>, mae double, r2 double, "
+        "parameters string",
+    )
+    metrics = spark.createDataFrame(
+        [(r, 1.0, r2, p) for r, _, p, r2 in rows], "run_id string, mae double, r2 double, parameters string"
+    )
+    assert rows_of(ledger.eligible_candidates(runs, stages, metrics)) == [("ok", 1.0, 0.5)]
+
+
 def test_multiset_difference_counts_copies(spark):
     left = spark.createDataFrame([(1,), (1,), (2,), (None,)], "v int")
     right = spark.createDataFrame([(1,), (2,), (3,), (None,)], "v int")
@@ -84,7 +112,7 @@ def test_disagreements_name_the_columns(spark):
 
 def test_evaluation_verdicts(spark):
     selections = spark.createDataFrame(
-        [("m1", "s1", "h1", "p1")],
+        [("m1", "s1", "h1", "p1"), ("m9", "s1", "h1", "p1")],
         "run_id string, split_id string, test_sha256 string, model_path string",
     )
     rows = [
@@ -100,7 +128,13 @@ def test_evaluation_verdicts(spark):
     )
     got = {r["run_id"]: r["verdict"] for r in ledger.reconcile_evaluation(evaluations, selections).collect()}
     assert got == {"e1": "accepted", "e2": "unselected", "e3": "mismatch", "e4": "bad metrics",
-                   "e5": "bad metrics"}
+                   "e5": "bad metrics", None: "missing"}
+    running = evaluations.withColumn("status", F.lit("running"))
+    alone = ledger.reconcile_evaluation(running, selections)
+    assert rows_of(alone) == [(None, "m1", "missing"), (None, "m9", "missing")]
+    paths = selections.withColumn("test_path", F.lit("a"))
+    moved = ledger.reconcile_evaluation(evaluations.withColumn("test_path", F.lit("b")), paths)
+    assert moved.where("run_id = 'e1'").first()["verdict"] == "mismatch"
 
 
 @pytest.mark.parametrize("max_lookup_rows", [100, 1])
@@ -153,11 +187,13 @@ def test_stage_history_rules(spark, max_lookup_rows):
 
 def test_outputs_outside_their_run(spark):
     df = spark.createDataFrame(
-        [("r1", "runs/r1/a"), ("r1", "runs/r10/a"), ("r1", "runs/r1"), ("r1", None)],
+        [("r1", "runs/r1/a"), ("r1", "runs/r1/./b/../a"), ("r1", "x/../runs//r1/"), ("r1", "runs/r1"),
+         ("r1", "runs/r10/a"), ("r1", "runs/r1/../b/x"), ("r1", "../runs/r1/a"), ("r1", "/runs/r1/a"),
+         ("r1", "runs/r1/a/../../.."), ("r1", ""), ("r1", None)],
         "run_id string, path string",
-    )
+    )
     own = F.concat(F.lit("runs/"), F.col("run_id"))
-    assert ledger.foreign_outputs(df, "path", own).count() == 3
+    assert ledger.foreign_outputs(df, "path", own).count() == 7
 
 
 @pytest.mark.parametrize("max_lookup_rows", [100, 1])
@@ -182,30 +218,46 @@ def test_version_outcomes(spark):
     stages = spark.createDataFrame(stages, "run_id string, stage string, status string")
     failed = spark.createDataFrame([("v1", "test_proper_boundaries")], "run_id string, name string")
     assert rows_of(ledger.version_outcomes(executions, stages, failed)) == [
-        ("1.0.0", 2, 1, True), ("1.0.1", 1, 1, True),
+        ("1.0.0", 2, 1, 0, True), ("1.0.1", 1, 1, 0, True),
     ]
+    only = executions.where("version = '1.0.1'")
+    assert rows_of(ledger.version_outcomes(only, stages, failed))[0] == ("1.0.0", 0, 0, 0, False)
+    again = executions.unionByName(spark.createDataFrame([("v4", "1.0.1", 0)], executions.schema))
+    assert rows_of(ledger.version_outcomes(again, stages, failed))[1] == ("1.0.1", 2, 1, 1, False)
+    for commits, dirty, accepted in (
+        ({"1.0.0": "a", "1.0.1": "b"}, False, True),
+        ({"1.0.0": "a", "1.0.1": "a"}, False, False),
+        ({"1.0.0": "a", "1.0.1": "b"}, True, False),
+    ):
+        commit = F.when(F.col("version") == "1.0.0", commits["1.0.0"]).otherwise(commits["1.0.1"])
+        coded = executions.withColumn("commit", commit).withColumn("dirty", F.lit(dirty))
+        got = rows_of(ledger.version_outcomes(coded, stages, failed))
+        assert [r[-1] for r in got] == [accepted, accepted]
+    sampled = executions.withColumn("sample", F.lit("sample1.csv"))
+    assert [r[1] for r in rows_of(ledger.version_outcomes(sampled, stages, failed))] == [0, 0]
     more = failed.unionByName(spark.createDataFrame([("v1", "test_price_range")], failed.schema))
-    assert rows_of(ledger.version_outcomes(executions, stages, more))[0] == ("1.0.0", 2, 0, False)
+    assert rows_of(ledger.version_outcomes(executions, stages, more))[0] == ("1.0.0", 2, 0, 1, False)
     trained = stages.unionByName(
         spark.createDataFrame([("v1", "train_random_forest", "running")], stages.schema)
     )
     assert rows_of(ledger.version_outcomes(executions, trained, failed))[0][2] == 0
     part = stages.where("stage <> 'download'")
-    assert rows_of(ledger.version_outcomes(executions, part, failed))[1] == ("1.0.1", 1, 0, False)
+    assert rows_of(ledger.version_outcomes(executions, part, failed))[1] == ("1.0.1", 1, 0, 1, False)
 
 
 def test_split_problems(spark):
     schema = (
         "split_id string, run_id string, source_run_id string, source_sha256 string, "
-        "trainval_sha256 string, test_size double, random_seed bigint, stratify_by string"
+        "trainval_sha256 string, test_size double, random_seed bigint, stratify_by string, test_sha256 string"
     )
     splits = spark.createDataFrame(
-        [("s1", "r1", "c1", "src", "tv", 0.2, 42, "g"), ("s2", "r2", "c2", "src", "other", 0.2, 42, "g"),
-         ("s3", "r3", "c1", "src", "tv", 0.3, 42, "g")], schema,
+        [("s1", "r1", "c1", "src", "tv", 0.2, 42, "g", "te"), ("s2", "r2", "c2", "src", "other", 0.2, 42, "g", "te"),
+         ("s3", "r3", "c1", "src", "tv", 0.3, 42, "g", "x")], schema,
     )
     outputs = spark.createDataFrame(
         [("r1", "data_split", "trainval", "tv"), ("r2", "data_split", "trainval", "tv"),
-         ("r3", "data_split", "trainval", "tv"), ("c1", "basic_cleaning", "clean", "src")],
+         ("r3", "data_split", "trainval", "tv"), ("c1", "basic_cleaning", "clean", "src"),
+         ("r1", "data_split", "test", "te"), ("r2", "data_split", "test", "te"), ("r3", "data_split", "test", "te")],
         "run_id string, stage string, name string, sha256 string",
     )
     trainings = spark.createDataFrame(
@@ -215,8 +267,11 @@ def test_split_problems(spark):
         F.lit(0.2).alias("test_size"), F.lit(42).cast("bigint").alias("random_seed"), F.lit("g").alias("stratify_by")
     )
     assert rows_of(ledger.reconcile_split(splits, outputs, trainings, configured)) == [
-        ("s1", []), ("s2", ["producer", "source"]), ("s3", ["training", "parameters"]),
+        ("s1", []), ("s2", ["producer", "source"]), ("s3", ["test", "training", "parameters"]),
     ]
+    identity = F.concat(F.lit("s"), F.when(F.col("run_id") == "r1", "1").otherwise("0"))
+    got = dict(rows_of(ledger.reconcile_split(splits, outputs, trainings, configured, identity)))
+    assert got["s1"] == [] and got["s2"][-1] == "identity"
 
 
 def test_fingerprint_ignores_order_and_sees_every_change(spark):

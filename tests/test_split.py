@@ -20,11 +20,13 @@ from tallyhouse.plans.lookups import derived_lookup
 
 
 @pytest.fixture(scope="module")
-def forty(spark):
-    return spark.range(40).select(
+def parcels(spark):
+    """63 rows in three groups of 9, 18 and 36."""
+    size = F.col("id") % 7
+    return spark.range(1000, 1063).select(
         "id",
-        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("group"),
-        (F.col("id") + 100).alias("value"),
+        F.when(size == 0, "large").when(size < 3, "medium").otherwise("small").alias("group"),
+        F.sqrt("id").alias("value"),
     )
 
 
@@ -33,15 +35,15 @@ def ids(df):
 
 
 @pytest.mark.parametrize("stratify_by", [None, "none", "group"])
-def test_disjoint_covering_exact_and_repeatable(forty, stratify_by):
-    rest, test = split_two(forty, "id", 0.25, 42, stratify_by)
-    assert test.count() == 10
+def test_disjoint_covering_exact_and_repeatable(parcels, stratify_by):
+    rest, test = split_two(parcels, "id", 1 / 3, 7, stratify_by)
+    assert test.count() == 21
     assert common_rows(rest, test).isEmpty()
-    assert multiset_difference(rest.unionByName(test), forty).isEmpty()
-    assert ids(split_two(forty, "id", 0.25, 42, stratify_by)[1]) == ids(test)
-    assert ids(split_two(forty, "id", 0.25, 43, stratify_by)[1]) != ids(test)
+    assert multiset_difference(rest.unionByName(test), parcels).isEmpty()
+    assert ids(split_two(parcels, "id", 1 / 3, 7, stratify_by)[1]) == ids(test)
+    assert ids(split_two(parcels, "id", 1 / 3, 8, stratify_by)[1]) != ids(test)
     if stratify_by == "group":
-        assert Counter(r["group"] for r in test.collect()) == {"a": 5, "b": 5}
+        assert Counter(r["group"] for r in test.collect()) == {"large": 3, "medium": 6, "small": 12}
 
 
 def test_membership_does_not_depend_on_partitioning(spark, medium):
@@ -112,37 +114,37 @@ def test_share_arithmetic_does_not_overflow(spark):
 
 
 @pytest.mark.parametrize("size", [0, 1, -0.1, 1.5])
-def test_fraction_must_lie_inside(forty, size):
+def test_fraction_must_lie_inside(parcels, size):
     with pytest.raises(ValueError):
-        fit_split(forty, "id", size, 42)
+        fit_split(parcels, "id", size, 42)
 
 
-def test_bad_strata_are_refused(spark, forty):
+def test_bad_strata_are_refused(spark, parcels):
     with pytest.raises(ValueError, match="nulls"):
-        fit_split(forty.withColumn("group", F.expr("nullif(group, 'a')")), "id", 0.25, 42, "group")
-    lone = forty.withColumn("group", F.when(F.col("id") == 3, "x").otherwise(F.col("group")))
+        fit_split(parcels.withColumn("group", F.expr("nullif(group, 'small')")), "id", 0.25, 42, "group")
+    lone = parcels.withColumn("group", F.when(F.col("id") == 1003, "x").otherwise(F.col("group")))
     with pytest.raises(ValueError, match="single"):
         fit_split(lone, "id", 0.25, 42, "group")
     with pytest.raises(ValueError, match="strata"):
-        fit_split(forty, "id", 0.02, 42, "group")
+        fit_split(parcels, "id", 0.02, 42, "group")
     with pytest.raises(ValueError, match="empty"):
-        fit_split(forty.limit(1), "id", 0.5, 42)
+        fit_split(parcels.limit(1), "id", 0.5, 42)
 
 
 @pytest.mark.parametrize("max_lookup_rows", [100, 1])
-def test_null_keys_are_refused(forty, max_lookup_rows):
-    gaps = forty.withColumn("id", F.expr("nullif(id, 7)"))
+def test_null_keys_are_refused(parcels, max_lookup_rows):
+    gaps = parcels.withColumn("id", F.expr("nullif(id, 1007)"))
     with pytest.raises(ValueError, match="needs a key"):
         fit_split(gaps, "id", 0.25, 42, "group", max_lookup_rows=max_lookup_rows)
 
 
-def test_repeated_keys_on_a_cut_are_refused(spark, forty):
-    same = forty.withColumn("id", F.lit(1))
+def test_repeated_keys_on_a_cut_are_refused(spark, parcels):
+    same = parcels.withColumn("id", F.lit(1))
     with pytest.raises(ValueError, match="not unique"):
         fit_split(same, "id", 0.25, 42)
     with pytest.raises(ValueError, match="repeated"):
         require_unique(same, "id")
-    require_unique(forty, "id")
+    require_unique(parcels, "id")
 
 
 def test_identity_is_the_hash_of_canonical_json(spark):
