@@ -6,14 +6,14 @@ from tallyhouse.operators import clean, ledger, model, split
 from tallyhouse.plans.lookups import join_lookup, stored_lookup
 from tallyhouse.plans.shared import checkpointed, written
 from tallyhouse.workload.registry import query
-from tallyhouse.workload.tables import SEED, TEST_SIZE, VAL_SIZE, listings, table
+from tallyhouse.workload.splitting import stratified_sql
+from tallyhouse.workload.tables import LISTING_SQL, SEED, TEST_SIZE, VAL_SIZE, listings, table
 
-# Smaller forests than the default of the library, which has 100 trees of depth 15.
-FOREST = {"numTrees": 20, "maxDepth": 8}
+# Three settings around the library's default of 100 trees of depth 15.
 GRID = {
-    "small": {"numTrees": 10, "maxDepth": 5},
-    "medium": FOREST,
-    "all-features": {"numTrees": 10, "maxDepth": 8, "featureSubsetStrategy": "1.0"},
+    "default": {},
+    "shallow": {"maxDepth": 8},
+    "large-leaves": {"minInstancesPerNode": 20},
 }
 
 
@@ -33,14 +33,14 @@ def priced_splits(spark, folder):
 @query("rf_predict")
 def rf_predict(spark, folder):
     train, _, test = priced_splits(spark, folder)
-    fitted = model.fit_forest(train, SEED, FOREST)
+    fitted = model.fit_forest(train, SEED)
     return fitted.predict(test, ["id", "price"])
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
     train, _, _ = priced_splits(spark, folder)
-    fitted = model.fit_forest(train, SEED, FOREST)
+    fitted = model.fit_forest(train, SEED)
     return spark.createDataFrame(
         model.feature_importance(fitted), "feature string, importance double"
     )
@@ -53,6 +53,80 @@ def rf_grid(spark, folder):
     return ledger.rank_candidates(model.require_finite(checkpointed(scores)))
 
 
+PRICED_SQL = "SELECT id, room_type, price FROM listing WHERE price BETWEEN 1000 AND 900000"
+
+
+@query(
+    "rf_facts",
+    f"""
+    WITH {LISTING_SQL},
+    test AS (SELECT id FROM ({stratified_sql(PRICED_SQL, "id", "room_type", TEST_SIZE)}) WHERE taken)
+    SELECT count(*) AS n_test, count(*) AS n_within_labels, TRUE AS beats_the_mean,
+           11::BIGINT AS n_importances, 1.0::DOUBLE AS importance_sum
+    FROM test
+    """,
+)
+def rf_facts(spark, folder):
+    """What holds for any sound forest: a prediction for each test row, within the labels it
+    learned from, better than their mean, and importances of all features that add up to 1."""
+    train, _, test = priced_splits(spark, folder)
+    fitted = model.fit_forest(train, SEED)
+    importances = model.feature_importance(fitted)
+    low, high, mean = train.agg(F.min("price"), F.max("price"), F.avg("price")).first()
+    off = F.col("price") - F.col("prediction")
+    return fitted.predict(test, ["id", "price"]).agg(
+        F.count("prediction").alias("n_test"),
+        F.count_if(F.col("prediction").between(low, high)).alias("n_within_labels"),
+        (F.sum(off * off) < F.sum((F.col("price") - mean) ** 2)).alias("beats_the_mean"),
+        F.lit(len(importances)).cast("bigint").alias("n_importances"),
+        F.round(F.lit(sum(w for _, w in importances)), 6).alias("importance_sum"),
+    )
+
+
+@query(
+    "rf_stump",
+    """
+    WITH o AS (SELECT o_orderkey AS id, o_totalprice AS y, dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS f0,
+                      (o_orderstatus = 'F')::INTEGER AS f1, (o_orderstatus = 'O')::INTEGER AS f2,
+                      (o_orderstatus = 'P')::INTEGER AS f3, month(o_orderdate) AS f4, dayofweek(o_orderdate) AS f5
+               FROM orders),
+    long AS (UNPIVOT o ON f0, f1, f2, f3, f4, f5 INTO NAME feature VALUE x),
+    sums AS (SELECT feature, x, count(*) AS n, sum(y) AS s FROM long GROUP BY 1, 2),
+    cuts AS (SELECT feature, x, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+                    sum(n) OVER (PARTITION BY feature) AS n, sum(s) OVER (PARTITION BY feature) AS s
+             FROM sums WINDOW w AS (PARTITION BY feature ORDER BY x)),
+    best AS (SELECT * FROM cuts WHERE nl < n
+             ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1)
+    SELECT id, round(CASE WHEN long.x <= best.x THEN sl / nl ELSE (s - sl) / (n - nl) END, 4) AS prediction
+    FROM long JOIN best USING (feature)
+    """,
+)
+def rf_stump(spark, folder):
+    """One tree of one split, over columns with so few values that every cut is tried.
+
+    Orders stand in as listings: the priority is the ordinal column, the status the category.
+    """
+    day, nothing = F.col("o_orderdate"), F.lit(0)
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_totalprice").alias("price"),
+        F.col("o_orderpriority").alias("room_type"),
+        F.col("o_orderstatus").alias("neighbourhood_group"),
+        F.month(day).alias("minimum_nights"),
+        F.dayofweek(day).alias("number_of_reviews"),
+        *[nothing.alias(c) for c in ("reviews_per_month", "calculated_host_listings_count")],
+        *[nothing.alias(c) for c in ("availability_365", "longitude", "latitude")],
+        F.lit(None).cast("date").alias("last_review"),
+        F.lit("plain").alias("name"),
+    )
+    stump = {
+        "numTrees": 1, "maxDepth": 1, "minInstancesPerNode": 1,
+        "featureSubsetStrategy": "all", "bootstrap": False,
+    }
+    fitted = model.fit_forest(orders, SEED, stump)
+    return fitted.predict(orders, ["id"]).withColumn("prediction", F.round("prediction", 4))
+
+
 def predicted_lines(spark, folder):
     """Line prices with quantity times retail price as a stand-in prediction."""
     part = table(spark, folder, "part").select(

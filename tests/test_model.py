@@ -66,10 +66,35 @@ def test_saved_model_predicts_the_same(priced, fitted, tmp_path):
     loaded = model.load_model(f"{tmp_path}/model")
     assert close(predictions(fitted, priced), predictions(loaded, priced))
     assert set(loaded.named_steps) == {"preprocessor", "random_forest"}
+    assert loaded.parameters == dict(fitted.parameters)
+    assert list(loaded.spec.columns) == list(fitted.spec.columns)
+    assert model.feature_importance(loaded) == model.feature_importance(fitted)
     with pytest.raises(Exception, match="already exists"):
         fitted.save(f"{tmp_path}/model")
 
 
+def test_settings_of_the_session_do_not_change_a_forest(spark, priced):
+    name, seen = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(name)
+    try:
+        for n in (4, 8):
+            spark.conf.set(name, n)
+            seen.append(predictions(model.fit_forest(priced, 42, SMALL), priced))
+    finally:
+        spark.conf.set(name, before)
+    assert close(*seen)
+
+
+def test_ordinal_codes_are_numbers_of_any_count(priced):
+    many = priced.withColumn("room_type", F.format_string("room %02d", F.col("id") % 40))
+    many = many.withColumn("price", F.col("id") % 40 * 10.0)
+    fitted = model.fit_forest(many, 42, {**SMALL, "numTrees": 10})
+    attributes = model.assemble(many, fitted.named_steps["preprocessor"]).schema["features"].metadata
+    nominal = attributes["ml_attr"]["attrs"].get("nominal", [])
+    assert not any(a["idx"] == 0 for a in nominal)
+    assert dict(model.feature_importance(fitted))["room_type"] > 0.5
+
+
 def test_model_is_better_than_the_mean(priced, fitted):
     scored = fitted.predict(priced, ["id", "price"])
     row = model.regression_metrics(scored, "price", "prediction").first()
@@ -118,7 +143,7 @@ def test_default_forest():
 def test_fitted_reference_date_is_saved(priced, tmp_path):
     spec = model.FeatureSpec(reference_date="fitted")
     model.fit_forest(priced, 42, SMALL, spec, partitions=4).save(f"{tmp_path}/fitted")
-    days = model.load_model(f"{tmp_path}/fitted", spec).named_steps["preprocessor"].stages[5]
+    days = model.load_model(f"{tmp_path}/fitted").named_steps["preprocessor"].stages[6]
     one = days.transform(priced.where("id = 1")).first()
     assert one["_days"] == 98
 
