@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from tallyhouse.plans.lookups import (
     BROADCAST_ROWS,
     derived_lookup,
+    hot_keys,
     join_lookup,
     stored_lookup,
 )
-from tallyhouse.plans.shared import checkpointed
+from tallyhouse.plans.shared import checkpointed, written
 from tallyhouse.schemas import CHECKS, TRAINING_STAGES
 
 RUNNING, COMPLETED, FAILED = "running", "completed", "failed"
@@ -451,22 +452,26 @@ def lineage_closure(
 ) -> DataFrame:
     """Every node reachable from the seeds, with its least number of steps: node, depth.
 
-    ``seeds`` has ``node``; ``edges`` has ``src`` and ``dst``. Each round follows the edges
-    of the nodes found last and leaves out known nodes, so loops end. The result of a round
-    is checkpointed; a source with very many edges is spread over tasks.
+    ``seeds`` has ``node``; ``edges`` has ``src`` and ``dst``. Edges are written once, so
+    their sources are read once however many rounds there are, and sources with very many
+    edges are found once, to be spread over tasks. Each round follows the edges of the nodes
+    found last and leaves out known nodes, so loops end. The result of a round is
+    checkpointed.
     """
-    depth = 0
-    links = edges.where("src is not null and dst is not null").select(
-        F.col("src").alias("node"), "dst"
+    depth, hot = 0, None
+    links = written(
+        edges.where("src is not null and dst is not null").select(F.col("src").alias("node"), "dst"),
+        "lineage-edges",
     )
     visited = seeds.where("node is not null").select("node").distinct()
     visited = checkpointed(visited.withColumn("depth", F.lit(0).cast("bigint")))
     frontier = visited.select("node")
     while True:
         depth += 1
-        step = join_lookup(
-            links, stored_lookup(frontier, max_lookup_rows), ["node"], "left_semi", spread_by=["dst"]
-        )
+        reached = stored_lookup(frontier, max_lookup_rows)
+        if not reached.fits and hot is None:
+            hot = hot_keys(links, ["node"])
+        step = join_lookup(links, reached, ["node"], "left_semi", spread_by=["dst"], hot=hot)
         found = checkpointed(
             step.select(F.col("dst").alias("node"))
             .distinct()
@@ -479,6 +484,14 @@ def lineage_closure(
         frontier = found.select("node")
 
 
+def dangling_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges whose target no record holds. ``nodes`` has ``node``, once or more often."""
+    known = derived_lookup(nodes.select(F.col("node").alias("dst")).distinct())
+    return join_lookup(
+        edges.where("dst is not null"), known, ["dst"], "left_anti", spread_by=["src"]
+    )
+
+
 def report_gate(
     cases: DataFrame,
     by: Sequence[str],

@@ -99,11 +99,14 @@ def join_lookup(
     spread_by: Sequence[str],
     salts: int = SALTS,
     share: float = HOT_SHARE,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Join ``big`` to a lookup with ``how`` in inner, left, left_semi, left_anti.
 
     ``spread_by`` names columns of ``big`` that differ between rows of one key (its unique
     key at best). The salt is their hash, so a rerun task gives each row the same salt.
+    Beyond the bound ``big`` is read twice, for its hot keys and for the join: store it first
+    if it is expensive, or hand over ``hot`` from ``hot_keys`` if it is joined often.
     """
     on = list(on)
     types = [dict(side.dtypes) for side in (big, lookup.table)]
@@ -111,7 +114,7 @@ def join_lookup(
         raise ValueError(f"The key columns {on} must have the same types on both sides")
     if lookup.fits:
         return big.join(F.broadcast(lookup.table), on, how)
-    hot = hot_keys(big, on, share)
+    hot = hot_keys(big, on, share) if hot is None else list(hot)
     if not hot:
         return big.join(lookup.table, on, how)
     is_hot = F.xxhash64(*[F.col(c) for c in on]).isin(hot)

@@ -7,9 +7,10 @@ events from ``events``, candidates from ``supplier`` and its lines, splits from
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import digests, ledger, model
-from tallyhouse.plans.lookups import join_lookup, stored_lookup
+from tallyhouse.plans.lookups import derived_lookup, join_lookup, stored_lookup
 from tallyhouse.plans.shared import written
 from tallyhouse.schemas import STAGES
+from tallyhouse.sources import records
 from tallyhouse.workload.modelling import predicted_lines
 from tallyhouse.workload.registry import query
 from tallyhouse.workload.splitting import fingerprint_sql
@@ -603,6 +604,74 @@ def folder_digest(spark, folder):
     return digests.folder_digest(files, "conv_id", "path", "digest")
 
 
+@query(
+    "lineage_edges",
+    """
+    WITH o AS (SELECT o_orderkey, 'orders/' || o_orderkey AS src, o_custkey, o_orderstatus FROM orders),
+    e AS (
+      SELECT src, 'customers/' || o_custkey AS dst FROM o
+      UNION ALL SELECT src, 'parts/' || l_partkey || CASE WHEN l_returnflag = 'R' THEN '-returned' ELSE '' END
+                FROM o JOIN lineitem ON l_orderkey = o_orderkey
+    ),
+    known AS (SELECT 'customers/' || c_custkey AS dst FROM customer WHERE c_acctbal >= 0
+              UNION ALL SELECT 'parts/' || p_partkey FROM part)
+    SELECT src, dst, sha256(dst) AS sha256, dst NOT IN (SELECT dst FROM known) AS dangling FROM e
+    """,
+)
+def lineage_edges(spark, folder):
+    """Orders as nested JSON records that refer to a customer and, deeper, to parts.
+
+    Nobody recorded customers in debt, nor parts that were sent back.
+    """
+
+    def artifact(path):
+        return F.struct(path.alias("path"), F.sha2(path, 256).alias("sha256"))
+
+    sent_back = F.when(F.col("l_returnflag") == "R", "-returned").otherwise("")
+    part = F.concat(F.lit("parts/"), F.col("l_partkey").cast("string"), sent_back)
+    # The lines of an order are few.
+    lines = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.collect_list(F.struct("l_linenumber", artifact(part).alias("input"))).alias("steps")
+    )
+    orders = table(spark, folder, "orders").join(lines, "o_orderkey", "left")
+    customer = F.concat(F.lit("customers/"), F.col("o_custkey").cast("string"))
+    record = F.to_json(
+        F.struct(
+            F.lit(1).alias("schema_version"),
+            F.struct(artifact(customer).alias("config"), F.col("o_orderstatus").alias("path")).alias("code"),
+            F.struct(F.col("steps")).alias("stages"),
+        )
+    )
+    edges = written(
+        records.edges_of(
+            orders.select(
+                F.concat(F.lit("orders/"), F.col("o_orderkey").cast("string")).alias("run"),
+                record.alias("record"),
+            ),
+            "run",
+            "record",
+        ),
+        "record-edges",
+    )
+
+    def nodes(name, kind, key):
+        return table(spark, folder, name).select(F.concat(F.lit(f"{kind}/"), F.col(key).cast("string")).alias("node"))
+
+    solvent = table(spark, folder, "customer").where("c_acctbal >= 0")
+    known = nodes("part", "parts", "p_partkey").unionByName(
+        solvent.select(F.concat(F.lit("customers/"), F.col("c_custkey").cast("string")).alias("node"))
+    )
+    open_ends = ledger.dangling_edges(edges, known).select("dst").distinct()
+    marked = join_lookup(
+        edges,
+        derived_lookup(open_ends.withColumn("_open", F.lit(True))),
+        ["dst"],
+        "left",
+        spread_by=["src"],
+    )
+    return marked.select("src", "dst", "sha256", F.coalesce("_open", F.lit(False)).alias("dangling"))
+
+
 @query(
     "lineage_closure",
     """

@@ -178,3 +178,45 @@ def test_incomplete_or_repeated_cases_are_refused(spark):
     twice = without.unionByName(cases.where("report = 'r2' and name = 'test_row_count'"))
     got = {r["report"]: r["accepted"] for r in report_gate(twice, ["report"]).collect()}
     assert got == {"r0": True, "r1": False, "r2": False}
+
+
+def test_edges_of_nested_records(spark):
+    rows = [
+        ("a", '{"x": {"path": "p1", "sha256": "s1"}, "list": [[{"deep": {"path": "p2", "sha256": "s2", "k": []}}]]}'),
+        ("b", '{"path": "p3", "sha256": "s3", "more": {"path": "no digest"}, "odd": {"sha256": "s"}}'),
+        ("c", '"text"'),
+        ("d", "[]"),
+        ("e", None),
+    ]
+    df = spark.createDataFrame(rows, "id string, record string")
+    got = sorted(tuple(r) for r in records.edges_of(df, "id", "record").collect())
+    assert got == [("a", "p1", "s1"), ("a", "p2", "s2"), ("b", "p3", "s3")]
+    none = records.edges_of(df.limit(0), "id", "record")
+    assert none.columns == ["src", "dst", "sha256"] and none.count() == 0
+
+
+def test_manifest_problems(spark):
+    rows = [(1, "r1", "r1"), (2, "r2", "r2"), (1, "r3", "other"), (None, None, "r4")]
+    df = spark.createDataFrame(rows, "schema_version int, run_id string, folder string")
+    got = {r["folder"]: r["problems"] for r in records.manifest_problems(df).collect()}
+    assert got == {"r2": ["version"], "other": ["run"], "r4": ["version", "run"]}
+
+
+def test_csv_keeps_blanks_at_both_ends(spark, tmp_path):
+    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("t", T.StringType())])
+    df = spark.createDataFrame([(1, " lead"), (2, "trail \t"), (3, "  ")], schema)
+    tables.write_csv(df, f"{tmp_path}/t")
+    back = tables.read_csv(spark, f"{tmp_path}/t", schema)
+    assert sorted(map(tuple, back.collect())) == [(1, " lead"), (2, "trail \t"), (3, "  ")]
+
+
+def test_baseline_needs_a_completed_cleaning(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "id int, t string")
+    outputs = spark.createDataFrame(
+        [("r1", "basic_cleaning", "completed", "here"), ("r2", "basic_cleaning", "failed", "here")],
+        "run_id string, stage string, stage_status string, path string",
+    )
+    with pytest.raises(ValueError, match="completed cleaning"):
+        tables.create_baseline(df, "here", "r2", f"{tmp_path}/no", outputs)
+    tables.create_baseline(df, "here", "r1", f"{tmp_path}/yes", outputs)
+    assert tables.load_baseline(spark, f"{tmp_path}/yes").count() == 1
