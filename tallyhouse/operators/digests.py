@@ -2,6 +2,8 @@
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -54,7 +56,8 @@ def folder_digest(files: DataFrame, folder: str, path: str, digest: str) -> Data
 
     Contents are hashed where they are read; only paths and digests move. A running SHA-256
     is sequential by definition, so each folder is streamed in sorted order through one hash
-    object, batch by batch: memory does not grow with the folder.
+    object, batch by batch: memory does not grow with the folder. One folder is the work of
+    one task: use this for folders of models and reports, ``table_fingerprint`` for tables.
     """
     rows = (
         files.select(
@@ -74,13 +77,14 @@ def _stream_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     folder, running, n = None, None, 0
     for batch in batches:
         done = []
-        for name, path, digest in batch.itertuples(index=False):
+        for name, rows in groupby(batch.itertuples(index=False, name=None), key=itemgetter(0)):
             if running is None or name != folder:
                 if running is not None:
                     done.append((folder, n, running.hexdigest()))
                 folder, running, n = name, hashlib.sha256(), 0
-            running.update(path.encode() + b"\0" + bytes.fromhex(digest))
-            n += 1
+            parts = [path.encode() + b"\0" + bytes.fromhex(digest) for _, path, digest in rows]
+            running.update(b"".join(parts))
+            n += len(parts)
         if done:
             yield pd.DataFrame(done, columns=["folder", "n_files", "sha256"])
     if running is not None:
