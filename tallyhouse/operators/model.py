@@ -33,6 +33,8 @@ DEFAULT_FOREST = {
 }
 
 
+# Memory for the statistics of nodes that are split in one pass; more means fewer passes.
+STATISTICS_MB = 512
 # A forest sees this many rows in a partition at most, and at least this many partitions.
 PARTITION_ROWS = 100_000
 LEAST_PARTITIONS = 8
@@ -168,8 +170,9 @@ def fit_forests(
         settings = {**DEFAULT_FOREST, **forest}
         if settings.setdefault("seed", seed) != seed:
             raise ValueError("The forest seed must equal the split seed")
-        regressors[name] = RandomForestRegressor(
-            featuresCol="features", labelCol=spec.label, predictionCol="prediction", **settings
+        regressors[name] = RandomForestRegressor(
+            featuresCol="features", labelCol=spec.label, predictionCol="prediction",
+            maxMemoryInMB=STATISTICS_MB, **settings,
         )
     models = {}
     rows = train.select(spec.key, spec.label, *spec.columns).persist()
