@@ -20,11 +20,13 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         folder = new_folder(self.spark, name)
-        df.write.parquet(folder)
+        df.write.option("compression", "zstd").parquet(folder)
         table = self.spark.read.schema(df.schema).parquet(folder)
         self.folders[id(table)] = folder
         # Shuffle files of the step go when the driver's objects for it are collected; left
-        # alone, that may be long after the job.
+        # alone, that may be long after the job. The scheduler holds on to the last job, so
+        # a short one has to follow first.
+        table.take(1)
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
         return table
