@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 CHUNK_CHARS = 1 << 20
+BATCH_BYTES = 8 << 20
 # Multiplier of the rolling hashes (fixed value, odd).
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -24,6 +25,14 @@ def chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, in
         yield start, len(texts)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``BATCH_BYTES``, which bounds a task's memory."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * BATCH_BYTES // max(batch.nbytes, 1))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def with_columns(df: DataFrame, added: T.StructType) -> T.StructType:
     """The schema of ``df`` without the columns that ``added`` replaces, then ``added``."""
     names = set(added.names)
@@ -38,7 +47,7 @@ def map_texts(
     kept = [name for name in schema.names if name not in set(added.names)]
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             columns = [batch.column(name) for name in kept] + compute(batch)
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 

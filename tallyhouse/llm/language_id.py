@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.batches import chunks, map_texts, mixed
+from tallyhouse.llm.batches import chunks, map_texts, mixed, slices
 from tallyhouse.llm.registry import query, table
 
 UNDETERMINED = "und"
@@ -105,7 +105,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMode
 
     def count(batches):
         counts, rows = {}, {}
-        for batch in batches:
+        for batch in slices(batches):
             by_language = {}
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by_language.setdefault(name, []).append(value)
