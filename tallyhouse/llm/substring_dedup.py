@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from tallyhouse.llm.automaton import SuffixAutomaton
-from tallyhouse.llm.batches import CHUNK_CHARS, chunks, mixed, rolling
+from tallyhouse.llm.batches import CHUNK_CHARS, FACTOR, chunks, mixed, rolling, slices
 from tallyhouse.llm.registry import query, table
 from tallyhouse.llm.scratch import Scratch
 
@@ -54,25 +54,26 @@ class _Powers:
 
 
 class _Words:
-    """Words of some texts: bytes, place of each word, number of its text, and hashes."""
+    """Words of some texts: the words, the number of the text of each, and hashes."""
 
     def __init__(self, texts: list[bytes], powers: _Powers):
-        self.data = b"\n".join(texts) + b"\n"
-        codes = np.frombuffer(self.data, dtype=np.uint8)
+        data = b"\n".join(texts) + b"\n"
+        self.pieces = data.split()
+        codes = np.frombuffer(data, dtype=np.uint8)
         blank = BLANK[codes]
         edges = np.flatnonzero(np.diff(np.concatenate(([True], blank)).astype(np.int8)))
-        self.starts, self.ends = edges[0::2], edges[1::2]
+        starts, ends = edges[0::2], edges[1::2]
         lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
         first = np.cumsum(lengths) - lengths
-        self.owners = np.searchsorted(first, self.starts, side="right") - 1
+        self.owners = np.searchsorted(first, starts, side="right") - 1
         up, down = powers(len(codes) + 1)
         sums = np.zeros(len(codes) + 1, dtype=np.uint64)
         np.cumsum(WEIGHTS[codes] * up[: len(codes)], out=sums[1:])
-        self.hashes = mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        self.hashes = mixed((sums[ends] - sums[starts]) * down[starts])
 
     def text(self, first: int, last: int) -> bytes:
         """Words ``first`` to ``last`` (exclusive), joined by one space."""
-        return b" ".join(self.data[self.starts[first] : self.ends[last - 1]].split())
+        return b" ".join(self.pieces[first:last])
 
     def runs(self):
         """(first window, windows, anchor) of maximal runs of windows with one anchor place."""
@@ -107,7 +108,7 @@ def _texts(batch, column: str):
 
 
 def _anchors(batches):
-    for batch in batches:
+    for batch in slices(batches):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for rows, words in _texts(batch, "text"):
             first, _, anchors = words.runs()
@@ -126,7 +127,7 @@ def _decided(doc_id, n_words, n_removed, kept) -> list:
 def _sort_out(batches):
     """Documents without a repeated anchor are done; the others go on with their text."""
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", "text", "anchors", "hot"]
-    for batch in batches:
+    for batch in slices(batches):
         columns = [batch.column(c).to_pylist() for c in ("doc_id", "text", "anchors", "hot")]
         out = []
         for doc_id, text, anchors, hot in zip(*columns):
@@ -149,35 +150,55 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in ddl.split(", "))])
 
 
+def _marked(rows: np.ndarray, anchors: np.ndarray, lists: list) -> np.ndarray:
+    """Which (row, anchor) pairs stand in the rows' lists. A false mark only costs time."""
+
+    def keys(numbers, values):
+        return mixed(values.astype(np.int64).view(np.uint64) ^ (numbers.astype(np.uint64) * FACTOR))
+
+    sizes = [len(x or ()) for x in lists]
+    known = np.fromiter((v for x in lists for v in x or ()), np.int64, sum(sizes))
+    return np.isin(keys(rows, anchors), keys(np.repeat(np.arange(len(lists)), sizes), known))
+
+
 def _segments(words: _Words, anchors: list, hot: list):
-    """(key, first window, windows) of the text at each repeated anchor of one text.
+    """For each text, the (key, first window, windows) of its text at repeated anchors.
 
     Runs at a hot anchor are cut into single windows, keyed by their own hashes.
     """
     first, sizes, found = words.runs()
-    found = found.view(np.int64)
-    wanted = np.isin(found, anchors)
-    split = wanted & np.isin(found, hot or [])
-    plain = wanted & ~split
-    yield from zip(found[plain].tolist(), first[plain].tolist(), sizes[plain].tolist())
-    if split.any():
-        keys = rolling(words.hashes, WINDOW).view(np.int64)
-        for start, size in zip(first[split].tolist(), sizes[split].tolist()):
-            for window in range(start, start + size):
-                yield int(keys[window]), window, 1
+    found, rows = found.view(np.int64), words.owners[first] if len(first) else first
+    wanted = np.flatnonzero(_marked(rows, found, anchors))
+    first, sizes, found, rows = (x[wanted] for x in (first, sizes, found, rows))
+    split = _marked(rows, found, hot)
+    keys = rolling(words.hashes, WINDOW).view(np.int64) if split.any() else None
+    out: list[list] = [[] for _ in anchors]
+    columns = (rows, found, first, sizes, split)
+    for row, key, start, size, cut in zip(*(c.tolist() for c in columns)):
+        if cut:
+            out[row] += [(int(keys[w]), w, 1) for w in range(start, start + size)]
+        else:
+            out[row].append((key, start, size))
+    return out
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _single(batch):
-    """(position, doc_id, words, segments) of each row."""
+def _opened(batch):
+    """(position, doc_id, words, first and last word, segments) of each row."""
     powers = _Powers()
-    columns = [batch.column(c).to_pylist() for c in ("doc_id", "text", "anchors", "hot")]
-    for i, (doc_id, text, anchors, hot) in enumerate(zip(*columns)):
-        words = _Words([text.encode("utf-8", "surrogatepass")], powers)
-        yield i, doc_id, words, list(_segments(words, anchors, hot))
+    ids, texts, anchors, hot = (
+        batch.column(c).to_pylist() for c in ("doc_id", "text", "anchors", "hot")
+    )
+    texts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    for first, last in chunks(texts, CHUNK_CHARS):
+        words = _Words(texts[first:last], powers)
+        segments = _segments(words, anchors[first:last], hot[first:last])
+        ends = np.searchsorted(words.owners, np.arange(last - first), side="right").tolist()
+        for k, (start, end) in enumerate(zip([0, *ends], ends)):
+            yield first + k, ids[first + k], words, start, end, segments[k]
 
 
 def _references(batches):
@@ -192,8 +213,8 @@ def _references(batches):
             [pa.array([r[i] for r in rows], schema.field(i).type) for i in range(4)], schema=schema
         )
 
-    for batch in batches:
-        for _, doc_id, words, segments in _single(batch):
+    for batch in slices(batches):
+        for _, doc_id, words, _, _, segments in _opened(batch):
             for key, first, windows in segments:
                 mark = (key, words.text(first, first + windows + WINDOW - 1))
                 lo, hi = held.get(mark, (doc_id, doc_id))
@@ -206,9 +227,9 @@ def _references(batches):
 def _places(batches):
     """Which document holds which segment."""
     schema = _arrow("key bigint, segment bigint, doc_id bigint")
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
-        for _, doc_id, words, segments in _single(batch):
+        for _, doc_id, words, _, _, segments in _opened(batch):
             for key, first, windows in segments:
                 text = words.text(first, first + windows + WINDOW - 1)
                 rows.append((key, _signed(xxh64_intdigest(text)), doc_id))
@@ -277,23 +298,22 @@ def _match(batches):
 def _remove(batches):
     """Drop the words of all marked windows; a negative mask marks the whole segment."""
     schema = _arrow(DECIDED)
-    for batch in batches:
+    for batch in slices(batches):
         marks = [batch.column(c).to_pylist() for c in ("keys", "segments", "masks")]
         out = []
-        for i, doc_id, words, segments in _single(batch):
+        for i, doc_id, words, start, end, segments in _opened(batch):
             marked = {(k, s): m for k, s, m in zip(*[column[i] or [] for column in marks])}
-            n = len(words.starts)
+            n = end - start
             cover = np.zeros(n + 1, dtype=np.int64)
             for key, first, windows in segments:
                 text = words.text(first, first + windows + WINDOW - 1)
                 mask = marked.get((key, _signed(xxh64_intdigest(text))), 0)
                 for window in range(windows):
                     if mask < 0 or mask >> window & 1:
-                        cover[first + window] += 1
-                        cover[first + window + WINDOW] -= 1
+                        cover[first - start + window] += 1
+                        cover[first - start + window + WINDOW] -= 1
             kept = np.flatnonzero(np.cumsum(cover[:n]) == 0)
-            pieces = words.data.split()
-            text = b" ".join([pieces[k] for k in kept.tolist()])
+            text = b" ".join([words.pieces[start + k] for k in kept.tolist()])
             out.append(_decided(doc_id, n, n - len(kept), text))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in out], schema.field(i).type) for i in range(4)], schema=schema
