@@ -39,9 +39,13 @@ NUMBER_WORDS = frozenset(
 NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,/:]*(?:%|st|nd|rd|th)?")
 EDGES = re.compile(r"^[^\w$€£%]+|[^\w$€£%]+$")
 
-# Kind of a word in the two lowest bits of its code; the rest is a hash of the word.
+SENTENCE_END = re.compile(r"[.!?:][\"')\]]*$")
+
+# The two lowest bits of a word's code hold its kind, the next one whether a sentence ends
+# with it; the rest is a hash of the word.
 LITERAL, NUMERIC, NAME, UNIT = range(4)
-KIND = np.uint64(3)
+KIND, ENDS = np.uint64(3), np.uint64(4)
+FLAGS = 7
 
 WINDOWS = T.ArrayType(
     T.StructType(
@@ -66,13 +70,15 @@ class _Codes(dict):
             kind = NUMERIC
         elif lower in UNITS:
             kind = UNIT
-        elif plain[:1].isupper():
+        elif plain[:1].isupper() and not plain.isupper():
             kind = NAME
         else:
             kind = LITERAL
         if len(self) >= CACHED_WORDS:
             self.clear()
-        self[word] = code = (xxh64_intdigest(lower.encode("utf-8", "surrogatepass")) & ~3) | kind
+        ends = 4 if SENTENCE_END.search(word) else 0
+        hashed = xxh64_intdigest(lower.encode("utf-8", "surrogatepass"))
+        self[word] = code = (hashed & ~FLAGS) | ends | kind
         return code
 
 
@@ -87,7 +93,11 @@ def _windows(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     if count <= 0:
         return (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),)
     kinds = codes & KIND
+    # The first word of a sentence has its capital for another reason.
+    first = np.concatenate(([True], codes[:-1] & ENDS != 0))
+    kinds[first & (kinds == NAME)] = LITERAL
     literal = kinds == LITERAL
+    codes = codes >> np.uint64(3)
     enough = np.cumsum(np.concatenate(([0], literal)))
     enough = enough[n:] - enough[:-n] >= LITERAL_SHARE * n
     template = rolling(np.where(literal, mixed(codes), kinds), n)
@@ -112,12 +122,15 @@ def template_windows(
 ) -> DataFrame:
     """Add ``windows`` of each whole text, for every number of words in ``sizes``.
 
-    Words are split at blanks; numbers, names (words with a capital first letter) and units
-    become typed slots. A text with fewer words than a size has no window of that size, or
-    with ``shorter`` one that is all of it. A null or empty text has none.
+    Words are split at blanks; numbers, units and names become typed slots. A name has a
+    capital first letter, is not all in capitals and does not begin a sentence; other words
+    are compared without regard to case. A text with fewer words than a size has no window
+    of that size, or with ``shorter`` one that is all of it. A null or empty text has none.
     """
+    # Filled as the task goes on.
+    codes = _Codes()
 
-    def of_text(text, codes):
+    def of_text(text):
         words = text.split()
         coded = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
         for n in sizes:
@@ -127,10 +140,9 @@ def template_windows(
                 yield template, slots, at, np.full(len(at), n)
 
     def compute(batch):
-        codes = _Codes()
         counts, found = [0], [(np.zeros(0, np.uint64),) * 4]
         for t in batch.column(text).to_pylist():
-            own = list(of_text(t or "", codes))
+            own = list(of_text(t or ""))
             counts.append(counts[-1] + sum(len(w[0]) for w in own))
             found += own
         kinds = (np.int64, np.int64, np.int32, np.int32)

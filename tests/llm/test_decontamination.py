@@ -72,3 +72,16 @@ def test_verbatim_passages_of_given_tables(spark, medium):
 def test_empty_tables(spark):
     assert found(spark, []) == {}
     assert found(spark, TEXTS, items=[]) == {}
+
+
+def test_case_and_sentence_starts_do_not_hide_a_passage(spark):
+    item = "Where does the long road end. Nobody who walks it in winter will ever know that."
+    texts = [
+        (1, "so far " + item.upper() + "!! and on"),
+        (2, "so far. " + item),
+        (3, item.lower()),
+        (4, "so far " + item),
+    ]
+    hits = found(spark, texts, [(1, item)])
+    assert {i for i, _ in hits} == {1, 2, 3, 4}
+    assert hits[1, 1].share == hits[2, 1].share == hits[3, 1].share == 1.0
