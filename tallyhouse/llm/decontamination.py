@@ -15,7 +15,8 @@ from tallyhouse.llm.registry import query, table
 from tallyhouse.plans.lookups import BROADCAST_ROWS, stored_lookup
 
 WINDOW = 10
-# A window of slots alone fits everything; this share of its words must be literal.
+# A window of slots alone fits everything; this share of its words must be literal for a
+# match by template. Windows below it match word for word.
 LITERAL_SHARE = 0.6
 CACHED_WORDS = 300_000
 
@@ -42,10 +43,11 @@ EDGES = re.compile(r"^[^\w$€£%]+|[^\w$€£%]+$")
 SENTENCE_END = re.compile(r"[.!?:][\"')\]]*$")
 
 # The two lowest bits of a word's code hold its kind, the next one whether a sentence ends
-# with it; the rest is a hash of the word.
+# with it, the fourth whether it is marks alone; the rest is a hash of the word.
 LITERAL, NUMERIC, NAME, UNIT = range(4)
-KIND, ENDS = np.uint64(3), np.uint64(4)
-FLAGS = 7
+KIND, ENDS, MARKS = np.uint64(3), np.uint64(4), np.uint64(8)
+FLAGS = 15
+FLAG_BITS = np.uint64(4)
 
 WINDOWS = T.ArrayType(
     T.StructType(
@@ -54,6 +56,7 @@ WINDOWS = T.ArrayType(
             T.StructField("slots", T.LongType()),
             T.StructField("at", T.IntegerType()),
             T.StructField("words", T.IntegerType()),
+            T.StructField("counts", T.BooleanType()),
         ]
     )
 )
@@ -77,30 +80,33 @@ class _Codes(dict):
         if len(self) >= CACHED_WORDS:
             self.clear()
         ends = 4 if SENTENCE_END.search(word) else 0
-        hashed = xxh64_intdigest(lower.encode("utf-8", "surrogatepass"))
-        self[word] = code = (hashed & ~FLAGS) | ends | kind
+        marks = 0 if plain else 8
+        hashed = xxh64_intdigest((lower or word).encode("utf-8", "surrogatepass"))
+        self[word] = code = (hashed & ~FLAGS) | marks | ends | kind
         return code
 
 
-def _windows(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template hash, slot hash and first word of all windows of ``n`` words that count.
+def _windows(codes: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """Key, slot hash, first word and whether it counts, of all windows of ``n`` words.
 
-    The template hash sees literal words and kinds of slots. The slot hash sees which slots
-    of the window hold equal values, so two windows with equal hashes have slots that map to
-    each other one to one.
+    Each window has the key of its words as they are, and, if it counts, that of its template,
+    which sees literal words and kinds of slots. The slot hash sees which slots of the window
+    hold equal values, so two windows with equal hashes have slots that map to each other one
+    to one. A window without slots has the same key either way.
     """
     count = len(codes) - n + 1
-    if count <= 0:
-        return (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),)
     kinds = codes & KIND
     # The first word of a sentence has its capital for another reason.
     first = np.concatenate(([True], codes[:-1] & ENDS != 0))
     kinds[first & (kinds == NAME)] = LITERAL
     literal = kinds == LITERAL
-    codes = codes >> np.uint64(3)
+    marks = codes & MARKS != 0
+    codes = codes >> FLAG_BITS
+    words = mixed(codes)
     enough = np.cumsum(np.concatenate(([0], literal)))
     enough = enough[n:] - enough[:-n] >= LITERAL_SHARE * n
-    template = rolling(np.where(literal, mixed(codes), kinds), n)
+    verbatim = rolling(words, n)
+    template = rolling(np.where(literal & ~marks, words, kinds), n)
     # Words back to the last slot of the same value; 0 for none.
     back = np.zeros(len(codes), dtype=np.int64)
     at = np.flatnonzero(~literal)
@@ -113,12 +119,29 @@ def _windows(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndar
         step = back[k : k + count]
         slots *= FACTOR
         slots += np.where(step <= k, step, 0).astype(np.uint64)
-    at = np.flatnonzero(enough)
-    return template[at], slots[at], at
+    at = np.flatnonzero(enough & (template != verbatim))
+    return (
+        np.concatenate((verbatim, template[at])),
+        np.concatenate((np.zeros(count, np.uint64), slots[at])),
+        np.concatenate((np.arange(count), at)),
+        np.concatenate((enough, enough[at])),
+    )
+
+
+def _table(keys: np.ndarray) -> np.ndarray:
+    """A table by the highest bits of keys: which of them any of ``keys`` has."""
+    bits = max(16, (16 * len(keys)).bit_length())
+    table = np.zeros(1 << bits, dtype=bool)
+    table[keys >> np.uint64(64 - bits)] = True
+    return table
 
 
 def template_windows(
-    rows: DataFrame, sizes: Sequence[int], shorter: bool = False, text: str = "text"
+    rows: DataFrame,
+    sizes: Sequence[int],
+    shorter: bool = False,
+    text: str = "text",
+    known: np.ndarray | None = None,
 ) -> DataFrame:
     """Add ``windows`` of each whole text, for every number of words in ``sizes``.
 
@@ -126,7 +149,11 @@ def template_windows(
     capital first letter, is not all in capitals and does not begin a sentence; other words
     are compared without regard to case. A text with fewer words than a size has no window
     of that size, or with ``shorter`` one that is all of it. A null or empty text has none.
+    Each window comes with the key of its words in lower case, and if it ``counts``, having
+    enough literal words, with that of its template too. Windows that have none of the
+    ``known`` keys may be left out.
     """
+    table = None if known is None else _table(known)
     # Filled as the task goes on.
     codes = _Codes()
 
@@ -136,19 +163,23 @@ def template_windows(
         for n in sizes:
             n = min(n, len(words)) if shorter else n
             if 0 < n <= len(words):
-                template, slots, at = _windows(coded, n)
-                yield template, slots, at, np.full(len(at), n)
+                template, slots, at, counts = _windows(coded, n)
+                if table is not None:
+                    high = template >> np.uint64(65 - len(table).bit_length())
+                    kept = np.flatnonzero(table[high])
+                    template, slots, at, counts = (c[kept] for c in (template, slots, at, counts))
+                yield template, slots, at, np.full(len(at), n), counts
 
     def compute(batch):
-        counts, found = [0], [(np.zeros(0, np.uint64),) * 4]
+        counts, found = [0], [(np.zeros(0, np.uint64),) * 5]
         for t in batch.column(text).to_pylist():
             own = list(of_text(t or ""))
             counts.append(counts[-1] + sum(len(w[0]) for w in own))
             found += own
-        kinds = (np.int64, np.int64, np.int32, np.int32)
+        kinds = (np.int64, np.int64, np.int32, np.int32, np.bool_)
         columns = [np.concatenate([f[i] for f in found]).astype(k) for i, k in enumerate(kinds)]
         structs = pa.StructArray.from_arrays(
-            [pa.array(c) for c in columns], names=["template", "slots", "at", "words"]
+            [pa.array(c) for c in columns], names=["template", "slots", "at", "words", "counts"]
         )
         return [pa.ListArray.from_arrays(pa.array(counts, pa.int32()), structs)]
 
@@ -158,50 +189,78 @@ def template_windows(
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """One row per document and benchmark item that share a template window.
+    """One row per document and benchmark item that share a window.
 
     Columns: ``doc_id``, ``item_id``, ``n_windows`` (places in the document), ``first_word``,
     ``last_word`` (their smallest and largest start) and ``share`` of the item's windows that
     were found. Windows match if their templates are equal and their slots consistent: equal
-    values stand at the same places of both. Windows with too few literal words do not
-    count; an item shorter than the window is matched as a whole.
+    values stand at the same places of both. Windows match as well if all their words are
+    equal without regard to case, whatever they are. An item shorter than the window is
+    matched as a whole.
+
+    Windows of the item with too few literal words match by their words only. They are left
+    out of the figures, unless the document has no other window of the item: then the figures
+    are of all windows.
 
     Rows with equal ids count together. Null texts and ids match nothing. Empty tables give
-    no rows. The benchmark's windows are broadcast if they are within ``max_rows``, else
-    joined by a shuffle.
+    no rows. The benchmark's windows are broadcast if they are within ``max_rows``, and only
+    windows that may match one are taken from the documents; else all are joined by a shuffle.
     """
     items = (
         template_windows(
             benchmark.select("item_id", "text").where("item_id is not null"), [window], shorter=True
         )
         .select("item_id", F.explode("windows").alias("w"))
-        .select("item_id", "w.template", F.col("w.slots").alias("_slots"), "w.words", F.col("w.at").alias("_at"))
-    )
+        .select(
+            "item_id", "w.template", F.col("w.slots").alias("_slots"), "w.words",
+            F.col("w.at").alias("_at"), F.when(F.col("w.counts"), F.col("w.at")).alias("_counted"),
+        )
+    )
     lookup = stored_lookup(items, max_rows)
     sizes = sorted({window} | {r[0] for r in items.select("words").distinct().collect()})
+    known = None
+    if lookup.fits:
+        keys = [r[0] for r in items.select("template").distinct().collect()]
+        known = np.array(keys, dtype=np.int64).astype(np.uint64)
     windows = (
-        template_windows(docs.select("doc_id", "text").where("doc_id is not null"), sizes)
+        template_windows(
+            docs.select("doc_id", "text").where("doc_id is not null"), sizes, known=known
+        )
         .select("doc_id", F.explode("windows").alias("w"))
         .select("doc_id", "w.template", "w.slots", "w.words", "w.at")
     )
     matches = windows.join(
         F.broadcast(items) if lookup.fits else items, ["template", "words"]
     ).where("slots = _slots")
+
+    def figures(at, ats):
+        return F.struct(
+            F.count(at).alias("n_windows"),
+            F.min(at).cast("bigint").alias("first_word"),
+            F.max(at).cast("bigint").alias("last_word"),
+            F.size(F.array_distinct(F.flatten(F.collect_list(ats)))).alias("found"),
+        )
+
     # Places, then windows, are counted in steps, so that no row is multiplied.
-    places = matches.groupBy("doc_id", "item_id", "at").agg(F.collect_set("_at").alias("_ats"))
-    totals = items.groupBy("item_id").agg(F.countDistinct("_at").alias("_windows"))
+    places = matches.groupBy("doc_id", "item_id", "at").agg(
+        F.collect_set("_at").alias("_ats"), F.collect_set("_counted").alias("_counted")
+    )
+    totals = items.groupBy("item_id").agg(
+        F.countDistinct("_at").alias("_windows"), F.countDistinct("_counted").alias("_counting")
+    )
+    counted = F.col("_of_counted.n_windows") > 0
     return (
         places.groupBy("doc_id", "item_id")
         .agg(
-            F.count("*").alias("n_windows"),
-            F.min("at").cast("bigint").alias("first_word"),
-            F.max("at").cast("bigint").alias("last_word"),
-            F.size(F.array_distinct(F.flatten(F.collect_list("_ats")))).alias("_found"),
+            figures(F.col("at"), "_ats").alias("_of_all"),
+            figures(F.when(F.size("_counted") > 0, F.col("at")), "_counted").alias("_of_counted"),
         )
         .join(F.broadcast(totals) if lookup.fits else totals, "item_id")
+        .withColumn("_of", F.when(counted, F.col("_of_counted")).otherwise(F.col("_of_all")))
         .select(
-            "doc_id", "item_id", "n_windows", "first_word", "last_word",
-            (F.col("_found") / F.col("_windows")).alias("share"),
+            "doc_id", "item_id", "_of.n_windows", "_of.first_word", "_of.last_word",
+            (F.col("_of.found") / F.when(counted, F.col("_counting")).otherwise(F.col("_windows")))
+            .alias("share"),
         )
     )
 

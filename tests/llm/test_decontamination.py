@@ -85,3 +85,26 @@ def test_case_and_sentence_starts_do_not_hide_a_passage(spark):
     hits = found(spark, texts, [(1, item)])
     assert {i for i, _ in hits} == {1, 2, 3, 4}
     assert hits[1, 1].share == hits[2, 1].share == hits[3, 1].share == 1.0
+
+
+NUMERIC = "Compute 17 * 23 + 41 - 6 * 9 and 5 * 8 - 2 + 11 ."
+TITLED = "The Old Kingdom And Its Many Long Lost Towns Near The River"
+
+
+@pytest.mark.parametrize("max_rows", [100_000, 0])
+def test_verbatim_copies_of_slots(spark, max_rows):
+    items = [(1, NUMERIC), (2, TITLED), (5, ITEMS[5][1]), (6, "Adam Smith")]
+    texts = [
+        (1, "now " + NUMERIC + " then"),
+        (2, "we saw " + TITLED + " again"),
+        (3, "we saw " + TITLED.lower() + " again"),
+        (4, "so Anna 5 km Ben 6 km Carl 7 km Dora 8 km Emil"),
+        (5, NUMERIC.replace("*", "/")),
+        (6, NUMERIC.replace("17", "18").replace("11", "12").replace("9", "7")),
+        (7, "by adam smith."),
+        (8, "by John Smith"),
+    ]
+    hits = found(spark, texts, items, max_rows=max_rows)
+    assert set(hits) == {(1, 1), (2, 2), (3, 2), (4, 5), (7, 6)}
+    assert hits[1, 1].share == hits[2, 2].share == hits[4, 5].share == 1.0
+    assert hits[1, 1].first_word == 1 and hits[4, 5].n_windows == 4
