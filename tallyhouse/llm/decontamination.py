@@ -89,24 +89,38 @@ class _Codes(dict):
 def _windows(codes: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
     """Key, slot hash, first word and whether it counts, of all windows of ``n`` words.
 
-    Each window has the key of its words as they are, and, if it counts, that of its template,
-    which sees literal words and kinds of slots. The slot hash sees which slots of the window
+    Each window has the key of its words as they are, and, with enough literal words, that of its
+    template, which sees literal words and kinds of slots. The slot hash sees which slots of the window
     hold equal values, so two windows with equal hashes have slots that map to each other one
-    to one. A window without slots has the same key either way.
+    to one. A window without slots has the same key either way. What precedes a window has no
+    say in its keys: one that begins with a capital has the templates of a literal word and of
+    a name.
     """
     count = len(codes) - n + 1
     kinds = codes & KIND
+    name = np.flatnonzero(kinds[:count] == NAME)
     # The first word of a sentence has its capital for another reason.
     first = np.concatenate(([True], codes[:-1] & ENDS != 0))
     kinds[first & (kinds == NAME)] = LITERAL
     literal = kinds == LITERAL
-    marks = codes & MARKS != 0
+    plain = literal & (codes & MARKS == 0)
     codes = codes >> FLAG_BITS
     words = mixed(codes)
-    enough = np.cumsum(np.concatenate(([0], literal)))
-    enough = enough[n:] - enough[:-n] >= LITERAL_SHARE * n
-    verbatim = rolling(words, n)
-    template = rolling(np.where(literal & ~marks, words, kinds), n)
+
+    def keys(values, tail, at=slice(None)):
+        return mixed(values[:count][at] + tail[at] * FACTOR)
+
+    values = np.where(plain, words, kinds)
+    tail = rolling(values[1:], n - 1)
+    verbatim = keys(words, rolling(words[1:], n - 1))
+    template = keys(values, tail)
+    # Literal words after the first one of each window.
+    inner = np.cumsum(np.concatenate(([0], literal)))
+    inner = inner[n:] - inner[1 : count + 1]
+    least = LITERAL_SHARE * n
+    counts = inner + literal[:count] >= least
+    enough = counts.copy()
+    enough[name] = inner[name] + 1 >= least
     # Words back to the last slot of the same value; 0 for none.
     back = np.zeros(len(codes), dtype=np.int64)
     at = np.flatnonzero(~literal)
@@ -115,16 +129,31 @@ def _windows(codes: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
         same = codes[order[1:]] == codes[order[:-1]]
         back[order[1:][same]] = (order[1:] - order[:-1])[same]
     slots = np.zeros(count, dtype=np.uint64)
+    # Of windows that begin with a capital: slots if that is a literal word, and if a name.
+    as_word = np.zeros(len(name), dtype=np.uint64)
+    as_name = np.zeros(len(name), dtype=np.uint64)
     for k in range(1, n):
         step = back[k : k + count]
         slots *= FACTOR
         slots += np.where(step <= k, step, 0).astype(np.uint64)
+        if len(name):
+            step = step[name]
+            within = np.where(step < k, step, 0)
+            again = (within == 0) & ~literal[name + k] & (codes[name + k] == codes[name])
+            as_word *= FACTOR
+            as_word += within.astype(np.uint64)
+            as_name *= FACTOR
+            as_name += np.where(again, k, within).astype(np.uint64)
+    slots[name] = as_word
+    template[name] = keys(words, tail, name)
+    names = inner[name] >= least
+    named, as_name = name[names], as_name[names]
     at = np.flatnonzero(enough & (template != verbatim))
     return (
-        np.concatenate((verbatim, template[at])),
-        np.concatenate((np.zeros(count, np.uint64), slots[at])),
-        np.concatenate((np.arange(count), at)),
-        np.concatenate((enough, enough[at])),
+        np.concatenate((verbatim, template[at], keys(np.full(count, NAME, np.uint64), tail, named))),
+        np.concatenate((np.zeros(count, np.uint64), slots[at], as_name)),
+        np.concatenate((np.arange(count), at, named)),
+        np.concatenate((counts, counts[at], counts[named])),
     )
 
 
@@ -147,10 +176,10 @@ def template_windows(
 
     Words are split at blanks; numbers, units and names become typed slots. A name has a
     capital first letter, is not all in capitals and does not begin a sentence; other words
-    are compared without regard to case. A text with fewer words than a size has no window
+    are compared without regard to case. A capital that begins a window is taken both ways. A text with fewer words than a size has no window
     of that size, or with ``shorter`` one that is all of it. A null or empty text has none.
-    Each window comes with the key of its words in lower case, and if it ``counts``, having
-    enough literal words, with that of its template too. Windows that have none of the
+    Each window comes with the key of its words in lower case, and if enough of them are literal,
+    with that of its template too; it ``counts`` if enough are where it stands. Windows that have none of the
     ``known`` keys may be left out.
     """
     table = None if known is None else _table(known)

@@ -108,3 +108,25 @@ def test_verbatim_copies_of_slots(spark, max_rows):
     assert set(hits) == {(1, 1), (2, 2), (3, 2), (4, 5), (7, 6)}
     assert hits[1, 1].share == hits[2, 2].share == hits[4, 5].share == 1.0
     assert hits[1, 1].first_word == 1 and hits[4, 5].n_windows == 4
+
+
+def test_what_precedes_a_passage_does_not_hide_it(spark):
+    who, what = "Who wrote the novel War and Peace?", "What is the capital city of the old kingdom?"
+    long, built = "Who walked with Anna over the long bridge to Rome", "Which of the 12 houses was built by the river?"
+    twice = "Anna said that the road ends where Anna was born"
+    other = built.replace("12", "15")
+    texts = [
+        (1, "1) " + who),
+        (2, "Quiz\n" + what),
+        (3, long.lower()),
+        (4, "2) " + other),
+        (5, "Quiz " + other.lower()),
+        (6, "so it was. " + other),
+        (7, "- " + what.upper()),
+        (8, "- " + twice.replace("Anna", "Bert")),
+        (9, "- " + twice.replace("Anna was", "Bert was").replace("Anna", "Carl")),
+        (10, twice),
+    ]
+    hits = found(spark, texts, [(1, who), (2, what), (3, long), (4, built), (5, twice)])
+    assert set(hits) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (6, 4), (7, 2), (8, 5), (10, 5)}
+    assert all(r.share == 1.0 for r in hits.values())
