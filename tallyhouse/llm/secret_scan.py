@@ -1,11 +1,12 @@
 """Secret scans: layers of encoding are unwrapped until nothing new comes out."""
 
 import base64
-import binascii
 import re
 import zlib
+from array import array
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,10 +32,18 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(
     r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
 )
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+# The shortest secret has 12 characters, so 16 encoded ones.
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Runs that go on after line breaks.
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]+(?:[ \t]*\r?\n[ \t>]*[A-Za-z0-9+/_-]+)+={0,2}")
+PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
+# Where compressed data may start in a run: gzip anywhere, zlib after a mark.
+PACKED = re.compile(r"(?=H4sI)|(?:(?<=[/_-])|(?<=\n)|^)(?=e[A-P])")
 # A blob that grows beyond this when decompressed is a bomb and is left packed.
 MAX_UNPACKED = 64 << 20
 REDACTED = "[SECRET]"
+SHORTEST = 16
+STANDARD = str.maketrans("-_", "+/")
 
 SPAN = T.StructType(
     [
@@ -118,11 +127,55 @@ class Layer:
         return Layer("".join(parts), [*starts, *self.starts[last:]], [*ends, *self.ends[last:]])
 
     def unpacked(self) -> Iterator["Layer"]:
-        """A layer for every base64 run that holds text, plain or compressed."""
+        """Layers for every base64 run, plain or compressed, over line breaks too."""
+        done = []
+        if "\n" in self.text:
+            for match in WRAPPED.finditer(self.text):
+                if match.end() - match.start() > SHORTEST:
+                    pieces = [p.span() for p in PIECE.finditer(self.text, *match.span())]
+                    # Lines of a blob are not blobs of their own.
+                    if (yield from self._run(match.end(), pieces)):
+                        done.append(match.span())
+        done.append((len(self.text),) * 2)
+        k = 0
         for match in BASE64.finditer(self.text):
-            plain = _text_of(match.group())
-            if plain:
-                yield Layer(plain, *self.origin(match.start(), match.end()))
+            while done[k][1] <= match.start() and k + 1 < len(done):
+                k += 1
+            if match.start() < done[k][0]:
+                yield from self._run(match.end(), [PIECE.match(self.text, match.start()).span()])
+
+    def _run(self, end: int, pieces: list[tuple[int, int]]) -> Iterator["Layer"]:
+        """Layers of one run; returns whether it holds nothing but text or one packed text.
+
+        If it does not, text may start anywhere in it: it is decoded at all four alignments,
+        and finds there come from the groups of four characters that hold them.
+        """
+        start = pieces[0][0]
+        run = "".join(self.text[a:b] for a, b in pieces)
+        if plain := _text_of(run):
+            yield Layer(plain, *self.origin(start, end))
+            return True
+        if len(pieces) == 1:
+            places = range(*pieces[0])
+        else:
+            places = array("q", chain.from_iterable(range(*p) for p in pieces))
+        marked = run if len(pieces) == 1 else "\n".join(self.text[a:b] for a, b in pieces)
+        for match in PACKED.finditer(marked):
+            at = match.start() - marked.count("\n", 0, match.start())
+            if plain := _text_of(run[at:], packed=True):
+                yield Layer(plain, *self.origin(places[at], end))
+        for shift in range(4):
+            # Secrets are ASCII, so any bytes may stand for one character each.
+            data = _decoded(run[shift:]).decode("latin-1")
+            if isinstance(self.starts, int):
+                yield Layer(data, self.starts, self.ends)
+            else:
+                yield Layer(
+                    data,
+                    Quads(self.starts, places, shift, len(data)),
+                    Quads(self.ends, places, shift + 3, len(data)),
+                )
+        return False
 
     def unwrapped(self) -> Iterator["Layer"]:
         if "%" in self.text and (layer := self.replaced(PERCENT, _percent)):
@@ -132,6 +185,31 @@ class Layer:
         yield from self.unpacked()
 
 
+class Quads(Sequence):
+    """A bound of the group of four base64 characters that each decoded byte came from."""
+
+    def __init__(self, bounds, places, shift, size):
+        self.bounds, self.places, self.shift, self.size = bounds, places, shift, size
+
+    def __len__(self):
+        return self.size
+
+    def __getitem__(self, at):
+        if isinstance(at, slice):
+            return [self[i] for i in range(*at.indices(self.size))]
+        at += self.size if at < 0 else 0
+        if not 0 <= at < self.size:
+            raise IndexError(at)
+        return self.bounds[self.places[min(self.shift + at // 3 * 4, len(self.places) - 1)]]
+
+
+def _decoded(run: str) -> bytes:
+    """The bytes of a base64 run without its padding; a single last character is left out."""
+    run = run.translate(STANDARD)
+    run = run[: len(run) - (len(run) % 4 == 1)]
+    return base64.b64decode(run + "=" * (-len(run) % 4))
+
+
 def _decompressed(data: bytes) -> bytes | None:
     """One compressed layer less (zlib or gzip); None if there is none."""
     if data[:2] != b"\x1f\x8b" and not (data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0):
@@ -144,19 +222,17 @@ def _decompressed(data: bytes) -> bytes | None:
     return plain if unzip.eof else None
 
 
-def _text_of(run: str) -> str | None:
-    """The text in a base64 run, below any number of compressed layers."""
-    stripped = run.rstrip("=").translate(str.maketrans("-_", "+/"))
-    if len(stripped) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(stripped + "=" * (-len(stripped) % 4))
-    except binascii.Error:
+def _text_of(run: str, packed: bool = False) -> str | None:
+    """The text in a base64 run, below any number of compressed layers, with ``packed`` one at least."""
+    if len(run) % 4 == 1 and not packed:
         return None
+    data = _decoded(run)
     seen = set()
     while data not in seen and (plain := _decompressed(data)) is not None:
         seen.add(data)
         data = plain
+    if packed and not seen:
+        return None
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
@@ -173,7 +249,7 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
 
     def add(layers):
         for layer in layers:
-            place = (layer.starts, layer.ends) if isinstance(layer.starts, int) else ()
+            place = layer.origin(0, len(layer.text)) if layer.text else ()
             # Equal text from the same place again is a cycle.
             if (mark := (hash(layer.text), len(layer.text), place)) not in seen:
                 seen.add(mark)

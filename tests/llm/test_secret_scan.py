@@ -96,3 +96,32 @@ def test_redaction(spark):
     assert [r.t for r in out.orderBy("doc_id").collect()] == [
         "a [SECRET] b", "ü[SECRET] [SECRET]", "nothing", None, "[SECRET]!",
     ]
+
+
+@pytest.mark.parametrize("secret", ["token=abc123", "secret=abc123", "api_key=abc123"])
+def test_shortest_secrets_in_base64(secret):
+    blob = base64.b64encode(secret.encode()).decode()
+    assert op.find("x " + blob + " y")[1] == [(2, 0, 2 + len(blob))]
+
+
+LINES = "".join(f"line {i} of {i * i}, " for i in range(30)) + SECRET + " end"
+
+
+@pytest.mark.parametrize("blob", [LINES.encode(), zlib.compress(LINES.encode()), gzip.compress(LINES.encode())])
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("before", ["", "Content\n"])
+def test_wrapped_base64(blob, width, before):
+    plain = base64.b64encode(blob).decode()
+    lines = "\n".join(plain[i : i + width] for i in range(0, len(plain), width))
+    spans = op.find(before + lines + "\n")[1]
+    assert spans and {k for _, k, _ in spans} == {0}
+    if not before:
+        assert spans == [(0, 0, len(lines))]
+
+
+@pytest.mark.parametrize("path", ["https://x.io/cb/", "a_", "ab-", "abc/d/"])
+@pytest.mark.parametrize("blob", [SECRET.encode() + b" and more", zlib.compress(SECRET.encode())])
+def test_glued_base64(path, blob):
+    text = path + b64(blob)
+    spans = op.find(text + " " + text)[1]
+    assert len(spans) == 2 and spans[0][0] >= len(path) - 3 and spans[1][0] > len(text)
