@@ -39,10 +39,15 @@ WRAPPED = re.compile(r"[A-Za-z0-9+/_-]+(?:[ \t]*\r?\n[ \t>]*[A-Za-z0-9+/_-]+)+={
 PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
 # Where compressed data may start in a run: gzip anywhere, zlib after a mark.
 PACKED = re.compile(r"(?=H4sI)|(?:(?<=[/_-])|(?<=\n)|^)(?=e[A-P])")
-# A blob that grows beyond this when decompressed is a bomb and is left packed.
-MAX_UNPACKED = 64 << 20
+# Decompressed data is scanned in pieces of this many bytes, which overlap.
+MAX_UNPACKED = 16 << 20
+OVERLAP = 1 << 20
 REDACTED = "[SECRET]"
 SHORTEST = 16
+READABLE = 0.7
+CHUNK = 1 << 20
+STEP = 64
+HEAD = 256
 STANDARD = str.maketrans("-_", "+/")
 
 SPAN = T.StructType(
@@ -77,11 +82,9 @@ def scan(text: str) -> Iterator[tuple[int, int, int]]:
         yield 2, m.start(), m.end()
 
 
-def _percent(match: re.Match) -> str | None:
-    try:
-        return bytes.fromhex(match.group().replace("%", "")).decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+def _percent(match: re.Match) -> str:
+    # Secrets are ASCII, so bytes that are not UTF-8 may become anything.
+    return bytes.fromhex(match.group().replace("%", "")).decode("utf-8", "replace")
 
 
 def _escape(match: re.Match) -> str | None:
@@ -152,8 +155,13 @@ class Layer:
         """
         start = pieces[0][0]
         run = "".join(self.text[a:b] for a, b in pieces)
-        if plain := _text_of(run):
-            yield Layer(plain, *self.origin(start, end))
+        clean = False
+        for plain, is_text in _texts(run) if len(run) % 4 != 1 else ():
+            clean = is_text
+            # Most characters of a text with a few odd ones are printable.
+            if is_text or sum(map(str.isprintable, plain)) >= READABLE * len(plain):
+                yield Layer(plain, *self.origin(start, end))
+        if clean:
             return True
         if len(pieces) == 1:
             places = range(*pieces[0])
@@ -162,7 +170,7 @@ class Layer:
         marked = run if len(pieces) == 1 else "\n".join(self.text[a:b] for a, b in pieces)
         for match in PACKED.finditer(marked):
             at = match.start() - marked.count("\n", 0, match.start())
-            if plain := _text_of(run[at:], packed=True):
+            for plain, _ in _texts(run[at:], packed=True):
                 yield Layer(plain, *self.origin(places[at], end))
         for shift in range(4):
             # Secrets are ASCII, so any bytes may stand for one character each.
@@ -210,34 +218,91 @@ def _decoded(run: str) -> bytes:
     return base64.b64decode(run + "=" * (-len(run) % 4))
 
 
-def _decompressed(data: bytes) -> bytes | None:
-    """One compressed layer less (zlib or gzip); None if there is none."""
-    if data[:2] != b"\x1f\x8b" and not (data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0):
-        return None
+def _is_packed(data: bytes) -> bool:
+    # Text may begin with the two bytes of a zlib header.
+    if data[:64].isascii() and _text(data[:64])[1]:
+        return False
+    if data[:2] == b"\x1f\x8b":
+        return True
+    return data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0
+
+
+def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """What comes out of zlib or gzip data, all members of it, up to a fault or its end."""
     unzip = zlib.decompressobj(wbits=47)
+    for data in chunks:
+        while data:
+            try:
+                plain = unzip.decompress(data, CHUNK)
+            except zlib.error:
+                return
+            if plain:
+                yield plain
+            if unzip.eof:
+                data = unzip.unused_data
+                if data and not _is_packed(data):
+                    return
+                unzip = zlib.decompressobj(wbits=47)
+            else:
+                data = unzip.unconsumed_tail
+    while plain := _tail(unzip):
+        yield plain
+
+
+def _tail(unzip) -> bytes:
     try:
-        plain = unzip.decompress(data, MAX_UNPACKED)
+        return b"" if unzip.eof else unzip.decompress(unzip.unconsumed_tail, CHUNK)
     except zlib.error:
-        return None
-    return plain if unzip.eof else None
-
-
-def _text_of(run: str, packed: bool = False) -> str | None:
-    """The text in a base64 run, below any number of compressed layers, with ``packed`` one at least."""
-    if len(run) % 4 == 1 and not packed:
-        return None
-    data = _decoded(run)
-    seen = set()
-    while data not in seen and (plain := _decompressed(data)) is not None:
-        seen.add(data)
-        data = plain
-    if packed and not seen:
-        return None
+        return b""
+
+
+def _small(data: bytes) -> Iterator[bytes]:
+    """Data in steps so small that a fault hides little of what comes before it."""
+    return (data[i : i + STEP] for i in range(0, len(data), STEP))
+
+
+def _unpacked(data: bytes) -> tuple[Iterator[bytes], bool]:
+    """The data below all its compressed layers, in chunks, and whether there was one."""
+    chunks, heads = iter([data]), set()
+    while True:
+        head = next(chunks, b"")
+        while len(head) < HEAD and (more := next(chunks, b"")):
+            head += more
+        whole = chain([head], chunks)
+        # Data that unpacks to itself has the same head again.
+        if head[:HEAD] in heads or not _is_packed(head):
+            return whole, bool(heads)
+        probe = next(_inflated(_small(head)), b"")
+        if not probe:
+            return whole, bool(heads)
+        heads.add(head[:HEAD])
+        chunks = _inflated(step for part in whole for step in _small(part))
+
+
+def _texts(run: str, packed: bool = False) -> Iterator[tuple[str, bool]]:
+    """The texts in a base64 run and whether each is text throughout.
+
+    With ``packed`` only those below a compressed layer. Long ones come in pieces.
+    """
+    chunks, was_packed = _unpacked(_decoded(run))
+    if packed and not was_packed:
+        return
+    data = bytearray()
+    for part in chunks:
+        data += part
+        if was_packed and len(data) >= MAX_UNPACKED:
+            yield _text(data)[0], True
+            data = data[-OVERLAP:]
+    text, clean = _text(data)
+    yield text, clean or was_packed
+
+
+def _text(data: bytes | bytearray) -> tuple[str, bool]:
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c.isspace() for c in text) else None
+        return data.decode("utf-8", "replace"), False
+    return text, all(c.isprintable() or c.isspace() for c in text)
 
 
 def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

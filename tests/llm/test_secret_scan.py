@@ -125,3 +125,40 @@ def test_glued_base64(path, blob):
     text = path + b64(blob)
     spans = op.find(text + " " + text)[1]
     assert len(spans) == 2 and spans[0][0] >= len(path) - 3 and spans[1][0] > len(text)
+
+
+ODD = {
+    "mark": ("\ufeffA=1\n" + SECRET).encode(),
+    "zero width": f"some\u200b text, {SECRET}".encode(),
+    "nul": b"a line\0another line " + SECRET.encode(),
+    "ansi": b"\x1b[31mred\x1b[0m " + SECRET.encode(),
+    "latin-1": "caf\xe9 au lait, ".encode("latin-1") + SECRET.encode(),
+    "binary": bytes(range(256)) + SECRET.encode() + bytes(range(256)),
+    "zlib of latin-1": zlib.compress("caf\xe9 ".encode("latin-1") + SECRET.encode()),
+    "two members": gzip.compress(b"first") + gzip.compress(SECRET.encode()),
+    "truncated": gzip.compress((SECRET + " " + "".join(f"{i * i} " for i in range(500))).encode())[:-40],
+}
+
+
+@pytest.mark.parametrize("name", ODD)
+def test_odd_bytes_hide_nothing(name):
+    text = "x " + base64.b64encode(ODD[name]).decode() + " y"
+    spans = op.find(text)[1]
+    assert spans and all(k == 0 and 2 <= s < e <= len(text) - 2 for s, k, e in spans)
+
+
+def test_percent_text_that_is_not_utf8():
+    text = "".join(f"%{b:02X}" for b in b"caf\xe9 " + SECRET.encode())
+    assert op.find(text)[1] == [(0, 0, len(text))]
+
+
+def test_large_unpacked_data():
+    filler = b"all is well " * (op.MAX_UNPACKED // 8)
+    for data in (SECRET.encode() + b" " + filler, filler + SECRET.encode()):
+        blob = b64(zlib.compress(data))
+        assert (0, 0, len(blob)) in op.find(blob)[1]
+
+
+def test_text_that_begins_like_packed_data():
+    blob = b64("x^2 and x, " + SECRET)
+    assert op.find(blob)[1] == [(0, 0, len(blob))]
