@@ -11,6 +11,7 @@ from tallyhouse.llm import (  # noqa: F401
     substring_dedup,
     toxicity,
     url_filter,
+    vector_codes,
     warc,
 )
 from tallyhouse.llm.registry import QUERIES, SQL, Query
