@@ -2,6 +2,7 @@
 
 from tallyhouse.llm import (  # noqa: F401
     decontamination,
+    divergence,
     fingerprints,
     language_id,
     license_scan,
