@@ -10,11 +10,12 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
+from tallyhouse.functions.hashing import order_hash
+from tallyhouse.operators import trees
 from tallyhouse.operators.stages import (
     DaysSinceLatest,
     ModeFiller,
@@ -22,24 +23,22 @@ from tallyhouse.operators.stages import (
     TermWeights,
     ZeroFiller,
 )
+from tallyhouse.plans.ranks import with_places
+from tallyhouse.plans.shared import checkpointed, written
 
-# The default forest. A leaf of three implies a split of at least six rows.
+# The default forest.
 DEFAULT_FOREST = {
     "numTrees": 100,
     "maxDepth": 15,
     "minInstancesPerNode": 3,
+    "minInstancesToSplit": 4,
     "impurity": "variance",
     "featureSubsetStrategy": "0.5",
+    "bootstrap": True,
+    "exactThresholds": False,
 }
 
 
-# Memory for the statistics of nodes that are split in one pass; more means fewer passes.
-STATISTICS_MB = 512
-# A forest sees this many rows in a partition at most, and at least this many partitions.
-PARTITION_ROWS = 100_000
-LEAST_PARTITIONS = 8
-
-
 @dataclass(frozen=True)
 class FeatureSpec:
     """Which columns play which part. The defaults are those of the listing table."""
@@ -108,46 +107,67 @@ def assemble(df: DataFrame, fitted: PipelineModel, keep: Sequence[str] = ()) ->
     return fitted.transform(df).select(*keep, "features")
 
 
-def fixed_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """The same rows in the same partitions and order, however the input was laid out.
+@dataclass(frozen=True)
+class Forest:
+    """Trees as rows (see ``trees.NODES``), and the number of features they were grown on."""
 
-    Bagging draws by partition and position, so a seed alone does not fix a forest. The
-    number of partitions follows the number of rows alone, unless it is given.
-    """
-    if partitions is None:
-        partitions = max(LEAST_PARTITIONS, -(-df.count() // PARTITION_ROWS))
-    return df.repartition(partitions, key).sortWithinPartitions(key)
+    nodes: DataFrame
+    numFeatures: int
 
 
 @dataclass(frozen=True)
 class PriceModel:
-    """A fitted pipeline of two steps, ``preprocessor`` and ``random_forest``."""
+    """A fitted model of two steps, ``preprocessor`` and ``random_forest``."""
 
-    pipeline: PipelineModel
+    preprocessor: PipelineModel
+    forest: Forest
     spec: FeatureSpec
     parameters: Mapping[str, object] = field(default_factory=dict)
 
     @property
     def named_steps(self) -> dict[str, object]:
-        prepared, forest = self.pipeline.stages
-        return {"preprocessor": prepared, "random_forest": forest}
-
-    def predict(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        return self.pipeline.transform(df).select(*keep, "prediction")
+        return {"preprocessor": self.preprocessor, "random_forest": self.forest}
+
+    def predict(self, df: DataFrame, keep: Sequence[str] = (), by_joins: bool = False) -> DataFrame:
+        """Kept columns and the prediction; ``by_joins`` never takes the trees to the tasks whole."""
+        features = self.preprocessor.transform(df).select(*keep, "features")
+        score = trees.predict_by_joins if by_joins else trees.predict
+        return score(features, self.forest.nodes, "features", "prediction").drop("features")
+
+    def out_of_bag(self, train: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """Training rows scored by the trees that were grown without them; null if there is none."""
+        key = self.spec.key
+        features = self.preprocessor.transform(train).select(*dict.fromkeys([key, *keep]), "features")
+        grown = trees.trees_of(self.parameters, self.forest.numFeatures)
+        scored = trees.out_of_bag(features, self.forest.nodes, grown, key, "features", "prediction")
+        return scored.select(*keep, "prediction")
 
     def save(self, path: str) -> None:
-        """Write the pipeline, the spec and the parameters once; an existing path is refused."""
+        """Write preprocessing, nodes, spec and parameters once; an existing path is refused."""
         spark = SparkSession.active()
-        self.pipeline.write().save(f"{path}/pipeline")
-        record = json.dumps({"spec": asdict(self.spec), "parameters": dict(self.parameters)})
+        self.preprocessor.write().save(f"{path}/preprocessor")
+        self.forest.nodes.write.mode("errorifexists").parquet(f"{path}/nodes")
+        record = json.dumps(
+            {
+                "spec": asdict(self.spec),
+                "parameters": dict(self.parameters),
+                "features": self.forest.numFeatures,
+            }
+        )
         spark.createDataFrame([(record,)], "record string").coalesce(1).write.text(f"{path}/record")
 
 
 def load_model(path: str) -> PriceModel:
     """The model as it was saved, with its own spec and parameters."""
-    record = json.loads(SparkSession.active().read.text(f"{path}/record").first()[0])
-    spec = FeatureSpec(**record["spec"])
-    return PriceModel(PipelineModel.load(f"{path}/pipeline"), spec, record["parameters"])
+    spark = SparkSession.active()
+    record = json.loads(spark.read.text(f"{path}/record").first()[0])
+    nodes = spark.read.schema(trees.NODES).parquet(f"{path}/nodes")
+    return PriceModel(
+        PipelineModel.load(f"{path}/preprocessor"),
+        Forest(nodes, record["features"]),
+        FeatureSpec(**record["spec"]),
+        record["parameters"],
+    )
 
 
 def fit_forests(
@@ -155,42 +175,38 @@ def fit_forests(
     seed: int,
     forests: Mapping[str, Mapping[str, object]],
     spec: FeatureSpec | None = None,
-    partitions: int | None = None,
 ) -> dict[str, PriceModel]:
     """Fit one preprocessing and several named forests on the same training rows.
 
-    The rows are prepared once and the vectors cached for all fits. ``partitions`` fixes the
-    layout the forests see; by default it follows the number of rows, so settings of a
-    cluster do not change a forest. A forest seed, if given, must equal ``seed``, that of the
-    split.
+    The trees of all forests grow together, so passes follow the depth and not the number of
+    forests. Row order, partitions and session settings do not change a forest. A forest seed,
+    if given, must equal ``seed``, that of the split.
     """
     spec = spec or FeatureSpec()
-    regressors = {}
+    settings = {}
     for name, forest in forests.items():
-        settings = {**DEFAULT_FOREST, **forest}
-        if settings.setdefault("seed", seed) != seed:
+        unknown = set(forest) - {*DEFAULT_FOREST, "seed"}
+        if unknown:
+            raise ValueError(f"Unknown forest settings {sorted(unknown)}")
+        settings[name] = {**DEFAULT_FOREST, "seed": seed, **forest}
+        if settings[name]["seed"] != seed:
             raise ValueError("The forest seed must equal the split seed")
-        regressors[name] = RandomForestRegressor(
-            featuresCol="features", labelCol=spec.label, predictionCol="prediction",
-            maxMemoryInMB=STATISTICS_MB, **settings,
-        )
-    models = {}
-    rows = train.select(spec.key, spec.label, *spec.columns).persist()
+    columns = train.select(spec.key, spec.label, *spec.columns).persist()
     try:
-        prepared = preprocessor(spec).fit(rows)
-        vectors = assemble(rows, prepared, [spec.key, spec.label])
-        vectors = fixed_layout(vectors, spec.key, partitions).persist()
-        try:
-            for name, regressor in regressors.items():
-                grown = regressor.fit(vectors)
-                # Every setting counts, also the defaults that were not given.
-                effective = {p.name: v for p, v in regressor.extractParamMap().items()}
-                effective["max_terms"] = spec.max_terms
-                models[name] = PriceModel(PipelineModel(stages=[prepared, grown]), spec, effective)
-        finally:
-            vectors.unpersist()
+        prepared = preprocessor(spec).fit(columns)
+        vectors = assemble(columns, prepared, [spec.key, spec.label])
+        rows = trees.prepared_rows(vectors, spec.key, spec.label, "features")
     finally:
-        rows.unpersist()
+        columns.unpersist()
+    specs = {name: trees.trees_of(values, rows.width) for name, values in settings.items()}
+    nodes = trees.grow(rows, [tree for own in specs.values() for tree in own])
+    models, first = {}, 0
+    for name, own in specs.items():
+        mine = nodes.where(F.col("tree").between(first, first + len(own) - 1))
+        mine = mine.withColumn("tree", (F.col("tree") - first).cast("int"))
+        first += len(own)
+        effective = {**settings[name], "max_terms": spec.max_terms}
+        models[name] = PriceModel(prepared, Forest(mine, rows.width), spec, effective)
     return models
 
 
@@ -199,10 +215,9 @@ def fit_forest(
     seed: int,
     forest: Mapping[str, object] | None = None,
     spec: FeatureSpec | None = None,
-    partitions: int | None = None,
 ) -> PriceModel:
     """Fit preprocessing and one forest, by default the default one."""
-    return fit_forests(train, seed, {"forest": forest or {}}, spec, partitions)["forest"]
+    return fit_forests(train, seed, {"forest": forest or {}}, spec)["forest"]
 
 
 def regression_metrics(
@@ -243,33 +258,71 @@ def require_finite(df: DataFrame) -> DataFrame:
 
 def feature_importance(model: PriceModel) -> list[tuple[str, float]]:
     """Importance per source feature: all slots of a feature are summed."""
-    forest = model.named_steps["random_forest"]
-    weights = forest.featureImportances.toArray()
     totals = dict.fromkeys(model.spec.columns, 0.0)
-    for (feature, _), weight in zip(slots(model.named_steps["preprocessor"], model.spec), weights):
-        totals[feature] += float(weight)
+    named = slots(model.preprocessor, model.spec)
+    for slot in trees.slot_importance(model.forest.nodes).collect():
+        totals[named[slot["feature"]][0]] += slot["importance"]
     return list(totals.items())
 
 
+def permutation_importance(model: PriceModel, df: DataFrame, seed: int) -> DataFrame:
+    """(feature, mse, increase): the error once one feature's values change places, and by how much
+    it is above the error of the rows as they are.
+
+    One permutation serves all features: the row that is i-th by one hash of the key takes its
+    value from the row that is i-th by another. Places come from counts of leading digits, so
+    no window holds more than a bucket. Keys must be unique; rows without a key or label are
+    left out. Features are source columns; all slots of one change together.
+    """
+    spec = model.spec
+    columns = list(dict.fromkeys(spec.columns))
+    known = df.where(F.col(spec.key).isNotNull() & F.col(spec.label).isNotNull())
+    rows = written(known.select(spec.key, spec.label, *columns), "permuted-rows")
+    other = F.struct(*[F.col(c) for c in columns]).alias("_other")
+    here = with_places(rows.withColumn("_order", order_hash(seed, spec.key)), "_order", 32, "_place")
+    there = with_places(
+        rows.select(order_hash(seed + 1, spec.key).alias("_order"), other), "_order", 32, "_place"
+    ).select("_place", "_other")
+    pairs = written(here.drop("_order").join(there, "_place"), "permuted-pairs")
+    none = F.lit("").alias("_feature")
+    variants = F.explode(F.array(none, *[F.lit(c) for c in columns])).alias("_feature")
+    long = pairs.select(
+        variants, spec.key, spec.label, "_other", *columns
+    ).select(
+        "_feature",
+        spec.key,
+        spec.label,
+        *[
+            F.when(F.col("_feature") == c, F.col(f"_other.{c}")).otherwise(F.col(c)).alias(c)
+            for c in columns
+        ],
+    )
+    off = F.col(spec.label) - F.col("prediction")
+    errors = model.predict(long, ["_feature", spec.label]).groupBy("_feature").agg(F.avg(off * off).alias("mse"))
+    errors = checkpointed(errors)
+    base = errors.where("_feature = ''").select("mse").scalar()
+    return errors.where("_feature <> ''").select(
+        F.col("_feature").alias("feature"), "mse", (F.col("mse") - base).alias("increase")
+    )
+
+
 def fit_grid(
     train: DataFrame,
     validation: DataFrame,
     seed: int,
     forests: Mapping[str, Mapping[str, object]],
     spec: FeatureSpec | None = None,
-    partitions: int | None = None,
 ) -> tuple[dict[str, PriceModel], DataFrame]:
     """Fit several named settings on one fixed partition: models, and (run_id, mae, r2).
 
     The validation rows are prepared once and scored by all models in the same pass.
     """
     spec = spec or FeatureSpec()
-    models = fit_forests(train, seed, forests, spec, partitions)
-    prepared = next(iter(models.values())).named_steps["preprocessor"]
+    models = fit_forests(train, seed, forests, spec)
+    prepared = next(iter(models.values())).preprocessor
     scored = assemble(validation, prepared, [spec.label])
     for i, model in enumerate(models.values()):
-        forest = model.named_steps["random_forest"].copy()
-        scored = forest.setPredictionCol(f"_p{i}").transform(scored)
+        scored = trees.predict(scored, model.forest.nodes, "features", f"_p{i}")
     predictions = F.array(
         *[
             F.struct(F.lit(name).alias("run_id"), F.col(f"_p{i}").alias("prediction"))

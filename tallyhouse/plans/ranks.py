@@ -124,3 +124,40 @@ def cut_points(
             F.coalesce(F.col("_next") == F.col("cut"), F.lit(False)).alias("tied"),
         )
     )
+
+
+def with_places(
+    rows: DataFrame, order: str, width: int, place: str, bucket_rows: int = SORTABLE_ROWS
+) -> DataFrame:
+    """Add the 1-based place of each row by ``order``, a hash of ``width`` hex digits.
+
+    Buckets of leading digits hold about ``bucket_rows`` rows at most, as hashes spread evenly;
+    a window sums up the counts of the buckets, another numbers the rows of each. Rows with one
+    value of ``order`` share a bucket and are numbered in some order.
+    """
+    digits, total = 1, rows.count()
+    while digits < width and total >> (4 * digits) > bucket_rows // 2:
+        digits += 1
+    bucketed = rows.withColumn("_bucket", F.substring(F.col(order), 1, digits))
+    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # The first digit keeps the sums of the buckets apart, so that no window holds them all.
+    top = F.substring("_bucket", 1, max(digits - 4, 1))
+    counts = counts.withColumn("_top", top)
+    tops = counts.groupBy("_top").agg(F.sum("_n").alias("_all"))
+    ahead = Window.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    tops = tops.select(
+        "_top", F.coalesce(F.sum("_all").over(ahead.orderBy("_top")), zero).alias("_above")
+    )
+    inside = Window.partitionBy("_top").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.join(tops, "_top").select(
+        "_bucket",
+        (F.col("_above") + F.coalesce(F.sum("_n").over(inside), zero)).alias("_before"),
+    )
+    numbered = Window.partitionBy("_bucket").orderBy(order)
+    return (
+        bucketed.withColumn("_in", F.row_number().over(numbered))
+        .join(starts, "_bucket")
+        .withColumn(place, F.col("_before") + F.col("_in"))
+        .drop("_bucket", "_in", "_before")
+    )

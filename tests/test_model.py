@@ -49,15 +49,15 @@ def close(a, b):
 
 @pytest.fixture(scope="module")
 def fitted(priced):
-    return model.fit_forest(priced, 42, SMALL, partitions=4)
+    return model.fit_forest(priced, 42, SMALL)
 
 
 def test_the_layout_of_the_input_does_not_matter(priced, fitted):
     first = predictions(fitted, priced)
     for n in (1, 7):
-        again = model.fit_forest(priced.repartition(n), 42, SMALL, partitions=4)
-        assert close(first, predictions(again, priced))
-    other = model.fit_forest(priced, 43, SMALL, partitions=4)
+        again = model.fit_forest(priced.repartition(n), 42, SMALL)
+        assert first == predictions(again, priced)
+    other = model.fit_forest(priced, 43, SMALL)
     assert not close(first, predictions(other, priced))
 
 
@@ -119,10 +119,10 @@ def test_importance_is_summed_per_feature(priced, fitted):
 def test_grid_scores_all_settings_on_one_partition(priced):
     train, validation = priced.where("id % 4 > 0"), priced.where("id % 4 = 0")
     forests = {"flat": {"numTrees": 2, "maxDepth": 1}, "deep": SMALL}
-    models, scores = model.fit_grid(train, validation, 42, forests, partitions=4)
+    models, scores = model.fit_grid(train, validation, 42, forests)
     rows = {r["run_id"]: r for r in model.require_finite(scores).collect()}
     assert rows["deep"]["mae"] < rows["flat"]["mae"]
-    alone = model.fit_forest(train, 42, SMALL, partitions=4)
+    alone = model.fit_forest(train, 42, SMALL)
     assert close(predictions(alone, validation), predictions(models["deep"], validation))
     assert models["flat"].parameters["maxDepth"] == 1
     assert models["flat"].parameters["minInstancesPerNode"] == 3
@@ -133,16 +133,44 @@ def test_forest_seed_must_be_that_of_the_split(priced):
         model.fit_forest(priced, 42, {**SMALL, "seed": 1})
 
 
+def test_unknown_settings_are_refused(priced):
+    with pytest.raises(ValueError, match="Unknown"):
+        model.fit_forest(priced, 42, {**SMALL, "maxBins": 5})
+
+
 def test_default_forest():
     assert model.DEFAULT_FOREST == {
-        "numTrees": 100, "maxDepth": 15, "minInstancesPerNode": 3, "impurity": "variance",
-        "featureSubsetStrategy": "0.5",
+        "numTrees": 100, "maxDepth": 15, "minInstancesPerNode": 3, "minInstancesToSplit": 4,
+        "impurity": "variance", "featureSubsetStrategy": "0.5", "bootstrap": True,
+        "exactThresholds": False,
     }
 
 
+def test_rows_are_scored_out_of_bag(priced, fitted):
+    scored = fitted.out_of_bag(priced, ["id", "price"])
+    assert scored.columns == ["id", "price", "prediction"] and scored.count() == priced.count()
+    known = scored.where("prediction is not null")
+    assert known.count() > 500
+    inside = model.regression_metrics(fitted.predict(priced, ["price"]), "price", "prediction").first()
+    outside = model.regression_metrics(known, "price", "prediction").first()
+    assert 0.7 < outside["r2"] <= inside["r2"] + 0.02
+
+
+def test_predictions_by_joins_agree(priced, fitted):
+    joined = {r["id"]: r["prediction"] for r in fitted.predict(priced, ["id"], by_joins=True).collect()}
+    assert close(predictions(fitted, priced), joined)
+
+
+def test_permutation_importance_of_features(priced, fitted):
+    found = {r["feature"]: r["increase"] for r in model.permutation_importance(fitted, priced, 5).collect()}
+    assert set(found) == set(model.FeatureSpec().columns)
+    assert found["room_type"] > 100 * max(abs(found["availability_365"]), 1e-9)
+    assert found["calculated_host_listings_count"] == pytest.approx(0, abs=1e-9)
+
+
 def test_fitted_reference_date_is_saved(priced, tmp_path):
     spec = model.FeatureSpec(reference_date="fitted")
-    model.fit_forest(priced, 42, SMALL, spec, partitions=4).save(f"{tmp_path}/fitted")
+    model.fit_forest(priced, 42, SMALL, spec).save(f"{tmp_path}/fitted")
     days = model.load_model(f"{tmp_path}/fitted").named_steps["preprocessor"].stages[6]
     one = days.transform(priced.where("id = 1")).first()
     assert one["_days"] == 98
