@@ -103,6 +103,40 @@ def split_three_way(spark, folder):
     return fitted.apply(orders)
 
 
+@query(
+    "split_repeat",
+    f"""
+    WITH taken AS ({FIRST_SQL}),
+    sides AS (
+      SELECT o_orderkey, 'test' AS split FROM taken WHERE taken
+      UNION ALL SELECT o_orderkey, CASE WHEN taken THEN 'validation' ELSE 'train' END
+                FROM ({stratified_sql(REST_SQL, "o_orderkey", "o_orderpriority", VAL_SIZE)}))
+    SELECT split, count(*) AS n_first, count(*) AS n_again, count(*) AS n_same, sum(o_orderkey)::BIGINT AS key_sum
+    FROM sides GROUP BY split
+    """,
+)
+def split_repeat(spark, folder):
+    """The same split fitted anew on rows in another order and in other partitions."""
+    orders = keyed_orders(spark, folder).drop("o_totalprice")
+    sides = []
+    for i, rows in enumerate((orders, orders.repartition(13, F.md5(F.col("o_orderkey").cast("string"))))):
+        fitted = split.fit_split(rows, "o_orderkey", TEST_SIZE, SEED, "o_orderpriority", val_size=VAL_SIZE)
+        sides.append(fitted.apply(rows).select("o_orderkey", F.col("split").alias(f"_{i}")))
+    both = sides[0].join(sides[1], "o_orderkey", "full")
+    counted = F.explode(F.array(*[F.struct(F.col(f"_{i}").alias("split"), F.lit(i).alias("fit")) for i in (0, 1)]))
+    same = F.col("_0").eqNullSafe(F.col("_1"))
+    return (
+        both.select("o_orderkey", same.alias("same"), counted.alias("side"))
+        .groupBy(F.col("side.split").alias("split"))
+        .agg(
+            F.count_if(F.col("side.fit") == 0).alias("n_first"),
+            F.count_if(F.col("side.fit") == 1).alias("n_again"),
+            F.count_if((F.col("side.fit") == 0) & F.col("same")).alias("n_same"),
+            F.sum(F.when(F.col("side.fit") == 0, F.col("o_orderkey"))).alias("key_sum"),
+        )
+    )
+
+
 def fingerprint_sql(columns: list[str], source: str, by: str = "") -> str:
     """Row count and fingerprint of a source, for columns already of text type."""
     parts = " || ".join(

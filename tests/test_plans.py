@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.plans import ranks
 from tallyhouse.plans.lookups import Lookup, derived_lookup, hot_keys, join_lookup
 from tallyhouse.plans.ranks import cut_points
 
@@ -76,3 +77,14 @@ def test_cut_points_report_ties(spark, sortable_rows):
     )
     got = cut_points(rows, wanted, ["g"], "o", 32, sortable_rows=sortable_rows).collect()
     assert {r["label"]: r["tied"] for r in got} == {"in": True, "last": False}
+
+
+@pytest.mark.parametrize("bucket_rows", [1_000_000, 3])
+def test_places_follow_the_order(spark, bucket_rows):
+    rows = spark.range(500).withColumn("h", F.md5(F.col("id").cast("string")))
+    placed = ranks.with_places(rows, "h", 32, "place", bucket_rows)
+    assert placed.columns == ["id", "h", "place"]
+    found = [r["h"] for r in placed.orderBy("place").collect()]
+    assert found == sorted(found)
+    assert sorted(r["place"] for r in placed.collect()) == list(range(1, 501))
+    assert ranks.with_places(rows.limit(0), "h", 32, "place").count() == 0

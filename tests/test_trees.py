@@ -255,3 +255,23 @@ def test_importance_adds_up_and_gains_match(df, data):
 def test_subset_sizes():
     for strategy, size in (("all", 9), ("0.5", 4), ("sqrt", 3), ("onethird", 3), ("2", 2), ("0.01", 1), ("50", 9)):
         assert op.subset_size(strategy, 9) == size
+
+
+def jobs_of(spark, work):
+    """How many jobs a piece of work starts."""
+    context = spark.sparkContext
+    context.setJobGroup(group := f"counted-{id(work)}", "")
+    try:
+        work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return len(context.statusTracker().getJobIdsForGroup(group))
+
+
+def test_more_trees_take_no_more_passes(spark, df, monkeypatch):
+    monkeypatch.setattr(op, "SMALL_ROWS", 60)
+    prepared = op.prepared_rows(df, "key", "label", "features")
+    one = op.trees_of({**SETTINGS, "maxDepth": 4}, prepared.width)
+    many = one + op.trees_of({**SETTINGS, "numTrees": 12, "bootstrap": True}, prepared.width)
+    few, more = (jobs_of(spark, lambda t=t: op.grow(prepared, t)) for t in (one, many))
+    assert 0 < more <= few + 2
