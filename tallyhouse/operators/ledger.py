@@ -7,7 +7,8 @@ Shapes used below, all produced by ``sources.records``:
 - outputs / inputs: run_id, stage, name, path, sha256
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -447,41 +448,122 @@ def foreign_outputs(outputs: DataFrame, path: str, run_dir: Column) -> DataFrame
 # --- lineage and reports (L4-L6) ------------------------------------------------------
 
 
-def lineage_closure(
+def closure_rounds(
     seeds: DataFrame, edges: DataFrame, max_lookup_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Every node reachable from the seeds, with its least number of steps: node, depth.
-
-    ``seeds`` has ``node``; ``edges`` has ``src`` and ``dst``. Edges are written once, so
-    their sources are read once however many rounds there are, and sources with very many
-    edges are found once, to be spread over tasks. Each round follows the edges of the nodes
-    found last and leaves out known nodes, so loops end. The result of a round is
-    checkpointed.
+) -> Iterator[DataFrame]:
+    """Rounds of ``lineage_closure``: (node, depth) of the nodes found or found nearer in each.
+
+    A node with one target is a link of a chain. Chains are followed by jumps that double: the
+    jump of level k skips 2 ** k links, and a round joins the jumps of one level with themselves
+    to get the next. From the round a chain is entered, all its found nodes jump by the next level
+    each round, so it is covered in as many rounds as its length has binary digits, from whatever
+    node it is entered and however many chains lie one behind the other. Only chains are shortened:
+    jumps are never more than nodes. Nodes with several targets pass on one step, once. Targets
+    that lead nowhere do not count as targets here: they are found in one step after the rest.
     """
-    depth, hot = 0, None
-    links = written(
-        edges.where("src is not null and dst is not null").select(F.col("src").alias("node"), "dst"),
+    every = written(
+        edges.where("src is not null and dst is not null and src <> dst")
+        .select(F.col("src").alias("node"), "dst"),
         "lineage-edges",
     )
-    visited = seeds.where("node is not null").select("node").distinct()
-    visited = checkpointed(visited.withColumn("depth", F.lit(0).cast("bigint")))
-    frontier = visited.select("node")
+    sources = written(every.select(F.col("node").alias("dst")).distinct(), "lineage-sources")
+    sources = stored_lookup(sources, max_lookup_rows)
+    inner = join_lookup(every, sources, ["dst"], "left_semi", spread_by=["node"])
+    links = written(inner.select("node", "dst"), "lineage-links")
+    ends = links.groupBy("node").agg(F.min("dst").alias("dst"), F.max("dst").alias("last"))
+    jumps = [written(ends.where("dst = last").select("node", "dst"), "lineage-jumps")]
+    branches = written(
+        join_lookup(
+            links,
+            stored_lookup(jumps[0].select("node"), max_lookup_rows),
+            ["node"],
+            "left_anti",
+            spread_by=["dst"],
+        ),
+        "lineage-branches",
+    )
+    hot = None
+    found = written(
+        seeds.where("node is not null")
+        .select("node", F.lit(0).cast("bigint").alias("depth"), F.lit(0).alias("level"))
+        .distinct(),
+        "lineage-found",
+    )
+    known, active = [found], found
     while True:
-        depth += 1
-        reached = stored_lookup(frontier, max_lookup_rows)
-        if not reached.fits and hot is None:
-            hot = hot_keys(links, ["node"])
-        step = join_lookup(links, reached, ["node"], "left_semi", spread_by=["dst"], hot=hot)
-        found = checkpointed(
-            step.select(F.col("dst").alias("node"))
-            .distinct()
-            .join(visited.select("node"), "node", "left_anti")
-            .withColumn("depth", F.lit(depth).cast("bigint"))
+        yield found.select("node", "depth")
+        entered = stored_lookup(found.select("node", "depth"), max_lookup_rows)
+        if not entered.fits and hot is None:
+            hot = hot_keys(branches, ["node"])
+        stepped = join_lookup(branches, entered, ["node"], "inner", spread_by=["dst"], hot=hot)
+        by_level = reduce(
+            DataFrame.unionByName,
+            [jump.withColumn("level", F.lit(k)) for k, jump in enumerate(jumps)],
+        )
+        jumped = written(active.join(by_level, ["node", "level"]), "lineage-jumped")
+        length = F.expr("shiftleft(1L, level)")
+        reached = (
+            stepped.select("dst", (F.col("depth") + 1).alias("depth"), F.lit(0).alias("level"))
+            .unionByName(
+                jumped.select(
+                    "dst", (F.col("depth") + length).alias("depth"), (F.col("level") + 1).alias("level")
+                )
+            )
+            .groupBy(F.col("dst").alias("node"))
+            .agg(F.min(F.struct("depth", "level")).alias("best"))
+            .select("node", "best.depth", "best.level")
+        )
+        before = reduce(DataFrame.unionByName, [k.select("node", F.col("depth").alias("_old")) for k in known])
+        before = before.groupBy("node").agg(F.min("_old").alias("_old"))
+        found = written(
+            reached.join(before, "node", "left")
+            .where("_old is null or depth < _old")
+            .select("node", "depth", "level"),
+            "lineage-found",
         )
         if found.isEmpty():
-            return visited
-        visited = visited.unionByName(found)
-        frontier = found.select("node")
+            leaves = join_lookup(every, sources, ["dst"], "left_anti", spread_by=["node"])
+            lookup = stored_lookup(before.select("node", F.col("_old").alias("depth")), max_lookup_rows)
+            last_step = join_lookup(leaves, lookup, ["node"], "inner", spread_by=["dst"])
+            nearest = last_step.groupBy(F.col("dst").alias("node")).agg(F.min("depth").alias("depth"))
+            yield written(nearest.withColumn("depth", F.col("depth") + 1), "lineage-leaves")
+            return
+        known.append(found)
+        onward = jumped.select("node", "depth", (F.col("level") + 1).alias("level"))
+        active = written(
+            onward.unionByName(found)
+            .groupBy("node")
+            .agg(F.min(F.struct("depth", "level")).alias("best"))
+            .select("node", "best.depth", "best.level"),
+            "lineage-active",
+        )
+        last = jumps[-1]
+        if not last.isEmpty():
+            half = last.select(F.col("node").alias("_half"), F.col("dst").alias("_end"))
+            doubled = join_lookup(
+                last.withColumnRenamed("dst", "_half"),
+                stored_lookup(half, max_lookup_rows),
+                ["_half"],
+                "inner",
+                spread_by=["node"],
+            )
+            # A jump that ends where it began leads to nothing new.
+            doubled = doubled.where("node <> _end").select("node", F.col("_end").alias("dst"))
+            jumps.append(written(doubled, "lineage-jumps"))
+
+
+def lineage_closure(
+    seeds: DataFrame, edges: DataFrame, max_lookup_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Every node reachable from the seeds, with its least number of steps: node, depth.
+
+    ``seeds`` has ``node``; ``edges`` has ``src`` and ``dst``; nulls and loops of one node are left
+    out. Longer loops end as nothing new is found. The number of rounds grows with the number of
+    branching nodes one behind the other (targets that lead nowhere make no branch), and with the
+    logarithm of the chains between them (``closure_rounds``). Each round is written to the shared folder.
+    """
+    found = reduce(DataFrame.unionByName, closure_rounds(seeds, edges, max_lookup_rows))
+    return found.groupBy("node").agg(F.min("depth").alias("depth"))
 
 
 def dangling_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:

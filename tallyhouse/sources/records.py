@@ -1,12 +1,12 @@
 """Run manifests, check reports and comparison tables."""
 
-import uuid
+import json
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
-from tallyhouse.plans.shared import written
 
 MANIFEST_VERSION = 1
 
@@ -55,39 +55,52 @@ def artifacts_of(stages: DataFrame, kind: str = "outputs") -> DataFrame:
     ).select("run_id", "stage", "stage_status", "name", "artifact.*")
 
 
+EDGES = "src string, dst string, sha256 string"
+
+
 def edges_of(records: DataFrame, key: str, document: str) -> DataFrame:
     """What records refer to, at any depth: src (the key), dst (a path), sha256.
 
     ``document`` is JSON text. Every object in it that has a ``path`` and a ``sha256`` is an
-    artifact. Objects and arrays are opened level by level until none is left; a level is
-    written before the next, so a record is read once for each of its levels. A null document
-    has no edges, and one that is no JSON fails.
+    artifact; numbers and truth values count as their text. Each document is read once, in the
+    task that holds its row. A null document has no edges, and one that is no JSON fails.
     """
-    spark = records.sparkSession
-    level = written(
-        records.where(F.col(document).isNotNull()).select(
-            F.col(key).alias("src"), F.parse_json(F.col(document)).alias("value")
-        ),
-        "record-level",
-    )
-    found = []
-    while not level.isEmpty():
-        path = F.try_variant_get("value", "$.path", "string")
-        digest = F.try_variant_get("value", "$.sha256", "string")
-        artifacts = level.select("src", path.alias("dst"), digest.alias("sha256"))
-        found.append(artifacts.where("dst is not null and sha256 is not null"))
-        level.createOrReplaceTempView(view := f"level_{uuid.uuid4().hex}")
-        inside = spark.sql(
-            f"SELECT src, part.value FROM {view}, LATERAL variant_explode(value) AS part "
-            "WHERE schema_of_variant(part.value) LIKE 'OBJECT%' OR schema_of_variant(part.value) LIKE 'ARRAY%'"
-        )
-        level = written(inside, "record-level")
-        spark.catalog.dropTempView(view)
-    empty = "src string, dst string, sha256 string"
-    edges = found[0] if found else spark.createDataFrame([], empty)
-    for part in found[1:]:
-        edges = edges.unionByName(part)
-    return edges
+
+    def refuse(text):
+        raise ValueError(f"{text} is no JSON value")
+
+    def plain(value):
+        if isinstance(value, str):
+            return value
+        return json.dumps(value) if isinstance(value, (int, float)) else None
+
+    def artifacts(text):
+        waiting = [json.loads(text, parse_constant=refuse)]
+        while waiting:
+            value = waiting.pop()
+            if isinstance(value, dict):
+                path, digest = plain(value.get("path")), plain(value.get("sha256"))
+                if path is not None and digest is not None:
+                    yield path, digest
+                waiting += [v for v in value.values() if isinstance(v, (dict, list))]
+            elif isinstance(value, list):
+                waiting += [v for v in value if isinstance(v, (dict, list))]
+
+    def run(batches):
+        for batch in batches:
+            keys, texts = batch.columns
+            found = [
+                (source, *artifact)
+                for source, text in zip(keys.to_pylist(), texts.to_pylist())
+                for artifact in artifacts(text)
+            ]
+            columns = list(zip(*found)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.string()) for c in columns], names=["src", "dst", "sha256"]
+            )
+
+    documents = records.where(F.col(document).isNotNull())
+    return documents.select(F.col(key).cast("string"), document).mapInArrow(run, EDGES)
 
 
 def write_comparison(df: DataFrame, path: str) -> None:

@@ -711,3 +711,41 @@ def lineage_closure(spark, folder):
         F.concat(F.lit("order:"), F.col("o_orderkey").cast("string")).alias("node")
     )
     return ledger.lineage_closure(seeds, links)
+
+
+LANES = 8
+
+
+@query(
+    "lineage_deep",
+    f"""
+    WITH lanes AS (
+      SELECT o_orderkey, o_custkey, o_orderstatus, o_orderkey % {LANES} AS lane,
+             row_number() OVER (PARTITION BY o_orderkey % {LANES} ORDER BY o_orderkey DESC) - 1 AS place,
+             first_value(o_orderkey) OVER (PARTITION BY o_orderkey % {LANES} ORDER BY o_orderkey DESC) AS top
+      FROM orders),
+    chained AS (SELECT *, (top - o_orderkey) // {LANES} AS depth FROM lanes
+                WHERE (top - o_orderkey) // {LANES} = place AND top > (SELECT max(o_orderkey) FROM orders) - {LANES})
+    SELECT 'order:' || o_orderkey AS node, depth::BIGINT AS depth FROM chained
+    UNION ALL
+    SELECT 'customer:' || o_custkey, min(depth + 1)::BIGINT FROM chained WHERE o_orderkey % 100 = 0 GROUP BY o_custkey
+    """,
+)
+def lineage_deep(spark, folder):
+    """Orders that each rest on the one eight keys before, from the last eight on: long chains,
+    in which every hundredth order also rests on its customer."""
+    orders = table(spark, folder, "orders")
+
+    def node(kind, key):
+        return F.concat(F.lit(f"{kind}:"), key.cast("string"))
+
+    key = F.col("o_orderkey")
+    links = orders.select(node("order", key).alias("src"), node("order", key - LANES).alias("dst"))
+    known = orders.select(node("order", key).alias("dst"))
+    links = links.join(known, "dst", "left_semi").select("src", "dst")
+    buyers = orders.where(key % 100 == 0).select(
+        node("order", key).alias("src"), node("customer", F.col("o_custkey")).alias("dst")
+    )
+    last = orders.agg(F.max("o_orderkey")).scalar()
+    seeds = orders.where(key > last - LANES).select(node("order", key).alias("node"))
+    return ledger.lineage_closure(seeds, links.unionByName(buyers))

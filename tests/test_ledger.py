@@ -208,6 +208,53 @@ def test_lineage_ends_in_loops_and_passes_hot_nodes(spark, max_lookup_rows):
     assert len(got) == 500 and set(got.values()) == {4}
 
 
+def chain(spark, n, name="n"):
+    link = [F.concat(F.lit(name), (F.col("id") + step).cast("string")) for step in (0, 1)]
+    return spark.range(n).select(link[0].alias("src"), link[1].alias("dst"))
+
+
+def test_a_long_chain_closes_in_few_rounds(spark):
+    seeds = spark.createDataFrame([("n0",)], "node string")
+    leaves = spark.range(10_000).selectExpr("concat('n', id) as src", "concat('leaf', id % 50) as dst")
+    rounds = list(ledger.closure_rounds(seeds, chain(spark, 10_000).unionByName(leaves)))
+    assert len(rounds) <= 16
+    found = {r["node"]: r["depth"] for part in rounds for r in part.collect()}
+    expected = {f"n{i}": i for i in range(10_001)} | {f"leaf{i}": i + 1 for i in range(50)}
+    assert found == expected
+
+
+@pytest.mark.parametrize("seed, max_lookup_rows", [(0, 100_000), (1, 1)])
+def test_closure_equals_a_plain_search(spark, seed, max_lookup_rows):
+    """Chains that meet, branch, loop and are entered in their middle."""
+    import random
+
+    pick = random.Random(seed)
+    edges = [(f"a{i}", f"a{i + 1}") for i in range(60)] + [("a60", pick.choice(["a30", "b0"]))]
+    edges += [(f"b{i}", f"b{i + 1}") for i in range(25)]
+    edges += [(f"a{pick.randrange(61)}", f"b{pick.randrange(26)}") for _ in range(3)]
+    edges += [(f"b{pick.randrange(26)}", f"a{pick.randrange(61)}") for _ in range(2)]
+    edges += [("b25", "c0"), ("c0", "c1"), ("c1", "c2"), ("c2", "c0"), ("a5", "a5"), (None, "a1"), ("a1", None)]
+    seeds = [f"a{pick.randrange(61)}", f"b{pick.randrange(26)}", None, "elsewhere"]
+    targets = {}
+    for a, b in edges:
+        targets.setdefault(a, []).append(b)
+    depths = {s: 0 for s in seeds if s}
+    layer = list(depths)
+    while layer:
+        layer = [d for n in layer for d in targets.get(n, ()) if d and d not in depths and not depths.update({d: depths[n] + 1})]
+    got = ledger.lineage_closure(
+        spark.createDataFrame([(s,) for s in seeds], "node string"),
+        spark.createDataFrame(edges + edges[:9], "src string, dst string"),
+        max_lookup_rows,
+    )
+    assert {r["node"]: r["depth"] for r in got.collect()} == depths
+
+
+def test_nothing_to_start_from(spark):
+    seeds = spark.createDataFrame([(None,)], "node string")
+    assert ledger.lineage_closure(seeds, chain(spark, 5)).count() == 0
+
+
 def test_version_outcomes(spark):
     five = ["download", "basic_cleaning", "data_check", "data_split", "train_random_forest"]
     executions = spark.createDataFrame(

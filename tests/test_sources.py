@@ -187,10 +187,15 @@ def test_edges_of_nested_records(spark):
         ("c", '"text"'),
         ("d", "[]"),
         ("e", None),
+        ("f", '{"path": 7, "sha256": true}'),
+        ("g", '{"path": [1], "sha256": "s"}'),
     ]
     df = spark.createDataFrame(rows, "id string, record string")
     got = sorted(tuple(r) for r in records.edges_of(df, "id", "record").collect())
-    assert got == [("a", "p1", "s1"), ("a", "p2", "s2"), ("b", "p3", "s3")]
+    assert got == [("a", "p1", "s1"), ("a", "p2", "s2"), ("b", "p3", "s3"), ("f", "7", "true")]
+    for text in ("{", '{"a": NaN}'):
+        with pytest.raises(Exception, match="JSON|Expecting"):
+            records.edges_of(spark.createDataFrame([("a", text)], "id string, record string"), "id", "record").collect()
     none = records.edges_of(df.limit(0), "id", "record")
     assert none.columns == ["src", "dst", "sha256"] and none.count() == 0
 
