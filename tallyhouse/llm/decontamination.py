@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from tallyhouse.llm.batches import FACTOR, map_texts, mixed, rolling
+from tallyhouse.llm.batches import FACTOR, chunks, map_texts, mixed, rolling
 from tallyhouse.llm.registry import query, table
 from tallyhouse.plans.lookups import BROADCAST_ROWS, stored_lookup
 
@@ -86,74 +86,94 @@ class _Codes(dict):
         return code
 
 
-def _windows(codes: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+def _slots(codes, literal, back, at, n, first):
+    """Slot hashes of the windows at ``at``, by what their first word is taken for.
+
+    ``first`` is a slot like any other ("as it is"), a literal word ("word") or a name ("name").
+    """
+    slots = np.zeros(len(at), dtype=np.uint64)
+    for k in range(1, n):
+        step = back[at + k]
+        if first == "as it is":
+            step = np.where(step <= k, step, 0)
+        else:
+            step = np.where(step < k, step, 0)
+        if first == "name":
+            again = (step == 0) & ~literal[at + k] & (codes[at + k] == codes[at])
+            step = np.where(again, k, step)
+        slots *= FACTOR
+        slots += step.astype(np.uint64)
+    return slots
+
+
+def _windows(
+    codes: np.ndarray, begins: np.ndarray, n: int, table: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
     """Key, slot hash, first word and whether it counts, of all windows of ``n`` words.
 
-    Each window has the key of its words as they are, and, with enough literal words, that of its
-    template, which sees literal words and kinds of slots. The slot hash sees which slots of the window
-    hold equal values, so two windows with equal hashes have slots that map to each other one
-    to one. A window without slots has the same key either way. What precedes a window has no
-    say in its keys: one that begins with a capital has the templates of a literal word and of
-    a name.
+    The words are those of several texts; ``begins`` marks where a text begins, and no window
+    reaches over two. Each window has the key of its words as they are, and, with enough literal
+    words, that of its template, which sees literal words and kinds of slots. The slot hash sees
+    which slots of the window hold equal values, so two windows with equal hashes have slots that
+    map to each other one to one. A window without slots has the same key either way. What precedes
+    a window has no say in its keys: one that begins with a capital has the templates of a literal
+    word and of a name. With a ``table`` of known keys only windows with one of them are returned,
+    and slots are looked at in these alone.
     """
     count = len(codes) - n + 1
+    texts = np.cumsum(begins)
+    inside = texts[:count] == texts[n - 1 :]
     kinds = codes & KIND
-    name = np.flatnonzero(kinds[:count] == NAME)
+    name = kinds[:count] == NAME
     # The first word of a sentence has its capital for another reason.
-    first = np.concatenate(([True], codes[:-1] & ENDS != 0))
+    first = begins.copy()
+    first[1:] |= codes[:-1] & ENDS != 0
     kinds[first & (kinds == NAME)] = LITERAL
     literal = kinds == LITERAL
     plain = literal & (codes & MARKS == 0)
     codes = codes >> FLAG_BITS
     words = mixed(codes)
-
-    def keys(values, tail, at=slice(None)):
-        return mixed(values[:count][at] + tail[at] * FACTOR)
-
     values = np.where(plain, words, kinds)
-    tail = rolling(values[1:], n - 1)
-    verbatim = keys(words, rolling(words[1:], n - 1))
-    template = keys(values, tail)
+    tail = rolling(values[1:], n - 1) * FACTOR
+    verbatim = mixed(words[:count] + rolling(words[1:], n - 1) * FACTOR)
+    template = mixed(np.where(name, words[:count], values[:count]) + tail)
     # Literal words after the first one of each window.
     inner = np.cumsum(np.concatenate(([0], literal)))
     inner = inner[n:] - inner[1 : count + 1]
     least = LITERAL_SHARE * n
     counts = inner + literal[:count] >= least
-    enough = counts.copy()
-    enough[name] = inner[name] + 1 >= least
-    # Words back to the last slot of the same value; 0 for none.
+    enough = np.where(name, inner + 1 >= least, counts)
+
+    def known(keys):
+        if table is None:
+            return np.ones(len(keys), dtype=bool)
+        return table[keys >> np.uint64(65 - len(table).bit_length())]
+
+    exact = np.flatnonzero(inside & known(verbatim))
+    at = np.flatnonzero(inside & enough & (template != verbatim) & known(template))
+    named = np.flatnonzero(inside & name & (inner >= least))
+    as_name = mixed(np.uint64(NAME) + tail[named])
+    kept = known(as_name)
+    named, as_name = named[kept], as_name[kept]
+    # Words back to the last slot of the same value; 0 for none. Only texts that may match count.
     back = np.zeros(len(codes), dtype=np.int64)
-    at = np.flatnonzero(~literal)
-    if len(at):
-        order = at[np.lexsort((at, codes[at]))]
+    wanted = np.zeros(texts[-1] + 1, dtype=bool)
+    wanted[texts[at]] = wanted[texts[named]] = True
+    slot = np.flatnonzero(~literal & wanted[texts])
+    if len(slot):
+        order = slot[np.lexsort((slot, codes[slot]))]
         same = codes[order[1:]] == codes[order[:-1]]
         back[order[1:][same]] = (order[1:] - order[:-1])[same]
-    slots = np.zeros(count, dtype=np.uint64)
-    # Of windows that begin with a capital: slots if that is a literal word, and if a name.
-    as_word = np.zeros(len(name), dtype=np.uint64)
-    as_name = np.zeros(len(name), dtype=np.uint64)
-    for k in range(1, n):
-        step = back[k : k + count]
-        slots *= FACTOR
-        slots += np.where(step <= k, step, 0).astype(np.uint64)
-        if len(name):
-            step = step[name]
-            within = np.where(step < k, step, 0)
-            again = (within == 0) & ~literal[name + k] & (codes[name + k] == codes[name])
-            as_word *= FACTOR
-            as_word += within.astype(np.uint64)
-            as_name *= FACTOR
-            as_name += np.where(again, k, within).astype(np.uint64)
-    slots[name] = as_word
-    template[name] = keys(words, tail, name)
-    names = inner[name] >= least
-    named, as_name = name[names], as_name[names]
-    at = np.flatnonzero(enough & (template != verbatim))
+    slots = np.zeros(len(at), dtype=np.uint64)
+    for of, kind in ((name[at], "word"), (~name[at], "as it is")):
+        slots[of] = _slots(codes, literal, back, at[of], n, kind)
     return (
-        np.concatenate((verbatim, template[at], keys(np.full(count, NAME, np.uint64), tail, named))),
-        np.concatenate((np.zeros(count, np.uint64), slots[at], as_name)),
-        np.concatenate((np.arange(count), at, named)),
-        np.concatenate((counts, counts[at], counts[named])),
+        np.concatenate((verbatim[exact], template[at], as_name)),
+        np.concatenate(
+            (np.zeros(len(exact), np.uint64), slots, _slots(codes, literal, back, named, n, "name"))
+        ),
+        np.concatenate((exact, at, named)),
+        np.concatenate((counts[exact], counts[at], counts[named])),
     )
 
 
@@ -186,31 +206,39 @@ def template_windows(
     # Filled as the task goes on.
     codes = _Codes()
 
-    def of_text(text):
-        words = text.split()
-        coded = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
+    def of_texts(texts):
+        """(text, template, slots, place, words, counts) of the windows of some texts."""
+        split = [t.split() for t in texts]
+        lengths = np.array([len(words) for words in split])
+        starts = np.cumsum(lengths) - lengths
+        owner = np.repeat(np.arange(len(texts)), lengths)
+        coded = np.fromiter((codes[w] for words in split for w in words), np.uint64, len(owner))
+        begins = np.zeros(len(owner), dtype=bool)
+        begins[starts[lengths > 0]] = True
         for n in sizes:
-            n = min(n, len(words)) if shorter else n
-            if 0 < n <= len(words):
-                template, slots, at, counts = _windows(coded, n)
-                if table is not None:
-                    high = template >> np.uint64(65 - len(table).bit_length())
-                    kept = np.flatnonzero(table[high])
-                    template, slots, at, counts = (c[kept] for c in (template, slots, at, counts))
-                yield template, slots, at, np.full(len(at), n), counts
+            if n <= len(owner):
+                template, slots, at, counts = _windows(coded, begins, n, table)
+                yield owner[at], template, slots, at - starts[owner[at]], np.full(len(at), n), counts
+            for i in np.flatnonzero((lengths > 0) & (lengths < n)) if shorter else ():
+                own = slice(starts[i], starts[i] + lengths[i])
+                found = _windows(coded[own], begins[own], lengths[i], table)
+                size = len(found[0])
+                yield np.full(size, i), *found[:3], np.full(size, lengths[i]), found[3]
 
     def compute(batch):
-        counts, found = [0], [(np.zeros(0, np.uint64),) * 5]
-        for t in batch.column(text).to_pylist():
-            own = list(of_text(t or ""))
-            counts.append(counts[-1] + sum(len(w[0]) for w in own))
-            found += own
-        kinds = (np.int64, np.int64, np.int32, np.int32, np.bool_)
+        texts = [t or "" for t in batch.column(text).to_pylist()]
+        found = [(np.zeros(0, np.uint64),) * 6]
+        for first, last in chunks(texts):
+            found += [(f[0] + first, *f[1:]) for f in of_texts(texts[first:last])]
+        kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.bool_)
         columns = [np.concatenate([f[i] for f in found]).astype(k) for i, k in enumerate(kinds)]
+        order = np.argsort(columns[0], kind="stable")
+        ends = np.concatenate(([0], np.cumsum(np.bincount(columns[0], minlength=len(texts)))))
         structs = pa.StructArray.from_arrays(
-            [pa.array(c) for c in columns], names=["template", "slots", "at", "words", "counts"]
+            [pa.array(c[order]) for c in columns[1:]],
+            names=["template", "slots", "at", "words", "counts"],
         )
-        return [pa.ListArray.from_arrays(pa.array(counts, pa.int32()), structs)]
+        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)]
 
     return map_texts(rows, ADDED, compute)
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tallyhouse.llm import decontamination as op
@@ -130,3 +132,81 @@ def test_what_precedes_a_passage_does_not_hide_it(spark):
     hits = found(spark, texts, [(1, who), (2, what), (3, long), (4, built), (5, twice)])
     assert set(hits) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (6, 4), (7, 2), (8, 5), (10, 5)}
     assert all(r.share == 1.0 for r in hits.values())
+
+
+def plain_windows(text, n):
+    """Keys of every window as tuples, from the definitions: one for its words, one or two more
+    for its template with the steps back to equal slots."""
+    words = text.split()
+    codes = op._Codes()
+    seen = [codes[w] for w in words]
+    kinds = [c & 3 for c in seen]
+    values = [op.EDGES.sub("", w).lower() or w for w in words]
+    shown = [
+        op.LITERAL if k == op.NAME and (i == 0 or seen[i - 1] & 4) else k for i, k in enumerate(kinds)
+    ]
+    out = set()
+    for at in range(len(words) - n + 1):
+        out.add((tuple(values[at : at + n]), (0,) * (n - 1)))
+        firsts = [op.LITERAL, op.NAME] if kinds[at] == op.NAME else [shown[at]]
+        for first in firsts:
+            here = [first, *shown[at + 1 : at + n]]
+            if sum(k == op.LITERAL for k in here) < op.LITERAL_SHARE * n:
+                continue
+            own = values[at : at + n]
+            marks = [bool(c & 8) for c in seen[at : at + n]]
+            template = tuple(
+                v if k == op.LITERAL and (not m or (i == 0 and kinds[at] == op.NAME)) else k
+                for i, (k, v, m) in enumerate(zip(here, own, marks))
+            )
+            steps = []
+            for k in range(1, n):
+                back = [j for j in range(1, k + 1) if here[k] != op.LITERAL and here[k - j] != op.LITERAL and own[k - j] == own[k]]
+                steps.append(min(back, default=0))
+            out.add((template, tuple(steps)))
+    return out
+
+
+def test_windows_equal_a_plain_search(spark):
+    pick = random.Random(8)
+    filler = ["the", "river", "was", "long", "and", "we", "saw", "it", "again", "then", "--", "end."]
+    slots = ["Anna", "Ben", "7", "12", "km", "miles", "five", "Rome.", "Anna,"]
+
+    def text(k):
+        return " ".join(pick.choice(slots if pick.random() < 0.3 else filler) for _ in range(k))
+
+    items = [(i, text(pick.randrange(4, 12))) for i in range(40)]
+    texts = [(i, text(pick.randrange(0, 60))) for i in range(60)]
+    texts += [(100 + i, f"{text(3)} {t} {text(3)}") for i, t in items]
+    texts += [(200 + i, f"{text(3)} {t.replace('Anna', 'Zoe').replace('7', '19')}") for i, t in items]
+    window = 6
+    keys = {i: plain_windows(t, min(window, len(t.split()))) for i, t in items}
+    expected = set()
+    for d, t in texts:
+        by_size = {n: plain_windows(t, n) for n in {min(window, len(x.split())) for _, x in items}}
+        for i, x in items:
+            if keys[i] & by_size[min(window, len(x.split()))]:
+                expected.add((d, i))
+    for max_rows in (100_000, 0):
+        assert set(found(spark, texts, items, window=window, max_rows=max_rows)) == expected
+    assert {(100 + i, i) for i, _ in items} < expected and any(d >= 200 for d, _ in expected)
+
+
+def test_reparameterised_benchmark_is_found(spark, medium):
+    """Given items with other numbers, names and units in their places, within other text."""
+    items = [r for r in cases.given(spark, medium, "benchmark").collect() if r.text and len(r.text.split()) >= 15]
+    numbers = {str(n): str(n + 1) for n in range(1000)}
+    names = {}
+
+    def other(word):
+        code = op._Codes()[word]
+        bare = op.EDGES.sub("", word)
+        if code & 3 == op.NUMERIC and bare in numbers:
+            return word.replace(bare, numbers[bare])
+        if code & 3 == op.NAME:
+            return word.replace(bare, names.setdefault(bare, f"Xen{len(names)}a"))
+        return word
+
+    texts = [(r.item_id, "as was said before " + " ".join(map(other, r.text.split())) + " and so on") for r in items]
+    hits = found(spark, texts, [(r.item_id, r.text) for r in items])
+    assert sum((r.item_id, r.item_id) in hits for r in items) >= 0.9 * len(items)
