@@ -4,11 +4,12 @@ Every stage takes and returns rows with the columns of ``documents``, extra ones
 whatever their names; the last adds ``shard``, ``copy`` and ``place``. Empty tables pass.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import decontamination, language_id, mixing, secret_scan, simhash_dedup
 from tallyhouse.llm.registry import table
+from tallyhouse.llm.scratch import Scratch
 from tallyhouse.plans.lookups import join_lookup, stored_lookup
 from tallyhouse.plans.shared import written
 
@@ -31,17 +32,42 @@ def _shown(docs: DataFrame, columns: list[str], **changed) -> DataFrame:
     )
 
 
-def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """Drop the rows with one of the ids; rows without an id stay.
+def _name(docs: DataFrame) -> Column:
+    """What tells rows apart: the id, missing ones last, and the text."""
+    id_ = F.col("doc_id")
+    zero = F.lit(0).cast(docs.schema["doc_id"].dataType)
+    return F.struct(
+        id_.isNull().alias("missing"),
+        F.coalesce(id_, zero).alias("id"),
+        F.xxhash64("text").alias("of_text"),
+    )
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """Names and texts as an operator takes them, names in the place of ids.
 
-    The ids are broadcast if they are few, else both sides are shuffled.
+    Rows without an id are judged like all others, and rows that share an id but not their text
+    one by one.
     """
-    gone = stored_lookup(written(ids.where("doc_id is not null").distinct(), name))
-    return join_lookup(docs, gone, ["doc_id"], "left_anti", spread_by=["doc_id"])
+    return docs.select(_name(docs).alias("doc_id"), "text")
+
+
+def _without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """Drop the rows that ``gone`` names by its column ``doc_id`` (see ``_name``).
+
+    The names are broadcast if they are few, else both sides are shuffled.
+    """
+    keyed = docs.withColumn("_judged_", _name(docs))
+    gone = gone.select(F.col("doc_id").alias("_judged_")).distinct()
+    lookup = stored_lookup(written(gone, name))
+    return join_lookup(keyed, lookup, ["_judged_"], "left_anti", spread_by=["_judged_"]).drop("_judged_")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go whose language cannot be told: no letters, no text, or no clear winner."""
+    """Documents go whose language cannot be told: no letters, no text, or no clear winner.
+
+    Where no row has a language to learn from, every row with a text stays.
+    """
     model = language_id.fit_documents(docs)
     if not model.languages:
         return docs.where(F.col("text").isNotNull())
@@ -55,17 +81,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the document with the smallest id stays.
 
-    Of rows that repeat id and text, one stays. Rows without an id stay otherwise.
+    A row without an id stays if no other of its group has one; of rows that repeat id and text,
+    one stays.
     """
-    groups = simhash_dedup.group(docs)
+    groups = simhash_dedup.group(_judged(docs))
     rest = _without(docs, groups.where("doc_id <> component_id").select("doc_id"), "copies")
     once = rest.withColumn("_text_", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_"])
     return once.drop("_text_")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go that share a template window with a benchmark item."""
-    hits = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Documents go that share a window with a benchmark item, with an id or without."""
+    judged = _judged(docs)
+    hits = decontamination.contaminated(judged, table(spark, sf_dir, "benchmark"))
     return _without(docs, hits.select("doc_id"), "contaminated")
 
 
@@ -102,7 +130,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages; a stage's table goes once the next is written, the last one stays to be read."""
+    docs, scratch, before = table(spark, sf_dir, "documents"), Scratch(spark), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = scratch.keep(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            scratch.drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
