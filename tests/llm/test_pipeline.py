@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 import __spark_entry__ as spark_entry
@@ -17,7 +19,7 @@ def by_stage(spark, docs, folder):
 def test_registered():
     names = set(spark_entry.queries())
     assert names >= set(catalog.queries()) | {"pipeline"}
-    assert {n.split("_")[0] for n in catalog.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in catalog.queries()} == {f"op{i}" for i in range(1, 14)}
     assert [name for name, _ in pipeline.STAGES] == [
         "language", "near-duplicates", "benchmark", "secrets", "mixing",
     ]
@@ -82,3 +84,24 @@ def test_repeated_rows_stay_once(spark, small):
     kept = pipeline.drop_near_duplicates(spark, docs, small)
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
     assert language_id.UNDETERMINED and simhash_dedup.MAX_BITS == 4
+
+
+def test_rows_without_ids_are_judged(spark, small):
+    item = next(r.text for r in cases.given(spark, small, "benchmark").collect() if len(r.text.split()) > 20)
+    other = "a text of its own about boats and rivers and roads that nobody else has ever written down"
+    rows = [(None, "before " + item, "en", "a"), (None, other, "en", "a"), (5, item, "en", "a"), (5, other + " twice", "en", "a")]
+    kept = pipeline.decontaminate(spark, cases.documents(spark, rows), small)
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, other), (5, other + " twice")]
+    rows = [(None, other, "en", "a"), (None, other, "en", "b"), (8, other, "en", "a"), (7, other, "en", "a"), (None, item, "en", "a"), (7, item + " x", "en", "a")]
+    kept = pipeline.drop_near_duplicates(spark, cases.documents(spark, rows), small)
+    found = sorted((r.doc_id or 0, r.text) for r in kept.collect())
+    assert (7, other) in found and len([t for _, t in found if t == other]) == 1
+    assert {t for _, t in found} >= {other} and len(found) in (2, 3)
+
+
+def test_stage_tables_do_not_pile_up(spark, small, tmp_path, monkeypatch):
+    folders = []
+    monkeypatch.setattr("tallyhouse.llm.scratch.new_folder", lambda _, name: folders.append(f"{tmp_path}/{name}") or folders[-1])
+    pipeline.run(spark, small).count()
+    stages = [f for f in folders if "stage-" in f]
+    assert len(stages) == 4 and [os.path.exists(f) for f in stages] == [False] * 3 + [True]
