@@ -6,6 +6,8 @@ Checks count violations, and a null counts as one: ``coalesce(condition, false)`
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,10 @@ QUANTILES = T.StructType(
 # Relative accuracy of the sketch, and rows whose distinct values may go to the driver.
 ACCURACY = 10_000
 SMALL_RANGE = 10_000
+# Size of stored sketches, and how far their ranks may be off.
+KLL_SIZE = 4_000
+KLL_ERROR = 0.002
+HLL_BITS = 14
 
 
 def violates(condition: Column) -> Column:
@@ -306,52 +312,168 @@ def histogram(df: DataFrame, column: str, low: float, width: float) -> DataFrame
     )
 
 
-def quantiles(df: DataFrame, column: str, fractions: Sequence[float]) -> DataFrame:
+def profile_by(df: DataFrame, part: str | Column, column: str) -> DataFrame:
+    """(part, n, missing, lowest, highest, ranks, values): a column's profile for each part, as
+    mergeable sketches of its ranks (KLL) and its different values (HLL).
+
+    Meant to be stored, a part being a day or a file: new data adds rows and old data is not
+    read again. NaN counts as missing. The table has as many rows as there are parts.
+    """
+    v = F.col(column).cast("double")
+    rows = df.select(
+        (F.col(part) if isinstance(part, str) else part).alias("part"),
+        F.when(~F.isnan(v), v).alias("v"),
+    )
+    return rows.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.count(F.lit(1)) - F.count("v")).alias("missing"),
+        F.min("v").alias("lowest"),
+        F.max("v").alias("highest"),
+        F.kll_sketch_agg_double("v", KLL_SIZE).alias("ranks"),
+        F.hll_sketch_agg(F.hash("v"), HLL_BITS).alias("values"),
+    )
+
+
+def merge_profiles(profiles: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Profiles of parts as one, or one for each group: sketches in, sketches out.
+
+    A part that was profiled again belongs in the table once; rows that repeat are added up.
+    """
+    return profiles.groupBy(*by).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"),
+        F.min("lowest").alias("lowest"),
+        F.max("highest").alias("highest"),
+        F.kll_merge_agg_double("ranks", KLL_SIZE).alias("ranks"),
+        F.hll_union_agg("values").alias("values"),
+    )
+
+
+def profile_figures(merged: DataFrame, fractions: Sequence[float]) -> DataFrame:
+    """Counts, range, about how many different values, and about which quantiles: no data is read."""
+    kept = [c for c in merged.columns if c not in ("ranks", "values")]
+    places = F.array(*[F.lit(float(f)) for f in fractions])
+    some = F.col("n") > F.col("missing")
+    return merged.select(
+        *kept,
+        F.hll_sketch_estimate("values").alias("distinct_values"),
+        F.when(some, F.kll_sketch_get_quantile_double("ranks", places)).alias("quantiles"),
+    )
+
+
+def quantiles(
+    df: DataFrame, column: str, fractions: Sequence[float], profiles: DataFrame | None = None
+) -> DataFrame:
     """Exact discrete quantiles: fraction, value; no rows if there is no value.
 
-    The value at rank ``ceil(fraction * n)`` of the sorted column, nulls and NaN left out. A
-    sketch narrows the range of each rank, exact counts confirm it, until few enough rows are
-    left in the range to look at its distinct values. So neither a sort nor all values of a
-    column ever meet in one task, and no value is rounded.
+    The value at rank ``ceil(fraction * n)`` of the sorted column, nulls and NaN left out. All
+    fractions share their scans: one for a sketch that narrows the range of each rank, one for
+    exact counts that confirm it, one for the distinct values of ranges that hold few rows. Ranges
+    that still hold many are narrowed again. So neither a sort nor all values of a column ever
+    meet in one task, and no value is rounded.
     """
     if not all(0 <= f <= 1 for f in fractions):
         raise ValueError("Fractions must lie between zero and one")
     values = df.select(F.col(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
-    n, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
-    found = [
-        (float(f), _value_at_rank(values, max(1, math.ceil(f * n)), n, low, high)) for f in fractions if n
-    ]
-    return local_table(found, QUANTILES, df.sparkSession)
+    wanted = list(dict.fromkeys(float(f) for f in fractions))
+    error = 2 / ACCURACY if profiles is None else KLL_ERROR
+    near = [p for f in wanted for p in _near(f, error)] or [0.5]
+    if profiles is None:
+        sketch = F.percentile_approx("v", near, ACCURACY)
+        n, low, high, cuts = values.agg(F.count("v"), F.min("v"), F.max("v"), sketch).first()
+    else:
+        merged = profile_figures(merge_profiles(profiles), near).first()
+        n, low, high, cuts = merged["n"] - merged["missing"], *(
+            merged[c] for c in ("lowest", "highest", "quantiles")
+        )
+    if not n:
+        return local_table([], QUANTILES, df.sparkSession)
+    ranks = {f: max(1, math.ceil(f * n)) for f in wanted}
+    ranges = {f: _Range(low, high, 0, n) for f in wanted}
+    cuts = {f: (cuts[2 * i], cuts[2 * i + 1]) for i, f in enumerate(wanted)}
+    found: dict[float, float] = {}
+    while len(found) < len(wanted):
+        wide = [f for f in wanted if f not in found and ranges[f].inside > SMALL_RANGE]
+        if not wide:
+            break
+        if cuts is None:
+            cuts = _sketched(values, ranks, ranges, wide)
+        counts = _counted(values, {f: cuts[f] for f in wide})
+        for f in wide:
+            value = ranges[f].narrowed(ranks[f], *cuts[f], counts[f])
+            if isinstance(value, float):
+                found[f] = value
+            else:
+                ranges[f] = value
+        cuts = None
+    open_ = {f: ranges[f] for f in wanted if f not in found}
+    if open_:
+        v = F.col("v")
+        inside = reduce(or_, [v.between(r.low, r.high) for r in open_.values()])
+        counted = sorted((row["v"], row["count"]) for row in values.where(inside).groupBy("v").count().collect())
+        for f, r in open_.items():
+            below = r.below
+            for value, times in counted:
+                if r.low <= value <= r.high:
+                    below += times
+                    if below >= ranks[f]:
+                        found[f] = value
+                        break
+    return local_table([(float(f), found[float(f)]) for f in fractions], QUANTILES, df.sparkSession)
+
+
+def _near(place: float, error: float) -> list[float]:
+    return [max(0.0, place - error), min(1.0, place + error)]
 
 
-def _value_at_rank(values: DataFrame, rank: int, inside: int, low: float, high: float) -> float:
-    """``inside`` values lie from ``low`` to ``high``; none of the wanted rank lies outside."""
-    below = 0
-    v = F.col("v")
-    while low < high:
-        part = values.where(v.between(low, high))
-        if inside <= SMALL_RANGE:
-            for row in part.groupBy("v").count().orderBy("v").collect():
-                below += row["count"]
-                if below >= rank:
-                    return row["v"]
-        place = (rank - below) / inside
-        near = [max(0.0, place - 2 / ACCURACY), min(1.0, place + 2 / ACCURACY)]
-        first, last = part.agg(F.percentile_approx("v", near, ACCURACY)).first()[0]
-        if (first, last) == (low, high):
-            first = last = low + (high - low) / 2
-        counts = values.agg(
-            F.count_if(v < first), F.count_if(v <= first), F.count_if(v < last), F.count_if(v <= last)
-        ).first()
+@dataclass(frozen=True)
+class _Range:
+    """``inside`` values lie from ``low`` to ``high``, ``below`` lie below; the wanted rank is inside."""
+
+    low: float
+    high: float
+    below: int
+    inside: int
+
+    def narrowed(self, rank: int, first: float, last: float, counts: Sequence[int]) -> "_Range | float":
+        """The part between, below or above two cuts that holds the rank, or the value itself."""
         under_first, to_first, under_last, to_last = counts
+        if self.low >= self.high:
+            return self.low
         if under_first < rank <= to_first:
             return first
         if under_last < rank <= to_last:
             return last
         if rank <= under_first:
-            low, high, below, inside = low, first, below, to_first - below
-        elif rank <= under_last:
-            low, high, below, inside = first, last, under_first, to_last - under_first
-        else:
-            low, high, below, inside = last, high, under_last, below + inside - under_last
-    return low
+            return _Range(self.low, first, self.below, to_first - self.below)
+        if rank <= under_last:
+            return _Range(first, last, under_first, to_last - under_first)
+        return _Range(last, self.high, under_last, self.below + self.inside - under_last)
+
+
+def _sketched(values: DataFrame, ranks: dict, ranges: dict, wide: Sequence[float]) -> dict:
+    """Two cuts around each open rank, from one scan for all."""
+    v = F.col("v")
+    sketches = [
+        F.percentile_approx(
+            F.when(v.between(ranges[f].low, ranges[f].high), v),
+            _near((ranks[f] - ranges[f].below) / ranges[f].inside, 2 / ACCURACY),
+            ACCURACY,
+        ).alias(f"_{i}")
+        for i, f in enumerate(wide)
+    ]
+    cuts = {}
+    for f, (first, last) in zip(wide, values.agg(*sketches).first()):
+        low, high = ranges[f].low, ranges[f].high
+        if (first, last) == (low, high):
+            first = last = low + (high - low) / 2
+        cuts[f] = (first, last)
+    return cuts
+
+
+def _counted(values: DataFrame, cuts: dict) -> dict:
+    """Values below and up to each cut, from one scan for all."""
+    v = F.col("v")
+    sides = [(f, side) for f, both in cuts.items() for cut in both for side in (v < cut, v <= cut)]
+    row = values.agg(*[F.count_if(side).alias(f"_{i}") for i, (_, side) in enumerate(sides)]).first()
+    return {f: row[4 * i : 4 * i + 4] for i, f in enumerate(cuts)}

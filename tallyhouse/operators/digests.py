@@ -2,6 +2,7 @@
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from itertools import groupby
 from operator import itemgetter
 
@@ -10,8 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.hashing import hex_value, row_text
+from tallyhouse.plans.lookups import join_lookup, stored_lookup
+from tallyhouse.plans.shared import written
 
 PART_BITS = 20
+# A bucket of a folder's hash tree holds about so many files at most; a node has 16 children.
+BUCKET_FILES = 256
+MOST_LEVELS = 12
 
 
 def table_fingerprint(
@@ -73,6 +79,69 @@ def folder_digest(files: DataFrame, folder: str, path: str, digest: str) -> Data
     return rows.mapInPandas(_stream_folders, "folder string, n_files bigint, sha256 string")
 
 
+def folder_tree(
+    files: DataFrame, folder: str, path: str, digest: str, bucket_files: int = BUCKET_FILES
+) -> DataFrame:
+    """(folder, n_files, levels, sha256): a folder's digest by a hash tree, for folders of any size.
+
+    A leaf is the SHA-256 of path, zero byte and the file's digest. The first hex digits of the
+    path's SHA-256 choose a bucket, whose digest covers its leaves in order of paths, then digests; above, a node
+    covers the digit and digest of each of its at most 16 children. ``levels`` follows from the
+    number of files alone: as few as keep the mean bucket within ``bucket_files``. So the digest
+    depends on paths and digests only, one folder is the work of many tasks, and no group grows
+    with the folder. It is another value than ``folder_digest``, which stays for parity. Rows
+    without path or digest are left out; files that repeat are covered as often.
+    """
+    rows = written(
+        files.select(
+            F.col(folder).cast("string").alias("folder"),
+            F.col(path).cast("string").alias("path"),
+            F.col(digest).alias("digest"),
+        ).where("path is not null and digest is not null"),
+        "tree-files",
+    ).withColumns({"_missing": F.col("folder").isNull(), "folder": F.coalesce("folder", F.lit(""))})
+    of_folder = ["_missing", "folder"]
+    n = F.count(F.lit(1))
+    levels = reduce(
+        lambda more, k: F.when(F.col("n_files") > bucket_files * 16**k, k + 1).otherwise(more),
+        range(MOST_LEVELS),
+        F.lit(0),
+    )
+    counts = written(
+        rows.groupBy(*of_folder).agg(n.alias("n_files")).withColumn("levels", levels), "tree-counts"
+    )
+    placed = join_lookup(rows, stored_lookup(counts), of_folder, "inner", spread_by=["path"])
+    leaf = F.sha2(F.concat(F.col("path").cast("binary"), F.lit(b"\x00"), F.unhex("digest")), 256)
+    bucket = F.substring(F.sha2(F.col("path").cast("binary"), 256), F.lit(1), F.col("levels"))
+    node = [*of_folder, "n_files", "levels", "_at"]
+
+    def covered(pairs):
+        parts = F.transform(F.array_sort(F.collect_list(pairs)), lambda p: p["_covers"])
+        return F.sha2(F.unhex(F.concat_ws("", parts)), 256).alias("sha256")
+
+    nodes = (
+        placed.withColumns({"_at": bucket, "_covers": leaf})
+        .groupBy(*node)
+        .agg(covered(F.struct("path", "digest", "_covers")))
+    )
+    deepest = counts.agg(F.max("levels")).first()[0] or 0
+    for level in range(deepest, 0, -1):
+        # Nodes of smaller trees wait until their level is reached.
+        here = F.length("_at") == level
+        child = F.struct(
+            F.when(here, F.substring("_at", -1, 1)).otherwise("").alias("_digit"),
+            F.when(here, F.concat(F.lit("0"), F.substring("_at", -1, 1), "sha256"))
+            .otherwise(F.col("sha256"))
+            .alias("_covers"),
+        )
+        above = nodes.withColumns({"_child": child, "_up": here, "_at": F.when(here, F.substring("_at", 1, level - 1)).otherwise(F.col("_at"))})
+        nodes = above.groupBy(*node, "_up").agg(
+            covered(F.col("_child")).alias("_joined"), F.first("sha256").alias("_own")
+        ).select(*node, F.when(F.col("_up"), F.col("_joined")).otherwise(F.col("_own")).alias("sha256"))
+    named = F.when(~F.col("_missing"), F.col("folder")).alias("folder")
+    return nodes.select(named, "n_files", F.col("levels").cast("int").alias("levels"), "sha256")
+
+
 def _stream_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     folder, running, n = None, None, 0
     for batch in batches:

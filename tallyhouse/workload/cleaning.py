@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import checks, clean
+from tallyhouse.plans.shared import new_folder
 from tallyhouse.schemas import LISTING
 from tallyhouse.workload.registry import query
 from tallyhouse.workload.tables import LISTING_SQL, SEGMENTS, listings, table
@@ -312,17 +313,52 @@ def price_histogram(spark, folder):
     return checks.histogram(table(spark, folder, "lineitem"), "l_extendedprice", 0.0, 5_000.0)
 
 
-@query(
-    "price_quantiles",
-    """
+QUANTILES_SQL = """
     SELECT f AS fraction, price AS value
     FROM (SELECT price, row_number() OVER (ORDER BY price) AS place, count(*) OVER () AS n
           FROM (SELECT o_totalprice / 64 AS price FROM orders))
     JOIN (SELECT unnest([0.0, 0.25, 0.5, 0.75, 0.99, 1.0]::DOUBLE[]) AS f)
       ON place = greatest(1, ceil(f * n))
-    """,
-)
+    """
+FRACTIONS = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
+
+
+@query("price_quantiles", QUANTILES_SQL)
 def price_quantiles(spark, folder):
     """Prices in a coarser unit, which have up to eight decimals."""
     orders = table(spark, folder, "orders").select((F.col("o_totalprice") / 64).alias("price"))
-    return checks.quantiles(orders, "price", [0.0, 0.25, 0.5, 0.75, 0.99, 1.0])
+    return checks.quantiles(orders, "price", FRACTIONS)
+
+
+def price_profiles(spark, folder):
+    """Prices, and stored profiles of them by day, added in two batches."""
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderdate").cast("date").alias("day"), (F.col("o_totalprice") / 64).alias("price")
+    )
+    path = new_folder(spark, "profiles")
+    cut = F.lit("1996-01-01").cast("date")
+    for batch in (orders.where(F.col("day") < cut), orders.where(F.coalesce(F.col("day") >= cut, F.lit(True)))):
+        checks.profile_by(batch, "day", "price").write.mode("append").parquet(path)
+    return orders, spark.read.parquet(path)
+
+
+@query("profile_quantiles", QUANTILES_SQL)
+def profile_quantiles(spark, folder):
+    """Exact quantiles with the stored profiles in the place of a sketch of the data."""
+    orders, profiles = price_profiles(spark, folder)
+    return checks.quantiles(orders, "price", FRACTIONS, profiles)
+
+
+@query(
+    "profile_by_month",
+    """
+    SELECT month(o_orderdate)::INTEGER AS month, count(*) AS n, count(*) - count(o_totalprice) AS missing,
+           min(o_totalprice / 64) AS lowest, max(o_totalprice / 64) AS highest
+    FROM orders GROUP BY 1
+    """,
+)
+def profile_by_month(spark, folder):
+    """Profiles of days merged by month of the year, without reading the data again."""
+    _, profiles = price_profiles(spark, folder)
+    months = profiles.withColumn("month", F.month("part"))
+    return checks.merge_profiles(months, ["month"]).drop("ranks", "values")

@@ -604,6 +604,47 @@ def folder_digest(spark, folder):
     return digests.folder_digest(files, "conv_id", "path", "digest")
 
 
+def tree_levels_sql(most=4):
+    """Nodes of hash trees, from the buckets (at most ``most`` digits) up to the roots."""
+    parts = []
+    for level in range(most, 0, -1):
+        parts.append(f"""
+    n{level - 1} AS (
+      SELECT folder, n_files, levels, substr(spot, 1, {level - 1}) AS spot,
+             sha256(from_hex(string_agg('0' || substr(spot, {level}, 1) || sha256, '' ORDER BY spot))) AS sha256
+      FROM n{level} WHERE length(spot) = {level} GROUP BY ALL
+      UNION ALL SELECT * FROM buckets WHERE levels = {level - 1})""")
+    return ",".join(parts)
+
+
+@query(
+    "folder_tree",
+    f"""
+    WITH f AS (SELECT o_orderstatus AS folder, o_orderpriority || '/' || o_orderkey AS path, sha256(o_orderkey::VARCHAR) AS digest
+               FROM orders),
+    c AS (SELECT folder, n_files, count(k)::INTEGER AS levels
+          FROM (SELECT folder, count(*) AS n_files FROM f GROUP BY folder)
+          LEFT JOIN range({digests.MOST_LEVELS}) t(k) ON n_files > {digests.BUCKET_FILES} * (16 ** k)
+          GROUP BY ALL),
+    buckets AS (
+      SELECT folder, n_files, levels, substr(sha256(path), 1, levels) AS spot,
+             sha256(from_hex(string_agg(sha256(encode(path) || from_hex('00' || digest)), '' ORDER BY path))) AS sha256
+      FROM f JOIN c USING (folder) GROUP BY ALL),
+    n4 AS (SELECT * FROM buckets WHERE levels = 4),
+    {tree_levels_sql()}
+    SELECT folder, n_files, levels, sha256 FROM n0
+    """,
+)
+def folder_tree(spark, folder):
+    """Three folders that hold all orders, by a tree of hashes."""
+    files = table(spark, folder, "orders").select(
+        "o_orderstatus",
+        F.concat_ws("/", "o_orderpriority", F.col("o_orderkey").cast("string")).alias("path"),
+        F.sha2(F.col("o_orderkey").cast("string"), 256).alias("digest"),
+    )
+    return digests.folder_tree(files, "o_orderstatus", "path", "digest")
+
+
 @query(
     "lineage_edges",
     """

@@ -223,6 +223,36 @@ def test_quantiles_are_not_rounded_and_do_not_overflow(spark, monkeypatch):
     assert rows_of(checks.quantiles(many, "v", places)) == expected
 
 
+@pytest.mark.parametrize("small_range", [10_000, 50])
+def test_quantiles_from_stored_profiles(spark, monkeypatch, small_range):
+    monkeypatch.setattr(checks, "SMALL_RANGE", small_range)
+    rows = spark.range(30_000).selectExpr(
+        "cast(id % 7 as int) as day", "if(id % 50 = 0, null, pow(id * 7919 % 30000, 1.3)) as v"
+    ).cache()
+    values = sorted(r[0] for r in rows.collect() if r[0] is not None and r[1] is not None for r in [(r[1],)])
+    profiles = checks.profile_by(rows, "day", "v")
+    assert profiles.count() == 7
+    places = [0.0, 0.2, 0.5, 0.9, 1.0]
+    expected = [(f, values[max(1, math.ceil(f * len(values))) - 1]) for f in places]
+    assert rows_of(checks.quantiles(rows, "v", places, profiles)) == expected
+    figures = checks.profile_figures(checks.merge_profiles(profiles), [0.5]).first()
+    assert (figures["n"], figures["missing"]) == (30_000, 600)
+    assert abs(figures["distinct_values"] / len(set(values)) - 1) < 0.05
+    assert abs(figures["quantiles"][0] / values[len(values) // 2] - 1) < 0.02
+    none = checks.profile_by(rows.limit(0), "day", "v")
+    assert rows_of(checks.quantiles(rows.limit(0), "v", [0.5], none)) == []
+
+
+def test_all_fractions_share_three_scans(spark, monkeypatch):
+    seen = []
+    real = checks._sketched
+    monkeypatch.setattr(checks, "_sketched", lambda *a: seen.append(1) or real(*a))
+    rows = spark.range(200_000).selectExpr("pow(id * 7919 % 200000, 1.1) as v")
+    checks.quantiles(rows, "v", [0.1, 0.5, 0.9, 0.99]).collect()
+    # The first scan's sketch was enough: one scan of counts and one of values followed.
+    assert not seen
+
+
 def test_two_reads_of_one_table_are_no_baseline(spark, small):
     path = f"{small}/customer.parquet"
     limits = checks.SuiteLimits([], "c_mktsegment", [], {}, "c_acctbal", (0.0, 1.0))

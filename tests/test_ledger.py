@@ -369,3 +369,39 @@ def test_folder_digest_over_many_batches(spark):
         expected.update(f"d/{i:06d}".encode() + b"\0" + hashlib.sha256(str(i).encode()).digest())
     assert set(got) == {"hot", "f0", "f1", "f2"}
     assert (got["hot"]["n_files"], got["hot"]["sha256"]) == (24_000, expected.hexdigest())
+
+
+def tree_of(files, bucket):
+    """A folder's hash tree by recursion."""
+    levels = 0
+    while len(files) > bucket * 16**levels:
+        levels += 1
+
+    def sha(data):
+        return hashlib.sha256(data).digest()
+
+    def node(at, inside):
+        if len(at) == levels:
+            return sha(b"".join(sha(p.encode() + b"\0" + bytes.fromhex(d)) for p, d in sorted(inside)))
+        parts = b""
+        for digit in "0123456789abcdef":
+            own = [f for f in inside if hashlib.sha256(f[0].encode()).hexdigest().startswith(at + digit)]
+            if own:
+                parts += bytes([int(digit, 16)]) + node(at + digit, own)
+        return sha(parts)
+
+    return len(files), levels, node("", files).hex()
+
+
+def test_folder_trees(spark):
+    digest = hashlib.sha256(b"x").hexdigest()
+    names = {"a": 1, "b": 9, "c": 300, "": 5, None: 40}
+    rows = [(f, f"d{i % 7}/ä{i}", hashlib.sha256(str(i).encode()).hexdigest()) for f, n in names.items() for i in range(n)]
+    rows += [("b", "d0/ä0", digest), ("b", None, digest), ("b", "x", None)]
+    df = spark.createDataFrame(rows, "folder string, path string, digest string")
+    expected = {f: tree_of([(p, d) for g, p, d in rows if g == f and p and d], 8) for f in names}
+    for given in (df, df.repartition(5, "digest")):
+        got = {r["folder"]: tuple(r)[1:] for r in digests.folder_tree(given, "folder", "path", "digest", 8).collect()}
+        assert got == expected
+    assert [expected[f][1] for f in ("a", "b", "c", None)] == [0, 1, 2, 1]
+    assert digests.folder_tree(df.limit(0), "folder", "path", "digest").count() == 0
