@@ -395,18 +395,21 @@ def invalid_transitions(
     order: Sequence[str],
     spread_by: Sequence[str],
     max_lookup_rows: int = BROADCAST_ROWS,
+    marks: DataFrame | None = None,
 ) -> DataFrame:
     """Events that a stage's history forbids: a second start, or anything after its end.
 
     A stage may be at its end from its first completed or failed event on; before that all
     its events are starts, and only the first is valid. So two minima per stage decide, and
-    a history of any length is never sorted.
+    a history of any length is never sorted. ``marks`` may hand them over: run_id, stage,
+    _first, _end.
     """
     at = F.struct(*order)
     ends = F.col("status").isin(COMPLETED, FAILED)
-    marks = events.groupBy("run_id", "stage").agg(
-        F.min(at).alias("_first"), F.min(F.when(ends, at)).alias("_end")
-    )
+    if marks is None:
+        marks = events.groupBy("run_id", "stage").agg(
+            F.min(at).alias("_first"), F.min(F.when(ends, at)).alias("_end")
+        )
     joined = join_lookup(
         events, derived_lookup(marks, max_lookup_rows), ["run_id", "stage"], "inner", spread_by
     )

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import digests, ledger, model
 from tallyhouse.plans.lookups import derived_lookup, join_lookup, stored_lookup
-from tallyhouse.plans.shared import written
+from tallyhouse.plans.shared import new_folder, written
 from tallyhouse.schemas import STAGES
 from tallyhouse.sources import records
+from tallyhouse.streaming import stages as arrivals
 from tallyhouse.workload.modelling import predicted_lines
-from tallyhouse.workload.registry import query
+from tallyhouse.workload.registry import SQL, query
 from tallyhouse.workload.splitting import fingerprint_sql
 from tallyhouse.workload.tables import SEED, table
 
@@ -94,6 +95,31 @@ def invalid_transitions(spark, folder):
     return ledger.invalid_transitions(events, ["ts", "event_id"], ["event_id"]).drop("ts")
 
 
+def arrived_events(spark, folder):
+    """Events written as files and followed in two batches, odd ones first, so that the second
+    batch is mixed among the first in time. Returns the folder of what was taken in."""
+    events = stage_events(spark, folder, weekly=False).select(
+        "run_id", "stage", "status", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "event_id"
+    )
+    source, target = new_folder(spark, "arrivals"), new_folder(spark, "followed")
+    for odd in (1, 0):
+        events.where(F.pmod("event_id", F.lit(2)) == odd).write.mode("append").json(source)
+        arrivals.follow(spark, source, target)
+    return target
+
+
+@query("arrived_status", f"WITH {EVENTS_SQL} {LATEST_SQL.format(events='ev')}")
+def arrived_status(spark, folder):
+    """The status of every stage, kept up as files of events arrive."""
+    return arrivals.status(spark, arrived_events(spark, folder))
+
+
+@query("arrived_transitions", SQL["invalid_transitions"])
+def arrived_transitions(spark, folder):
+    """Forbidden events, judged by marks that were kept up as files arrived."""
+    return arrivals.invalid_transitions(spark, arrived_events(spark, folder)).drop("at")
+
+
 @query(
     "version_outcomes",
     f"""
