@@ -19,7 +19,10 @@ MAX_REPEATS = 2
 BLOCKS = 1024
 SHARDS = 8
 SEED = 42
-NODE = "first int, shards int, key string, quota bigint"
+NODE = "first int, shards int, chunk int, key string, quota bigint"
+NODE_COLUMNS = ["first", "shards", "chunk", "key", "quota"]
+# Sources that one task splits at a node of the tree.
+CHUNK_SOURCES = 1000
 
 
 def word_count(text: Column) -> Column:
@@ -112,20 +115,24 @@ def _choose(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(copies=passes + extra)[["key", "block", "copies"]]
 
 
+def _drawn(quota: np.ndarray, n: int, seed: list[int]) -> np.ndarray:
+    """A draw of ``n`` without replacement from groups of the given sizes."""
+    return np.random.default_rng(seed).multivariate_hypergeometric(quota, n, method="marginals")
+
+
 def _split(seed: int):
     def split(rows: pd.DataFrame) -> pd.DataFrame:
-        """Draws the left half's quotas without replacement from those of the node."""
+        """Hands the left half of a node its part of every source of one chunk."""
         rows = rows.sort_values("key").reset_index(drop=True)
-        first, shards = int(rows["first"].iloc[0]), int(rows["shards"].iloc[0])
+        first, shards, chunk = (int(rows[c].iloc[0]) for c in ("first", "shards", "chunk"))
         if shards == 1:
-            return rows
+            return rows[NODE_COLUMNS]
         left = shards // 2
         quota = rows["quota"].to_numpy(dtype=np.int64)
-        total = int(quota.sum())
-        n = total * left // shards
-        drawn = np.random.default_rng([seed, first, shards]).multivariate_hypergeometric(
-            quota, n, method="marginals"
-        )
+        n = rows["to_left"].iloc[0]
+        n = int(quota.sum()) * left // shards if pd.isna(n) else int(n)
+        drawn = _drawn(quota, n, [seed, first, shards] + [chunk] * (chunk > 0))
+        rows = rows[NODE_COLUMNS]
         return pd.concat(
             [
                 rows.assign(shards=left, quota=drawn),
@@ -136,19 +143,50 @@ def _split(seed: int):
     return split
 
 
-def shard_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def _split_chunks(seed: int):
+    def split(rows: pd.DataFrame) -> pd.DataFrame:
+        """How many of each chunk's blocks a node hands to its left half."""
+        rows = rows.sort_values("chunk").reset_index(drop=True)
+        first, shards = int(rows["first"].iloc[0]), int(rows["shards"].iloc[0])
+        quota = rows["quota"].to_numpy(dtype=np.int64)
+        n = int(quota.sum()) * (shards // 2) // shards
+        drawn = quota if shards == 1 else _drawn(quota, n, [seed, first, shards, 1 << 20])
+        return rows.assign(to_left=drawn)[["first", "shards", "chunk", "to_left"]]
+
+    return split
+
+
+def shard_quotas(
+    quotas: DataFrame, shards: int = SHARDS, seed: int = SEED, chunk_sources: int = CHUNK_SOURCES
+) -> DataFrame:
     """Split exact block quotas (``key``, ``quota``) among shards by a tree of draws.
 
     A node hands its left half a multivariate-hypergeometric draw of its blocks and the
     right half the rest, down to single shards (``first``). Quotas of a source add up to the
-    given one, shards differ by a few blocks at most. A node holds one row per source.
+    given one, shards differ by a few blocks at most. Sources beyond ``chunk_sources`` are dealt
+    to chunks by a hash: a node first draws how much of each chunk goes left, then each chunk,
+    by itself, from which of its sources. So no task holds all sources.
     """
+    chunks = -(-quotas.count() // chunk_sources)
+    chunk = F.pmod(F.xxhash64("key"), F.lit(max(chunks, 1))).cast("int")
     nodes = quotas.select(
-        F.lit(0).alias("first"), F.lit(shards).alias("shards"), "key", F.col("quota").cast("bigint").alias("quota")
+        F.lit(0).alias("first"),
+        F.lit(shards).alias("shards"),
+        chunk.alias("chunk"),
+        "key",
+        F.col("quota").cast("bigint").alias("quota"),
     )
     widest = shards
     while widest > 1:
-        nodes = nodes.groupBy("first", "shards").applyInPandas(_split(seed), NODE)
+        if chunks > 1:
+            totals = nodes.groupBy("first", "shards", "chunk").agg(F.sum("quota").alias("quota"))
+            left = totals.groupBy("first", "shards").applyInPandas(
+                _split_chunks(seed), "first int, shards int, chunk int, to_left bigint"
+            )
+            nodes = nodes.join(left, ["first", "shards", "chunk"])
+        else:
+            nodes = nodes.withColumn("to_left", F.lit(None).cast("bigint"))
+        nodes = nodes.groupBy("first", "shards", "chunk").applyInPandas(_split(seed), NODE)
         widest -= widest // 2
     return nodes.select(F.col("first").alias("shard"), "key", "quota")
 
@@ -222,12 +260,16 @@ def sized(docs: DataFrame) -> DataFrame:
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words taken are the document's size times the units of its block.
 
+    ``shards`` are those that the units were dealt to by the tree, one for each, comma-joined.
     Rows of one ``doc_id`` and source share a block. An empty table gives no rows.
     """
     sizes = sized(table(spark, folder, "documents"))
     wanted = targets(sizes)
     units = plan_units(sizes, wanted)
-    copies = units.groupBy("key", "block").agg(F.count("*").alias("copies"))
+    copies = units.groupBy("key", "block").agg(
+        F.count("*").alias("copies"),
+        F.concat_ws(",", F.sort_array(F.collect_list("shard")).cast("array<string>")).alias("shards"),
+    )
     keyed = sizes.withColumn("key", source_key(F.col("source"))).withColumn(
         "block", block_of(F.col("doc_id"), F.col("source"))
     )
@@ -239,4 +281,5 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "source_size",
         "target",
         (F.col("size") * F.coalesce("copies", F.lit(0))).alias("taken"),
+        F.coalesce("shards", F.lit("")).alias("shards"),
     )

@@ -69,6 +69,36 @@ def test_quotas_are_exact_at_every_split(spark, shards):
     assert (rows.quota >= 0).all()
 
 
+def test_chunks_of_sources_split_as_exactly(spark):
+    quotas = {f"={i:03d}": 1 + i * i % 40 for i in range(150)}
+    df = spark.createDataFrame(list(quotas.items()), "key string, quota bigint")
+    rows = op.shard_quotas(df, 8, chunk_sources=9).toPandas()
+    assert rows.groupby("key").quota.sum().to_dict() == quotas
+    by_shard = rows.groupby("shard").quota.sum()
+    assert len(by_shard) == 8 and by_shard.max() - by_shard.min() <= 8
+    assert (rows.quota >= 0).all()
+    again = op.shard_quotas(df.repartition(3), 8, chunk_sources=9).toPandas()
+    order = ["shard", "key"]
+    assert rows.sort_values(order).values.tolist() == again.sort_values(order).values.tolist()
+    assert op.shard_quotas(df.limit(0), 8).count() == 0
+
+
+def test_the_tree_decides_where_blocks_go(spark, medium):
+    """The shards in the result are those of the tree's quotas, block by block."""
+    docs = cases.given(spark, medium)
+    sizes = op.sized(docs)
+    units = op.plan_units(sizes, op.targets(sizes))
+    quotas = op.shard_quotas(units.groupBy("key").agg(F.count("*").alias("quota"))).where("quota > 0")
+    dealt = {(r.key, r.shard): r["count"] for r in units.groupBy("key", "shard").count().collect()}
+    assert dealt == {(r.key, r.shard): r.quota for r in quotas.collect()}
+    held = {}
+    for r in op.draw(docs, units).select("doc_id", "shard").collect():
+        held.setdefault(r.doc_id, []).append(r.shard)
+    for r in op.op5_mixing(spark, medium).collect():
+        assert r.shards == ",".join(map(str, sorted(held.get(r.doc_id, []))))
+        assert r.taken == r.size * len(held.get(r.doc_id, []))
+
+
 def test_mixture_holds_disjoint_blocks(spark, medium):
     docs = cases.given(spark, medium).withColumn("shard", F.lit("old"))
     sizes = op.sized(docs)
