@@ -4,6 +4,7 @@ import base64
 import re
 import zlib
 from array import array
+from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterator, Sequence
 from itertools import chain
@@ -93,6 +94,33 @@ def _escape(match: re.Match) -> str | None:
     return chr(code) if code <= 0x10FFFF and not 0xD800 <= code < 0xE000 else None
 
 
+class Moved:
+    """Places of the characters of a text made from another: by segment, not by character.
+
+    A segment is either a part of the other text, found at another place, or a decoded match,
+    all of which has one place.
+    """
+
+    def __init__(self, before):
+        self.before, self.at, self.offset, self.place = before, array("q"), array("q"), array("q")
+
+    def _add(self, at: int, size: int, offset: int, place: int) -> None:
+        if size:
+            self.at.append(at)
+            self.offset.append(offset)
+            self.place.append(place)
+
+    def keep(self, at: int, first: int, last: int) -> None:
+        self._add(at, last - first, first - at, -1)
+
+    def fix(self, at: int, size: int, place: int) -> None:
+        self._add(at, size, 0, place)
+
+    def __getitem__(self, i: int) -> int:
+        k = bisect_right(self.at, i) - 1
+        return self.place[k] if self.place[k] >= 0 else self.before[i + self.offset[k]]
+
+
 class Layer:
     """A text and, for each of its characters, the span of the document it came from.
 
@@ -109,25 +137,27 @@ class Layer:
 
     def replaced(self, pattern: re.Pattern, decode) -> "Layer | None":
         """The whole layer with every match decoded; None if nothing changes."""
-        parts, starts, ends, last, changed = [], [], [], 0, False
         blob = isinstance(self.starts, int)
+        parts, last, length = [], 0, 0
+        starts, ends = (self.starts, self.ends) if blob else (Moved(self.starts), Moved(self.ends))
         for match in pattern.finditer(self.text):
             plain = decode(match)
             if plain is None or plain == match.group():
                 continue
-            changed = True
             parts += [self.text[last : match.start()], plain]
             if not blob:
-                start, end = self.origin(match.start(), match.end())
-                starts += [*self.starts[last : match.start()], *[start] * len(plain)]
-                ends += [*self.ends[last : match.start()], *[end] * len(plain)]
+                for side, place in zip((starts, ends), self.origin(match.start(), match.end())):
+                    side.keep(length, last, match.start())
+                    side.fix(length + match.start() - last, len(plain), place)
+            length += match.start() - last + len(plain)
             last = match.end()
-        if not changed:
+        if not parts:
             return None
         parts.append(self.text[last:])
-        if blob:
-            return Layer("".join(parts), self.starts, self.ends)
-        return Layer("".join(parts), [*starts, *self.starts[last:]], [*ends, *self.ends[last:]])
+        if not blob:
+            for side in (starts, ends):
+                side.keep(length, last, len(self.text))
+        return Layer("".join(parts), starts, ends)
 
     def unpacked(self) -> Iterator["Layer"]:
         """Layers for every base64 run, plain or compressed, over line breaks too."""

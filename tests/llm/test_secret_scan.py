@@ -162,3 +162,30 @@ def test_large_unpacked_data():
 def test_text_that_begins_like_packed_data():
     blob = b64("x^2 and x, " + SECRET)
     assert op.find(blob)[1] == [(0, 0, len(blob))]
+
+
+def test_memory_of_a_long_text_with_one_escape():
+    """Places are kept by segment: a long text costs no number for each of its characters."""
+    import tracemalloc
+
+    text = "plain words here " * 1_000_000 + "%74%6F%6B%65%6E=abc123def " + "and more " * 100_000
+    tracemalloc.start()
+    spans = op.find(text)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert spans
+    assert peak < 10 * len(text)
+
+
+def test_places_of_layers_within_layers():
+    moved = op.Moved(range(10))
+    moved.keep(0, 0, 4)
+    moved.fix(4, 3, 4)
+    moved.keep(7, 8, 10)
+    again = op.Moved(moved)
+    again.keep(0, 2, 6)
+    again.fix(4, 0, 5)
+    again.fix(4, 1, moved[6])
+    again.keep(5, 7, 9)
+    assert [moved[i] for i in range(9)] == [0, 1, 2, 3, 4, 4, 4, 8, 9]
+    assert [again[i] for i in range(7)] == [2, 3, 4, 4, 4, 8, 9]
