@@ -13,6 +13,8 @@ from tallyhouse.plans.lookups import BROADCAST_ROWS, Lookup, derived_lookup, joi
 from tallyhouse.plans.shared import checkpointed
 
 OLD_DATE = "2010-01-01"
+# Categories that may become slots of a vector.
+MAX_CATEGORIES = 100_000
 
 
 # --- categories -----------------------------------------------------------------------
@@ -87,10 +89,15 @@ def impute_mode(df: DataFrame, column: str, fitted_on: DataFrame | None = None)
     return df.withColumn(column, F.coalesce(F.col(column), value))
 
 
-def fit_categories(df: DataFrame, column: str) -> list[str]:
-    """The distinct values in sorted order, nulls left out, for ``encode_one_hot``."""
-    values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    return sorted(row[0] for row in values.collect())
+def fit_categories(df: DataFrame, column: str, most: int = MAX_CATEGORIES) -> list[str]:
+    """The distinct values in sorted order, nulls left out, for ``encode_one_hot``.
+
+    Each becomes a slot, so they pass through the driver: more than ``most`` raise.
+    """
+    values = df.where(F.col(column).isNotNull()).select(column).distinct().take(most + 1)
+    if len(values) > most:
+        raise ValueError(f"Column {column} has more than {most} categories")
+    return sorted(row[0] for row in values)
 
 
 def encode_one_hot(

@@ -144,3 +144,10 @@ def test_more_categories_than_a_thousand(spark):
     assert len(names) == 1001 and names == sorted(names)
     row = features.encode_one_hot(df.limit(1), "g", names, "").first()
     assert sum(v for v in row[1:]) == 1.0
+
+
+def test_categories_are_bounded(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "c string")
+    assert features.fit_categories(df, "c", most=2) == ["a", "b"]
+    with pytest.raises(ValueError, match="more than 1"):
+        features.fit_categories(df, "c", most=1)
