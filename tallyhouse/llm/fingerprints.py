@@ -1,5 +1,7 @@
 """Document fingerprints: all shingle hashes below a fixed fraction of the hash range."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,8 +14,10 @@ SHINGLE_WORDS = 5
 SCALE = 8
 CEILING = -(1 << 63) + (1 << 64) // SCALE
 # Documents whose ids share all but the lowest bits are put in order together.
-BUCKET_BITS = 8
+BUCKET_BITS = 6
 LEVEL_BITS = 12
+# Texts are dealt to so many tasks that each gets about as many bytes.
+TASK_BYTES = 8_000_000
 
 
 def shingle_hashes(text: Column) -> Column:
@@ -95,13 +99,19 @@ def previous_values(values: DataFrame) -> DataFrame:
     return result
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(
+    docs: DataFrame, columns: list[str], derived: Mapping[str, Column] | None = None, task_bytes: int = TASK_BYTES
+) -> DataFrame:
     """Add ``next_<column>`` from the next row in descending order of ``doc_id``.
 
+    ``derived`` are further columns, computed from ``columns``; they get a next one as well.
     After the last row comes the first. Rows with one id follow each other by their columns.
     A row without an id has no next row (null) and is no row's next. Rows are dealt out by
-    ranges of 256 ids, once; only the first row of each range travels to another.
+    ranges of 64 ids, once, to tasks of about ``task_bytes``; only the first row of each range
+    travels to another. An empty table stays empty.
     """
+    derived = dict(derived or {})
+    added = [*columns, *derived]
     id_ = F.col("doc_id")
     # Rows without ids go to ranges below all others, so that they spread as well.
     bucket = F.coalesce(
@@ -109,20 +119,25 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
         F.pmod(F.xxhash64(*columns), F.lit(1 << 16)) - F.lit((1 << 62) + 1),
     )
     rows = docs.withColumn("_bucket", bucket)
+    size = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint") for c in columns)
+    ranges = written(
+        rows.groupBy("_bucket").agg(F.sum(size).alias("bytes"), F.bool_or(id_.isNotNull()).alias("known")),
+        "ranges",
+    )
+    tasks = 1 + int((ranges.agg(F.sum("bytes")).first()[0] or 0) // task_bytes)
     # Bitwise not turns the order round and, unlike minus, never overflows.
     row = F.struct(F.bitwise_not(id_).alias("_not_id"), *columns)
     heads = rows.where("doc_id is not null").groupBy("_bucket").agg(F.min(row).alias("_head"))
-    order = previous_values(
-        rows.where("doc_id is not null").select(F.col("_bucket").alias("value")).distinct()
-    )
-    first = (
-        order.join(heads, order["previous"] == heads["_bucket"])
-        .select(F.col("value").alias("_bucket"), *[F.col(f"_head.{c}").alias(f"_first_{c}") for c in columns])
+    heads = heads.select("_bucket", "_head.*").withColumns(derived)
+    order = previous_values(ranges.where("known").select(F.col("_bucket").alias("value")))
+    first = order.join(heads, order["previous"] == heads["_bucket"]).select(
+        F.col("value").alias("_bucket"), *[F.col(c).alias(f"_first_{c}") for c in added]
     )
     window = Window.partitionBy("_bucket").orderBy(F.desc("doc_id"), *columns)
-    ahead = rows.select(
+    dealt = rows.withColumns(derived).repartition(tasks, "_bucket")
+    ahead = dealt.select(
         "*",
-        *[F.lead(c).over(window).alias(f"_lead_{c}") for c in columns],
+        *[F.lead(c).over(window).alias(f"_lead_{c}") for c in added],
         F.lead(F.lit(True)).over(window).isNull().alias("_last"),
     )
     rows_, first_ = ahead.alias("r"), first.alias("f")
@@ -130,13 +145,13 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
         first_, (F.col("r._bucket") == F.col("f._bucket")) & F.col("r._last"), "left"
     )
     return joined.select(
-        *[F.col(f"r.{c}") for c in docs.columns],
+        *[F.col(f"r.{c}") for c in [*docs.columns, *derived]],
         *[
             F.when(
                 F.col("r.doc_id").isNotNull(),
                 F.when(F.col("r._last"), F.col(f"f._first_{c}")).otherwise(F.col(f"r._lead_{c}")),
             ).alias(f"next_{c}")
-            for c in columns
+            for c in added
         ],
     )
 
@@ -151,12 +166,8 @@ def edited_text(text: Column, following: Column) -> Column:
 @query("op9_fingerprints")
 def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Empty and null texts have empty fingerprints; see ``with_next`` for ids."""
-    docs = (
-        table(spark, folder, "documents")
-        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .withColumn("sketch", sketch(F.col("text")))
-    )
-    paired = with_next(docs, ["text", "sketch"])
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    paired = with_next(docs, ["text"], {"sketch": sketch(F.col("text"))})
     edited = paired.withColumn(
         "edited", edited_text(F.col("text"), F.coalesce("next_text", F.lit("")))
     ).withColumn("edited_sketch", sketch(F.col("edited")))

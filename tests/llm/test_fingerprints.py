@@ -70,6 +70,19 @@ def test_ids_far_apart(spark, tmp_path, monkeypatch):
     check(spark, write(spark, tmp_path, rows), rows)
 
 
+def test_small_tasks_and_repeated_ids(spark, tmp_path, monkeypatch):
+    """One id on a third of the rows, and far more tasks than ranges, change nothing."""
+    rows = [(7 if k % 3 == 0 else k, f"text {k} " + "word " * (k % 11), "en", "a") for k in range(3000)]
+    monkeypatch.setattr(op.with_next, "__defaults__", (None, 500))
+    folder = write(spark, tmp_path, rows)
+    out = check(spark, folder, rows)
+    paired = op.with_next(spark.read.parquet(f"{folder}/documents.parquet"), ["text"])
+    got = {(r.doc_id, r.text): r.next_text for r in paired.collect()}
+    known = sorted([(-i, t) for i, t, _, _ in rows])
+    assert got == {(-i, t): known[(k + 1) % len(known)][1] for k, (i, t) in enumerate(known)}
+    assert len(out) == 3000
+
+
 def test_given_documents(spark, small):
     docs = cases.given(spark, small)
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()]
