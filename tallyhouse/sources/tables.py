@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.operators.digests import fingerprint, table_fingerprint
 from tallyhouse.schemas import LISTING
+from tallyhouse.sources.layout import open_by_key, store_by_key
 
 # Texts that the usual CSV readers of data frames take as missing.
 NULL_MARKERS = (
@@ -92,13 +93,20 @@ def ingest_sample(
 
 
 def create_baseline(
-    df: DataFrame, source_path: str, source_run_id: str, folder: str, outputs: DataFrame | None = None
+    df: DataFrame,
+    source_path: str,
+    source_run_id: str,
+    folder: str,
+    outputs: DataFrame | None = None,
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Freeze a cleaned table as the baseline, once. Returns the metadata row.
 
     The copy must have the fingerprint of the source, read again after the copy, so a source
     that changed meanwhile is noticed. ``outputs`` (as from ``records.artifacts_of``) must
-    then hold ``source_path`` as the output of the run's completed cleaning.
+    then hold ``source_path`` as the output of the run's completed cleaning. With a ``key`` the
+    copy is stored by it (see ``layout``), so that later tables stored alike are compared with
+    it row by row without moving it.
     """
     spark = df.sparkSession
     if outputs is not None:
@@ -111,8 +119,12 @@ def create_baseline(
         if cleaned.isEmpty():
             raise ValueError(f"{source_path} is no output of a completed cleaning of {source_run_id}")
     snapshot = f"{folder}/reference"
-    df.write.mode("errorifexists").parquet(snapshot)
-    copy = table_fingerprint(spark.read.schema(df.schema).parquet(snapshot)).first()
+    if key:
+        stored = store_by_key(df, snapshot, key)
+    else:
+        df.write.mode("errorifexists").parquet(snapshot)
+        stored = spark.read.schema(df.schema).parquet(snapshot)
+    copy = table_fingerprint(stored).first()
     source = table_fingerprint(df).first()
     if source["fingerprint"] != copy["fingerprint"]:
         raise ValueError("The source changed while the baseline was made; use a new folder")
@@ -145,7 +157,14 @@ def load_baseline(spark: SparkSession, folder: str) -> DataFrame:
         raise ValueError("The baseline metadata points to another folder")
     if meta["reference_fingerprint"] != meta["source_fingerprint"]:
         raise ValueError("The baseline does not match its recorded source")
-    table = spark.read.parquet(meta["reference_path"])
+    table = _snapshot(spark, meta["reference_path"])
     if fingerprint(table) != meta["reference_fingerprint"]:
         raise ValueError("The baseline has changed since it was recorded")
     return table
+
+
+def _snapshot(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return open_by_key(spark, path)
+    except FileNotFoundError:
+        return spark.read.parquet(path)

@@ -10,7 +10,7 @@ from tallyhouse.operators import digests, ledger, model
 from tallyhouse.plans.lookups import derived_lookup, join_lookup, stored_lookup
 from tallyhouse.plans.shared import new_folder, written
 from tallyhouse.schemas import STAGES
-from tallyhouse.sources import records
+from tallyhouse.sources import layout, records
 from tallyhouse.streaming import stages as arrivals
 from tallyhouse.workload.modelling import predicted_lines
 from tallyhouse.workload.registry import SQL, query
@@ -353,7 +353,24 @@ def eligible_candidates(spark, folder):
 )
 def reconcile_comparison(spark, folder):
     """A comparison with rounded errors and old paths against evidence with gaps."""
-    known = candidates(spark, folder)
+    found = ledger.reconcile_comparison(*compared_runs(candidates(spark, folder)))
+    return found.withColumn("differing", F.array_join("differing", ","))
+
+
+@query("comparison_by_key", SQL["reconcile_comparison"])
+def comparison_by_key(spark, folder):
+    """The same from tables stored by run; half of the evidence is added later."""
+    comparison, evidence = compared_runs(written(candidates(spark, folder), "candidates"))
+    places = [new_folder(spark, "comparison"), new_folder(spark, "evidence")]
+    left = layout.store_by_key(comparison, places[0], ["run_id"])
+    layout.store_by_key(evidence.where("s_acctbal < 5000"), places[1], ["run_id"], like=places[0])
+    right = layout.append_by_key(evidence.where("s_acctbal >= 5000"), places[1])
+    found = ledger.reconcile_comparison(left, right)
+    return found.withColumn("differing", F.array_join("differing", ","))
+
+
+def compared_runs(known):
+    """A comparison of runs and the evidence of those that are not deep in debt."""
     comparison = known.withColumns(
         {
             "mae": F.when(F.col("s_acctbal") > 8000, F.round("mae", 1)).otherwise(F.col("mae")),
@@ -362,8 +379,7 @@ def reconcile_comparison(spark, folder):
             ).otherwise(F.col("split_path")),
         }
     )
-    found = ledger.reconcile_comparison(comparison, known.where("s_acctbal >= -500"))
-    return found.withColumn("differing", F.array_join("differing", ","))
+    return comparison, known.where("s_acctbal >= -500")
 
 
 @query(
@@ -528,13 +544,27 @@ def reconcile_split(spark, folder):
 )
 def verify_digests(spark, folder):
     """Recorded texts against a copy without line breaks, from which toxic ones were removed."""
+    return ledger.verify_digests(*digested_texts(spark, folder), ["doc_id"])
+
+
+@query("digests_by_key", SQL["verify_digests"])
+def digests_by_key(spark, folder):
+    """The same from digests stored by document; only stored digests are joined, nothing moves."""
+    recorded, copy = digested_texts(spark, folder)
+    places = [new_folder(spark, "recorded"), new_folder(spark, "copy")]
+    left = layout.store_by_key(recorded, places[0], ["doc_id"])
+    right = layout.store_by_key(copy, places[1], ["doc_id"], like=places[0])
+    return ledger.verify_digests(left, right, ["doc_id"])
+
+
+def digested_texts(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
     toxic = table(spark, folder, "labels").where("toxic = 1").select("doc_id")
     recorded = documents.select("doc_id", F.sha2("text", 256).alias("sha256"))
     copy = documents.join(toxic, "doc_id", "left_anti").select(
         "doc_id", F.sha2(F.regexp_replace("text", "\n", " "), 256).alias("sha256")
     )
-    return ledger.verify_digests(recorded, copy, ["doc_id"])
+    return recorded, copy
 
 
 @query(

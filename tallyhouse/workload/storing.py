@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from tallyhouse.operators import ledger
 from tallyhouse.plans.shared import new_folder
 from tallyhouse.schemas import CHECKS
-from tallyhouse.sources import records, tables
+from tallyhouse.sources import layout, records, tables
 from tallyhouse.workload.recording import CANDIDATES_SQL, EVENTS_SQL, LATEST_SQL, candidates, stage_events
 from tallyhouse.workload.registry import query
 from tallyhouse.workload.splitting import fingerprint_sql
@@ -84,6 +84,33 @@ def baseline_snapshot(spark, folder):
     )
 
 
+@query(
+    "baseline_by_key",
+    """
+    SELECT p_partkey, CASE WHEN p_size = 50 THEN '<missing>'
+                           WHEN p_size = 1 AND p_retailprice > 1000 THEN 'p_brand,p_retailprice'
+                           WHEN p_size = 1 THEN 'p_brand' ELSE 'p_retailprice' END AS differing
+    FROM part WHERE p_size = 50 OR p_size = 1 OR p_retailprice > 1000
+    """,
+)
+def baseline_by_key(spark, folder):
+    """A baseline stored by its key against a later table stored alike, read without an exchange."""
+    place = new_folder(spark, "baseline")
+    part = table(spark, folder, "part")
+    tables.create_baseline(part, f"{folder}/part.parquet", "run-0", place, key=["p_partkey"])
+    later = part.where("p_size <> 50").withColumns(
+        {
+            "p_brand": F.when(F.col("p_size") == 1, "another").otherwise(F.col("p_brand")),
+            "p_retailprice": F.when(F.col("p_retailprice") > 1000, -1.0).otherwise(F.col("p_retailprice")),
+        }
+    )
+    now = layout.store_by_key(later, new_folder(spark, "parts"), ["p_partkey"], like=f"{place}/reference")
+    found = ledger.disagreements(
+        tables.load_baseline(spark, place), now, ["p_partkey"], ["p_name", "p_brand", "p_retailprice"]
+    )
+    return found.withColumn("differing", F.array_join("differing", ","))
+
+
 @query(
     "stage_ledger",
     f"""
