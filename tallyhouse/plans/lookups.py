@@ -1,22 +1,24 @@
 """Many-to-one joins that stay even under hot keys.
 
-A lookup has one row per key. It is broadcast only after its row count is known to be
-within a bound. Beyond the bound both sides are shuffled by key, and the few keys that hold
+A lookup has one row per key. It is broadcast only after its rows and their bytes are known to
+be within bounds. Beyond the bound both sides are shuffled by key, and the few keys that hold
 a large share of the big side are salted: their lookup row is repeated once per salt.
 """
 
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.plans.shared import checkpointed
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64_000_000
 SALTS = 256
 # A key is hot from this share of the rows on, so there are at most 1000 of them.
 HOT_SHARE = 0.001
@@ -48,12 +50,33 @@ def local_table(rows: Sequence[Row | tuple], schema: T.StructType, spark: SparkS
     return spark.createDataFrame(pa.table(columns), schema)
 
 
-def derived_lookup(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> Lookup:
-    """Compute a derived table once: held as local rows within the bound, else checkpointed."""
+def row_bytes(schema: T.StructType) -> Column:
+    """About the size of a row: eight bytes a number, else as many as its bytes or text has."""
+    sizes = []
+    for field in schema:
+        value = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(value), F.lit(0)))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.coalesce(F.octet_length(value.cast("string")), F.lit(0)))
+        sizes.append(F.lit(8))
+    return reduce(Column.__add__, [size.cast("bigint") for size in sizes], F.lit(0).cast("bigint"))
+
+
+def within_bounds(table: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Whether a table is small in rows and in bytes; only sizes of so many rows are looked at."""
+    sizes = table.select(row_bytes(table.schema).alias("n")).take(max_rows + 1)
+    return len(sizes) <= max_rows and sum(row["n"] for row in sizes) <= max_bytes
+
+
+def derived_lookup(
+    table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> Lookup:
+    """Compute a derived table once: held as local rows within the bounds, else checkpointed."""
     table.persist()
     try:
-        rows = table.take(max_rows + 1)
-        if len(rows) <= max_rows:
+        if within_bounds(table, max_rows, max_bytes):
+            rows = table.collect()
             local = local_table(rows, table.schema, table.sparkSession)
             return Lookup(local, True, tuple(rows))
         return Lookup(checkpointed(table), False)
@@ -61,9 +84,11 @@ def derived_lookup(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> Lookup:
         table.unpersist()
 
 
-def stored_lookup(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> Lookup:
-    """Classify a table that is cheap to read again, looking at no more than the bound."""
-    return Lookup(table, len(table.select(F.lit(1)).take(max_rows + 1)) <= max_rows)
+def stored_lookup(
+    table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> Lookup:
+    """Classify a table that is cheap to read again, looking at no more rows than the bound."""
+    return Lookup(table, within_bounds(table, max_rows, max_bytes))
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[int]:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.plans import ranks
-from tallyhouse.plans.lookups import Lookup, derived_lookup, hot_keys, join_lookup
+from tallyhouse.plans.lookups import Lookup, derived_lookup, hot_keys, join_lookup, stored_lookup
 from tallyhouse.plans.ranks import cut_points
 
 
@@ -45,6 +45,31 @@ def test_derived_lookup_checks_its_size(partners):
     assert not large.fits and large.table.count() == 90
 
 
+def test_lookups_are_bounded_in_bytes(spark):
+    """A few rows with long texts, arrays or bytes do not fit; nulls and empty tables do."""
+    long = spark.range(20).select("id", F.repeat(F.lit("ä"), 1000).alias("t"))
+    assert stored_lookup(long, max_bytes=40_000 + 320).fits
+    assert not stored_lookup(long, max_bytes=40_000 + 319).fits
+    large = derived_lookup(long, max_bytes=30_000)
+    assert not large.fits and large.rows is None and large.table.count() == 20
+    nested = long.select("id", F.array("t", "t").alias("a"), F.struct("t").alias("s"), F.lit(None).alias("n"))
+    assert not stored_lookup(nested, max_bytes=40_000).fits
+    assert stored_lookup(nested.limit(0), 0, 0).fits
+    assert not stored_lookup(long, max_rows=19).fits
+    odd = spark.createDataFrame([(1, None, b"abc")], "`a.b` int, `c``d` string, e binary")
+    assert stored_lookup(odd, max_bytes=27).fits and not stored_lookup(odd, max_bytes=26).fits
+
+
+@pytest.mark.parametrize("n_bytes", [10**9, 0])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_joins_beyond_the_bytes_give_the_same(skewed, partners, how, n_bytes):
+    plain = skewed.join(partners, ["k"], how)
+    lookup = stored_lookup(partners, max_bytes=n_bytes)
+    assert lookup.fits == (n_bytes > 0)
+    found = join_lookup(skewed, lookup, ["k"], how, ["id"], share=0.1)
+    assert plain.exceptAll(found).isEmpty() and found.exceptAll(plain).isEmpty()
+
+
 @pytest.mark.parametrize("sortable_rows, max_lookup_rows", [(10**6, 10**5), (5, 10**5), (1, 1)])
 def test_cut_points_equal_sorted_positions(spark, sortable_rows, max_lookup_rows):
     rows = spark.range(3_000).select(
