@@ -1,18 +1,21 @@
 """Stage events followed as their files arrive.
 
-A call takes in all files since the last one and ends. Offsets and the state of each stage are
-kept in checkpoints, outputs in file sinks, so a call that is broken off and repeated neither
-loses nor doubles an event. State is made of minima and a maximum: batches may come in any order.
+A call takes in all files since the last one and ends. Offsets are kept in checkpoints, outputs in
+file sinks, so a call that is broken off and repeated neither loses nor doubles an event. The state
+of a stage is made of minima, a maximum and a count, which merge: each batch adds the marks of its
+own events, dealt out by stage, and readers merge the marks of all batches, in whatever order they
+came. So a batch costs what its events cost, and no state is held in memory between them.
 """
 
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyhouse.operators import ledger
 
@@ -26,37 +29,57 @@ STATE = (
     "last_at bigint, last_id bigint, status string, n bigint"
 )
 MARKS = f"run_id string, stage string, {STATE}"
+# Events that a task holds before it gives out their marks.
+HELD_EVENTS = 1_000_000
 
 
-def _taken_in(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    first, end, last, status, n = None, None, None, None, 0
-    if state.exists:
-        known = state.get
-        first, last, status, n = known[0:2], known[4:6], known[6], known[7]
-        end = known[2:4] if known[2] is not None else None
+def _taken_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, n = [], 0
     for batch in batches:
-        for at, event, now in zip(batch["at"].tolist(), batch["event_id"].tolist(), batch["status"]):
-            place = (at, event)
-            n += 1
-            first = place if first is None else min(first, place)
-            if now in (ledger.COMPLETED, ledger.FAILED):
-                end = place if end is None else min(end, place)
-            if last is None or place > last:
-                last, status = place, now
-    row = (*first, *(end or (None, None)), *last, status, n)
-    state.update(row)
-    names = ["run_id", "stage", *(field.split()[0] for field in STATE.split(", "))]
-    yield pd.DataFrame([(*key, *row)], columns=names).astype({"end_at": "Int64", "end_id": "Int64"})
+        held.append(batch)
+        n += batch.num_rows
+        if n >= HELD_EVENTS:
+            yield _marks_of(held)
+            held, n = [], 0
+    if n:
+        yield _marks_of(held)
+
+
+def _marks_of(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    events = pa.Table.from_batches(batches).select(["run_id", "stage", "status", "at", "event_id"])
+    runs, stages, statuses = (events[c].to_pandas() for c in ("run_id", "stage", "status"))
+    at, event = (events[c].to_numpy() for c in ORDER)
+    stage_codes, stage_names = pd.factorize(stages)
+    group = pd.factorize(runs)[0].astype("int64") * len(stage_names) + stage_codes
+    status_codes, _ = pd.factorize(statuses, sort=True)
+    order = np.lexsort((status_codes, event, at, group))
+    sorted_group = group[order]
+    starts = np.flatnonzero(np.r_[True, sorted_group[1:] != sorted_group[:-1]])
+    stops = np.r_[starts[1:], len(order)]
+    first, last = order[starts], order[stops - 1]
+    # The place of the first end of a stage, or, without one, a place behind all.
+    ended = statuses.isin((ledger.COMPLETED, ledger.FAILED)).to_numpy()[order]
+    places = np.minimum.reduceat(np.where(ended, np.arange(len(order)), len(order)), starts)
+    none = places == len(order)
+    end = order[np.where(none, 0, places)]
+
+    def texts(values, rows):
+        return pa.array(values.to_numpy()[rows], pa.string(), from_pandas=True)
+
+    columns = [
+        texts(runs, first), texts(stages, first), pa.array(at[first]), pa.array(event[first]),
+        pa.array(at[end], mask=none), pa.array(event[end], mask=none),
+        pa.array(at[last]), pa.array(event[last]), texts(statuses, last), pa.array(stops - starts, pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in MARKS.split(", ")])
 
 
 def follow(spark: SparkSession, source: str, target: str) -> None:
     """Take in the event files that have come to ``source`` since the last call, and end.
 
     Events are JSON lines (``EVENTS``); those without run, stage or place are left out, and a line
-    that is no JSON fails. Below ``target`` are kept ``events``, ``marks`` and the checkpoints. The
-    marks of a stage are written anew in each batch that has events of it.
+    that is no JSON fails. Below ``target`` are kept ``events``, ``marks`` and the checkpoints. Each
+    batch adds marks of the stages that it has events of.
     """
     arrived = (
         spark.readStream.schema(EVENTS)
@@ -64,9 +87,7 @@ def follow(spark: SparkSession, source: str, target: str) -> None:
         .json(source)
         .where("run_id is not null and stage is not null and at is not null and event_id is not null")
     )
-    marks = arrived.groupBy("run_id", "stage").applyInPandasWithState(
-        _taken_in, MARKS, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    marks = arrived.repartition("run_id", "stage").mapInArrow(_taken_in, MARKS)
     started = [
         rows.writeStream.format("parquet")
         .outputMode("append")
@@ -80,12 +101,16 @@ def follow(spark: SparkSession, source: str, target: str) -> None:
 
 
 def marks(spark: SparkSession, target: str) -> DataFrame:
-    """The present marks of every stage: those of its last batch."""
+    """The present marks of every stage: those of all batches merged."""
     rows = spark.read.schema(MARKS).parquet(f"{target}/marks")
-    values = F.struct(*[c for c in rows.columns if c not in ("run_id", "stage")])
-    return rows.groupBy("run_id", "stage").agg(F.max_by(values, "n").alias("m")).select(
-        "run_id", "stage", "m.*"
+    end = F.when(F.col("end_at").isNotNull(), F.struct("end_at", "end_id"))
+    merged = rows.groupBy("run_id", "stage").agg(
+        F.min(F.struct("first_at", "first_id")).alias("f"),
+        F.min(end).alias("e"),
+        F.max(F.struct("last_at", "last_id", "status")).alias("l"),
+        F.sum("n").alias("n"),
     )
+    return merged.select("run_id", "stage", "f.*", "e.*", "l.*", "n")
 
 
 def status(spark: SparkSession, target: str) -> DataFrame:
