@@ -451,6 +451,82 @@ def foreign_outputs(outputs: DataFrame, path: str, run_dir: Column) -> DataFrame
 # --- lineage and reports (L4-L6) ------------------------------------------------------
 
 
+def _contracted(
+    single: DataFrame, branches: DataFrame, seeds: DataFrame, max_rows: int
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Chains with most of their inner nodes taken out: node, dst, length; and what was passed over.
+
+    A node is inner if only nodes of chains lead to it and no seed is one. A round takes out the
+    inner nodes whose hash has the bit of the round and whose target's has not, about a quarter
+    and no two in a row; those that led to one lead to its target now, by the summed length. So
+    all rounds together move a few times the rows of the chains. Per round: node, the inner node
+    ``via`` that it led to, and how far that is. Rounds end once inner nodes are within ``max_rows``
+    or fewer than a quarter of the rest.
+    """
+    plain = single.withColumn("length", F.lit(1).cast("bigint"))
+    if len(single.take(max_rows + 1)) <= max_rows:
+        return plain, []
+    targets = single.select(F.col("dst").alias("node")).distinct()
+    inside = written(single.select("node").join(targets, "node", "left_semi"), "lineage-inside", "zstd")
+    if len(inside.take(max_rows + 1)) <= max_rows:
+        return plain, []
+    entered = branches.select(F.col("dst").alias("node")).unionByName(seeds).distinct()
+    inner = inside.join(entered, "node", "left_anti")
+    chains = written(
+        plain.join(inner.withColumn("inner", F.lit(True)), "node", "left").select(
+            "node", "dst", "length", F.coalesce("inner", F.lit(False)).alias("inner")
+        ),
+        "lineage-chains", "zstd",
+    )
+    passed = []
+    while True:
+        left, rows = chains.agg(F.count_if("inner"), F.count(F.lit(1))).first()
+        if left <= max_rows or 4 * left < rows:
+            return chains.select("node", "dst", "length"), passed
+
+        def bit(name, turn=len(passed)):
+            return F.xxhash64(F.col(name), F.lit(turn)).bitwiseAND(F.lit(1)) == 1
+
+        out = F.col("inner") & bit("node") & ~bit("dst")
+        gone = chains.where(out).select(
+            F.col("node").alias("dst"), F.col("dst").alias("_to"), F.col("length").alias("_more")
+        )
+        rest = chains.where(~out)
+        lookup = stored_lookup(gone, max_rows)
+        moved = join_lookup(rest.where(bit("dst")), lookup, ["dst"], "left", spread_by=["node"]).select(
+            "node",
+            F.coalesce("_to", "dst").alias("dst"),
+            (F.col("length") + F.coalesce("_more", F.lit(0))).alias("length"),
+            "inner",
+            F.when(F.col("_to").isNotNull(), F.col("dst")).alias("via"),
+            F.when(F.col("_to").isNotNull(), F.col("length")).alias("via_length"),
+        )
+        nothing = F.when(F.lit(False), F.col("dst")), F.when(F.lit(False), F.col("length"))
+        kept = rest.where(~bit("dst")).select("*", nothing[0].alias("via"), nothing[1].alias("via_length"))
+        step = written(kept.unionByName(moved), "lineage-chains", "zstd")
+        passed.append(step.where("via is not null").select("node", "via", "via_length"))
+        # A loop that has shrunk to one node leads to nothing new.
+        chains = step.where("node <> dst").select("node", "dst", "length", "inner")
+
+
+def _expanded(
+    reached: DataFrame, single: DataFrame, passed: Sequence[DataFrame]
+) -> Iterator[DataFrame]:
+    """Depths of the nodes taken out by ``_contracted``, last round first: node, depth."""
+    if not passed:
+        return
+    near = written(reached.join(single.select("node"), "node", "left_semi"), "lineage-reached", "zstd")
+    for step in reversed(passed):
+        found = written(
+            step.join(near, "node")
+            .groupBy(F.col("via").alias("node"))
+            .agg(F.min(F.col("depth") + F.col("via_length")).alias("depth")),
+            "lineage-found", "zstd",
+        )
+        yield found
+        near = near.unionByName(found)
+
+
 def closure_rounds(
     seeds: DataFrame, edges: DataFrame, max_lookup_rows: int = BROADCAST_ROWS
 ) -> Iterator[DataFrame]:
@@ -463,39 +539,52 @@ def closure_rounds(
     node it is entered and however many chains lie one behind the other. Only chains are shortened:
     jumps are never more than nodes. Nodes with several targets pass on one step, once. Targets
     that lead nowhere do not count as targets here: they are found in one step after the rest.
+    Chains longer than the bound of a lookup are first contracted (``_contracted``), so that the
+    levels of jumps are made of what is left; the nodes passed over get their depth afterwards.
     """
     every = written(
         edges.where("src is not null and dst is not null and src <> dst")
         .select(F.col("src").alias("node"), "dst"),
-        "lineage-edges",
+        "lineage-edges", "zstd",
     )
-    sources = written(every.select(F.col("node").alias("dst")).distinct(), "lineage-sources")
-    sources = stored_lookup(sources, max_lookup_rows)
-    inner = join_lookup(every, sources, ["dst"], "left_semi", spread_by=["node"])
-    links = written(inner.select("node", "dst"), "lineage-links")
+    sources = written(every.select(F.col("node").alias("dst")).distinct(), "lineage-sources", "zstd")
+    sources = stored_lookup(sources.withColumn("onward", F.lit(True)), max_lookup_rows)
+    # Links and the targets that lead nowhere come from one join with all edges.
+    marked = join_lookup(every, sources, ["dst"], "left", spread_by=["node"])
+    marked = written(marked.select("node", "dst", F.col("onward").isNotNull().alias("onward")), "lineage-links", "zstd")
+    links, leaves = (marked.where(is_link).select("node", "dst") for is_link in ("onward", "not onward"))
     ends = links.groupBy("node").agg(F.min("dst").alias("dst"), F.max("dst").alias("last"))
-    jumps = [written(ends.where("dst = last").select("node", "dst"), "lineage-jumps")]
+    single = written(ends.where("dst = last").select("node", "dst"), "lineage-jumps", "zstd")
     branches = written(
         join_lookup(
             links,
-            stored_lookup(jumps[0].select("node"), max_lookup_rows),
+            stored_lookup(single.select("node"), max_lookup_rows),
             ["node"],
             "left_anti",
             spread_by=["dst"],
         ),
-        "lineage-branches",
+        "lineage-branches", "zstd",
     )
-    hot = None
+    hot = branching = None
+    start = seeds.where("node is not null").select("node")
+    chains, passed = _contracted(single, branches, start, max_lookup_rows)
+    jumps = [chains]
     found = written(
         seeds.where("node is not null")
         .select("node", F.lit(0).cast("bigint").alias("depth"), F.lit(0).alias("level"))
         .distinct(),
-        "lineage-found",
+        "lineage-found", "zstd",
     )
     known, active = [found], found
     while True:
         yield found.select("node", "depth")
         entered = stored_lookup(found.select("node", "depth"), max_lookup_rows)
+        if not entered.fits:
+            # Beyond the bound all branches are shuffled, so only for nodes that have some.
+            if branching is None:
+                branching = written(branches.select("node").distinct(), "lineage-branching", "zstd")
+            onward = found.select("node", "depth").join(branching, "node", "left_semi")
+            entered = stored_lookup(written(onward, "lineage-entered", "zstd"), max_lookup_rows)
         if not entered.fits and hot is None:
             hot = hot_keys(branches, ["node"])
         stepped = join_lookup(branches, entered, ["node"], "inner", spread_by=["dst"], hot=hot)
@@ -503,13 +592,12 @@ def closure_rounds(
             DataFrame.unionByName,
             [jump.withColumn("level", F.lit(k)) for k, jump in enumerate(jumps)],
         )
-        jumped = written(active.join(by_level, ["node", "level"]), "lineage-jumped")
-        length = F.expr("shiftleft(1L, level)")
+        jumped = written(active.join(by_level, ["node", "level"]), "lineage-jumped", "zstd")
         reached = (
             stepped.select("dst", (F.col("depth") + 1).alias("depth"), F.lit(0).alias("level"))
             .unionByName(
                 jumped.select(
-                    "dst", (F.col("depth") + length).alias("depth"), (F.col("level") + 1).alias("level")
+                    "dst", (F.col("depth") + F.col("length")).alias("depth"), (F.col("level") + 1).alias("level")
                 )
             )
             .groupBy(F.col("dst").alias("node"))
@@ -522,14 +610,17 @@ def closure_rounds(
             reached.join(before, "node", "left")
             .where("_old is null or depth < _old")
             .select("node", "depth", "level"),
-            "lineage-found",
+            "lineage-found", "zstd",
         )
         if found.isEmpty():
-            leaves = join_lookup(every, sources, ["dst"], "left_anti", spread_by=["node"])
-            lookup = stored_lookup(before.select("node", F.col("_old").alias("depth")), max_lookup_rows)
+            reached = before.select("node", F.col("_old").alias("depth"))
+            for inner in _expanded(reached, single, passed):
+                yield inner
+                reached = reached.unionByName(inner)
+            lookup = stored_lookup(reached, max_lookup_rows)
             last_step = join_lookup(leaves, lookup, ["node"], "inner", spread_by=["dst"])
             nearest = last_step.groupBy(F.col("dst").alias("node")).agg(F.min("depth").alias("depth"))
-            yield written(nearest.withColumn("depth", F.col("depth") + 1), "lineage-leaves")
+            yield written(nearest.withColumn("depth", F.col("depth") + 1), "lineage-leaves", "zstd")
             return
         known.append(found)
         onward = jumped.select("node", "depth", (F.col("level") + 1).alias("level"))
@@ -538,11 +629,13 @@ def closure_rounds(
             .groupBy("node")
             .agg(F.min(F.struct("depth", "level")).alias("best"))
             .select("node", "best.depth", "best.level"),
-            "lineage-active",
+            "lineage-active", "zstd",
         )
         last = jumps[-1]
         if not last.isEmpty():
-            half = last.select(F.col("node").alias("_half"), F.col("dst").alias("_end"))
+            half = last.select(
+                F.col("node").alias("_half"), F.col("dst").alias("_end"), F.col("length").alias("_more")
+            )
             doubled = join_lookup(
                 last.withColumnRenamed("dst", "_half"),
                 stored_lookup(half, max_lookup_rows),
@@ -551,8 +644,10 @@ def closure_rounds(
                 spread_by=["node"],
             )
             # A jump that ends where it began leads to nothing new.
-            doubled = doubled.where("node <> _end").select("node", F.col("_end").alias("dst"))
-            jumps.append(written(doubled, "lineage-jumps"))
+            doubled = doubled.where("node <> _end").select(
+                "node", F.col("_end").alias("dst"), (F.col("length") + F.col("_more")).alias("length")
+            )
+            jumps.append(written(doubled, "lineage-jumps", "zstd"))
 
 
 def lineage_closure(

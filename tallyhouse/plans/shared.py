@@ -23,11 +23,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """The table written once to the shared folder, as a Parquet table that scans can prune."""
     spark = df.sparkSession
     folder = new_folder(spark, name)
-    df.write.mode("errorifexists").parquet(folder)
+    df.write.mode("errorifexists").parquet(folder, compression=codec)
     return spark.read.schema(df.schema).parquet(folder)
 
 

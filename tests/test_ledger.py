@@ -250,6 +250,41 @@ def test_closure_equals_a_plain_search(spark, seed, max_lookup_rows):
     assert {r["node"]: r["depth"] for r in got.collect()} == depths
 
 
+def test_chains_beyond_the_bound_are_contracted_first(spark):
+    """Rows of all rounds of contraction are a few times the chain's, not one chain a level."""
+    n = 1000
+    seeds = spark.createDataFrame([("n0",), ("n100",), ("l3",)], "node string")
+    loop = spark.range(60).selectExpr("concat('l', id) as src", "concat('l', (id + 1) % 60) as dst")
+    single = chain(spark, n).unionByName(loop).withColumnRenamed("src", "node")
+    chains, passed = ledger._contracted(single, single.where("false"), seeds, 150)
+    assert chains.count() <= 200 and sum(p.count() for p in passed) >= n - 200
+    edges = chain(spark, n).unionByName(loop)
+    edges = edges.unionByName(spark.createDataFrame([("n500", "l7"), ("n900", "leaf")], "src string, dst string"))
+    got = {r["node"]: r["depth"] for r in ledger.lineage_closure(seeds, edges, 150).collect()}
+    expected = {f"n{i}": i if i < 100 else i - 100 for i in range(n + 1)} | {"leaf": 801}
+    assert got == expected | {f"l{i}": (i - 3) % 60 for i in range(60)}
+
+
+def test_beyond_the_bound_only_branching_nodes_are_joined_to_branches(spark, monkeypatch):
+    names, plain = {}, ledger.written
+    def kept(df, name, *more):
+        names.setdefault(name, []).append(done := plain(df, name, *more))
+        return done
+    monkeypatch.setattr(ledger, "written", kept)
+    edges = [(f"o{i}", f"{k}{i % 3}") for i in range(9) for k in "cp"]
+    edges += [(f"o{i}", f"s{i % 4}") for i in range(9)]
+    edges += [(f"{k}{i}", "nation") for k in "cs" for i in range(4)] + [("nation", "region")]
+    seeds = spark.createDataFrame([(f"o{i}",) for i in range(6)], "node string")
+    got = ledger.lineage_closure(seeds, spark.createDataFrame(edges, "src string, dst string"), 3)
+    depths = {f"o{i}": 0 for i in range(6)} | {f"{k}{i}": 1 for k in "cp" for i in range(3)}
+    depths |= {f"s{i}": 1 for i in range(4)} | {"nation": 2, "region": 3}
+    assert {r["node"]: r["depth"] for r in got.collect()} == depths
+    entered = [{r["node"][0] for r in df.collect()} for df in names["lineage-entered"]]
+    assert entered[0] == {"o"} and all(not nodes for nodes in entered[1:])
+    # Links and ends come from one table, so all edges are joined to their sources once.
+    assert {"node", "dst", "onward"} == set(names["lineage-links"][0].columns)
+
+
 def test_nothing_to_start_from(spark):
     seeds = spark.createDataFrame([(None,)], "node string")
     assert ledger.lineage_closure(seeds, chain(spark, 5)).count() == 0
