@@ -1,8 +1,9 @@
 """Regression trees as tables of nodes: grown by Spark, kept as rows, followed by joins (M1-M5, M7).
 
 Nodes with many rows are split level by level, all trees of all settings in one pass: tasks sum
-labels by bin, one aggregate merges them. The rows of a node that holds few go to a task, which
-finishes the subtree with exact thresholds; each such node is a group of its own, of bounded size.
+labels by bin, one aggregate merges them. The rows of a node that a task can hold go to one, packed,
+which goes on by bins and finishes the nodes of few rows with exact thresholds; each such node is a
+group of its own, of bounded size.
 
 Labels are summed as whole numbers, draws are hashes of the row's key, and equal gains go to the
 first feature and the least threshold. So a forest depends on its rows, its settings and its seed,
@@ -29,8 +30,16 @@ from tallyhouse.plans.shared import written
 # Tasks carry this module's code along, so executors need no copy of it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A node of at most so many rows, repeats counted, is finished in a task.
+# A node of at most so many rows, repeats counted, is cut between any two of its values.
 SMALL_ROWS = 16_384
+# A node of at most so many rows, and values of all features, is finished in a task.
+TASK_ROWS = 262_144
+TASK_CELLS = 6_000_000
+# Rows that a task of the last step gets in all, about, and bytes of features that are packed at a time.
+PART_ROWS = 2_000_000
+PACKED_BYTES = 8_000_000
+# A column whose sample has at most so many values is sent as their numbers.
+CODED_VALUES = 256
 # Bins of a column in a node beyond that bound, and chunks of its sorted values where cuts are exact.
 BINS = 32
 CHUNKS = 1024
@@ -40,9 +49,10 @@ SAMPLE_ROWS = 20_000
 PASS_CELLS = 4_000_000
 # Nodes that the driver and the tasks may hold: those above the bound, or those of a whole model.
 MAX_HELD_NODES = 4_000_000
+MAX_MODEL_NODES = 8_000_000
 # Labels are whole numbers of at most so many bits, so sums over a batch are exact as doubles.
 LABEL_BITS = 34
-BATCH_ROWS = 16_384
+BATCH_ROWS = 32_768
 # Labels that are decimals of few places are summed exactly.
 DECIMAL_SCALES = (1.0, 10.0, 100.0, 1_000.0, 10_000.0)
 MAX_DEPTH = 50
@@ -79,7 +89,12 @@ class Tree:
 
     def ends(self, node: int, rows: int) -> bool:
         """True if a node is a leaf by depth or number of rows alone."""
-        return node.bit_length() > self.depth or rows < max(self.split, 2 * self.least)
+        return node.bit_length() > self.depth or rows < self.enough
+
+    @property
+    def enough(self) -> int:
+        """Rows that a node needs for a split."""
+        return max(self.split, 2 * self.least)
 
 
 def subset_size(strategy: str, width: int) -> int:
@@ -162,6 +177,8 @@ class Rows:
     # Ascending cuts of each feature; ``x <= cut`` goes left.
     bins: list[np.ndarray]
     chunks: list[np.ndarray]
+    # Values of each feature in the sample, ascending; empty where they are many.
+    coded: list[np.ndarray]
 
     def value(self, rows: np.ndarray, total: np.ndarray) -> np.ndarray:
         return (total / np.maximum(rows, 1) + self.centre) / self.scale
@@ -234,6 +251,7 @@ def prepared_rows(df: DataFrame, key: str, label: str, features: str) -> Rows:
     sample = table.orderBy(F.xxhash64("id"), "y", "x").limit(SAMPLE_ROWS).select("x").collect()
     values = np.array([r["x"] for r in sample], dtype=np.float64)
     width = found["most"]
+    seen = [np.unique(column[~np.isnan(column)]) + 0.0 for column in values.T]
     return Rows(
         table,
         found["n"],
@@ -242,17 +260,29 @@ def prepared_rows(df: DataFrame, key: str, label: str, features: str) -> Rows:
         centre,
         [_cuts(values[:, f], BINS) for f in range(width)],
         [_cuts(values[:, f], CHUNKS) for f in range(width)],
+        [v if len(v) <= CODED_VALUES else v[:0] for v in seen],
     )
 
 
-def _arrays(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple]:
-    """(ids, whole labels, features) of at most BATCH_ROWS rows at a time."""
+def _arrays(batches: Iterator[pa.RecordBatch], width: int, most: int = BATCH_ROWS) -> Iterator[tuple]:
+    """(ids, whole labels, features) of at most ``most`` rows at a time, small batches together."""
+
+    def joined():
+        return tuple(np.concatenate(c) for c in zip(*held))
+
+    held, count = [], 0
     for batch in batches:
-        for start in range(0, batch.num_rows, BATCH_ROWS):
-            part = batch.slice(start, BATCH_ROWS)
+        for start in range(0, batch.num_rows, most):
+            part = batch.slice(start, most)
+            if count + part.num_rows > most:
+                yield joined()
+                held, count = [], 0
             ids = part.column("id").to_numpy().astype(np.uint64)
             x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            yield ids, part.column("y").to_numpy(), x
+            held.append((ids, part.column("y").to_numpy(), x))
+            count += part.num_rows
+    if held:
+        yield joined()
 
 
 # --- growing --------------------------------------------------------------------------------
@@ -304,14 +334,20 @@ class Paths:
 
     def follow(self, x: np.ndarray, rows: np.ndarray, root: int) -> np.ndarray:
         """Place of the last node on the way of each given row."""
-        at = np.full(len(rows), root)
-        live = np.arange(len(rows))
-        while len(live):
-            here = at[live]
-            inner = self.feature[here] >= 0
-            live, here = live[inner], here[inner]
-            right = ~(x[rows[live], self.feature[here]] <= self.threshold[here])
-            at[live] = self.left[here] + right
+        at, live, here = np.full(len(rows), root), None, np.full(len(rows), root)
+        values, start = x.ravel(), rows * x.shape[1]
+        while len(here):
+            feature = self.feature.take(here)
+            inner = feature >= 0
+            if not inner.all():
+                if live is None:
+                    live, at = np.flatnonzero(inner), here
+                else:
+                    at[live] = here
+                    live = live[inner]
+                here, feature, start = here[inner], feature[inner], start[inner]
+            right = ~(values.take(start + feature) <= self.threshold.take(here))
+            here = self.left.take(here) + right
         return at
 
 
@@ -389,18 +425,20 @@ def _by_bins(rows: Rows, trees: list[Tree], held: Held, opened: list[int]) -> li
     )
 
     def sums(batches):
-        count = {g: np.zeros(chosen.size * size, dtype=np.int64) for g, chosen in sets.items()}
-        total = {g: np.zeros(chosen.size * size, dtype=np.int64) for g, chosen in sets.items()}
+        count = {g: np.zeros((*chosen.shape, size), dtype=np.int64) for g, chosen in sets.items()}
+        total = {g: np.zeros((*chosen.shape, size), dtype=np.int64) for g, chosen in sets.items()}
         for ids, y, x in _arrays(batches, width):
-            code = np.empty(x.shape, dtype=np.int64)
+            code = np.empty(x.shape, dtype=np.int16)
             for f in range(width):
                 code[:, f] = np.searchsorted(bins[f], x[:, f], side="left")
             for g, row, weight, slot in _open_rows(trees, paths, roots, slots, ids, y, x):
-                k = sets[g].shape[1]
-                cell = (slot[:, None] * k + np.arange(k)) * size
-                cell = (cell + code[row[:, None], sets[g][slot]]).ravel()
-                for sum_, of_row in ((count[g], weight), (total[g], weight * y[row])):
-                    sum_ += np.bincount(cell, np.repeat(of_row, k), len(sum_)).astype(np.int64)
+                nodes, first, start = len(of_tree[g]), slot * size, row * width
+                of_rows = (count[g], weight.astype(np.float64)), (total[g], (weight * y[row]).astype(np.float64))
+                for j, feature in enumerate(sets[g].T):
+                    cell = first + code.ravel().take(start + feature.take(slot))
+                    for sum_, of_row in of_rows:
+                        found = np.bincount(cell, of_row, nodes * size).astype(np.int64)
+                        sum_[:, j] += found.reshape(nodes, size)
         for g, chosen in sets.items():
             n = count[g].reshape(-1, size)
             some = np.flatnonzero(n.any(axis=1))
@@ -568,112 +606,262 @@ def _exactly(rows: Rows, trees: list[Tree], held: Held, opened: list[int]) -> li
 SHIPPED = T.StructType(
     [
         T.StructField("at", T.LongType()),
-        T.StructField("w", T.LongType()),
-        T.StructField("y", T.LongType()),
-        T.StructField("x", T.ArrayType(T.DoubleType())),
+        T.StructField("kinds", T.StringType()),
+        T.StructField("packed", T.BinaryType()),
     ]
 )
 
 
+def _record(kinds: str) -> np.dtype:
+    """A packed row: draws, whole label, and each feature as its kind says."""
+    return np.dtype([("w", "u1"), ("y", "i8"), *((f"x{f}", kind) for f, kind in enumerate(kinds))])
+
+
+def _kind(column: np.ndarray, coded: np.ndarray) -> tuple[str, np.ndarray]:
+    """The smallest of four kinds that keeps a column as it is: numbers of known values (``B``),
+    short or long whole numbers (``h``, ``i``), or doubles (``d``)."""
+    if len(coded):
+        code = np.searchsorted(coded, column).clip(max=len(coded) - 1)
+        if (coded[code] == column).all():
+            return "B", code
+    with np.errstate(invalid="ignore"):
+        reach = np.abs(column).max(initial=0)
+        if reach < 2**31 and (np.rint(column) == column).all():
+            return ("h" if reach < 2**15 else "i"), column
+    return "d", column
+
+
+def _packed(y: np.ndarray, x: np.ndarray, coded: list[np.ndarray]) -> tuple[str, np.ndarray]:
+    """Kinds of the features, one letter each, and the rows as records; draws are left open."""
+    columns = [_kind(x[:, f] + 0.0, coded[f]) for f in range(x.shape[1])]
+    kinds = "".join(kind for kind, _ in columns)
+    records = np.empty(len(y), dtype=_record(kinds))
+    records["y"] = y
+    for f, (_, column) in enumerate(columns):
+        records[f"x{f}"] = column
+    return kinds, records
+
+
+@dataclass
+class Slot:
+    """A feature of a node's rows: its values, ascending and NaN last, and the place of each row's."""
+
+    values: np.ndarray
+    code: np.ndarray
+    order: np.ndarray | None = None
+
+    def by_value(self) -> np.ndarray:
+        """Rows in order of their values, found once."""
+        if self.order is None:
+            self.order = np.argsort(self.code, kind="stable")
+        return self.order
+
+
+def _unpacked(kinds: list[str], packed: list[bytes], coded: list[np.ndarray]) -> tuple:
+    """(draws, whole labels, columns) of the rows that were packed in any number of pieces."""
+    pieces: dict[str, list[bytes]] = {}
+    for kind, rows in zip(kinds, packed):
+        pieces.setdefault(kind, []).append(rows)
+    records = [(kind, np.frombuffer(b"".join(rows), _record(kind))) for kind, rows in pieces.items()]
+    w, y = (np.concatenate([r[c] for _, r in records]).astype(np.int64) for c in "wy")
+    columns = []
+    for f, known in enumerate(coded):
+        if all(kind[f] == "B" for kind, _ in records):
+            columns.append(Slot(known, np.concatenate([r[f"x{f}"] for _, r in records])))
+            continue
+        values = np.concatenate([known[r[f"x{f}"]] if kind[f] == "B" else r[f"x{f}"] for kind, r in records])
+        columns.append(_coded(values))
+    return w, y, columns
+
+
+def _coded(values: np.ndarray) -> Slot:
+    if values.dtype.kind == "i" and len(values):
+        low, high = int(values.min()), int(values.max())
+        if high - low < max(len(values), CODED_VALUES):
+            code = (values.astype(np.int64) - low).astype(np.int32)
+            return Slot(np.arange(low, high + 1, dtype=np.float64), code)
+    order = np.argsort(values, kind="stable")
+    v = values[order].astype(np.float64)
+    # Two NaN are one value here.
+    first = np.concatenate(([True], (v[1:] != v[:-1]) & ~np.isnan(v[:-1])))
+    code = np.empty(len(v), dtype=np.int32)
+    code[order] = first.cumsum() - 1
+    return Slot(v[first], code, order)
+
+
 def _first_in_runs(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
 
 
-def finish(tree: Tree, root: int, w: np.ndarray, y: np.ndarray, x: np.ndarray) -> tuple:
+def _ordered(
+    column: Slot, slot: np.ndarray, of_node: int, w: np.ndarray, wy: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """(node, code, rows, total), by node and code: one line for equal ones where codes are few."""
+    size = len(column.values)
+    row = np.flatnonzero(slot >= 0)
+    if of_node * size <= 2 * len(row) + CODED_VALUES:
+        cell = slot.take(row) * size + column.code.take(row)
+        n = np.bincount(cell, w.take(row), of_node * size)
+        s = np.bincount(cell, wy.take(row), of_node * size)
+        some = np.flatnonzero(n)
+        p, code = np.divmod(some, size)
+        return p, code, n[some].astype(np.int64), s[some].astype(np.int64)
+    row = column.by_value()
+    p = slot.take(row)
+    kept = p >= 0
+    # Short numbers are sorted by their digits.
+    row, p = row[kept], p[kept].astype(np.int16 if of_node < 1 << 15 else np.int64)
+    grouped = np.argsort(p, kind="stable")
+    row = row.take(grouped)
+    each = w.take(row).astype(np.int64), wy.take(row).astype(np.int64)
+    return p.take(grouped).astype(np.int64), column.code.take(row), *each
+
+
+def _searched(
+    columns: list[Slot],
+    allowed: np.ndarray,
+    place: np.ndarray,
+    w: np.ndarray,
+    wy: np.ndarray,
+    n: np.ndarray,
+    s: np.ndarray,
+    least: int,
+    bins: list[np.ndarray] | None,
+) -> tuple:
+    """(gain, feature, threshold) of the best cut of each node: among those between its values, or,
+    where columns hold the numbers of bins, among those between bins."""
+    k = len(n)
+    gain, feature, threshold = np.zeros(k), np.full(k, -1), np.full(k, np.nan)
+    for f in np.flatnonzero(allowed.any(axis=0)):
+        mine = np.flatnonzero(allowed[:, f])
+        # Rows of ended nodes are at place -1, the last one.
+        slots = np.full(k + 1, -1)
+        slots[mine] = np.arange(len(mine))
+        p, code, each_n, each_s = _ordered(columns[f], slots.take(place), len(mine), w, wy)
+        cut = np.flatnonzero((p[1:] == p[:-1]) & (code[:-1] != code[1:]))
+        if not len(cut):
+            continue
+        first = _first_in_runs(p)
+        sums_n, sums_s = each_n.cumsum(), each_s.cumsum()
+        before_n, before_s = np.zeros(len(mine), dtype=np.int64), np.zeros(len(mine), dtype=np.int64)
+        before_n[p[first]] = sums_n[first] - each_n[first]
+        before_s[p[first]] = sums_s[first] - each_s[first]
+        at = mine[p[cut]]
+        left_n, left_s = sums_n[cut] - before_n[p[cut]], sums_s[cut] - before_s[p[cut]]
+        enough = (left_n >= least) & (n[at] - left_n >= least)
+        cut, at, left_n, left_s = cut[enough], at[enough], left_n[enough], left_s[enough]
+        if not len(cut):
+            continue
+        gains = _gains(left_n, left_s, n[at], s[at])
+        runs = _first_in_runs(at)
+        best = np.zeros(k)
+        best[at[runs]] = np.maximum.reduceat(gains, runs)
+        top = np.flatnonzero(gains == best[at])
+        top = top[_first_in_runs(at[top])]
+        top = top[gains[top] > gain[at[top]]]
+        low, high = code[cut[top]], code[cut[top] + 1]
+        gain[at[top]], feature[at[top]] = gains[top], f
+        values = columns[f].values
+        threshold[at[top]] = _between(values[low], values[high]) if bins is None else bins[f][low]
+    return gain, feature, threshold
+
+
+def finish(
+    tree: Tree,
+    root: int,
+    size: int,
+    w: np.ndarray,
+    y: np.ndarray,
+    columns: list[Slot],
+    bins: list[np.ndarray],
+) -> tuple:
     """The subtree below a node from its rows: (node, feature, threshold, rows, total) arrays.
 
-    Every column is sorted once; each level looks at all cuts between neighbouring values of all
-    its nodes together.
+    Each level sums labels by node and value for all its nodes together, or by node and bin for
+    those of many rows. A node that no cut between bins splits is searched exactly. ``size`` is what
+    the first node counts as; for the root of a tree that is all rows, drawn or not.
     """
-    width = x.shape[1]
-    order = np.argsort(x, axis=0, kind="stable")
-    wy = w * y
-    place = np.zeros(len(w), dtype=np.int64)
+    width, count = len(columns), len(w)
+    codes = np.stack([c.code for c in columns]).astype(np.int32).ravel()
+    # Sums stay far below 2^53, so they are exact as doubles.
+    w, wy = w.astype(np.float64), (w * y).astype(np.float64)
+    binned = None
+    place = np.zeros(count, dtype=np.int64)
     nodes = np.array([root], dtype=np.int64)
     out = []
     while len(nodes):
         k = len(nodes)
-        live = place >= 0
-        n = np.bincount(place[live], w[live], k).astype(np.int64)
-        s = np.bincount(place[live], wy[live], k).astype(np.int64)
-        opened = np.array([not tree.ends(int(v), int(c)) for v, c in zip(nodes, n)])
+        live = np.flatnonzero(place >= 0)
+        parent = place.take(live)
+        n = np.bincount(parent, w.take(live), k).astype(np.int64)
+        s = np.bincount(parent, wy.take(live), k).astype(np.int64)
+        # Nodes of one level have one depth.
+        opened = (n >= tree.enough) & (not tree.ends(int(nodes[0]), tree.enough))
         allowed = np.zeros((k, width), dtype=bool)
-        np.put_along_axis(allowed, tried(tree, nodes, width), True, axis=1)
-        allowed &= opened[:, None]
-        gain, feature, threshold = np.zeros(k), np.full(k, -1), np.full(k, np.nan)
-        for f in np.flatnonzero(allowed.any(axis=0)):
-            o = order[:, f]
-            p = place[o]
-            o = o[(p >= 0) & allowed[p, f]]
-            p = place[o].astype(np.int16 if k < 1 << 15 else np.int64)
-            grouped = np.argsort(p, kind="stable")
-            o, p = o[grouped], p[grouped].astype(np.int64)
-            v = x[o, f]
-            cut = np.flatnonzero((p[1:] == p[:-1]) & (v[:-1] != v[1:]) & ~np.isnan(v[:-1]))
-            if not len(cut):
-                continue
-            first = _first_in_runs(p)
-            sums_n, sums_s = w[o].cumsum(), wy[o].cumsum()
-            before_n, before_s = np.zeros(k, dtype=np.int64), np.zeros(k, dtype=np.int64)
-            before_n[p[first]] = sums_n[first] - w[o[first]]
-            before_s[p[first]] = sums_s[first] - wy[o[first]]
-            at = p[cut]
-            left_n, left_s = sums_n[cut] - before_n[at], sums_s[cut] - before_s[at]
-            enough = (left_n >= tree.least) & (n[at] - left_n >= tree.least)
-            cut, at, left_n, left_s = cut[enough], at[enough], left_n[enough], left_s[enough]
-            if not len(cut):
-                continue
-            gains = _gains(left_n, left_s, n[at], s[at])
-            runs = _first_in_runs(at)
-            best = np.zeros(k)
-            best[at[runs]] = np.maximum.reduceat(gains, runs)
-            top = np.flatnonzero(gains == best[at])
-            top = top[_first_in_runs(at[top])]
-            top = top[gains[top] > gain[at[top]]]
-            gain[at[top]], feature[at[top]] = gains[top], f
-            threshold[at[top]] = _between(v[cut[top]], v[cut[top] + 1])
+        trying = np.flatnonzero(opened)
+        allowed[trying[:, None], tried(tree, nodes[trying], width)] = True
+        large = (n > SMALL_ROWS) if out else np.array([size > SMALL_ROWS])
+        large &= not tree.exact
+        found = np.zeros(k), np.full(k, -1), np.full(k, np.nan)
+        if (large & opened).any():
+            if binned is None:
+                binned = [
+                    Slot(np.arange(len(b) + 1), np.searchsorted(b, c.values, side="left").astype(np.int16)[c.code])
+                    for b, c in zip(bins, columns)
+                ]
+            found = _searched(binned, allowed & large[:, None], place, w, wy, n, s, tree.least, bins)
+        rest = allowed & (found[1] < 0)[:, None]
+        exact = _searched(columns, rest, place, w, wy, n, s, tree.least, None)
+        chosen = found[1] >= 0
+        feature, threshold = (np.where(chosen, a, b) for a, b in zip(found[1:], exact[1:]))
         out.append((nodes, feature, threshold, n, s))
         inner = np.flatnonzero(feature >= 0)
         child = np.full(k, -1)
         child[inner] = 2 * np.arange(len(inner))
-        rows = np.flatnonzero(live)
-        parent = place[rows]
-        rows, parent = rows[feature[parent] >= 0], parent[feature[parent] >= 0]
+        last = np.full(k, -1)
+        for f in np.unique(feature[inner]):
+            own = np.flatnonzero(feature == f)
+            last[own] = np.searchsorted(columns[f].values, threshold[own], side="right") - 1
+        kept = feature[parent] >= 0
+        rows, parent = live[kept], parent[kept]
         place[:] = -1
-        place[rows] = child[parent] + ~(x[rows, feature[parent]] <= threshold[parent])
+        place[rows] = child.take(parent) + (codes.take(feature.take(parent) * count + rows) > last.take(parent))
         nodes = (2 * nodes[inner][:, None] + np.arange(2)).ravel()
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
 def _finished(rows: Rows, trees: list[Tree], held: Held, shipped: list[int]) -> DataFrame:
-    """The subtrees of small nodes, each by the task that its rows are sent to."""
-    width, paths = rows.width, held.paths()
+    """The subtrees of the nodes that tasks can hold, each by the task that its rows are sent to."""
+    width, paths, bins, coded = rows.width, held.paths(), rows.bins, rows.coded
     slots = np.full(len(held.node), -1)
     slots[shipped] = shipped
     roots = np.full(len(trees), -1)
     for at in shipped:
         roots[held.tree[at]] = held.tree[at]
-    own = {at: (held.tree[at], held.node[at]) for at in shipped}
+    own = {at: (held.tree[at], held.node[at], held.rows[at] or rows.count) for at in shipped}
+
+    most = max(1, PACKED_BYTES // (8 * width))
 
     def send(batches):
-        for ids, y, x in _arrays(batches, width):
+        for ids, y, x in _arrays(batches, width, most):
+            kinds, records = _packed(y, x, coded)
             for _, row, weight, at in _open_rows(trees, paths, roots, slots, ids, y, x):
-                ends = pa.array((np.arange(len(row) + 1) * width).astype(np.int32))
+                order = np.argsort(at, kind="stable")
+                at = at[order]
+                sent = records[row[order]]
+                sent["w"] = weight[order]
+                first = _first_in_runs(at)
+                ends = np.append(first, len(at))
+                data = [sent[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(at),
-                        pa.array(weight),
-                        pa.array(y[row]),
-                        pa.ListArray.from_arrays(ends, pa.array(x[row].ravel())),
-                    ],
+                    [pa.array(at[first]), pa.array([kinds] * len(first)), pa.array(data, pa.binary())],
                     names=SHIPPED.names,
                 )
 
     def grow(key, group):
-        g, node = own[key[0].as_py()]
-        x = group.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        w, y = group.column("w").to_numpy(), group.column("y").to_numpy()
-        found, feature, threshold, n, s = finish(trees[g], node, w, y, x.reshape(-1, width))
+        g, node, size = own[key[0].as_py()]
+        w, y, columns = _unpacked(group.column("kinds").to_pylist(), group.column("packed").to_pylist(), coded)
+        found, feature, threshold, n, s = finish(trees[g], node, size, w, y, columns, bins)
         return pa.table(
             {
                 "tree": pa.array(np.full(len(found), g, dtype=np.int32)),
@@ -685,8 +873,12 @@ def _finished(rows: Rows, trees: list[Tree], held: Held, shipped: list[int]) ->
             }
         )
 
-    rows_value = Rows(None, 0, 0, rows.scale, rows.centre, [], []).value
-    return rows.table.mapInArrow(send, SHIPPED).groupBy("at").applyInArrow(grow, NODES)
+    rows_value = Rows(None, 0, 0, rows.scale, rows.centre, [], [], []).value
+    # Packed rows are much work for few bytes, so the number of tasks does not follow their bytes.
+    total = sum(size for _, _, size in own.values())
+    context = rows.table.sparkSession.sparkContext
+    parts = min(len(shipped), max(8 * context.defaultParallelism, total // PART_ROWS))
+    return rows.table.mapInArrow(send, SHIPPED).repartition(parts, "at").groupBy("at").applyInArrow(grow, NODES)
 
 
 def grow(rows: Rows, trees: list[Tree]) -> DataFrame:
@@ -697,16 +889,23 @@ def grow(rows: Rows, trees: list[Tree]) -> DataFrame:
     ``value`` is the mean label. Passes follow the depth down to small nodes, whatever the
     number of trees.
     """
-    spark = rows.table.sparkSession
     if len(trees) > MAX_HELD_NODES:
         raise ValueError("Too many trees")
+    nodes = _grown(rows, trees)
+    return written(nodes, "tree-nodes")
+
+
+def _grown(rows: Rows, trees: list[Tree]) -> DataFrame:
+    """The nodes of all trees, not yet written."""
     held = Held(range(len(trees)))
     by_bins, exactly, shipped = [], [], []
+    most = max(SMALL_ROWS, min(TASK_ROWS, TASK_CELLS // rows.width))
 
     def place(at: int, count: int) -> None:
-        if count <= SMALL_ROWS:
+        exact = trees[held.tree[at]].exact
+        if count <= (SMALL_ROWS if exact else most):
             shipped.append(at)
-        elif trees[held.tree[at]].exact:
+        elif exact:
             exactly.append(at)
         else:
             by_bins.append(at)
@@ -717,7 +916,8 @@ def grow(rows: Rows, trees: list[Tree]) -> DataFrame:
     while by_bins or exactly:
         search, queue = (_by_bins, by_bins) if by_bins else (_exactly, exactly)
         room = max(1, PASS_CELLS // (rows.width * size))
-        opened = sorted(queue)[:room]
+        # Tree by tree, so that a pass follows the trees of its own nodes only.
+        opened = sorted(queue, key=lambda at: (held.tree[at], at))[:room]
         rest = set(opened)
         queue[:] = [at for at in queue if at not in rest]
         for found in search(rows, trees, held, opened):
@@ -734,10 +934,8 @@ def grow(rows: Rows, trees: list[Tree]) -> DataFrame:
             elif search is _by_bins:
                 # No cut between bins tells its rows apart; one between values may.
                 exactly.append(at)
-    top = _held_nodes(spark, held, rows, set(shipped))
-    if not shipped:
-        return written(top, "tree-nodes")
-    return written(top.unionByName(_finished(rows, trees, held, shipped)), "tree-nodes")
+    top = _held_nodes(rows.table.sparkSession, held, rows, set(shipped))
+    return top.unionByName(_finished(rows, trees, held, shipped)) if shipped else top
 
 
 def _held_nodes(spark: SparkSession, held: Held, rows: Rows, left_out: set[int]) -> DataFrame:
@@ -774,7 +972,7 @@ def _model_paths(nodes: DataFrame) -> tuple[Paths, np.ndarray, np.ndarray]:
     roots = np.flatnonzero(node == 1)
     # Sorted by tree and node, the two children of a node are neighbours.
     bounds = np.append(roots, len(node))
-    left = np.full(len(node), -1)
+    left = np.full(len(node), -1, dtype=np.int32)
     for a, b in zip(bounds[:-1], bounds[1:]):
         left[a:b] = a + np.searchsorted(node[a:b], 2 * node[a:b])
     return Paths(feature, threshold, left), value, roots
@@ -785,14 +983,14 @@ def predict(
     nodes: DataFrame,
     features: str,
     output: str,
-    max_nodes: int = MAX_HELD_NODES,
+    max_nodes: int = MAX_MODEL_NODES,
 ) -> DataFrame:
     """Add the mean of the trees' values for a vector of features.
 
     A model of at most ``max_nodes`` nodes goes to the tasks whole; a larger one stays a table,
     and rows are joined to it level by level (``predict_by_joins``). Null features give null.
     """
-    if len(nodes.select(F.lit(1)).take(max_nodes + 1)) > max_nodes:
+    if nodes.count() > max_nodes:
         return predict_by_joins(df, nodes, features, output)
     paths, value, roots = _model_paths(nodes)
 

@@ -275,3 +275,48 @@ def test_more_trees_take_few_more_passes(spark, df, monkeypatch):
     together = jobs_of(spark, lambda: op.grow(prepared, forest))
     apart = sum(jobs_of(spark, lambda t=t: op.grow(prepared, [t])) for t in forest[:3])
     assert 0 < together < apart
+
+
+def test_nodes_that_a_task_can_hold_take_no_pass(spark, df, monkeypatch):
+    """The same forest whether large nodes are cut in passes or in tasks, in which depth starts no job."""
+    monkeypatch.setattr(op, "SMALL_ROWS", 60)
+    settings = dict(bootstrap=True, featureSubsetStrategy="0.5", numTrees=3, maxDepth=7)
+    in_tasks, _, prepared = grown(df, **settings)
+    shallow, deep = (op.trees_of({**SETTINGS, **settings, "maxDepth": d}, prepared.width) for d in (1, 7))
+    work = [lambda f=f: op.grow(prepared, f) for f in (shallow, deep, deep)]
+    jobs = [jobs_of(spark, w) for w in work[:2]]
+    assert jobs[0] == jobs[1]
+    monkeypatch.setattr(op, "TASK_ROWS", 0)
+    assert jobs_of(spark, work[2]) > jobs[1]
+    in_passes, _, _ = grown(df, **settings)
+    assert sorted(map(tuple, in_tasks.collect()), key=str) == sorted(map(tuple, in_passes.collect()), key=str)
+
+
+def test_large_nodes_in_tasks_that_no_bin_tells_apart(spark, monkeypatch):
+    monkeypatch.setattr(op, "SMALL_ROWS", 10)
+    monkeypatch.setattr(op, "BINS", 2)
+    random = np.random.default_rng(8)
+    data = [(i, float(i % 7 + 5 * (i > 380)), [float(i > 380) * i, float("nan") if i % 9 == 0 else random.normal()]) for i in range(400)]
+    df = spark.createDataFrame(data, SCHEMA)
+    in_tasks = found(grown(df, maxDepth=5)[0])
+    monkeypatch.setattr(op, "TASK_ROWS", 0)
+    equal(in_tasks, found(grown(df, maxDepth=5)[0]))
+
+
+def test_packed_rows_come_back():
+    nan, inf = float("nan"), float("inf")
+    x = np.array([[0.5, 3, 70_000, -0.0, 7, nan], [0.25, -4, -2, 1e300, 8, inf], [0.5, 40_000, 5, -inf, 7, 5e-324]])
+    known = [np.array([0.25, 0.5]), *[np.zeros(0)] * 3, np.array([7.0]), np.array([1.0])]
+    y = np.array([-(2**33), 0, 2**33])
+    kinds, records = op._packed(y, x, known)
+    assert kinds == "Biidhd"
+    records["w"] = [1, 18, 2]
+    other, more = op._packed(y[:1], x[:1], known)
+    assert other != kinds
+    more["w"] = 3
+    w, back, columns = op._unpacked([kinds, other], [records.tobytes(), more.tobytes()], known)
+    assert w.tolist() == [1, 18, 2, 3] and back.tolist() == [*y, y[0]]
+    for f, column in enumerate(columns):
+        values = column.values[column.code]
+        assert np.array_equal(values, np.append(x[:, f], x[0, f]), equal_nan=True)
+        assert (np.diff(column.values[~np.isnan(column.values)]) > 0).all()
