@@ -12,7 +12,7 @@ not on partitions or on the order of rows.
 
 import sys
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -891,12 +891,34 @@ def grow(rows: Rows, trees: list[Tree]) -> DataFrame:
     """
     if len(trees) > MAX_HELD_NODES:
         raise ValueError("Too many trees")
-    nodes = _grown(rows, trees)
+    # Trees that differ by their depth alone are one tree, cut off at several depths.
+    deepest: dict[Tree, int] = {}
+    for tree in trees:
+        alike = replace(tree, depth=0)
+        deepest[alike] = max(tree.depth, deepest.get(alike, 0))
+    distinct = [replace(alike, depth=depth) for alike, depth in deepest.items()]
+    nodes = _grown(rows, distinct)
+    if distinct != trees:
+        numbers = {alike: g for g, alike in enumerate(deepest)}
+        wanted = [(numbers[replace(tree, depth=0)], i, tree.depth) for i, tree in enumerate(trees)]
+        copies = nodes.sparkSession.createDataFrame(wanted, "tree int, copy int, depth int")
+        ends = F.col("node") >= F.expr("shiftleft(1L, depth)")
+        nodes = (
+            nodes.join(F.broadcast(copies), "tree")
+            .where("node < shiftleft(1L, depth + 1)")
+            .select(
+                F.col("copy").alias("tree"),
+                "node",
+                *[F.when(~ends, F.col(c)).alias(c) for c in ("feature", "threshold")],
+                "rows",
+                "value",
+            )
+        )
     return written(nodes, "tree-nodes")
 
 
 def _grown(rows: Rows, trees: list[Tree]) -> DataFrame:
-    """The nodes of all trees, not yet written."""
+    """The nodes of trees that all differ."""
     held = Held(range(len(trees)))
     by_bins, exactly, shipped = [], [], []
     most = max(SMALL_ROWS, min(TASK_ROWS, TASK_CELLS // rows.width))

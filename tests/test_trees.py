@@ -303,6 +303,25 @@ def test_large_nodes_in_tasks_that_no_bin_tells_apart(spark, monkeypatch):
     equal(in_tasks, found(grown(df, maxDepth=5)[0]))
 
 
+def test_trees_that_differ_in_depth_are_grown_once(df, monkeypatch):
+    counted, grown_ = [], op._grown
+    monkeypatch.setattr(op, "_grown", lambda rows, trees: counted.append(len(trees)) or grown_(rows, trees))
+    monkeypatch.setattr(op, "SMALL_ROWS", 60)
+    prepared = op.prepared_rows(df, "key", "label", "features")
+    settings = {**SETTINGS, "bootstrap": True, "featureSubsetStrategy": "0.5"}
+    forests = [
+        op.trees_of({**settings, "numTrees": n, "maxDepth": d}, prepared.width) for n, d in ((3, 2), (2, 6), (1, 0))
+    ]
+    together = op.grow(prepared, [tree for forest in forests for tree in forest])
+    first = 0
+    for forest in forests:
+        apart = op.grow(prepared, forest)
+        for number in range(len(forest)):
+            equal(found(together, first + number), found(apart, number))
+        first += len(forest)
+    assert counted == [3, 3, 2, 1]
+
+
 def test_packed_rows_come_back():
     nan, inf = float("nan"), float("inf")
     x = np.array([[0.5, 3, 70_000, -0.0, 7, nan], [0.25, -4, -2, 1e300, 8, inf], [0.5, 40_000, 5, -inf, 7, 5e-324]])
