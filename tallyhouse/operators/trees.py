@@ -984,7 +984,7 @@ def _held_nodes(spark: SparkSession, held: Held, rows: Rows, left_out: set[int])
 
 def _model_paths(nodes: DataFrame) -> tuple[Paths, np.ndarray, np.ndarray]:
     """A whole model in arrays: paths, values, and the places of the roots in order of trees."""
-    table = nodes.toArrow()
+    table = nodes.select("tree", "node", "feature", "threshold", "value").toArrow()
     tree, node = (table.column(c).to_numpy() for c in ("tree", "node"))
     order = np.lexsort((node, tree))
     tree, node = tree[order], node[order]
