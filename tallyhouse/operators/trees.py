@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.plans.lookups import BROADCAST_ROWS, join_lookup, stored_lookup
-from tallyhouse.plans.shared import written
+from tallyhouse.plans.shared import dropped, shuffles_freed, written
 
 # Tasks carry this module's code along, so executors need no copy of it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -33,11 +33,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # A node of at most so many rows, repeats counted, is cut between any two of its values.
 SMALL_ROWS = 16_384
 # A node of at most so many rows, and values of all features, is finished in a task.
-TASK_ROWS = 262_144
-TASK_CELLS = 6_000_000
+TASK_ROWS = 500_000
+TASK_CELLS = 10_000_000
 # Rows that a task of the last step gets in all, about, and bytes of features that are packed at a time.
 PART_ROWS = 2_000_000
 PACKED_BYTES = 8_000_000
+# Rows, repeats counted, that are sent to tasks at a time; what they took on disk is freed before the next.
+SENT_ROWS = 250_000_000
 # A column whose sample has at most so many values is sent as their numbers.
 CODED_VALUES = 256
 # Bins of a column in a node beyond that bound, and chunks of its sorted values where cuts are exact.
@@ -53,6 +55,8 @@ MAX_MODEL_NODES = 8_000_000
 # Labels are whole numbers of at most so many bits, so sums over a batch are exact as doubles.
 LABEL_BITS = 34
 BATCH_ROWS = 32_768
+# Sums of so many rows, repeats counted, are exact as doubles.
+EXACT_ROWS = 1_000_000
 # Labels that are decimals of few places are summed exactly.
 DECIMAL_SCALES = (1.0, 10.0, 100.0, 1_000.0, 10_000.0)
 MAX_DEPTH = 50
@@ -145,12 +149,31 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 POISSON = np.cumsum(np.exp(-1) / np.cumprod(np.maximum(np.arange(18), 1), dtype=np.float64))
 
 
+# The same as bounds of the 64-bit hash, whose upper 53 bits are the uniform draw.
+DRAWN_FROM = np.array([int(np.ceil(p * 2.0**53)) << 11 for p in POISSON if p < 1], dtype=np.uint64)
+
+
+def drawn(tree: Tree, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the rows that the tree's sample holds, and how often it does."""
+    if not tree.bootstrap:
+        return np.arange(len(ids)), np.ones(len(ids), dtype=np.int64)
+    hashes = _mixed(ids ^ tree.salt)
+    rows = np.flatnonzero(hashes >= DRAWN_FROM[0])
+    hashes = hashes.take(rows)
+    times = np.ones(len(rows), dtype=np.int64)
+    for bound in DRAWN_FROM[1:4]:
+        times += hashes >= bound
+    often = np.flatnonzero(hashes >= DRAWN_FROM[4])
+    times[often] = np.searchsorted(DRAWN_FROM, hashes[often], side="right")
+    return rows, times
+
+
 def draws(tree: Tree, ids: np.ndarray) -> np.ndarray:
     """How often the tree's sample holds each row: Poisson draws with mean one."""
-    if not tree.bootstrap:
-        return np.ones(len(ids), dtype=np.int64)
-    uniform = (_mixed(ids ^ tree.salt) >> np.uint64(11)) * 2.0**-53
-    return np.searchsorted(POISSON, uniform, side="right")
+    times = np.zeros(len(ids), dtype=np.int64)
+    rows, found = drawn(tree, ids)
+    times[rows] = found
+    return times
 
 
 def tried(tree: Tree, nodes: np.ndarray, width: int) -> np.ndarray:
@@ -179,6 +202,8 @@ class Rows:
     chunks: list[np.ndarray]
     # Values of each feature in the sample, ascending; empty where they are many.
     coded: list[np.ndarray]
+    # The same rows packed (see ``PACKED``), while trees grow.
+    packed: DataFrame | None = None
 
     def value(self, rows: np.ndarray, total: np.ndarray) -> np.ndarray:
         return (total / np.maximum(rows, 1) + self.centre) / self.scale
@@ -320,9 +345,6 @@ class Held:
             raise ValueError(f"More than {MAX_HELD_NODES} nodes of more than {SMALL_ROWS} rows")
         return left, left + 1
 
-    def paths(self) -> "Paths":
-        return Paths(np.array(self.feature), np.array(self.threshold), np.array(self.left))
-
 
 @dataclass(frozen=True)
 class Paths:
@@ -351,27 +373,149 @@ class Paths:
         return at
 
 
+@dataclass(frozen=True)
+class Steps:
+    """Nodes of growing trees in arrays, to follow coded rows through: a row's code counts the cuts
+    below its value, and it goes right where its code is above ``last``. Leaves lead to themselves."""
+
+    cuts: list[np.ndarray]
+    # Whether all cuts are those between bins.
+    plain: bool
+    feature: np.ndarray
+    last: np.ndarray
+    left: np.ndarray
+    levels: np.ndarray
+
+    def follow(self, codes: np.ndarray, rows: np.ndarray, tree: int, root: int) -> np.ndarray:
+        """Place of the last node on the way of each given row of a tree."""
+        at, flat, start = np.full(len(rows), root), codes.ravel(), rows * codes.shape[1]
+        for _ in range(self.levels[tree]):
+            at = self.left.take(at) + (flat.take(start + self.feature.take(at)) > self.last.take(at))
+        return at
+
+
+def _code_type(cuts: list[np.ndarray]) -> np.dtype:
+    """The smallest type for the codes of all columns and one more."""
+    return np.min_scalar_type(max(map(len, cuts)) + 1)
+
+
+def _codes(cuts: list[np.ndarray], x: np.ndarray) -> np.ndarray:
+    """How many cuts lie below each value; all do for NaN."""
+    codes = np.empty(x.shape, dtype=_code_type(cuts))
+    for f, own in enumerate(cuts):
+        codes[:, f] = np.searchsorted(own, x[:, f], side="left")
+    return codes
+
+
+def _steps(bins: list[np.ndarray], held: Held, trees: int) -> Steps:
+    feature, threshold, left = np.array(held.feature), np.array(held.threshold), np.array(held.left)
+    inner = np.flatnonzero(feature >= 0)
+    cuts, plain = [], True
+    for f, own in enumerate(bins):
+        more = np.setdiff1d(threshold[inner[feature[inner] == f]], own)
+        plain &= not len(more)
+        cuts.append(np.union1d(own, more) if len(more) else own)
+    kind = _code_type(cuts)
+    last = np.full(len(feature), np.iinfo(kind).max, dtype=kind)
+    for f, own in enumerate(cuts):
+        at = inner[feature[inner] == f]
+        last[at] = np.searchsorted(own, threshold[at], side="left")
+    levels = np.zeros(trees, dtype=np.int64)
+    depth = np.frexp(np.array(held.node, dtype=np.float64))[1] - 1
+    np.maximum.at(levels, np.array(held.tree), depth)
+    ends = feature < 0
+    return Steps(
+        cuts, plain, np.where(ends, 0, feature), last, np.where(ends, np.arange(len(left)), left), levels
+    )
+
+
+def _gains(left_n, left_s, n, s):
+    """Decrease of the sum of squares by a cut: zero, exactly, where both sides have one mean and
+    products of rows and totals are below 2^62; beyond that, products are taken as doubles."""
+    off = (left_s * n - s * left_n).astype(np.float64)
+    wide = np.maximum(np.abs(s), np.abs(left_s)).astype(np.float64) * n >= 2.0**62
+    if wide.any():
+        off = np.where(wide, left_s.astype(np.float64) * n - s.astype(np.float64) * left_n, off)
+    return off * off / ((left_n * (n - left_n)).astype(np.float64) * n)
+
+
+@dataclass(frozen=True)
+class Steps:
+    """Nodes of growing trees in arrays, to follow coded rows through: a row's code counts the cuts
+    below its value, and it goes right where its code is above ``last``. Leaves lead to themselves."""
+
+    cuts: list[np.ndarray]
+    # Whether all cuts are those between bins.
+    plain: bool
+    feature: np.ndarray
+    last: np.ndarray
+    left: np.ndarray
+    levels: np.ndarray
+
+    def follow(self, codes: np.ndarray, rows: np.ndarray, tree: int, root: int) -> np.ndarray:
+        """Place of the last node on the way of each given row of a tree."""
+        at, flat, start = np.full(len(rows), root), codes.ravel(), rows * codes.shape[1]
+        for _ in range(self.levels[tree]):
+            at = self.left.take(at) + (flat.take(start + self.feature.take(at)) > self.last.take(at))
+        return at
+
+
+def _code_type(cuts: list[np.ndarray]) -> np.dtype:
+    """The smallest type for the codes of all columns and one more."""
+    return np.min_scalar_type(max(map(len, cuts)) + 1)
+
+
+def _codes(cuts: list[np.ndarray], x: np.ndarray) -> np.ndarray:
+    """How many cuts lie below each value; all do for NaN."""
+    codes = np.empty(x.shape, dtype=_code_type(cuts))
+    for f, own in enumerate(cuts):
+        codes[:, f] = np.searchsorted(own, x[:, f], side="left")
+    return codes
+
+
+def _steps(bins: list[np.ndarray], held: Held, trees: int) -> Steps:
+    feature, threshold, left = np.array(held.feature), np.array(held.threshold), np.array(held.left)
+    inner = np.flatnonzero(feature >= 0)
+    cuts, plain = [], True
+    for f, own in enumerate(bins):
+        more = np.setdiff1d(threshold[inner[feature[inner] == f]], own)
+        plain &= not len(more)
+        cuts.append(np.union1d(own, more) if len(more) else own)
+    kind = _code_type(cuts)
+    last = np.full(len(feature), np.iinfo(kind).max, dtype=kind)
+    for f, own in enumerate(cuts):
+        at = inner[feature[inner] == f]
+        last[at] = np.searchsorted(own, threshold[at], side="left")
+    levels = np.zeros(trees, dtype=np.int64)
+    depth = np.frexp(np.array(held.node, dtype=np.float64))[1] - 1
+    np.maximum.at(levels, np.array(held.tree), depth)
+    ends = feature < 0
+    return Steps(
+        cuts, plain, np.where(ends, 0, feature), last, np.where(ends, np.arange(len(left)), left), levels
+    )
+
+
 def _gains(left_n, left_s, n, s):
     """Decrease of the sum of squares by a cut: zero, exactly, where both sides have one mean."""
-    wide = max(np.abs(s).max(initial=0), np.abs(left_s).max(initial=0)) * n.max(initial=0) >= 2.0**62
+    wide = float(max(np.abs(s).max(initial=0), np.abs(left_s).max(initial=0))) * n.max(initial=0) >= 2.0**62
     if wide:
         left_s, s = left_s.astype(np.float64), s.astype(np.float64)
     off = (left_s * n - s * left_n).astype(np.float64)
     return off * off / ((left_n * (n - left_n)).astype(np.float64) * n)
 
 
-def _open_rows(trees, paths, roots, slots, ids, y, x):
+def _open_rows(trees, steps, roots, slots, ids, codes):
     """For each tree: (tree, rows, draws, slot of each row) of rows in its open nodes."""
     for g, tree in enumerate(trees):
         if roots[g] < 0:
             continue
-        weight = draws(tree, ids)
-        rows = np.flatnonzero(weight)
-        slot = slots[paths.follow(x, rows, roots[g])]
+        rows, weight = drawn(tree, ids)
+        slot = slots.take(steps.follow(codes, rows, g, roots[g]))
         inside = slot >= 0
-        rows = rows[inside]
+        if not inside.all():
+            rows, weight, slot = rows[inside], weight[inside], slot[inside]
         if len(rows):
-            yield g, rows, weight[rows], slot[inside]
+            yield g, rows, weight, slot
 
 
 def _slots(held: Held, trees: list[Tree], opened: list[int]):
@@ -410,7 +554,8 @@ def _best(found: DataFrame) -> list:
 
 def _by_bins(rows: Rows, trees: list[Tree], held: Held, opened: list[int]) -> list:
     """Best cuts of open nodes among the cuts between bins."""
-    width, bins, paths = rows.width, rows.bins, held.paths()
+    width, bins, coded = rows.width, rows.bins, rows.coded
+    steps = _steps(bins, held, len(trees))
     size = max(map(len, bins)) + 1
     slots, of_tree, roots = _slots(held, trees, opened)
     sets = {g: tried(trees[g], np.array([held.node[at] for at in places]), width) for g, places in of_tree.items()}
@@ -425,21 +570,33 @@ def _by_bins(rows: Rows, trees: list[Tree], held: Held, opened: list[int]) -> li
     )
 
     def sums(batches):
-        count = {g: np.zeros((*chosen.shape, size), dtype=np.int64) for g, chosen in sets.items()}
-        total = {g: np.zeros((*chosen.shape, size), dtype=np.int64) for g, chosen in sets.items()}
-        for ids, y, x in _arrays(batches, width):
-            code = np.empty(x.shape, dtype=np.int16)
-            for f in range(width):
-                code[:, f] = np.searchsorted(bins[f], x[:, f], side="left")
-            for g, row, weight, slot in _open_rows(trees, paths, roots, slots, ids, y, x):
-                nodes, first, start = len(of_tree[g]), slot * size, row * width
-                of_rows = (count[g], weight.astype(np.float64)), (total[g], (weight * y[row]).astype(np.float64))
+        # Rows are summed as the real part of a number, labels as its imaginary part, in one step.
+        both = {g: np.zeros(chosen.size * size, dtype=np.complex128) for g, chosen in sets.items()}
+        count, total = ({g: np.zeros(chosen.size * size, dtype=np.int64) for g, chosen in sets.items()} for _ in "ns")
+        held_rows = dict.fromkeys(sets, 0)
+
+        def settle(g):
+            count[g] += both[g].real.astype(np.int64)
+            total[g] += both[g].imag.astype(np.int64)
+            both[g][:] = 0
+            held_rows[g] = 0
+
+        for ids, kinds, records, binned in _pieces(batches, bins):
+            codes = binned if steps.plain else _codes(steps.cuts, _features(kinds, records, coded))
+            flat, y = binned.ravel(), records["y"].astype(np.float64)
+            for g, row, weight, slot in _open_rows(trees, steps, roots, slots, ids, codes):
+                more = int(weight.sum())
+                if held_rows[g] + more > EXACT_ROWS:
+                    settle(g)
+                held_rows[g] += more
+                each = np.empty(len(row), dtype=np.complex128)
+                each.real, each.imag = weight, weight * y.take(row)
+                first, start = slot * (sets[g].shape[1] * size), row * width
                 for j, feature in enumerate(sets[g].T):
-                    cell = first + code.ravel().take(start + feature.take(slot))
-                    for sum_, of_row in of_rows:
-                        found = np.bincount(cell, of_row, nodes * size).astype(np.int64)
-                        sum_[:, j] += found.reshape(nodes, size)
+                    code = flat.take(start + feature.take(slot))
+                    np.add.at(both[g], first + j * size + code, each)
         for g, chosen in sets.items():
+            settle(g)
             n = count[g].reshape(-1, size)
             some = np.flatnonzero(n.any(axis=1))
             ends = pa.array((np.arange(len(some) + 1) * size).astype(np.int32))
@@ -489,7 +646,7 @@ def _by_bins(rows: Rows, trees: list[Tree], held: Held, opened: list[int]) -> li
                 names=BEST.names,
             )
 
-    summed = rows.table.mapInArrow(sums, schema).groupBy("at", "feature").agg(
+    summed = rows.packed.mapInArrow(sums, schema).groupBy("at", "feature").agg(
         *[F.sum(F.col(c)[i]).alias(f"{c}{i}") for c in "ns" for i in range(size)]
     )
     return _best(summed.mapInArrow(cuts, BEST))
@@ -501,7 +658,7 @@ def _exactly(rows: Rows, trees: list[Tree], held: Held, opened: list[int]) -> li
     The values of a column are summed up in sorted chunks, then within each chunk: prefix sums
     over any number of values, in which no window holds more than a chunk or all chunks.
     """
-    width, chunks, paths = rows.width, rows.chunks, held.paths()
+    width, chunks, steps = rows.width, rows.chunks, _steps(rows.bins, held, len(trees))
     slots, of_tree, roots = _slots(held, trees, opened)
     sets = {g: tried(trees[g], np.array([held.node[at] for at in places]), width) for g, places in of_tree.items()}
     schema = T.StructType(
@@ -518,7 +675,7 @@ def _exactly(rows: Rows, trees: list[Tree], held: Held, opened: list[int]) -> li
 
     def sums(batches):
         for ids, y, x in _arrays(batches, width):
-            for g, row, weight, slot in _open_rows(trees, paths, roots, slots, ids, y, x):
+            for g, row, weight, slot in _open_rows(trees, steps, roots, slots, ids, _codes(steps.cuts, x)):
                 allowed = np.zeros((len(of_tree[g]), width), dtype=bool)
                 np.put_along_axis(allowed, sets[g], True, axis=1)
                 places = np.array(of_tree[g])
@@ -603,31 +760,32 @@ def _exactly(rows: Rows, trees: list[Tree], held: Held, opened: list[int]) -> li
     return _best(found)
 
 
-SHIPPED = T.StructType(
-    [
-        T.StructField("at", T.LongType()),
-        T.StructField("kinds", T.StringType()),
-        T.StructField("packed", T.BinaryType()),
-    ]
-)
+# Kinds of packed values: numbers of known values, short and long whole numbers, short and long
+# hundredths, doubles.
+KINDS = {"B": "u1", "h": "i2", "i": "i4", "s": "i2", "c": "i4", "d": "f8"}
+# A letter behind those of the features: labels are long.
+SHORT_LABELS = "-"
 
 
 def _record(kinds: str) -> np.dtype:
     """A packed row: draws, whole label, and each feature as its kind says."""
-    return np.dtype([("w", "u1"), ("y", "i8"), *((f"x{f}", kind) for f, kind in enumerate(kinds))])
+    label = "i4" if kinds.endswith(SHORT_LABELS) else "i8"
+    features = [(f"x{f}", KINDS[kind]) for f, kind in enumerate(kinds.rstrip(SHORT_LABELS))]
+    return np.dtype([("w", "u1"), ("y", label), *features])
 
 
 def _kind(column: np.ndarray, coded: np.ndarray) -> tuple[str, np.ndarray]:
-    """The smallest of four kinds that keeps a column as it is: numbers of known values (``B``),
-    short or long whole numbers (``h``, ``i``), or doubles (``d``)."""
+    """The smallest of the kinds that keeps a column as it is, and the numbers to keep."""
     if len(coded):
         code = np.searchsorted(coded, column).clip(max=len(coded) - 1)
         if (coded[code] == column).all():
             return "B", code
-    with np.errstate(invalid="ignore"):
-        reach = np.abs(column).max(initial=0)
-        if reach < 2**31 and (np.rint(column) == column).all():
-            return ("h" if reach < 2**15 else "i"), column
+    with np.errstate(invalid="ignore", over="ignore"):
+        for scale, short, long in ((1.0, "h", "i"), (100.0, "s", "c")):
+            whole = np.rint(column * scale)
+            reach = np.abs(whole).max(initial=0)
+            if reach < 2**31 and (whole / scale == column).all():
+                return (short if reach < 2**15 else long), whole
     return "d", column
 
 
@@ -635,6 +793,8 @@ def _packed(y: np.ndarray, x: np.ndarray, coded: list[np.ndarray]) -> tuple[str,
     """Kinds of the features, one letter each, and the rows as records; draws are left open."""
     columns = [_kind(x[:, f] + 0.0, coded[f]) for f in range(x.shape[1])]
     kinds = "".join(kind for kind, _ in columns)
+    if np.abs(y).max(initial=0) < 2**31:
+        kinds += SHORT_LABELS
     records = np.empty(len(y), dtype=_record(kinds))
     records["y"] = y
     for f, (_, column) in enumerate(columns):
@@ -642,19 +802,69 @@ def _packed(y: np.ndarray, x: np.ndarray, coded: list[np.ndarray]) -> tuple[str,
     return kinds, records
 
 
+def _values(kind: str, column: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """A packed column as it was."""
+    if kind == "B":
+        return known[column]
+    return column / 100.0 if kind in "sc" else column.astype(np.float64)
+
+
+def _features(kinds: str, records: np.ndarray, coded: list[np.ndarray]) -> np.ndarray:
+    return np.stack([_values(kinds[f], records[f"x{f}"], known) for f, known in enumerate(coded)], axis=1)
+
+
+PACKED = T.StructType(
+    [
+        T.StructField("ids", T.BinaryType()),
+        T.StructField("kinds", T.StringType()),
+        T.StructField("records", T.BinaryType()),
+        T.StructField("bins", T.BinaryType()),
+    ]
+)
+
+
+def _packed_rows(rows: Rows) -> DataFrame:
+    """All rows, many to a line: hashes of keys, records without draws, and numbers of bins."""
+    width, bins, coded = rows.width, rows.bins, rows.coded
+    most = min(BATCH_ROWS, max(1, PACKED_BYTES // (8 * width)))
+
+    def pack(batches):
+        for ids, y, x in _arrays(batches, width, most):
+            kinds, records = _packed(y, x, coded)
+            line = [[ids.tobytes()], [kinds], [records.tobytes()], [_codes(bins, x).tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in line], names=PACKED.names)
+
+    return written(rows.table.mapInArrow(pack, PACKED), "tree-packed")
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], bins: list[np.ndarray]) -> Iterator[tuple]:
+    """(ids, kinds, records, numbers of bins) of each packed line."""
+    for batch in batches:
+        for ids, kinds, records, codes in zip(*(batch.column(c) for c in PACKED.names)):
+            kinds = kinds.as_py()
+            yield (
+                np.frombuffer(ids.as_buffer(), np.uint64),
+                kinds,
+                np.frombuffer(records.as_buffer(), _record(kinds)),
+                np.frombuffer(codes.as_buffer(), _code_type(bins)).reshape(-1, len(bins)),
+            )
+
+
+SHIPPED = T.StructType(
+    [
+        T.StructField("at", T.LongType()),
+        T.StructField("kinds", T.StringType()),
+        T.StructField("packed", T.BinaryType()),
+    ]
+)
+
+
 @dataclass
 class Slot:
     """A feature of a node's rows: its values, ascending and NaN last, and the place of each row's."""
 
     values: np.ndarray
     code: np.ndarray
-    order: np.ndarray | None = None
-
-    def by_value(self) -> np.ndarray:
-        """Rows in order of their values, found once."""
-        if self.order is None:
-            self.order = np.argsort(self.code, kind="stable")
-        return self.order
 
 
 def _unpacked(kinds: list[str], packed: list[bytes], coded: list[np.ndarray]) -> tuple:
@@ -666,78 +876,137 @@ def _unpacked(kinds: list[str], packed: list[bytes], coded: list[np.ndarray]) ->
     w, y = (np.concatenate([r[c] for _, r in records]).astype(np.int64) for c in "wy")
     columns = []
     for f, known in enumerate(coded):
-        if all(kind[f] == "B" for kind, _ in records):
+        own = {kind[f] for kind, _ in records}
+        if own == {"B"}:
             columns.append(Slot(known, np.concatenate([r[f"x{f}"] for _, r in records])))
-            continue
-        values = np.concatenate([known[r[f"x{f}"]] if kind[f] == "B" else r[f"x{f}"] for kind, r in records])
-        columns.append(_coded(values))
+        elif own <= {*"hi"} or own <= {*"sc"}:
+            slot = _coded(np.concatenate([r[f"x{f}"] for _, r in records]))
+            columns.append(Slot(slot.values / (100.0 if own <= {*"sc"} else 1.0), slot.code))
+        else:
+            columns.append(_coded(np.concatenate([_values(kind[f], r[f"x{f}"], known) for kind, r in records])))
     return w, y, columns
 
 
 def _coded(values: np.ndarray) -> Slot:
     if values.dtype.kind == "i" and len(values):
         low, high = int(values.min()), int(values.max())
-        if high - low < max(len(values), CODED_VALUES):
-            code = (values.astype(np.int64) - low).astype(np.int32)
-            return Slot(np.arange(low, high + 1, dtype=np.float64), code)
-    order = np.argsort(values, kind="stable")
+        if high - low < 8 * len(values) + CODED_VALUES:
+            seen = np.zeros(high - low + 1, dtype=bool)
+            place = values.astype(np.int64) - low
+            seen[place] = True
+            code = (np.cumsum(seen, dtype=np.int32) - 1).take(place)
+            return Slot((np.flatnonzero(seen) + low).astype(np.float64), code)
+    order = np.argsort(values)
     v = values[order].astype(np.float64)
     # Two NaN are one value here.
     first = np.concatenate(([True], (v[1:] != v[:-1]) & ~np.isnan(v[:-1])))
     code = np.empty(len(v), dtype=np.int32)
     code[order] = first.cumsum() - 1
-    return Slot(v[first], code, order)
+    return Slot(v[first], code)
 
 
 def _first_in_runs(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
 
 
-def _ordered(
-    column: Slot, slot: np.ndarray, of_node: int, w: np.ndarray, wy: np.ndarray
-) -> tuple[np.ndarray, ...]:
-    """(node, code, rows, total), by node and code: one line for equal ones where codes are few."""
-    size = len(column.values)
+class Level:
+    """The rows of one level's nodes: their places, the last one for rows of ended nodes, and draws
+    with drawn labels as real and imaginary parts, which one step sums.
+
+    Of two children only the lesser one is summed where the sums of their parent were kept; those of
+    the other are the rest, exactly, as all sums are whole.
+    """
+
+    def __init__(self, place: np.ndarray, nodes: int, each: np.ndarray, kept: dict, parents: np.ndarray):
+        self.place, self.nodes, self.each = place, nodes, each
+        self.kept_before, self.parents = kept, parents
+        self.kept: dict[object, np.ndarray] = {}
+        self.shifted: dict[int, np.ndarray] = {}
+        both = np.zeros(nodes + 1, dtype=np.complex128)
+        np.add.at(both, place, each)
+        self.n, self.s = _whole(both[:-1])
+        self.lesser = None
+
+    def _lesser_rows(self) -> tuple:
+        """(rows of the lesser children, their pairs, draws and labels, and the places of those children)."""
+        if self.lesser is None:
+            child = 2 * np.arange(len(self.parents)) + (self.n[1::2] < self.n[::2])
+            chosen = np.zeros(self.nodes + 1, dtype=bool)
+            chosen[child] = True
+            row = np.flatnonzero(chosen.take(self.place))
+            self.lesser = row, self.place.take(row) >> 1, self.each.take(row), child
+        return self.lesser
+
+    def sums(self, of: object, code: np.ndarray, bits: int) -> np.ndarray:
+        """Sums by node and code of the column ``of``, each node's in a row of its own."""
+        few = self.nodes << bits <= len(code) // 16
+        if few and of in self.kept_before:
+            row, pair, each, child = self._lesser_rows()
+            part = np.zeros(len(self.parents) << bits, dtype=np.complex128)
+            np.add.at(part, (pair << bits) + code.take(row), each)
+            part = part.reshape(-1, 1 << bits)
+            found = np.zeros((self.nodes + 1, 1 << bits), dtype=np.complex128)
+            found[child] = part
+            found[child ^ 1] = self.kept_before[of][self.parents] - part
+        else:
+            if bits not in self.shifted:
+                self.shifted[bits] = self.place << bits
+            found = np.zeros((self.nodes + 1) << bits, dtype=np.complex128)
+            np.add.at(found, self.shifted[bits] + code, self.each)
+            found = found.reshape(-1, 1 << bits)
+        if few:
+            self.kept[of] = found
+        return found
+
+
+def _whole(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return both.real.astype(np.int64), both.imag.astype(np.int64)
+
+
+def _ordered(level: Level, of: object, code: np.ndarray, size: int, mine: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(place among given nodes, code, rows, total), by place and code: one line for equal ones where
+    codes are few."""
+    bits = (size - 1).bit_length()
+    if (level.nodes + 1) << bits <= 2 * len(code) + CODED_VALUES:
+        both = level.sums(of, code, bits)[mine].ravel()
+        some = np.flatnonzero(both.real)
+        return some >> bits, some & (1 << bits) - 1, *_whole(both[some])
+    slots = np.full(level.nodes + 1, -1)
+    slots[mine] = np.arange(len(mine))
+    slot = slots.take(level.place)
     row = np.flatnonzero(slot >= 0)
-    if of_node * size <= 2 * len(row) + CODED_VALUES:
-        cell = slot.take(row) * size + column.code.take(row)
-        n = np.bincount(cell, w.take(row), of_node * size)
-        s = np.bincount(cell, wy.take(row), of_node * size)
-        some = np.flatnonzero(n)
-        p, code = np.divmod(some, size)
-        return p, code, n[some].astype(np.int64), s[some].astype(np.int64)
-    row = column.by_value()
-    p = slot.take(row)
-    kept = p >= 0
-    # Short numbers are sorted by their digits.
-    row, p = row[kept], p[kept].astype(np.int16 if of_node < 1 << 15 else np.int64)
-    grouped = np.argsort(p, kind="stable")
-    row = row.take(grouped)
-    each = w.take(row).astype(np.int64), wy.take(row).astype(np.int64)
-    return p.take(grouped).astype(np.int64), column.code.take(row), *each
+    key = (slot.take(row) << bits) + code.take(row)
+    if len(mine) << bits <= 2 * len(row) + CODED_VALUES:
+        both = np.zeros(len(mine) << bits, dtype=np.complex128)
+        np.add.at(both, key, level.each.take(row))
+        some = np.flatnonzero(both.real)
+        return some >> bits, some & (1 << bits) - 1, *_whole(both[some])
+    low = len(code).bit_length()
+    if (len(mine) << bits).bit_length() + low < 63:
+        # Sorted as one number each: node, code and row.
+        key = np.sort((key << low) | row)
+        row, key = key & (1 << low) - 1, key >> low
+    else:
+        order = np.argsort(key, kind="stable")
+        row, key = row[order], key[order]
+    return key >> bits, key & (1 << bits) - 1, *_whole(level.each.take(row))
 
 
 def _searched(
-    columns: list[Slot],
+    level: Level,
+    codes: np.ndarray,
+    values: list[np.ndarray],
     allowed: np.ndarray,
-    place: np.ndarray,
-    w: np.ndarray,
-    wy: np.ndarray,
-    n: np.ndarray,
-    s: np.ndarray,
     least: int,
-    bins: list[np.ndarray] | None,
+    binned: bool,
 ) -> tuple:
     """(gain, feature, threshold) of the best cut of each node: among those between its values, or,
-    where columns hold the numbers of bins, among those between bins."""
-    k = len(n)
+    where codes are the numbers of bins and ``values`` their cuts, among those between bins."""
+    k, n, s = level.nodes, level.n, level.s
     gain, feature, threshold = np.zeros(k), np.full(k, -1), np.full(k, np.nan)
     for f in np.flatnonzero(allowed.any(axis=0)):
         mine = np.flatnonzero(allowed[:, f])
-        # Rows of ended nodes are at place -1, the last one.
-        slots = np.full(k + 1, -1)
-        slots[mine] = np.arange(len(mine))
-        p, code, each_n, each_s = _ordered(columns[f], slots.take(place), len(mine), w, wy)
+        p, code, each_n, each_s = _ordered(level, (f, binned), codes[f], len(values[f]) + binned, mine)
         cut = np.flatnonzero((p[1:] == p[:-1]) & (code[:-1] != code[1:]))
         if not len(cut):
             continue
@@ -761,8 +1030,7 @@ def _searched(
         top = top[gains[top] > gain[at[top]]]
         low, high = code[cut[top]], code[cut[top] + 1]
         gain[at[top]], feature[at[top]] = gains[top], f
-        values = columns[f].values
-        threshold[at[top]] = _between(values[low], values[high]) if bins is None else bins[f][low]
+        threshold[at[top]] = values[f][low] if binned else _between(values[f][low], values[f][high])
     return gain, feature, threshold
 
 
@@ -782,19 +1050,21 @@ def finish(
     the first node counts as; for the root of a tree that is all rows, drawn or not.
     """
     width, count = len(columns), len(w)
-    codes = np.stack([c.code for c in columns]).astype(np.int32).ravel()
+    values = [c.values for c in columns]
+    codes = np.empty((width, count), dtype=np.min_scalar_type(max(map(len, values))))
+    for f, column in enumerate(columns):
+        codes[f] = column.code
     # Sums stay far below 2^53, so they are exact as doubles.
-    w, wy = w.astype(np.float64), (w * y).astype(np.float64)
+    each = np.empty(count, dtype=np.complex128)
+    each.real, each.imag = w, w * y
     binned = None
     place = np.zeros(count, dtype=np.int64)
     nodes = np.array([root], dtype=np.int64)
-    out = []
+    kept, inner, out = {}, np.zeros(0, dtype=np.int64), []
     while len(nodes):
         k = len(nodes)
-        live = np.flatnonzero(place >= 0)
-        parent = place.take(live)
-        n = np.bincount(parent, w.take(live), k).astype(np.int64)
-        s = np.bincount(parent, wy.take(live), k).astype(np.int64)
+        level = Level(place, k, each, kept, inner)
+        n, s, kept = level.n, level.s, level.kept
         # Nodes of one level have one depth.
         opened = (n >= tree.enough) & (not tree.ends(int(nodes[0]), tree.enough))
         allowed = np.zeros((k, width), dtype=bool)
@@ -805,56 +1075,59 @@ def finish(
         found = np.zeros(k), np.full(k, -1), np.full(k, np.nan)
         if (large & opened).any():
             if binned is None:
-                binned = [
-                    Slot(np.arange(len(b) + 1), np.searchsorted(b, c.values, side="left").astype(np.int16)[c.code])
-                    for b, c in zip(bins, columns)
-                ]
-            found = _searched(binned, allowed & large[:, None], place, w, wy, n, s, tree.least, bins)
+                binned = np.empty(codes.shape, dtype=_code_type(bins))
+                for f in range(width):
+                    of_value = np.searchsorted(bins[f], values[f], side="left").astype(binned.dtype)
+                    binned[f] = of_value.take(codes[f])
+            found = _searched(level, binned, bins, allowed & large[:, None], tree.least, True)
         rest = allowed & (found[1] < 0)[:, None]
-        exact = _searched(columns, rest, place, w, wy, n, s, tree.least, None)
+        exact = _searched(level, codes, values, rest, tree.least, False)
         chosen = found[1] >= 0
         feature, threshold = (np.where(chosen, a, b) for a, b in zip(found[1:], exact[1:]))
         out.append((nodes, feature, threshold, n, s))
         inner = np.flatnonzero(feature >= 0)
-        child = np.full(k, -1)
-        child[inner] = 2 * np.arange(len(inner))
-        last = np.full(k, -1)
+        if not len(inner):
+            break
+        ended = 2 * len(inner)
+        child, last, of = np.full(k + 1, ended), np.full(k + 1, np.iinfo(np.int64).max), np.zeros(k + 1, dtype=np.int64)
+        child[inner], of[inner] = 2 * np.arange(len(inner)), feature[inner]
         for f in np.unique(feature[inner]):
             own = np.flatnonzero(feature == f)
-            last[own] = np.searchsorted(columns[f].values, threshold[own], side="right") - 1
-        kept = feature[parent] >= 0
-        rows, parent = live[kept], parent[kept]
-        place[:] = -1
-        place[rows] = child.take(parent) + (codes.take(feature.take(parent) * count + rows) > last.take(parent))
+            last[own] = np.searchsorted(values[f], threshold[own], side="right") - 1
+        cell = of.take(place) * count + np.arange(count)
+        place = child.take(place) + (codes.ravel().take(cell) > last.take(place))
         nodes = (2 * nodes[inner][:, None] + np.arange(2)).ravel()
+        live = np.flatnonzero(place < ended)
+        if len(live) < 0.8 * count:
+            count = len(live)
+            place, each, codes = place.take(live), each.take(live), codes.take(live, axis=1)
+            binned = binned if binned is None else binned.take(live, axis=1)
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
 def _finished(rows: Rows, trees: list[Tree], held: Held, shipped: list[int]) -> DataFrame:
     """The subtrees of the nodes that tasks can hold, each by the task that its rows are sent to."""
-    width, paths, bins, coded = rows.width, held.paths(), rows.bins, rows.coded
-    slots = np.full(len(held.node), -1)
-    slots[shipped] = shipped
-    roots = np.full(len(trees), -1)
-    for at in shipped:
-        roots[held.tree[at]] = held.tree[at]
+    bins, coded = rows.bins, rows.coded
+    steps = _steps(bins, held, len(trees))
+    slots, of_tree, roots = _slots(held, trees, shipped)
     own = {at: (held.tree[at], held.node[at], held.rows[at] or rows.count) for at in shipped}
 
-    most = max(1, PACKED_BYTES // (8 * width))
-
     def send(batches):
-        for ids, y, x in _arrays(batches, width, most):
-            kinds, records = _packed(y, x, coded)
-            for _, row, weight, at in _open_rows(trees, paths, roots, slots, ids, y, x):
-                order = np.argsort(at, kind="stable")
-                at = at[order]
-                sent = records[row[order]]
-                sent["w"] = weight[order]
-                first = _first_in_runs(at)
-                ends = np.append(first, len(at))
+        for ids, kinds, records, binned in _pieces(batches, bins):
+            codes = binned if steps.plain else _codes(steps.cuts, _features(kinds, records, coded))
+            for g, row, weight, slot in _open_rows(trees, steps, roots, slots, ids, codes):
+                # Short numbers are sorted by their digits.
+                slot = slot.astype(np.min_scalar_type(len(of_tree[g])))
+                order = np.argsort(slot, kind="stable")
+                slot = slot[order]
+                sent = records.take(row.take(order))
+                sent["w"] = weight.take(order)
+                first = _first_in_runs(slot)
+                ends = np.append(first, len(slot))
                 data = [sent[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+                at = np.array(of_tree[g])[slot[first]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(at[first]), pa.array([kinds] * len(first)), pa.array(data, pa.binary())],
+                    [pa.array(at), pa.array([kinds] * len(first)), pa.array(data, pa.binary())],
                     names=SHIPPED.names,
                 )
 
@@ -878,7 +1151,20 @@ def _finished(rows: Rows, trees: list[Tree], held: Held, shipped: list[int]) ->
     total = sum(size for _, _, size in own.values())
     context = rows.table.sparkSession.sparkContext
     parts = min(len(shipped), max(8 * context.defaultParallelism, total // PART_ROWS))
-    return rows.table.mapInArrow(send, SHIPPED).repartition(parts, "at").groupBy("at").applyInArrow(grow, NODES)
+    return rows.packed.mapInArrow(send, SHIPPED).repartition(parts, "at").groupBy("at").applyInArrow(grow, NODES)
+
+
+def _in_turns(rows: Rows, held: Held, shipped: list[int]) -> list[list[int]]:
+    """Nodes to send at a time, tree by tree: as many as ``SENT_ROWS`` allow, at least one."""
+    turns, room = [], 0
+    for at in sorted(shipped, key=lambda at: (held.tree[at], at)):
+        size = held.rows[at] or rows.count
+        if size > room:
+            turns.append([])
+            room = SENT_ROWS
+        turns[-1].append(at)
+        room -= size
+    return turns
 
 
 def grow(rows: Rows, trees: list[Tree]) -> DataFrame:
@@ -897,9 +1183,17 @@ def grow(rows: Rows, trees: list[Tree]) -> DataFrame:
         alike = replace(tree, depth=0)
         deepest[alike] = max(tree.depth, deepest.get(alike, 0))
     distinct = [replace(alike, depth=depth) for alike, depth in deepest.items()]
-    nodes = _grown(rows, distinct)
+    with shuffles_freed(rows.table.sparkSession):
+        rows = replace(rows, packed=_packed_rows(rows))
+        nodes = written(_cut_off(_grown(rows, distinct), distinct, trees), "tree-nodes")
+    dropped(rows.packed)
+    return nodes
+
+
+def _cut_off(nodes: DataFrame, distinct: list[Tree], trees: list[Tree]) -> DataFrame:
+    """The nodes of all trees from those of the trees that differ by more than their depth."""
     if distinct != trees:
-        numbers = {alike: g for g, alike in enumerate(deepest)}
+        numbers = {replace(tree, depth=0): g for g, tree in enumerate(distinct)}
         wanted = [(numbers[replace(tree, depth=0)], i, tree.depth) for i, tree in enumerate(trees)]
         copies = nodes.sparkSession.createDataFrame(wanted, "tree int, copy int, depth int")
         ends = F.col("node") >= F.expr("shiftleft(1L, depth)")
@@ -914,7 +1208,7 @@ def grow(rows: Rows, trees: list[Tree]) -> DataFrame:
                 "value",
             )
         )
-    return written(nodes, "tree-nodes")
+    return nodes
 
 
 def _grown(rows: Rows, trees: list[Tree]) -> DataFrame:
@@ -957,7 +1251,10 @@ def _grown(rows: Rows, trees: list[Tree]) -> DataFrame:
                 # No cut between bins tells its rows apart; one between values may.
                 exactly.append(at)
     top = _held_nodes(rows.table.sparkSession, held, rows, set(shipped))
-    return top.unionByName(_finished(rows, trees, held, shipped)) if shipped else top
+    turns = [_finished(rows, trees, held, turn) for turn in _in_turns(rows, held, shipped)]
+    if len(turns) > 1:
+        turns = [written(turn, "tree-turn") for turn in turns]
+    return reduce(DataFrame.unionByName, turns, top)
 
 
 def _held_nodes(spark: SparkSession, held: Held, rows: Rows, left_out: set[int]) -> DataFrame:
@@ -982,22 +1279,26 @@ def _held_nodes(spark: SparkSession, held: Held, rows: Rows, left_out: set[int])
 # --- models as tables -----------------------------------------------------------------------
 
 
-def _model_paths(nodes: DataFrame) -> tuple[Paths, np.ndarray, np.ndarray]:
-    """A whole model in arrays: paths, values, and the places of the roots in order of trees."""
+def _model_paths(nodes: DataFrame) -> tuple[Paths, np.ndarray]:
+    """A whole model in arrays: paths, whose thresholds are the values where a node is a leaf, and
+    the places of the roots in order of trees."""
     table = nodes.select("tree", "node", "feature", "threshold", "value").toArrow()
-    tree, node = (table.column(c).to_numpy() for c in ("tree", "node"))
-    order = np.lexsort((node, tree))
-    tree, node = tree[order], node[order]
+    node = table.column("node").to_numpy()
+    order = np.lexsort((node, table.column("tree").to_numpy()))
+    node = node[order]
     feature = table.column("feature").fill_null(-1).to_numpy()[order]
+    feature = feature.astype(np.min_scalar_type(-int(feature.max(initial=0)) - 1))
     threshold = table.column("threshold").fill_null(np.nan).to_numpy()[order]
-    value = table.column("value").to_numpy()[order]
+    threshold = np.where(feature < 0, table.column("value").to_numpy()[order], threshold)
+    # The driver holds the model twice for a while; what it was made from is let go before.
+    del table, order
     roots = np.flatnonzero(node == 1)
     # Sorted by tree and node, the two children of a node are neighbours.
     bounds = np.append(roots, len(node))
     left = np.full(len(node), -1, dtype=np.int32)
     for a, b in zip(bounds[:-1], bounds[1:]):
         left[a:b] = a + np.searchsorted(node[a:b], 2 * node[a:b])
-    return Paths(feature, threshold, left), value, roots
+    return Paths(feature, threshold, left), roots
 
 
 def predict(
@@ -1014,7 +1315,7 @@ def predict(
     """
     if nodes.count() > max_nodes:
         return predict_by_joins(df, nodes, features, output)
-    paths, value, roots = _model_paths(nodes)
+    paths, roots = _model_paths(nodes)
 
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -1025,7 +1326,7 @@ def predict(
                 matrix = np.stack(x[known].to_numpy())
                 rows, total = np.arange(len(matrix)), np.zeros(len(matrix))
                 for root in roots:
-                    total += value[paths.follow(matrix, rows, root)]
+                    total += paths.threshold[paths.follow(matrix, rows, root)]
                 result[known] = total / len(roots)
             yield result
 
@@ -1039,7 +1340,7 @@ def out_of_bag(
 
     ``trees`` are the settings that the nodes were grown with, ``key`` the key of the same rows.
     """
-    paths, value, roots = _model_paths(nodes)
+    paths, roots = _model_paths(nodes)
 
     @F.pandas_udf("double")
     def scores(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -1049,7 +1350,7 @@ def out_of_bag(
             total, times = np.zeros(len(matrix)), np.zeros(len(matrix))
             for tree, root in zip(trees, roots):
                 out = rows[draws(tree, ids) == 0]
-                total[out] += value[paths.follow(matrix, out, root)]
+                total[out] += paths.threshold[paths.follow(matrix, out, root)]
                 times[out] += 1
             yield pd.Series(np.divide(total, times, out=np.full(len(total), np.nan), where=times > 0), index=x.index)
 

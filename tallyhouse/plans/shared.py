@@ -1,10 +1,13 @@
 """The folder all executors see, for checkpoints and tables between steps."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +34,28 @@ def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a table that ``written`` made and that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of an action are deleted when it ends, not when the driver collects its garbage."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint."""
     shared_folder(df.sparkSession)

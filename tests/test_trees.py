@@ -1,5 +1,8 @@
 """Trees against a plain search over all cuts, on every path that grows and reads them."""
 
+import os
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -339,3 +342,121 @@ def test_packed_rows_come_back():
         values = column.values[column.code]
         assert np.array_equal(values, np.append(x[:, f], x[0, f]), equal_nan=True)
         assert (np.diff(column.values[~np.isnan(column.values)]) > 0).all()
+
+
+def test_gains_of_large_nodes_do_not_overflow():
+    """Rows times totals beyond 64 bits: the best cut is still the one that whole numbers find."""
+    random = np.random.default_rng(3)
+    n = np.full(40, 1_739_298)
+    s = np.full(40, 29_000_000_000_000)
+    left_n = random.integers(1, n[0], 40)
+    left_s = random.integers(-(2**45), 2**45, 40)
+    exact = [
+        (int(a) * int(n[0]) - int(s[0]) * int(b)) ** 2 / (int(b) * (int(n[0]) - int(b)) * int(n[0]))
+        for a, b in zip(left_s, left_n)
+    ]
+    assert op._gains(left_n, left_s, n, s) == pytest.approx(exact, rel=1e-9)
+    # Each cut alone gives the same as all together.
+    alone = [op._gains(*(c[i : i + 1] for c in (left_n, left_s, n, s)))[0] for i in range(40)]
+    assert op._gains(left_n, left_s, n, s).tolist() == alone
+    assert op._gains(left_n[:1], 3 * left_n[:1], n[:1], 3 * n[:1]).tolist() == [0.0]
+
+
+def test_draws_by_whole_bounds():
+    tree = op.Tree(9, 4, 5, 1, 2, 3, True, False)
+    ids = np.arange(300_000, dtype=np.uint64)
+    uniform = (op._mixed(ids ^ tree.salt) >> np.uint64(11)) * 2.0**-53
+    expected = np.searchsorted(op.POISSON, uniform, side="right")
+    rows, times = op.drawn(tree, ids)
+    assert np.array_equal(rows, np.flatnonzero(expected)) and np.array_equal(times, expected[rows])
+    assert np.array_equal(op.draws(tree, ids), expected)
+
+
+def test_codes_lead_where_values_do():
+    random = np.random.default_rng(6)
+    x = np.round(random.normal(size=(500, 2)), 1)
+    x[::7, 0], x[1::7, 1] = np.nan, np.inf
+    bins = [np.array([-0.5, 0.0, 0.5]), np.array([0.25])]
+    held = op.Held([0, 1])
+    left, right = held.split(0, 0, 0.0, 1, 1)
+    for thresholds, plain in (((0.25, 0.5), True), ((0.3, -0.7), False)):
+        held.split(left, 1, thresholds[0], 1, 1)
+        held.split(right, 0, thresholds[1], 1, 1)
+        steps = op._steps(bins, held, 2)
+        assert steps.plain is plain and steps.levels.tolist() == [2, 0]
+        paths = op.Paths(*(np.array(c) for c in (held.feature, held.threshold, held.left)))
+        rows = np.arange(0, 500, 3)
+        codes = op._codes(steps.cuts, x)
+        for tree in (0, 1):
+            assert np.array_equal(steps.follow(codes, rows, tree, tree), paths.follow(x, rows, tree))
+
+
+def test_only_lesser_children_are_summed(monkeypatch):
+    random = np.random.default_rng(2)
+    each = random.integers(1, 4, 4_000) + 1j * random.integers(-(2**33), 2**33, 4_000)
+    code = random.integers(0, 3, 4_000).astype(np.uint8)
+    first = op.Level(random.integers(0, 3, 4_000), 3, each, {}, np.zeros(0, dtype=np.int64))
+    first.sums("f", code, 2)
+    # Nodes 0 and 2 are split in unequal parts, node 1 has ended.
+    child = np.array([0, 4, 2])[first.place] + (random.random(4_000) < np.array([0.1, 0, 0.8])[first.place])
+    parents = np.array([0, 2])
+    second = op.Level(child, 4, each, first.kept, parents)
+    direct = op.Level(child, 4, each, {}, parents).sums("f", code, 2)
+    summed = []
+    monkeypatch.setattr(op, "np", SpyNumpy(summed))
+    assert np.array_equal(second.sums("f", code, 2)[:4], direct[:4])
+    assert 0 < sum(summed) < 0.2 * 4_000
+
+
+class SpyNumpy:
+    """NumPy, counting the rows that are added up."""
+
+    def __init__(self, summed):
+        self.add = type("add", (), {"at": lambda out, at, v: (summed.append(len(at)), np.add.at(out, at, v))})
+
+    def __getattr__(self, name):
+        return getattr(np, name)
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_what_is_sent_is_freed(spark, df, monkeypatch):
+    """The same forest in one turn and in many, of which each leaves nothing on the disk."""
+    settings = dict(bootstrap=True, featureSubsetStrategy="0.5", numTrees=5, maxDepth=6)
+    prepared = op.prepared_rows(df, "key", "label", "features")
+    forest = op.trees_of({**SETTINGS, **settings}, prepared.width)
+    packed = []
+    monkeypatch.setattr(op, "_packed_rows", lambda rows, f=op._packed_rows: packed.append(f(rows)) or packed[-1])
+    monkeypatch.setattr(op, "SMALL_ROWS", 60)
+    monkeypatch.setattr(op, "TASK_ROWS", 200)
+    before = shuffle_files(spark)
+    at_once = op.grow(prepared, forest)
+    monkeypatch.setattr(op, "SENT_ROWS", 300)
+    turns = []
+    monkeypatch.setattr(op, "_finished", lambda *a, f=op._finished: turns.append(a[-1]) or f(*a))
+    in_turns = op.grow(prepared, forest)
+    assert len(turns) > 3 and len({at for turn in turns for at in turn}) == sum(map(len, turns))
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert sorted(map(tuple, at_once.collect()), key=str) == sorted(map(tuple, in_turns.collect()), key=str)
+    assert len(packed) == 2
+    for table in packed:
+        assert not any(os.path.exists(file.removeprefix("file://")) for file in table.inputFiles())
+
+
+def test_hundredths_and_short_labels_are_packed_short():
+    x = np.array([[0.1, 900.01, 1.005], [-7.25, -12.5, 2.0]])
+    known = [np.zeros(0)] * 3
+    kinds, records = op._packed(np.array([5, -6]), x, known)
+    assert kinds == "scd" + op.SHORT_LABELS and records.dtype.itemsize == 1 + 4 + 2 + 4 + 8
+    assert np.array_equal(op._features(kinds, records, known), x)
+    records["w"] = 1
+    _, y, columns = op._unpacked([kinds], [records.tobytes()], known)
+    assert y.tolist() == [5, -6]
+    assert all(np.array_equal(c.values[c.code], x[:, f]) for f, c in enumerate(columns))
