@@ -24,7 +24,7 @@ from tallyhouse.operators.stages import (
     ZeroFiller,
 )
 from tallyhouse.plans.ranks import with_places
-from tallyhouse.plans.shared import checkpointed, written
+from tallyhouse.plans.shared import checkpointed, shuffles_freed, written
 
 # The default forest.
 DEFAULT_FOREST = {
@@ -193,9 +193,10 @@ def fit_forests(
             raise ValueError("The forest seed must equal the split seed")
     columns = train.select(spec.key, spec.label, *spec.columns).persist()
     try:
-        prepared = preprocessor(spec).fit(columns)
-        vectors = assemble(columns, prepared, [spec.key, spec.label])
-        rows = trees.prepared_rows(vectors, spec.key, spec.label, "features")
+        with shuffles_freed(train.sparkSession):
+            prepared = preprocessor(spec).fit(columns)
+            vectors = assemble(columns, prepared, [spec.key, spec.label])
+            rows = trees.prepared_rows(vectors, spec.key, spec.label, "features")
     finally:
         columns.unpersist()
     specs = {name: trees.trees_of(values, rows.width) for name, values in settings.items()}

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import clean, ledger, model, split
 from tallyhouse.plans.lookups import join_lookup, stored_lookup
-from tallyhouse.plans.shared import checkpointed, new_folder, written
+from tallyhouse.plans.shared import checkpointed, new_folder, shuffles_freed, written
 from tallyhouse.workload.registry import query
 from tallyhouse.workload.splitting import stratified_sql
 from tallyhouse.workload.tables import LISTING_SQL, SEED, TEST_SIZE, VAL_SIZE, listings, table
@@ -25,10 +25,11 @@ PLAIN_TREE = {
 
 def priced_splits(spark, folder):
     """Priced listings by side, test and validation strata by room type."""
-    priced = written(
-        clean.price_range(listings(spark, folder), "price", 1_000, 900_000), "priced"
-    )
-    fitted = split.fit_split(priced, "id", TEST_SIZE, SEED, "room_type", val_size=VAL_SIZE)
+    with shuffles_freed(spark):
+        priced = written(
+            clean.price_range(listings(spark, folder), "price", 1_000, 900_000), "priced"
+        )
+        fitted = split.fit_split(priced, "id", TEST_SIZE, SEED, "room_type", val_size=VAL_SIZE)
     tagged = fitted.apply(priced, "_side")
     return [
         tagged.where(F.col("_side") == side).drop("_side")
