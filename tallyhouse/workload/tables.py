@@ -30,12 +30,13 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "lineitem").select(
             "l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_discount"
         ),
-        stored_lookup(part),
+        stored_lookup(part.hint("shuffle_hash")),
         ["l_partkey"],
         "inner",
         spread_by=["l_orderkey"],
     )
-    per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+    # Dealt out by order first: few lines of an order meet before, so sums made there would save nothing.
+    per_order = lines.repartition("l_orderkey").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.min("p_name").alias("name"),
         F.min("p_retailprice").alias("latitude"),
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("price"),
