@@ -55,6 +55,8 @@ MAX_MODEL_NODES = 8_000_000
 # Labels are whole numbers of at most so many bits, so sums over a batch are exact as doubles.
 LABEL_BITS = 34
 BATCH_ROWS = 32_768
+# Packed rows to a line of a table: longer values are costly to the JVM's garbage collection.
+LINE_ROWS = 8_192
 # Sums of so many rows, repeats counted, are exact as doubles.
 EXACT_ROWS = 1_000_000
 # Labels that are decimals of few places are summed exactly.
@@ -826,7 +828,7 @@ PACKED = T.StructType(
 def _packed_rows(rows: Rows) -> DataFrame:
     """All rows, many to a line: hashes of keys, records without draws, and numbers of bins."""
     width, bins, coded = rows.width, rows.bins, rows.coded
-    most = min(BATCH_ROWS, max(1, PACKED_BYTES // (8 * width)))
+    most = min(LINE_ROWS, max(1, PACKED_BYTES // (8 * width)))
 
     def pack(batches):
         for ids, y, x in _arrays(batches, width, most):
@@ -838,16 +840,24 @@ def _packed_rows(rows: Rows) -> DataFrame:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], bins: list[np.ndarray]) -> Iterator[tuple]:
-    """(ids, kinds, records, numbers of bins) of each packed line."""
+    """(ids, kinds, records, numbers of bins) of packed lines, those alike together."""
+
+    def joined():
+        ids, records, codes = (b"".join(c) for c in zip(*held))
+        codes = np.frombuffer(codes, _code_type(bins)).reshape(-1, len(bins))
+        return np.frombuffer(ids, np.uint64), kind, np.frombuffer(records, _record(kind)), codes
+
+    held, kind, count = [], "", 0
     for batch in batches:
-        for ids, kinds, records, codes in zip(*(batch.column(c) for c in PACKED.names)):
-            kinds = kinds.as_py()
-            yield (
-                np.frombuffer(ids.as_buffer(), np.uint64),
-                kinds,
-                np.frombuffer(records.as_buffer(), _record(kinds)),
-                np.frombuffer(codes.as_buffer(), _code_type(bins)).reshape(-1, len(bins)),
-            )
+        for ids, kinds, records, codes in zip(*(batch.column(c).to_pylist() for c in PACKED.names)):
+            more = len(ids) // 8
+            if held and (kinds != kind or count + more > BATCH_ROWS):
+                yield joined()
+                held, count = [], 0
+            held.append((ids, records, codes))
+            kind, count = kinds, count + more
+    if held:
+        yield joined()
 
 
 SHIPPED = T.StructType(
